@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this engine covers are full batch rebuilds: there is no stream source,
+watermark, event-time window or state in the workloads it reproduces, so this package is
+intentionally empty.  A streaming deployment would run the same mart functions inside
+``foreachBatch`` over micro-batches of new orders, with the marts re-aggregated from the
+materialised facts.
+"""
