@@ -9,9 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import analysis, marts, stats
+from .. import schemas
+from ..operators import analysis, customer, economics, marts, metrics, quality, staging, stats
+from ..session import scratch_dir
+from ..sources import csv
 from ..sources.adapter import CommerceModel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +122,155 @@ def q_carrier_tradeoff(spark, d):
 @query("experiment_itt")
 def q_experiment_itt(spark, d):
     return analysis.experiment_itt(q_experiment(spark, d))
+
+
+# ---- customer economics ----
+@query("first_orders")
+def q_first_orders(spark, d):
+    return customer.first_orders(model(spark, d).orders)
+
+
+@query("customer_orders_90d")
+def q_customer_orders_90d(spark, d):
+    return customer.customer_orders_90d(model(spark, d).orders)
+
+
+@query("customer_90d")
+def q_customer_90d(spark, d):
+    return customer.customer_90d(model(spark, d).orders)
+
+
+@query("cohort_profitability_90d")
+def q_cohort_profitability_90d(spark, d):
+    return customer.cohort_profitability_90d(model(spark, d).orders)
+
+
+@query("customer_lifetime")
+def q_customer_lifetime(spark, d):
+    m = model(spark, d)
+    return customer.customer_lifetime(m.customers, m.orders)
+
+
+# ---- staging models over text extracts, funnel, metric layer ----
+@query("stg_customers")
+def q_stg_customers(spark, d):
+    return staging.stg_customers(staging.as_text(model(spark, d).customers))
+
+
+@query("stg_orders")
+def q_stg_orders(spark, d):
+    return staging.stg_orders(staging.as_text(model(spark, d).orders))
+
+
+@query("stg_prospects")
+def q_stg_prospects(spark, d):
+    return staging.stg_prospects(staging.as_text(model(spark, d).prospects))
+
+
+@query("channel_funnel")
+def q_channel_funnel(spark, d):
+    return staging.channel_funnel(q_stg_prospects(spark, d), q_stg_orders(spark, d))
+
+
+@query("metric_layer")
+def q_metric_layer(spark, d):
+    m = model(spark, d)
+    return metrics.metric_layer(m.prospects, m.orders, m.deliveries)
+
+
+# ---- order economics ----
+@query("order_economics")
+def q_order_economics(spark, d):
+    return economics.order_economics(model(spark, d).orders)
+
+
+@query("treatment_discount")
+def q_treatment_discount(spark, d):
+    m = model(spark, d)
+    return economics.treatment_discount(m.orders, m.experiment_assignments)
+
+
+@query("delivery_service")
+def q_delivery_service(spark, d):
+    m = model(spark, d)
+    return economics.delivery_service(m.deliveries, m.orders)
+
+
+@query("marketing_spend")
+def q_marketing_spend(spark, d):
+    s = model(spark, d).marketing_spend
+    return s.select("month", "market", "channel", s.spend.cast("double").alias("spend"))
+
+
+# ---- data quality ----
+def _tables(spark, d):
+    m = model(spark, d)
+    return {name: m.table(name) for name in schemas.TABLES}
+
+
+@query("dq_unique_keys")
+def q_dq_unique_keys(spark, d):
+    return quality.unique_keys(_tables(spark, d))
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, d):
+    return quality.not_null(_tables(spark, d))
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, d):
+    return quality.accepted_values(_tables(spark, d))
+
+
+@query("dq_ranges")
+def q_dq_ranges(spark, d):
+    return quality.ranges(_tables(spark, d))
+
+
+@query("dq_orphans")
+def q_dq_orphans(spark, d):
+    return quality.orphans(_tables(spark, d))
+
+
+@query("dq_reconciliation")
+def q_dq_reconciliation(spark, d):
+    m = model(spark, d)
+    return quality.reconciliation(m.orders, marts.channel_profitability(m.prospects, m.orders))
+
+
+@query("dq_experiment_health")
+def q_dq_experiment_health(spark, d):
+    m = model(spark, d)
+    return quality.experiment_health(m.prospects, marts.experiment(m.experiment_assignments, m.prospects, m.orders))
+
+
+@query("dq_report")
+def q_dq_report(spark, d):
+    m = model(spark, d)
+    tables = {name: m.table(name) for name in schemas.TABLES}
+    return quality.report(tables, marts.channel_profitability(m.prospects, m.orders),
+                          marts.experiment(m.experiment_assignments, m.prospects, m.orders))
+
+
+# ---- CSV round trip: typed load by column name ----
+def _csv_roundtrip(spark, d, table: str):
+    df = model(spark, d).table(table)
+    # Columns written in reverse order plus an extra column: the loader must bind by name.
+    shuffled = df.select(F.lit("x").alias("unused_extra"), *reversed(df.columns))
+    path = f"{scratch_dir(spark)}/extracts/{table}-{uuid.uuid4().hex}"
+    csv.write_csv_extract(shuffled, path)
+    return csv.load_typed_csv(spark, path, table)
+
+
+@query("load_prospects")
+def q_load_prospects(spark, d):
+    return _csv_roundtrip(spark, d, "dim_prospect")
+
+
+@query("load_orders")
+def q_load_orders(spark, d):
+    loaded = _csv_roundtrip(spark, d, "fct_orders")
+    money_cols = [f.name for f in schemas.TABLES["fct_orders"].fields if str(f.dataType).startswith("Decimal")]
+    return loaded.select(*[F.col(c).cast("double").alias(c) if c in money_cols else F.col(c)
+                           for c in loaded.columns])
