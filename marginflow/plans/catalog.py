@@ -19,6 +19,7 @@ from ..operators import analysis, customer, economics, marts, metrics, quality,
 from ..session import scratch_dir
 from ..sources import csv
 from ..sources.adapter import CommerceModel
+from .warehouse import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,8 +32,16 @@ def query(name: str):
     return register
 
 
-def model(spark: SparkSession, data_dir: str) -> CommerceModel:
-    return CommerceModel(spark, data_dir)
+def model(spark: SparkSession, data_dir: str):
+    """Commerce tables for a query.
+
+    Default: the warehouse built once per session and data directory (``warehouse.py``).
+    With ``spark.conf marginflow.model=lazy`` the tables are derived inside each query's
+    own plan instead (one plan from the raw tables, used to inspect end-to-end plans).
+    """
+    if spark.conf.get("marginflow.model", "warehouse") == "lazy":
+        return CommerceModel(spark, data_dir)
+    return warehouse(spark, data_dir)
 
 
 # ---- marts ----

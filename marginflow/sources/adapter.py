@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY
+from ..operators import economics
 from .tables import read_table
 
 # Mapping of the driver tables onto the commerce model.
@@ -57,11 +58,8 @@ DELIVERY_BASE_BY_MARKET = {"LV": "4.1", "LT": "4.8", "EE": "5.4"}
 COST_FACTOR_BY_CARRIER = {"BalticPost": "0.95", "FastShip": "1.15", "EconomyBox": "0.82"}
 ACQUISITION_COST_BY_CHANNEL = {"Paid Search": "18", "Paid Social": "23", "Organic Search": "5",
                                "CRM": "4", "Affiliate": "15"}
-REPEAT_MARKETING_SHARE = "0.03"
-PAYMENT_RATE, PAYMENT_FIXED = "0.018", "0.20"
 PRODUCT_COST_SHARE = "0.70"
 FULFILLMENT_COST = "2.10"
-PROMISE_DAYS = 3
 CONTROL_HASH_MULT, CONTROL_HASH_ADD, CONTROL_BELOW = 7919, 17, 505
 CHANNEL_BY_EVENT_TYPE = {"click": "Paid Search", "error": "Paid Social", "purchase": "Organic Search",
                          "signup": "CRM", "view": "Affiliate"}
@@ -97,6 +95,9 @@ class CommerceModel:
 
     spark: SparkSession
     data_dir: str
+    # When set, the order-level frame (orders in the window joined with their line totals)
+    # is read from this already-written table instead of being derived from ``lineitem``.
+    staged_window_orders: DataFrame | None = None
 
     def _read(self, name: str, columns: list[str]) -> DataFrame:
         return read_table(self.spark, self.data_dir, name, columns)
@@ -121,17 +122,24 @@ class CommerceModel:
     # ---- order lines aggregated per order ----
     @cached_property
     def order_lines(self) -> DataFrame:
+        """Per order: line totals in exact integer units, return flags, supplier and ship date.
+
+        Prices carry at most two decimals and discounts are whole percents, so cents and
+        cent-percents are exact ``bigint`` values; summing them per line is plain long
+        arithmetic inside generated code (no per-row decimal objects).  Conversion to
+        ``decimal(18,2)`` happens once per order.
+        """
         li = self._read("lineitem", ["l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice",
                                      "l_discount", "l_returnflag", "l_shipdate"])
-        price = F.col("l_extendedprice").cast(MONEY)
-        disc = F.col("l_discount").cast(MONEY)
+        cents = F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")
+        pct = F.round(F.col("l_discount") * F.lit(100.0)).cast("bigint")
         returned = F.col("l_returnflag") == F.lit("R")
         late_return = returned & (F.col("l_linenumber") >= 5)
         return li.groupBy("l_orderkey").agg(
-            F.sum(price).alias("price_sum"),
-            F.sum(price * disc).alias("discount_sum"),
+            F.sum(cents).alias("price_cents"),                                   # 1e-2
+            F.sum(cents * pct).alias("discount_units"),                          # 1e-4
             F.bool_and(returned).alias("all_returned"),
-            F.sum(F.when(late_return, price * (F.lit(1) - disc)).otherwise(F.lit(0))).alias("refund_lines"),
+            F.sum(F.when(late_return, cents * (F.lit(100) - pct)).otherwise(F.lit(0))).alias("refund_units"),
             F.min("l_suppkey").alias("min_suppkey"),
             F.max("l_shipdate").alias("last_ship"),
         )
@@ -139,13 +147,15 @@ class CommerceModel:
     # ---- window orders with their line totals ----
     @cached_property
     def window_orders(self) -> DataFrame:
+        if self.staged_window_orders is not None:
+            return self.staged_window_orders
         o = self._read("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
         o = o.where(F.col("o_orderdate") >= _ts_literal(o, "o_orderdate", f"{WINDOW_START} 00:00:00"))
         lines = self.order_lines
         w = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
         return w.select(
-            "o_orderkey", "o_custkey", "o_orderpriority", "price_sum", "discount_sum", "all_returned",
-            "refund_lines", "min_suppkey",
+            "o_orderkey", "o_custkey", "o_orderpriority", "price_cents", "discount_units", "all_returned",
+            "refund_units", "min_suppkey",
             keyed("O", F.col("o_orderkey")).alias("order_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("last_ship").cast("date").alias("last_ship_date"),
@@ -206,37 +216,37 @@ class CommerceModel:
         def cents(x: Column) -> Column:
             return F.round(x, 2).cast(MONEY)
 
-        thousandth = dec("0.001")
-        gross = cents(F.col("price_sum").cast("decimal(28,2)") * thousandth)
-        # Bounded precision before scaling keeps the product exact (no decimal(38,6) truncation).
-        discount = cents(F.col("discount_sum").cast("decimal(28,4)") * thousandth)
+        def scaled(units: str, scale: str) -> Column:
+            # integer units -> currency, in thousandths of the source price, rounded to cents
+            return cents(F.col(units).cast("decimal(20,0)") * dec(scale))
+
+        # Column expressions are composed in Python and projected once; Catalyst collapses
+        # the projection and shares common subexpressions.
+        gross = scaled("price_cents", "0.00001")
+        discount = scaled("discount_units", "0.0000001")
+        refunded = F.col("all_returned")
+        refund = F.when(refunded, gross - discount).otherwise(scaled("refund_units", "0.0000001")).cast(MONEY)
         carrier = F.element_at(F.array(*[F.lit(v) for v in CARRIER_BY_SUPPKEY_MOD3]),
                                (F.pmod(F.col("min_suppkey"), F.lit(3)) + 1).cast("int"))
         acq_cost = lookup(ACQUISITION_COST_BY_CHANNEL, F.col("acquisition_channel")).cast(MONEY)
-        staged = j.select(
-            "order_id", "o_custkey", "order_date", "market", "acquisition_channel", "all_returned",
-            "refund_lines", "last_ship_date", "o_orderpriority",
-            gross.alias("gross_revenue"), discount.alias("discount_amount"), carrier.alias("carrier"),
-            F.when(F.col("order_id") == F.col("first_order_id"), acq_cost)
-             .otherwise(cents(acq_cost * dec(REPEAT_MARKETING_SHARE))).alias("attributed_marketing_cost"),
-        )
         delivery_cost = cents(lookup(DELIVERY_BASE_BY_MARKET, F.col("market")).cast("decimal(2,1)")
-                              * lookup(COST_FACTOR_BY_CARRIER, F.col("carrier")).cast("decimal(3,2)"))
-        staged = staged.select(
-            "*",
-            F.when(F.col("all_returned"), "refunded").otherwise("completed").alias("order_status"),
-            F.when(F.col("all_returned"), F.col("gross_revenue") - F.col("discount_amount"))
-             .otherwise(cents(F.col("refund_lines").cast("decimal(28,4)") * thousandth)).cast(MONEY).alias("refund_amount"),
-            cents(F.col("gross_revenue") * dec(PRODUCT_COST_SHARE)).alias("product_cost"),
-            delivery_cost.alias("delivery_cost"),
-            cents(F.col("gross_revenue") * dec(PAYMENT_RATE) + dec(PAYMENT_FIXED)).alias("payment_cost"),
-            dec(FULFILLMENT_COST).cast(MONEY).alias("fulfillment_cost"),
+                              * lookup(COST_FACTOR_BY_CARRIER, carrier).cast("decimal(3,2)"))
+        product_cost = cents(gross * dec(PRODUCT_COST_SHARE))
+        payment = economics.payment_cost(gross)
+        fulfillment = dec(FULFILLMENT_COST).cast(MONEY)
+        marketing = economics.attributed_marketing(acq_cost, F.col("order_id") == F.col("first_order_id"))
+        net = economics.net_revenue(gross, discount, refund)
+        margin = economics.contribution_margin(net, product_cost, delivery_cost, payment, fulfillment, marketing)
+        return j.select(
+            "order_id", "o_custkey", "order_date", "market", "acquisition_channel", "last_ship_date",
+            "o_orderpriority",
+            F.when(refunded, "refunded").otherwise("completed").alias("order_status"),
+            gross.alias("gross_revenue"), discount.alias("discount_amount"), refund.alias("refund_amount"),
+            product_cost.alias("product_cost"), delivery_cost.alias("delivery_cost"),
+            payment.alias("payment_cost"), fulfillment.alias("fulfillment_cost"),
+            marketing.alias("attributed_marketing_cost"), net.alias("net_revenue"),
+            margin.alias("contribution_margin"), carrier.alias("carrier"),
         )
-        net = (F.col("gross_revenue") - F.col("discount_amount") - F.col("refund_amount")).cast(MONEY)
-        staged = staged.select("*", net.alias("net_revenue"))
-        margin = (F.col("net_revenue") - F.col("product_cost") - F.col("delivery_cost") - F.col("payment_cost")
-                  - F.col("fulfillment_cost") - F.col("attributed_marketing_cost")).cast(MONEY)
-        return staged.select("*", margin.alias("contribution_margin"))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -255,11 +265,11 @@ class CommerceModel:
     @cached_property
     def deliveries(self) -> DataFrame:
         o = self._order_frame
-        promised = F.date_add(F.col("order_date"), PROMISE_DAYS)
+        promised = economics.promised_date(F.col("order_date"))
         return o.select(
             "order_id", "carrier", promised.alias("promised_date"),
             F.col("last_ship_date").alias("delivered_date"),
-            F.when(F.col("last_ship_date") <= promised, 1).otherwise(0).cast("int").alias("on_time"),
+            economics.on_time(F.col("last_ship_date"), promised).alias("on_time"),
             "delivery_cost",
         )
 

@@ -7,7 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Read ``<data_dir>/<name>.parquet``; selecting columns here keeps ReadSchema narrow."""
-    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    """Read ``<data_dir>/<name>.parquet``; selecting columns here keeps ReadSchema narrow.
+
+    The relation (file listing and footer schema) is resolved once per session and path and
+    reused by every query that reads the table; the data itself is read by each query.
+    """
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
     return df.select(*columns) if columns else df
