@@ -44,20 +44,19 @@ def unique_keys(tables: Tables) -> DataFrame:
     return _union(frames)
 
 
-def _single_pass(tables: Tables, kind: str) -> DataFrame:
-    """Not-null / accepted-values / range checks, one aggregation per table."""
+def _table_checks(tables: Tables, kinds: tuple[str, ...]) -> dict[str, list[tuple[str, str, Column]]]:
     specs: dict[str, list[tuple[str, str, Column]]] = {}
-    if kind == "not_null":
+    if "not_null" in kinds:
         for table in schemas.TABLES:
             if table in tables:
                 for column in schemas.not_null_columns(table):
                     specs.setdefault(table, []).append(("not_null", column, F.col(column).isNull()))
-    elif kind == "accepted_values":
+    if "accepted_values" in kinds:
         for table, column, values in schemas.ACCEPTED_VALUES:
             if table in tables:
                 bad = F.col(column).isNotNull() & ~F.col(column).isin(*values)
                 specs.setdefault(table, []).append(("accepted_values", column, bad))
-    elif kind == "range":
+    if "range" in kinds:
         for table, column, low, high in schemas.RANGES:
             if table in tables:
                 c = F.col(column)
@@ -67,8 +66,13 @@ def _single_pass(tables: Tables, kind: str) -> DataFrame:
                 if high is not None:
                     bad = bad | (c > high)
                 specs.setdefault(table, []).append(("range", column, c.isNotNull() & bad))
+    return specs
+
+
+def _single_pass(tables: Tables, kinds: tuple[str, ...]) -> DataFrame:
+    """Not-null / accepted-values / range checks: one aggregation pass per table for all kinds."""
     frames = []
-    for table, checks in specs.items():
+    for table, checks in _table_checks(tables, kinds).items():
         agg = tables[table].agg(*[F.sum(cond.cast("int")).alias(f"_v{i}") for i, (_, _, cond) in enumerate(checks)])
         rows = F.array(*[
             F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"),
@@ -79,15 +83,15 @@ def _single_pass(tables: Tables, kind: str) -> DataFrame:
 
 
 def not_null(tables: Tables) -> DataFrame:
-    return _single_pass(tables, "not_null")
+    return _single_pass(tables, ("not_null",))
 
 
 def accepted_values(tables: Tables) -> DataFrame:
-    return _single_pass(tables, "accepted_values")
+    return _single_pass(tables, ("accepted_values",))
 
 
 def ranges(tables: Tables) -> DataFrame:
-    return _single_pass(tables, "range")
+    return _single_pass(tables, ("range",))
 
 
 def orphans(tables: Tables) -> DataFrame:
@@ -129,7 +133,7 @@ def experiment_health(prospects: DataFrame, experiment_mart: DataFrame) -> DataF
 def report(tables: Tables, channel_mart: DataFrame, experiment_mart: DataFrame) -> DataFrame:
     """Every check, one row each."""
     return _union([
-        unique_keys(tables), not_null(tables), accepted_values(tables), ranges(tables), orphans(tables),
+        unique_keys(tables), _single_pass(tables, ("not_null", "accepted_values", "range")), orphans(tables),
         reconciliation(tables["fct_orders"], channel_mart),
         experiment_health(tables["dim_prospect"], experiment_mart),
     ])

@@ -2,11 +2,13 @@
 
 The build runs once per session and data directory:
 
-1. the order-level frame (orders in the window joined with their aggregated lines) is
-   written to the shared scratch folder - ``lineitem``, the largest input, is scanned and
-   shuffled exactly once, and the written table cuts the lineage, so a lost executor never
-   sends a mart back to ``lineitem``;
-2. the six commerce tables are derived from that frame and written as Parquet (full
+1. window orders joined with their aggregated lines are written to the shared scratch
+   folder - ``lineitem``, the largest input, is scanned and shuffled exactly once, and the
+   written table cuts the lineage, so a lost executor never sends a mart back to
+   ``lineitem``; from it the order-level frame (customer attributes, first-order flag,
+   all amounts) is joined once and written too;
+2. the six commerce tables are projections of that frame (customers are its first-order
+   rows; prospects join it to the customer attributes) and are written as Parquet (full
    refresh, dimensions first).
 
 Marts then read the written tables (narrow, column-pruned scans of order-level data).
@@ -77,9 +79,14 @@ def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = No
     """Run the ETL for ``data_dir`` and return the model over the written tables."""
     root = out_dir or f"{scratch_dir(spark)}/warehouse/{_slug(data_dir)}-{uuid.uuid4().hex[:12]}"
     lazy = CommerceModel(spark, data_dir)
-    stage_path = f"{root}/_stage/window_orders"
-    lazy.window_orders.write.mode("overwrite").parquet(stage_path)
-    staged = CommerceModel(spark, data_dir, staged_window_orders=spark.read.parquet(stage_path))
+    # Stage 1: the single pass over lineitem (aggregated per order, joined to window orders).
+    window_path = f"{root}/_stage/window_orders"
+    lazy.window_orders.write.mode("overwrite").parquet(window_path)
+    windowed = CommerceModel(spark, data_dir, staged_window_orders=spark.read.parquet(window_path))
+    # Stage 2: customer attributes, first-order flag and amounts, joined once.
+    frame_path = f"{root}/_stage/order_frame"
+    windowed._order_frame.write.mode("overwrite").parquet(frame_path)
+    staged = CommerceModel(spark, data_dir, staged_order_frame=spark.read.parquet(frame_path))
     paths = {}
     for name in schemas.LOAD_ORDER:  # dimensions before facts
         path = f"{root}/{name}"

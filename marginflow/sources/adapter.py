@@ -95,8 +95,12 @@ class CommerceModel:
 
     spark: SparkSession
     data_dir: str
-    # When set, the order-level frame (orders in the window joined with their line totals)
-    # is read from this already-written table instead of being derived from ``lineitem``.
+    # When set, the order-level frame (window orders with line totals, customer attributes,
+    # first-order flag and amounts) is read from this already-written table; all six tables
+    # are then projections of it and ``lineitem`` is not read again.
+    staged_order_frame: DataFrame | None = None
+    # When set, window orders (orders joined with their aggregated lines) come from this
+    # already-written table: the only pass over ``lineitem``.
     staged_window_orders: DataFrame | None = None
 
     def _read(self, name: str, columns: list[str]) -> DataFrame:
@@ -173,7 +177,10 @@ class CommerceModel:
     @cached_property
     def prospects(self) -> DataFrame:
         a = self.customer_attributes
-        f = self.first_orders_in_window.select("o_custkey", F.lit(1).alias("_has_order"))
+        if self.staged_order_frame is not None:
+            f = self._first_rows.select("o_custkey", F.lit(1).alias("_has_order"))
+        else:
+            f = self.first_orders_in_window.select("o_custkey", F.lit(1).alias("_has_order"))
         j = a.join(f, a.c_custkey == f.o_custkey, "left")
         return j.select(
             keyed("P", F.col("c_custkey")).alias("prospect_id"), "market", "acquisition_channel",
@@ -184,6 +191,12 @@ class CommerceModel:
 
     @cached_property
     def customers(self) -> DataFrame:
+        if self.staged_order_frame is not None:
+            # One row per converter: its first window order carries the acquisition date.
+            return self._first_rows.select(
+                keyed("C", F.col("o_custkey")).alias("customer_id"),
+                keyed("P", F.col("o_custkey")).alias("prospect_id"),
+                "market", "acquisition_channel", F.col("order_date").alias("acquisition_date"))
         a = self.customer_attributes
         f = self.first_orders_in_window
         j = f.join(a, a.c_custkey == f.o_custkey, "inner")
@@ -204,9 +217,15 @@ class CommerceModel:
             F.lit(WINDOW_START).cast("date").alias("assignment_date"),
         )
 
+    @cached_property
+    def _first_rows(self) -> DataFrame:
+        return self._order_frame.where(F.col("first_in_window") == 1)
+
     @cached_property
     def _order_frame(self) -> DataFrame:
         """Window orders with customer attributes, first-order flag, carrier and all amounts."""
+        if self.staged_order_frame is not None:
+            return self.staged_order_frame
         w = self.window_orders
         a = self.customer_attributes.select("c_custkey", "market", "acquisition_channel")
         f = self.first_orders_in_window.select(F.col("o_custkey").alias("f_custkey"), "first_order_id")
@@ -234,7 +253,8 @@ class CommerceModel:
         product_cost = cents(gross * dec(PRODUCT_COST_SHARE))
         payment = economics.payment_cost(gross)
         fulfillment = dec(FULFILLMENT_COST).cast(MONEY)
-        marketing = economics.attributed_marketing(acq_cost, F.col("order_id") == F.col("first_order_id"))
+        is_first = F.col("order_id") == F.col("first_order_id")
+        marketing = economics.attributed_marketing(acq_cost, is_first)
         net = economics.net_revenue(gross, discount, refund)
         margin = economics.contribution_margin(net, product_cost, delivery_cost, payment, fulfillment, marketing)
         return j.select(
@@ -246,6 +266,7 @@ class CommerceModel:
             payment.alias("payment_cost"), fulfillment.alias("fulfillment_cost"),
             marketing.alias("attributed_marketing_cost"), net.alias("net_revenue"),
             margin.alias("contribution_margin"), carrier.alias("carrier"),
+            is_first.cast("int").alias("first_in_window"),
         )
 
     @cached_property

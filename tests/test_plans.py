@@ -38,3 +38,8 @@ def test_lazy_and_warehouse_models_agree(spark):
     a = sorted(map(tuple, marts.channel_profitability(lazy.prospects, lazy.orders).collect()))
     b = sorted(map(tuple, marts.channel_profitability(wh.prospects, wh.orders).collect()))
     assert a == b
+
+
+def test_etl_stage_scans_lineitem_once(spark):
+    plan = CommerceModel(spark, SMOKE).window_orders._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
