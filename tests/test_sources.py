@@ -68,3 +68,21 @@ def test_full_refresh_round_trip(spark):
         assert [f.name for f in df.schema.fields] == [f.name for f in schemas.TABLES[name].fields]
         assert df.count() == m.table(name).count()
     assert schemas.documented("fct_orders")["net_revenue"].metadata["comment"]
+
+
+def test_pipeline_writes_marts_and_ordered_reports(spark):
+    from conftest import SMOKE
+    from marginflow.plans import pipeline
+
+    out = tempfile.mkdtemp(prefix="mf-run-")
+    paths = pipeline.run(spark, SMOKE, out)
+    assert "cohort_profitability_90d" in paths and "report:experiment" in paths
+    report = paths["report:channel_profitability"]
+    part = [p for p in os.listdir(report) if p.endswith(".csv")][0]
+    with open(os.path.join(report, part), encoding="utf-8") as fh:
+        lines = fh.read().splitlines()
+    assert lines[0].startswith("acquisition_channel,prospects,customers,conversion_rate")
+    margins = [float(line.split(",")[6]) for line in lines[1:]]
+    assert margins == sorted(margins, reverse=True) and len(margins) == 5
+    exp = spark.read.parquet(paths["experiment_stats"])
+    assert {"conversion_p_value", "srm_p_value"} <= set(exp.columns)
