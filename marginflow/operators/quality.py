@@ -44,41 +44,47 @@ def unique_keys(tables: Tables) -> DataFrame:
     return _union(frames)
 
 
-def _table_checks(tables: Tables, kinds: tuple[str, ...]) -> dict[str, list[tuple[str, str, Column]]]:
-    specs: dict[str, list[tuple[str, str, Column]]] = {}
+def _quote(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'" if isinstance(value, str) else repr(value)
+
+
+def _table_checks(tables: Tables, kinds: tuple[str, ...]) -> dict[str, list[tuple[str, str, str]]]:
+    """Per table: (check, column, SQL condition that flags a violating row)."""
+    specs: dict[str, list[tuple[str, str, str]]] = {}
     if "not_null" in kinds:
         for table in schemas.TABLES:
             if table in tables:
                 for column in schemas.not_null_columns(table):
-                    specs.setdefault(table, []).append(("not_null", column, F.col(column).isNull()))
+                    specs.setdefault(table, []).append(("not_null", column, f"`{column}` IS NULL"))
     if "accepted_values" in kinds:
         for table, column, values in schemas.ACCEPTED_VALUES:
             if table in tables:
-                bad = F.col(column).isNotNull() & ~F.col(column).isin(*values)
-                specs.setdefault(table, []).append(("accepted_values", column, bad))
+                allowed = ", ".join(_quote(v) for v in values)
+                specs.setdefault(table, []).append(
+                    ("accepted_values", column, f"`{column}` IS NOT NULL AND `{column}` NOT IN ({allowed})"))
     if "range" in kinds:
         for table, column, low, high in schemas.RANGES:
             if table in tables:
-                c = F.col(column)
-                bad = F.lit(False)
-                if low is not None:
-                    bad = bad | (c < low)
-                if high is not None:
-                    bad = bad | (c > high)
-                specs.setdefault(table, []).append(("range", column, c.isNotNull() & bad))
+                bad = [f"`{column}` < {low}"] if low is not None else []
+                bad += [f"`{column}` > {high}"] if high is not None else []
+                specs.setdefault(table, []).append(
+                    ("range", column, f"`{column}` IS NOT NULL AND ({' OR '.join(bad)})"))
     return specs
 
 
 def _single_pass(tables: Tables, kinds: tuple[str, ...]) -> DataFrame:
-    """Not-null / accepted-values / range checks: one aggregation pass per table for all kinds."""
+    """Not-null / accepted-values / range checks: one aggregation pass per table for all kinds.
+
+    The generated conditions are SQL text, so a table with dozens of checks is one
+    expression per check for the planner (and one round trip from Python).
+    """
     frames = []
     for table, checks in _table_checks(tables, kinds).items():
-        agg = tables[table].agg(*[F.sum(cond.cast("int")).alias(f"_v{i}") for i, (_, _, cond) in enumerate(checks)])
-        rows = F.array(*[
-            F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"),
-                     F.coalesce(F.col(f"_v{i}"), F.lit(0)).cast("bigint").alias("violations"))
-            for i, (check, column, _) in enumerate(checks)])
-        frames.append(agg.select(F.inline(rows)))
+        sums = [f"SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS _v{i}" for i, (_, _, cond) in enumerate(checks)]
+        triples = ", ".join(f"{_quote(check)}, {_quote(table)}, {_quote(column)}, CAST(COALESCE(_v{i}, 0) AS BIGINT)"
+                            for i, (check, column, _) in enumerate(checks))
+        unpivot = f"stack({len(checks)}, {triples}) AS (`check`, `table`, `column`, violations)"
+        frames.append(tables[table].selectExpr(*sums).selectExpr(unpivot))
     return _union(frames)
 
 

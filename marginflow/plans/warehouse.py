@@ -42,9 +42,15 @@ class WarehouseModel:
     spark: SparkSession
     paths: dict[str, str]
 
+    def __post_init__(self):
+        self._relations: dict[str, DataFrame] = {}
+
     def table(self, name: str) -> DataFrame:
-        cols = [f.name for f in schemas.TABLES[name].fields]
-        return self.spark.read.parquet(self.paths[name]).select(*cols)
+        """The written table (relation resolved once; each query reads the files itself)."""
+        if name not in self._relations:
+            cols = [f.name for f in schemas.TABLES[name].fields]
+            self._relations[name] = self.spark.read.parquet(self.paths[name]).select(*cols)
+        return self._relations[name]
 
     @property
     def prospects(self) -> DataFrame:

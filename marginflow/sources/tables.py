@@ -17,7 +17,7 @@ def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str]
     reused by every query that reads the table; the data itself is read by each query.
     """
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     df = _RELATIONS.get(key)
     if df is None:
         df = spark.read.parquet(path)
