@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.labels import threshold_label
 from ..functions.numeric import mean_of, ratio, round_half_up, round_money
 
 
@@ -191,6 +192,6 @@ SCALE_ABOVE, PROTECT_ABOVE = 2, 0
 
 def channel_decision(channel_mart: DataFrame) -> DataFrame:
     """Scale / Protect / Fix label per channel from its margin per prospect."""
-    mpp = F.col("margin_per_prospect")
-    label = (F.when(mpp > SCALE_ABOVE, "Scale").when(mpp > PROTECT_ABOVE, "Protect").otherwise("Fix / Pause"))
+    label = threshold_label(F.col("margin_per_prospect"), [(SCALE_ABOVE, "Scale"), (PROTECT_ABOVE, "Protect")],
+                            "Fix / Pause")
     return channel_mart.select("acquisition_channel", "margin_per_prospect", label.alias("decision"))

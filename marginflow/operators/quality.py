@@ -145,6 +145,29 @@ def report(tables: Tables, channel_mart: DataFrame, experiment_mart: DataFrame)
     ])
 
 
+def schema_violations(tables: Tables) -> list[tuple[str, str, str]]:
+    """Declared-schema check (driver-side, metadata only): (table, column, problem) per mismatch.
+
+    A missing column, an unexpected type or a nullable column declared NOT NULL is reported;
+    extra columns are allowed (the typed load ignores them too).
+    """
+    problems = []
+    for table, df in tables.items():
+        actual = {f.name: f for f in df.schema.fields}
+        for f in schemas.TABLES[table].fields:
+            got = actual.get(f.name)
+            if got is None:
+                problems.append((table, f.name, "missing"))
+            elif got.dataType != f.dataType:
+                problems.append((table, f.name, f"type {got.dataType.simpleString()} != {f.dataType.simpleString()}"))
+    return problems
+
+
+def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
+    """Required output columns absent from ``df`` (metadata only)."""
+    return [c for c in required if c not in df.columns]
+
+
 class QualityError(AssertionError):
     pass
 

@@ -65,3 +65,21 @@ def test_report_and_assert(spark):
         assert "unique dim_prospect.prospect_id=1" in str(exc)
     else:
         raise AssertionError("expected a quality error")
+
+
+def test_schema_and_required_columns(spark):
+    from marginflow.plans.warehouse import warehouse
+    from conftest import SMOKE
+
+    wh = warehouse(spark, SMOKE)
+    tables = {name: wh.table(name) for name in ("dim_prospect", "fct_orders", "fct_deliveries")}
+    assert quality.schema_violations(tables) == []
+    bad = {"fct_orders": wh.orders.withColumn("gross_revenue", wh.orders.gross_revenue.cast("double"))
+           .drop("order_id")}
+    problems = quality.schema_violations(bad)
+    assert ("fct_orders", "order_id", "missing") in problems
+    assert any(c == "gross_revenue" and p.startswith("type double") for _, c, p in problems)
+    from marginflow.operators import stats
+    exp = stats.experiment_statistics(marts.experiment(wh.experiment_assignments, wh.prospects, wh.orders))
+    assert quality.missing_columns(exp, ["conversion_p_value", "srm_p_value"]) == []
+    assert quality.missing_columns(exp, ["nope"]) == ["nope"]

@@ -37,3 +37,30 @@ def test_exact_median_matches_percentile(spark):
     ref = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median(F.col("v").cast("double")).alias("m")).collect()}
     assert ours.keys() == ref.keys()
     assert all(abs(ours[k] - ref[k]) < 1e-9 for k in ours)
+
+
+def test_purchase_number_with_hot_customer(spark):
+    import datetime as dt
+
+    from frames import orders
+    from marginflow.operators import customer
+
+    rows = []
+    n = 0
+    for i in range(600):  # C0 holds a third of all orders, many on the same days
+        n += 1
+        rows.append((f"O{n:05d}", "C0", "P0", dt.date(2025, 1, 1) + dt.timedelta(days=i % 120), "LV", "CRM",
+                     "completed", 1, 1))
+    for c in range(1, 400):
+        for k in range(3):
+            n += 1
+            rows.append((f"O{n:05d}", f"C{c}", f"P{c}", dt.date(2025, 1, 1) + dt.timedelta(days=7 * k + c % 5),
+                         "EE", "CRM", "completed", 1, 1))
+    o = orders(spark, rows)
+    got = customer.customer_orders_90d(o).select("order_id", "purchase_number")
+    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    first = o.groupBy("customer_id").agg(F.min("order_date").alias("acq"))
+    ref = (o.join(first, "customer_id").where(F.col("order_date") < F.date_add("acq", 90))
+           .select("order_id", F.row_number().over(w).alias("purchase_number")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    assert got.count() == 450 + 399 * 3
