@@ -29,6 +29,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import MONEY
 from ..operators import economics
@@ -85,8 +86,26 @@ def keyed(prefix: str, key: Column) -> Column:
 
 
 def _ts_literal(df: DataFrame, column: str, text: str) -> Column:
-    """A constant of the column's own timestamp type, so the comparison is pushed to the scan."""
-    return F.lit(text).cast(df.schema[column].dataType)
+    """A constant of the column's own timestamp type, so the comparison is pushed to the scan.
+
+    The source timestamps are wall-clock values (not adjusted to UTC).  Read as
+    ``timestamp_ntz`` they compare with a plain literal; read as session-zone ``timestamp``
+    (``inferTimestampNTZ`` off) their instants are the wall clock taken as UTC, so the literal
+    is pinned to UTC as well, whatever the session time zone.
+    """
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(text).cast(dtype)
+    return F.lit(f"{text}Z").cast(dtype)
+
+
+def wall_date(df: DataFrame, column: str) -> Column:
+    """Calendar date of a wall-clock timestamp column, independent of the session time zone."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.TimestampType):
+        days = F.floor(F.unix_micros(F.col(column)) / F.lit(86_400_000_000))
+        return F.date_from_unix_date(days.cast("int"))
+    return F.col(column).cast("date")
 
 
 @dataclass
@@ -161,8 +180,8 @@ class CommerceModel:
             "o_orderkey", "o_custkey", "o_orderpriority", "price_cents", "discount_units", "all_returned",
             "refund_units", "min_suppkey",
             keyed("O", F.col("o_orderkey")).alias("order_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("last_ship").cast("date").alias("last_ship_date"),
+            wall_date(w, "o_orderdate").alias("order_date"),
+            wall_date(w, "last_ship").alias("last_ship_date"),
         )
 
     @cached_property
@@ -298,7 +317,7 @@ class CommerceModel:
     def marketing_spend(self) -> DataFrame:
         e = self._read("events", ["ts", "user_id", "event_type", "value"])
         keyed_events = e.select(
-            F.trunc(F.col("ts").cast("date"), "month").alias("month"),
+            F.trunc(wall_date(e, "ts"), "month").alias("month"),
             F.element_at(F.array(*[F.lit(v) for v in MARKET_BY_USER_MOD3]),
                          (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int")).alias("market"),
             lookup(CHANNEL_BY_EVENT_TYPE, F.col("event_type")).alias("channel"),

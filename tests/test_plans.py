@@ -43,3 +43,22 @@ def test_lazy_and_warehouse_models_agree(spark):
 def test_etl_stage_scans_lineitem_once(spark):
     plan = CommerceModel(spark, SMOKE).window_orders._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1
+
+
+def test_dates_independent_of_session_zone_and_timestamp_mode(spark):
+    from marginflow.operators import marts
+
+    base = sorted(map(tuple, marts.channel_profitability(*_model_tables(CommerceModel(spark, SMOKE))).collect()))
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    other.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    m = CommerceModel(other, SMOKE)
+    assert dict(other.read.parquet(f"{SMOKE}/orders.parquet").dtypes)["o_orderdate"] == "timestamp"
+    shifted = sorted(map(tuple, marts.channel_profitability(*_model_tables(m)).collect()))
+    assert shifted == base
+    months = {r[0] for r in m.marketing_spend.select("month").collect()}
+    assert len(months) == 1
+
+
+def _model_tables(m):
+    return m.prospects, m.orders
