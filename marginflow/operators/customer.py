@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, round_money
 from .ranking import exact_median, sequence_within
+from .skew import hot_keys, salted_join
 
 WINDOW_DAYS = 90
 COMPLETED = "completed"
@@ -36,13 +37,16 @@ def first_orders(orders: DataFrame, with_first_order_id: bool = False) -> DataFr
 
 
 def _orders_in_window(orders: DataFrame, with_first_order_id: bool = False) -> DataFrame:
-    f = first_orders(orders, with_first_order_id)
-    o = orders.where(F.col("order_status") == COMPLETED).select(
-        "customer_id", "order_id", "order_date", "market", "acquisition_channel", "net_revenue",
-        "contribution_margin")
-    # One row per customer on the right: a customer with many orders is a skewed key on the
-    # left only, which AQE's skew-join handling splits.
-    j = o.join(f, "customer_id")
+    completed = orders.where(F.col("order_status") == COMPLETED)
+    g = completed.groupBy("customer_id").agg(
+        F.min(F.struct("order_date", "order_id")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    f = g.select("customer_id", F.col("_first.order_date").alias("acquisition_date"),
+                 *([F.col("_first.order_id").alias("first_order_id")] if with_first_order_id else []))
+    o = completed.select("customer_id", "order_id", "order_date", "market", "acquisition_channel",
+                         "net_revenue", "contribution_margin")
+    # One row per customer on the right; a customer with a large share of the orders is
+    # spread over several tasks (hot keys from the same per-customer aggregate).
+    j = salted_join(o, f, "customer_id", hot_keys(g, "customer_id", "_n"), "inner", spread_by="order_id")
     return j.where(F.col("order_date") < F.date_add(F.col("acquisition_date"), WINDOW_DAYS))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY
+from .skew import hot_keys, salted_join
 
 # Order-economics constants.
 PAYMENT_RATE, PAYMENT_FIXED = "0.018", "0.20"
@@ -94,7 +95,9 @@ def treatment_discount(orders: DataFrame, assignments: DataFrame) -> DataFrame:
     """Discount after the treatment floor: ``greatest(discount, floor)`` per order."""
     o = orders.select("order_id", "prospect_id", "gross_revenue", "discount_amount")
     a = assignments.select("prospect_id", "treatment")
-    j = o.join(a, "prospect_id", "left")
+    per_prospect = o.groupBy("prospect_id").agg(F.count(F.lit(1)).alias("_n"))
+    # A prospect with a large share of the orders is spread over several tasks.
+    j = salted_join(o, a, "prospect_id", hot_keys(per_prospect, "prospect_id", "_n"), "left", spread_by="order_id")
     floor = treatment_discount_floor(F.col("treatment"), F.col("gross_revenue"))
     return j.select(
         "order_id", "treatment",

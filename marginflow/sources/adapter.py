@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import MONEY
 from ..operators import economics
+from ..operators.skew import hot_keys, salted_join
 from .tables import read_table
 
 # Mapping of the driver tables onto the commerce model.
@@ -188,9 +189,9 @@ class CommerceModel:
     def first_orders_in_window(self) -> DataFrame:
         """Per customer: first window order (by date, then order id) and its date."""
         first = self.window_orders.groupBy("o_custkey").agg(
-            F.min(F.struct("order_date", "order_id")).alias("first"))
+            F.min(F.struct("order_date", "order_id")).alias("first"), F.count(F.lit(1)).alias("window_orders"))
         return first.select("o_custkey", F.col("first.order_date").alias("acquisition_date"),
-                            F.col("first.order_id").alias("first_order_id"))
+                            F.col("first.order_id").alias("first_order_id"), "window_orders")
 
     # ---- the six commerce tables ----
     @cached_property
@@ -247,9 +248,15 @@ class CommerceModel:
             return self.staged_order_frame
         w = self.window_orders
         a = self.customer_attributes.select("c_custkey", "market", "acquisition_channel")
-        f = self.first_orders_in_window.select(F.col("o_custkey").alias("f_custkey"), "first_order_id")
-        j = (w.join(a, w.o_custkey == a.c_custkey, "inner")
-              .join(f, w.o_custkey == f.f_custkey, "inner"))
+        first = self.first_orders_in_window
+        f = first.select(F.col("o_custkey").alias("f_custkey"), "first_order_id")
+        # Both per-customer tables have one row per key: join them first, then make a single
+        # join against the orders.  A customer with a large share of the orders is spread over
+        # several tasks by a salted join (hot keys found from the per-customer order counts).
+        per_customer = a.join(f, a.c_custkey == f.f_custkey, "inner").select(
+            F.col("c_custkey").alias("o_custkey"), "market", "acquisition_channel", "first_order_id")
+        hot = hot_keys(first, "o_custkey", "window_orders")
+        j = salted_join(w, per_customer, "o_custkey", hot, "inner", spread_by="o_orderkey")
 
         def cents(x: Column) -> Column:
             return F.round(x, 2).cast(MONEY)
