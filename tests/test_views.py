@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 from conftest import SMOKE
 from marginflow.functions.labels import surrogate_key, threshold_label
 from marginflow.operators import analysis, marts
-from marginflow.plans.views import PORTFOLIO_SQL, register_views
+from marginflow.plans.views import ANALYST_SQL, register_views
 from marginflow.plans.warehouse import warehouse
 
 
-def test_portfolio_sql_matches_operators(spark):
+def test_analyst_sql_matches_operators(spark):
     wh = warehouse(spark, SMOKE)
     register_views(spark, wh, prefix="")
     channel = marts.channel_profitability(wh.prospects, wh.orders)
@@ -20,7 +20,7 @@ def test_portfolio_sql_matches_operators(spark):
         "carrier_tradeoff": analysis.carrier_tradeoff(logistics),
         "experiment_itt": analysis.experiment_itt(experiment),
     }
-    for name, sql in PORTFOLIO_SQL.items():
+    for name, sql in ANALYST_SQL.items():
         got = spark.sql(sql)
         cols = expected[name].columns
         a = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got.select(*cols).collect())
