@@ -7,8 +7,8 @@
 2. compute the quality report and, with ``strict=True``, stop on any violation;
 3. write every mart as Parquet (``<out>/marts/<name>``) - marts read by several reports
    (channel, logistics, experiment) are materialised first and reused;
-4. write the four decision marts as single ordered CSV files with a header
-   (``<out>/reports/<name>``), ordered as the published reports are.
+4. write the four decision marts, the carrier summary and the cohort table as single ordered
+   CSV files with a header (``<out>/reports/<name>``), ordered as the published reports are.
 
 Returns the output paths.  All work is Spark jobs; the driver only sequences them.
 """
@@ -29,6 +29,8 @@ REPORT_ORDER = {
     "market_profitability": [F.col("contribution_margin").desc()],
     "logistics": ["carrier", "market"],
     "experiment": ["treatment"],
+    "carrier_summary": [F.col("on_time_rate").desc()],
+    "cohort_profitability_90d": ["acquisition_month", "market", "acquisition_channel"],
 }
 
 
@@ -70,10 +72,12 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False)
         "customer_lifetime": customer.customer_lifetime(c, o),
         "metric_layer": metrics.metric_layer(p, o, d),
     }
-    for name, df in derived.items():
-        keep(name, df)
+    kept = {name: keep(name, df) for name, df in derived.items()}
+    # Small marts only: one row per channel / market / carrier x market / arm / carrier, and
+    # per month x market x channel for the cohorts.
     reports = {"channel_profitability": channel, "market_profitability": market, "logistics": logistics,
-               "experiment": experiment_stats}
+               "experiment": experiment_stats, "carrier_summary": kept["carrier_summary"],
+               "cohort_profitability_90d": kept["cohort_profitability_90d"]}
     for name, df in reports.items():
         path = f"{out}/reports/{name}"
         sinks.write_report_csv(df, path, REPORT_ORDER[name])

@@ -23,6 +23,26 @@ DEFAULT_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input volume and cluster size.
+
+    About 256 MB per post-shuffle partition (fits an executor task's memory share without
+    spilling on the order-level shuffles), at least two tasks per core; scans split at the
+    same size.  AQE coalesces partitions that turn out small and splits skewed ones.
+    Example: 100 TB on 1000 executors x 8 cores -> 409,600 shuffle partitions.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "marginflow", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine defaults.

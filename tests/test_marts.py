@@ -142,3 +142,9 @@ def test_economics_rules(spark):
     assert [x["peak"] for x in r] == [1, 0, 1]
     assert [x["floor"] for x in r] == [4.2, 0.0, 0.0]
     assert r[0]["promised"] == dt.date(2025, 11, 6)
+
+
+def test_order_status_rule(spark):
+    df = spark.createDataFrame([(10.0, 5.0), (10.0, 10.0), (10.0, 0.0)], "gross double, refund double")
+    got = [r[0] for r in df.select(economics.order_status(F.col("refund"), F.col("gross"))).collect()]
+    assert got == ["completed", "refunded", "completed"]

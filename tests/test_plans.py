@@ -62,3 +62,11 @@ def test_dates_independent_of_session_zone_and_timestamp_mode(spark):
 
 def _model_tables(m):
     return m.prospects, m.orders
+
+
+def test_scale_settings():
+    from marginflow.session import scale_settings
+
+    s = scale_settings(100 * 2**40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -86,3 +86,17 @@ def test_pipeline_writes_marts_and_ordered_reports(spark):
     assert margins == sorted(margins, reverse=True) and len(margins) == 5
     exp = spark.read.parquet(paths["experiment_stats"])
     assert {"conversion_p_value", "srm_p_value"} <= set(exp.columns)
+
+
+def test_pipeline_cohort_and_carrier_reports_sorted(spark):
+    from conftest import SMOKE
+    from marginflow.plans import pipeline
+
+    paths = pipeline.run(spark, SMOKE, tempfile.mkdtemp(prefix="mf-run2-"))
+    for name, key in (("cohort_profitability_90d", lambda f: (f[0], f[1], f[2])),
+                      ("carrier_summary", lambda f: -float(f[1]))):
+        d = paths[f"report:{name}"]
+        part = [p for p in os.listdir(d) if p.endswith(".csv")][0]
+        with open(os.path.join(d, part), encoding="utf-8") as fh:
+            rows = [line.split(",") for line in fh.read().splitlines()[1:]]
+        assert rows and rows == sorted(rows, key=key)
