@@ -49,6 +49,15 @@ def mean_of(total: Column, count: Column) -> Column:
     return ratio(total, count)
 
 
+def single_row(df) -> Column:
+    """A one-row DataFrame (a global aggregate) as a struct-valued scalar subquery.
+
+    Spark evaluates it once and uses the value in the outer plan - no join, nothing
+    broadcast but the single row.  Fails at run time if ``df`` does not have exactly one row.
+    """
+    return df.select(F.struct(*df.columns).alias("_row")).scalar()
+
+
 def clamp(col: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(col, F.lit(high)))
 

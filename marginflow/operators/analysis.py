@@ -3,7 +3,7 @@
 The marts are small by construction (one row per channel, per carrier x market, per arm),
 so the "whole table" windows of the analyst SQL (``RANK() OVER (ORDER BY ...)``,
 ``AVG(...) OVER ()``) are expressed either as a window on the mart or as a one-row
-aggregate broadcast back onto it - never as an unpartitioned window over a fact table.
+aggregate used as a scalar subquery - never as an unpartitioned window over a fact table.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_of
+from ..functions.numeric import mean_of, single_row
 
 
 def channel_rank(channel_mart: DataFrame) -> DataFrame:
@@ -33,19 +33,17 @@ def carrier_tradeoff(logistics_mart: DataFrame) -> DataFrame:
         .alias("_mean_cost"),
         mean_of(F.sum(F.col("on_time_rate").cast("decimal(10,4)")), F.count("on_time_rate"))
         .alias("_mean_rate"))
-    j = logistics_mart.crossJoin(F.broadcast(means))  # one-row aggregate
-    return j.select(
+    m = single_row(means)
+    return logistics_mart.select(
         "market", "carrier", "deliveries", "on_time_rate", "avg_delivery_cost",
-        (F.col("avg_delivery_cost") - F.col("_mean_cost")).alias("cost_vs_average"),
-        (F.col("on_time_rate") - F.col("_mean_rate")).alias("reliability_vs_average"))
+        (F.col("avg_delivery_cost") - m["_mean_cost"]).alias("cost_vs_average"),
+        (F.col("on_time_rate") - m["_mean_rate"]).alias("reliability_vs_average"))
 
 
 def experiment_itt(mart: DataFrame) -> DataFrame:
     """Arm rows with the margin lift over the control arm."""
-    base = mart.agg(F.max(F.when(F.col("treatment") == "control", F.col("margin_per_assigned_prospect")))
-                    .alias("_control_margin"))
-    j = mart.crossJoin(F.broadcast(base))  # one-row aggregate
-    return j.select(
+    base = mart.agg(F.max(F.when(F.col("treatment") == "control", F.col("margin_per_assigned_prospect"))))
+    return mart.select(
         "treatment", "assigned_prospects", "converted_prospects", "conversion_rate",
         "margin_per_assigned_prospect",
-        (F.col("margin_per_assigned_prospect") - F.col("_control_margin")).alias("margin_lift_vs_control"))
+        (F.col("margin_per_assigned_prospect") - base.scalar()).alias("margin_lift_vs_control"))

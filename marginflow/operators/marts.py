@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import threshold_label
-from ..functions.numeric import mean_of, ratio, round_half_up, round_money
+from ..functions.numeric import mean_of, ratio, round_half_up, round_money, single_row
 
 
 def orders_per_prospect(orders: DataFrame) -> DataFrame:
@@ -153,13 +153,13 @@ def kpi_summary(prospects: DataFrame, orders: DataFrame) -> DataFrame:
     """Headline KPIs: prospects, per-prospect conversion (unrounded), revenue, margin (all orders)."""
     p = prospects.agg(F.count(F.lit(1)).alias("prospects"), F.sum("converted").alias("_conv"),
                       F.count("converted").alias("_n"))
-    o = orders.agg(F.sum("net_revenue").alias("_rev"), F.sum("contribution_margin").alias("_cm"))
-    # Both sides are global aggregates: exactly one row each, so the cross join is 1 x 1.
-    return p.crossJoin(F.broadcast(o)).select(
+    # Order totals as a scalar subquery next to the prospect aggregate.
+    o = single_row(orders.agg(F.sum("net_revenue").alias("_rev"), F.sum("contribution_margin").alias("_cm")))
+    return p.select(
         F.col("prospects").cast("bigint").alias("prospects"),
         mean_of(F.col("_conv"), F.col("_n")).alias("conversion_rate"),
-        round_money(F.col("_rev")).alias("net_revenue"),
-        round_money(F.col("_cm")).alias("contribution_margin"),
+        round_money(o["_rev"]).alias("net_revenue"),
+        round_money(o["_cm"]).alias("contribution_margin"),
     )
 
 

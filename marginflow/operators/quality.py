@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.numeric import single_row
 
 Tables = dict[str, DataFrame]
 
@@ -115,12 +116,12 @@ def orphans(tables: Tables) -> DataFrame:
 def reconciliation(orders: DataFrame, channel_mart: DataFrame) -> DataFrame:
     """1 when the channel mart's margin total differs from the orders total at cents precision."""
     raw = orders.agg(F.round(F.sum("contribution_margin"), 2).alias("_raw"))
-    mart = channel_mart.agg(F.round(F.sum(F.col("contribution_margin").cast("decimal(18,2)")), 2).alias("_mart"))
-    j = raw.crossJoin(mart)  # both sides are single-row global aggregates
-    return j.select(
+    mart = single_row(channel_mart.agg(
+        F.round(F.sum(F.col("contribution_margin").cast("decimal(18,2)")), 2).alias("_mart")))
+    return raw.select(
         F.lit("reconciliation").alias("check"), F.lit("mart_channel_profitability").alias("table"),
         F.lit("contribution_margin").alias("column"),
-        F.when(F.col("_raw").eqNullSafe(F.col("_mart")), 0).otherwise(1).cast("bigint").alias("violations"))
+        F.when(F.col("_raw").eqNullSafe(mart["_mart"]), 0).otherwise(1).cast("bigint").alias("violations"))
 
 
 def experiment_health(prospects: DataFrame, experiment_mart: DataFrame) -> DataFrame:

@@ -34,11 +34,10 @@ def hot_keys(counts: DataFrame, key: str, count_col: str, partitions: int | None
     by construction (safe to broadcast).
     """
     p = _partitions(counts, partitions)
-    total = counts.agg(F.sum(count_col).alias("_total"))
+    total = counts.agg(F.sum(count_col)).scalar()  # scalar subquery, evaluated once
     share = F.col(count_col) * F.lit(p)
-    # One-row global aggregate: the cross join is a broadcast of a single row.
-    hot = counts.crossJoin(F.broadcast(total)).where(share > F.lit(2) * F.col("_total"))
-    salts = F.least(F.lit(p).cast("bigint"), F.ceil(share / F.col("_total"))).cast("int")
+    hot = counts.where(share > F.lit(2) * total)
+    salts = F.least(F.lit(p).cast("bigint"), F.ceil(share / total)).cast("int")
     return hot.select(F.col(key).alias("_hot_key"), salts.alias("_salts"))
 
 

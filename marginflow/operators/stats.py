@@ -1,7 +1,7 @@
 """Randomised-experiment inference on the experiment mart, as Column arithmetic.
 
 The mart has one row per arm.  A conditional aggregate turns it into one row holding the
-control and treatment figures; that single row is broadcast onto the arm rows.  Nothing is
+control and treatment figures; that row is a scalar subquery used on the arm rows.  Nothing is
 collected to the driver.  A missing arm raises at execution time (``raise_error``).
 
 Parity: statistics are computed from the mart's *rounded* rates and means, as the published
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_of, round_half_up, two_sided_p
+from ..functions.numeric import mean_of, round_half_up, single_row, two_sided_p
 
 # 95% two-sided normal quantile and the planned allocation share.
 Z_95 = 1.96
@@ -64,10 +64,9 @@ STAT_COLUMNS = ["conversion_lift_pp", "conversion_ci_low_pp", "conversion_ci_hig
 
 def experiment_statistics(mart: DataFrame) -> DataFrame:
     """Mart rows plus lift, 95% CI, p-value, margin lift and SRM p-value (from rounded inputs)."""
-    stats = _statistics(_arm_pairs(mart, "conversion_rate", "margin_per_assigned_prospect"))
-    # The statistics frame is a global aggregate: exactly one row.
-    j = mart.crossJoin(F.broadcast(stats))
-    return j.where(F.col("_guard").isNull()).select(*mart.columns, *STAT_COLUMNS)
+    stats = single_row(_statistics(_arm_pairs(mart, "conversion_rate", "margin_per_assigned_prospect")))
+    # The guard is referenced so that a missing arm raises instead of being pruned away.
+    return mart.where(stats["_guard"].isNull()).select(*mart.columns, *[stats[c].alias(c) for c in STAT_COLUMNS])
 
 
 def experiment_statistics_exact(assignments: DataFrame, prospects: DataFrame, orders: DataFrame) -> DataFrame:
@@ -88,13 +87,12 @@ def experiment_statistics_exact(assignments: DataFrame, prospects: DataFrame, or
         mean_of(F.col("converted_prospects"), F.col("assigned_prospects")).alias("conversion_rate"),
         mean_of(F.col("_cm"), F.col("assigned_prospects")).alias("margin_per_assigned_prospect"),
     )
-    stats = _statistics(_arm_pairs(arms, "conversion_rate", "margin_per_assigned_prospect"))
-    j2 = arms.crossJoin(F.broadcast(stats))
-    return j2.where(F.col("_guard").isNull()).select(
+    stats = single_row(_statistics(_arm_pairs(arms, "conversion_rate", "margin_per_assigned_prospect")))
+    return arms.where(stats["_guard"].isNull()).select(
         "treatment", "assigned_prospects", "converted_prospects",
         round_half_up(F.col("conversion_rate"), 6).alias("conversion_rate"),
         round_half_up(F.col("margin_per_assigned_prospect"), 6).alias("margin_per_assigned_prospect"),
-        *STAT_COLUMNS)
+        *[stats[c].alias(c) for c in STAT_COLUMNS])
 
 
 def experiment_decision(stats: DataFrame) -> DataFrame:
