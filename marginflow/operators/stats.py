@@ -1,7 +1,7 @@
 """Randomised-experiment inference on the experiment mart, as Column arithmetic.
 
 The mart has one row per arm.  A conditional aggregate turns it into one row holding the
-control and treatment figures; that row is a scalar subquery used on the arm rows.  Nothing is
+control and treatment figures, attached to the arm rows by a window over the (two) rows.  Nothing is
 collected to the driver.  A missing arm raises at execution time (``raise_error``).
 
 Parity: statistics are computed from the mart's *rounded* rates and means, as the published
@@ -11,10 +11,10 @@ rates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_of, round_half_up, single_row, two_sided_p
+from ..functions.numeric import mean_of, round_half_up, two_sided_p
 
 # 95% two-sided normal quantile and the planned allocation share.
 Z_95 = 1.96
@@ -25,21 +25,7 @@ def _arm(value: str, arm: str) -> Column:
     return F.max(F.when(F.col("treatment") == arm, F.col(value)))
 
 
-def _arm_pairs(mart: DataFrame, rate: str, margin: str) -> DataFrame:
-    pairs = mart.agg(
-        _arm("assigned_prospects", "control").alias("n_c"),
-        _arm("assigned_prospects", "treatment").alias("n_t"),
-        _arm(rate, "control").alias("p_c"),
-        _arm(rate, "treatment").alias("p_t"),
-        _arm(margin, "control").alias("m_c"),
-        _arm(margin, "treatment").alias("m_t"),
-    )
-    missing = F.col("n_c").isNull() | F.col("n_t").isNull()
-    guard = F.when(missing, F.raise_error(F.lit("experiment mart needs a control and a treatment arm")))
-    return pairs.select("*", guard.alias("_guard"))
-
-
-def _statistics(pairs: DataFrame) -> DataFrame:
+def _statistics(pairs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     n_c, n_t = F.col("n_c").cast("double"), F.col("n_t").cast("double")
     p_c, p_t = F.col("p_c"), F.col("p_t")
     lift = p_t - p_c
@@ -48,6 +34,7 @@ def _statistics(pairs: DataFrame) -> DataFrame:
     total = n_c + n_t
     srm_z = (n_t - total / F.lit(2.0)) / F.sqrt(total * F.lit(PLANNED_SHARE))
     return pairs.select(
+        *(keep or []),
         round_half_up(lift * F.lit(100.0), 2).alias("conversion_lift_pp"),
         round_half_up((lift - F.lit(Z_95) * se) * F.lit(100.0), 2).alias("conversion_ci_low_pp"),
         round_half_up((lift + F.lit(Z_95) * se) * F.lit(100.0), 2).alias("conversion_ci_high_pp"),
@@ -62,11 +49,30 @@ STAT_COLUMNS = ["conversion_lift_pp", "conversion_ci_low_pp", "conversion_ci_hig
                 "conversion_p_value", "margin_lift_vs_control", "srm_p_value"]
 
 
+def _with_statistics(arms: DataFrame, rate: str, margin: str) -> DataFrame:
+    """Arm rows with both arms' figures and the statistics attached.
+
+    The input has one row per arm (a two-value domain), so the whole-relation window below
+    sees a couple of rows: the mart is computed once and no join is needed.
+    """
+    every = Window.partitionBy()
+    pairs = arms.select(
+        "*",
+        *[_arm(col, arm).over(every).alias(alias) for col, arm, alias in (
+            ("assigned_prospects", "control", "n_c"), ("assigned_prospects", "treatment", "n_t"),
+            (rate, "control", "p_c"), (rate, "treatment", "p_t"),
+            (margin, "control", "m_c"), (margin, "treatment", "m_t"))])
+    missing = F.col("n_c").isNull() | F.col("n_t").isNull()
+    guarded = pairs.where(F.when(missing, F.raise_error(F.lit("experiment mart needs a control and a treatment arm")))
+                          .isNull())
+    stats = _statistics(guarded.select("*", F.lit(None).alias("_guard")), keep=arms.columns)
+    return stats
+
+
 def experiment_statistics(mart: DataFrame) -> DataFrame:
     """Mart rows plus lift, 95% CI, p-value, margin lift and SRM p-value (from rounded inputs)."""
-    stats = single_row(_statistics(_arm_pairs(mart, "conversion_rate", "margin_per_assigned_prospect")))
-    # The guard is referenced so that a missing arm raises instead of being pruned away.
-    return mart.where(stats["_guard"].isNull()).select(*mart.columns, *[stats[c].alias(c) for c in STAT_COLUMNS])
+    return _with_statistics(mart, "conversion_rate", "margin_per_assigned_prospect").select(
+        *mart.columns, *STAT_COLUMNS)
 
 
 def experiment_statistics_exact(assignments: DataFrame, prospects: DataFrame, orders: DataFrame) -> DataFrame:
@@ -87,12 +93,12 @@ def experiment_statistics_exact(assignments: DataFrame, prospects: DataFrame, or
         mean_of(F.col("converted_prospects"), F.col("assigned_prospects")).alias("conversion_rate"),
         mean_of(F.col("_cm"), F.col("assigned_prospects")).alias("margin_per_assigned_prospect"),
     )
-    stats = single_row(_statistics(_arm_pairs(arms, "conversion_rate", "margin_per_assigned_prospect")))
-    return arms.where(stats["_guard"].isNull()).select(
+    stats = _with_statistics(arms, "conversion_rate", "margin_per_assigned_prospect")
+    return stats.select(
         "treatment", "assigned_prospects", "converted_prospects",
         round_half_up(F.col("conversion_rate"), 6).alias("conversion_rate"),
         round_half_up(F.col("margin_per_assigned_prospect"), 6).alias("margin_per_assigned_prospect"),
-        *[stats[c].alias(c) for c in STAT_COLUMNS])
+        *STAT_COLUMNS)
 
 
 def experiment_decision(stats: DataFrame) -> DataFrame:
