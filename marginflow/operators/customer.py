@@ -92,8 +92,13 @@ def customer_90d(orders: DataFrame) -> DataFrame:
 COHORT_KEYS = ["acquisition_month", "market", "acquisition_channel"]
 
 
-def cohort_profitability_90d(orders: DataFrame) -> DataFrame:
-    """Acquisition cohorts (month x market x channel): size, 90-day means, repeat rate, median margin."""
+def cohort_profitability_90d(orders: DataFrame, median: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Acquisition cohorts (month x market x channel): size, 90-day means, repeat rate, median margin.
+
+    ``median="exact"`` (default, the parity definition) is the distributed exact median;
+    ``median="approx"`` uses ``percentile_approx`` (one aggregation pass, bounded sketch per
+    cohort, relative rank error about ``1 / accuracy``) for very large cohorts.
+    """
     s = _customer_summary_exact(orders).select(
         F.trunc(F.col("acquisition_date"), "month").alias("acquisition_month"), "market", "acquisition_channel",
         "customer_id", "revenue_90d", "contribution_margin_90d", "repeated_90d")
@@ -103,8 +108,14 @@ def cohort_profitability_90d(orders: DataFrame) -> DataFrame:
         F.sum("contribution_margin_90d").alias("_cm"), F.count("contribution_margin_90d").alias("_n_cm"),
         F.sum("repeated_90d").alias("_rep"), F.count("repeated_90d").alias("_n_rep"),
     )
-    med = exact_median(s, COHORT_KEYS, "contribution_margin_90d", "customer_id",
-                       "median_contribution_margin_90d")
+    if median == "approx":
+        med = s.groupBy(*COHORT_KEYS).agg(F.percentile_approx(
+            F.col("contribution_margin_90d").cast("double"), 0.5, accuracy).alias("median_contribution_margin_90d"))
+    elif median == "exact":
+        med = exact_median(s, COHORT_KEYS, "contribution_margin_90d", "customer_id",
+                           "median_contribution_margin_90d")
+    else:
+        raise ValueError("median must be 'exact' or 'approx'")
     out = g.join(med, COHORT_KEYS, "left")
     return out.select(
         *COHORT_KEYS, F.col("acquired_customers").cast("bigint").alias("acquired_customers"),

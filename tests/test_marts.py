@@ -148,3 +148,12 @@ def test_order_status_rule(spark):
     df = spark.createDataFrame([(10.0, 5.0), (10.0, 10.0), (10.0, 0.0)], "gross double, refund double")
     got = [r[0] for r in df.select(economics.order_status(F.col("refund"), F.col("gross"))).collect()]
     assert got == ["completed", "refunded", "completed"]
+
+
+def test_cohort_approx_median_option(spark):
+    rows = [(f"O{i}", f"C{i}", f"P{i}", D(2025, 3, 1 + i % 20), "LV", "CRM", "completed", 10, i % 7)
+            for i in range(60)]
+    o = orders(spark, rows)
+    exact = customer.cohort_profitability_90d(o).first()["median_contribution_margin_90d"]
+    approx = customer.cohort_profitability_90d(o, median="approx").first()["median_contribution_margin_90d"]
+    assert exact == 3.0 and abs(approx - exact) <= 1.0
