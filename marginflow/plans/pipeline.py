@@ -23,17 +23,21 @@ from ..operators import analysis, customer, marts, metrics, quality, stats
 from ..sources import sinks
 from .warehouse import build_warehouse
 
-# Published report order (sort keys) of the four decision marts.
+# Published report order of the report marts: (column, descending).
 REPORT_ORDER = {
-    "channel_profitability": [F.col("contribution_margin").desc()],
-    "market_profitability": [F.col("contribution_margin").desc()],
-    "logistics": ["carrier", "market"],
-    "experiment": ["treatment"],
-    "carrier_summary": [F.col("on_time_rate").desc()],
-    "cohort_profitability_90d": ["acquisition_month", "market", "acquisition_channel"],
+    "channel_profitability": [("contribution_margin", True)],
+    "market_profitability": [("contribution_margin", True)],
+    "logistics": [("carrier", False), ("market", False)],
+    "experiment": [("treatment", False)],
+    "carrier_summary": [("on_time_rate", True)],
+    "cohort_profitability_90d": [("acquisition_month", False), ("market", False), ("acquisition_channel", False)],
 }
 
 
+def _sort_columns(name: str) -> list:
+    return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in REPORT_ORDER[name]]
+
+
 def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False) -> dict[str, str]:
     out = out_dir.rstrip("/")
     wh = build_warehouse(spark, data_dir, f"{out}/warehouse")
@@ -80,6 +84,30 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False)
                "cohort_profitability_90d": kept["cohort_profitability_90d"]}
     for name, df in reports.items():
         path = f"{out}/reports/{name}"
-        sinks.write_report_csv(df, path, REPORT_ORDER[name])
+        sinks.write_report_csv(df, path, _sort_columns(name))
         paths[f"report:{name}"] = path
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m marginflow.plans.pipeline DATA_DIR OUT_DIR [--strict] [--master local[8]]``."""
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    parser = argparse.ArgumentParser(description="Full batch rebuild: warehouse, quality, marts, reports.")
+    parser.add_argument("data_dir")
+    parser.add_argument("out_dir")
+    parser.add_argument("--strict", action="store_true", help="stop when a quality check has violations")
+    parser.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    args = parser.parse_args(argv)
+    spark = build_session(args.master)
+    try:
+        print(json.dumps(run(spark, args.data_dir, args.out_dir, strict=args.strict), indent=1))
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()
