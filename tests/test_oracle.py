@@ -36,3 +36,18 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 5
     assert df.columns[:3] == ["acquisition_channel", "prospects", "customers"]
+
+
+LAZY_SUBSET = ["channel_profitability", "experiment_stats", "customer_orders_90d", "cohort_profitability_90d",
+               "metric_layer", "dq_report", "treatment_discount", "customer_lifetime"]
+
+
+@pytest.mark.parametrize("name", LAZY_SUBSET)
+def test_lazy_single_plan_matches_oracle(spark, con, name):
+    """The same queries as one plan from the raw tables (ETL inlined) give the same rows."""
+    spark.conf.set("marginflow.model", "lazy")
+    try:
+        ok, n, _, msg = compare(spark, con, name, QUERIES[name], ORACLE[name], SMOKE)
+    finally:
+        spark.conf.unset("marginflow.model")
+    assert ok, msg
