@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture for error messages costs several JVM round trips per
+    # Column call while plans are built; the engine's plans are built from library code.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
