@@ -26,9 +26,13 @@ from marginflow.plans.warehouse import warehouse  # noqa: E402
 from marginflow.session import build_session  # noqa: E402
 
 
-def _sf_of(path: str) -> str:
+def _sf_of(path: str):
     name = Path(path.rstrip("/")).name
-    return name[2:] if name.startswith("sf") else name
+    text = name[2:] if name.startswith("sf") else name
+    try:
+        return float(text)
+    except ValueError:
+        return text
 
 
 def _run(spark, fn, data_dir: str) -> float:
