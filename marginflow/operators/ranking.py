@@ -15,11 +15,14 @@ slices, whatever the group sizes are.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
 
 
@@ -34,7 +37,8 @@ def sequence_within(df: DataFrame, by: list[str], order: list[str], out: str = "
     """Exact ``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending, nulls first).
 
     ``by + order`` must identify a row (add a unique tie-breaker to ``order``) so the
-    numbering is deterministic and survives task retries.
+    numbering is deterministic and survives task retries.  Runs one job when called (the
+    numbered rows are written to the scratch folder); the returned DataFrame is lazy.
     """
     n = _slices(df, slices)
     keys = [*by, *order]
@@ -42,6 +46,15 @@ def sequence_within(df: DataFrame, by: list[str], order: list[str], out: str = "
     tagged = ranged.select("*", F.monotonically_increasing_id().alias("_mid"))
     tagged = tagged.select(*df.columns, F.shiftright("_mid", _POS_BITS).alias("_slice"),
                            F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1).alias("_pos"))
+    # The slice bounds of a range partitioning come from a sample, and the sample depends on
+    # the arrival order of upstream shuffle data: two evaluations of ``tagged`` may disagree
+    # on which slice a row is in.  Both consumers below (per-slice counts and the join back)
+    # must see one evaluation, so the numbered rows are written once to the shared scratch
+    # folder and read back.  A retried task reads the same shuffle output, so the written
+    # rows are stable; unlike a cache they also survive the loss of an executor.
+    path = f"{scratch_dir(df.sparkSession)}/sequence/{uuid.uuid4().hex}"
+    tagged.write.mode("overwrite").parquet(path)
+    tagged = df.sparkSession.read.parquet(path)
     spans = tagged.groupBy(*by, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # A group spans at most ``n`` slices, so this window's partitions are bounded by n rows.

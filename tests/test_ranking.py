@@ -64,3 +64,16 @@ def test_purchase_number_with_hot_customer(spark):
            .select("order_id", F.row_number().over(w).alias("purchase_number")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
     assert got.count() == 450 + 399 * 3
+
+
+def test_sequence_within_after_nondeterministic_shuffle(spark):
+    # Input arriving from a shuffle: the numbering must be exact (every row numbered once).
+    base = spark.range(40000).select(
+        F.when(F.col("id") % 4 == 0, F.lit("hot")).otherwise(F.format_string("g%d", F.col("id") % 500)).alias("g"),
+        (F.col("id") * 7919 % 1000).alias("d"), F.format_string("id%06d", "id").alias("id"))
+    shuffled = base.repartition(7)
+    ours = sequence_within(shuffled, ["g"], ["d", "id"], "rn", slices=16)
+    ref = base.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("d", "id")))
+    got = dict(ours.select("id", "rn").collect())
+    assert len(got) == 40000
+    assert got == dict(ref.select("id", "rn").collect())
