@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMOKE
 from marginflow.functions.labels import surrogate_key, threshold_label
-from marginflow.operators import analysis, marts
+from marginflow.operators import analysis, customer, marts
 from marginflow.plans.views import ANALYST_SQL, register_views
 from marginflow.plans.warehouse import warehouse
 
@@ -19,6 +19,7 @@ def test_analyst_sql_matches_operators(spark):
         "channel_rank": analysis.channel_rank(channel),
         "carrier_tradeoff": analysis.carrier_tradeoff(logistics),
         "experiment_itt": analysis.experiment_itt(experiment),
+        "cohort_profitability_90d": customer.cohort_profitability_90d(wh.orders),
     }
     for name, sql in ANALYST_SQL.items():
         got = spark.sql(sql)
