@@ -33,13 +33,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _key_counts(tables: Tables, table: str, column: str) -> DataFrame:
+    """Rows per non-null key value.  Uniqueness and orphan checks (child and parent sides) all
+    use this same plan, so within one report each table/column is aggregated by one shuffle
+    that the other checks reuse."""
+    return (tables[table].select(column).where(F.col(column).isNotNull())
+            .groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
+
+
 def unique_keys(tables: Tables) -> DataFrame:
     """Rows beyond the first per key value, for primary keys and declared unique columns."""
     frames = []
     pairs = [(t, c) for t, c in schemas.PRIMARY_KEYS.items()]
     pairs += [(t, c) for t, cols in schemas.UNIQUE_KEYS.items() for c in cols]
     for table, column in pairs:
-        counts = tables[table].where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        counts = _key_counts(tables, table, column)
         dup = counts.where(F.col("_n") > 1)
         frames.append(_row(dup, "unique", table, column, F.sum(F.col("_n") - 1)))
     return _union(frames)
@@ -105,9 +113,8 @@ def orphans(tables: Tables) -> DataFrame:
     """Child rows whose non-null key has no parent row."""
     frames = []
     for child, column, parent, parent_column in schemas.FOREIGN_KEYS:
-        keys = (tables[child].where(F.col(column).isNotNull())
-                .groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
-        parents = tables[parent].select(F.col(parent_column).alias("_parent_key")).distinct()
+        keys = _key_counts(tables, child, column)
+        parents = _key_counts(tables, parent, parent_column).select(F.col(parent_column).alias("_parent_key"))
         missing = keys.join(parents, keys[column] == parents["_parent_key"], "left_anti")
         frames.append(_row(missing, "relationships", child, f"{column}->{parent}.{parent_column}", F.sum("_n")))
     return _union(frames)
