@@ -105,3 +105,20 @@ def test_customer_90d_equals_window_form(spark, rows):
     ours = sorted(map(tuple, customer.customer_90d(o).select(*cols).collect()))
     ref = sorted(map(tuple, _direct_customer_90d(o).select(*cols).collect()))
     assert ours == ref
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mixed_orders())
+def test_purchase_numbers_equal_window_form(spark, rows):
+    from marginflow.operators import customer
+
+    o = orders(spark, rows)
+    o.createOrReplaceTempView("o90_numbers")
+    ref = spark.sql("""
+        WITH f AS (SELECT customer_id, MIN(order_date) AS a FROM o90_numbers
+                   WHERE order_status = 'completed' GROUP BY customer_id)
+        SELECT o.order_id, ROW_NUMBER() OVER (PARTITION BY o.customer_id ORDER BY o.order_date, o.order_id) AS pn
+        FROM o90_numbers o JOIN f USING (customer_id)
+        WHERE o.order_status = 'completed' AND o.order_date < date_add(f.a, 90)""")
+    ours = customer.customer_orders_90d(o).select("order_id", "purchase_number")
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
