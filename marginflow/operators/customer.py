@@ -25,23 +25,33 @@ WINDOW_DAYS = 90
 COMPLETED = "completed"
 
 
+def _first_completed(orders: DataFrame, with_first_order_id: bool) -> DataFrame:
+    """Per customer: first completed order date, order count, and (optionally) the first order id.
+
+    The date alone is a fixed-width ``min`` (hash aggregation); the first order id needs the
+    ``(date, order id)`` pair, a struct ``min`` that Spark aggregates by sorting, so it is only
+    computed where it is used.
+    """
+    completed = orders.where(F.col("order_status") == COMPLETED)
+    if with_first_order_id:
+        g = completed.groupBy("customer_id").agg(
+            F.min(F.struct("order_date", "order_id")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        return g.select("customer_id", F.col("_first.order_date").alias("acquisition_date"),
+                        F.col("_first.order_id").alias("first_order_id"), "_n")
+    return completed.groupBy("customer_id").agg(
+        F.min("order_date").alias("acquisition_date"), F.count(F.lit(1)).alias("_n"))
+
+
 def first_orders(orders: DataFrame, with_first_order_id: bool = False) -> DataFrame:
     """First completed order date per customer (``acquisition_date``)."""
-    g = (orders.where(F.col("order_status") == COMPLETED)
-         .groupBy("customer_id")
-         .agg(F.min(F.struct("order_date", "order_id")).alias("_first")))
-    cols = ["customer_id", F.col("_first.order_date").alias("acquisition_date")]
-    if with_first_order_id:
-        cols.append(F.col("_first.order_id").alias("first_order_id"))
-    return g.select(*cols)
+    f = _first_completed(orders, with_first_order_id)
+    return f.select("customer_id", "acquisition_date", *(["first_order_id"] if with_first_order_id else []))
 
 
 def _orders_in_window(orders: DataFrame, with_first_order_id: bool = False) -> DataFrame:
     completed = orders.where(F.col("order_status") == COMPLETED)
-    g = completed.groupBy("customer_id").agg(
-        F.min(F.struct("order_date", "order_id")).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    f = g.select("customer_id", F.col("_first.order_date").alias("acquisition_date"),
-                 *([F.col("_first.order_id").alias("first_order_id")] if with_first_order_id else []))
+    g = _first_completed(orders, with_first_order_id)
+    f = g.select("customer_id", "acquisition_date", *(["first_order_id"] if with_first_order_id else []))
     o = completed.select("customer_id", "order_id", "order_date", "market", "acquisition_channel",
                          "net_revenue", "contribution_margin")
     # One row per customer on the right; a customer with a large share of the orders is
