@@ -52,10 +52,10 @@ c_lines AS (
     FROM lineitem GROUP BY l_orderkey
 ),
 c_window AS (
-    SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, 'O' || CAST(o.o_orderkey AS VARCHAR) AS order_id,
+    SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, 'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS order_id,
         CAST(o.o_orderdate AS DATE) AS order_date, l.*,
         ROW_NUMBER() OVER (PARTITION BY o.o_custkey ORDER BY CAST(o.o_orderdate AS DATE),
-                           'O' || CAST(o.o_orderkey AS VARCHAR)) AS window_rank
+                           'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0')) AS window_rank
     FROM orders o JOIN c_lines l ON l.l_orderkey = o.o_orderkey
     WHERE o.o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
 ),

@@ -86,6 +86,22 @@ def keyed(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
+# Order ids: "O" + the order key zero-padded to 12 digits (string order = key order).
+ORDER_ID_DIGITS = 12
+_KEY_BITS = 40  # 2**40 > 10**12: a padded key also fits the low bits of a packed (day, key)
+EPOCH = "1970-01-01"
+
+
+def guarded_order_key(key: Column) -> Column:
+    """The order key, failing the job if it does not fit the 12-digit id (never truncated)."""
+    fits = (key >= 0) & (key < 10 ** ORDER_ID_DIGITS)
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("order key outside 0..10^12-1")).cast("bigint"))
+
+
+def order_key_id(key: Column) -> Column:
+    return F.format_string(f"O%0{ORDER_ID_DIGITS}d", guarded_order_key(key))
+
+
 def _ts_literal(df: DataFrame, column: str, text: str) -> Column:
     """A constant of the column's own timestamp type, so the comparison is pushed to the scan.
 
@@ -180,18 +196,27 @@ class CommerceModel:
         return w.select(
             "o_orderkey", "o_custkey", "o_orderpriority", "price_cents", "discount_units", "all_returned",
             "refund_units", "min_suppkey",
-            keyed("O", F.col("o_orderkey")).alias("order_id"),
+            order_key_id(F.col("o_orderkey")).alias("order_id"),
             wall_date(w, "o_orderdate").alias("order_date"),
             wall_date(w, "last_ship").alias("last_ship_date"),
         )
 
     @cached_property
     def first_orders_in_window(self) -> DataFrame:
-        """Per customer: first window order (by date, then order id) and its date."""
+        """Per customer: first window order (by date, then order id) and its date.
+
+        Order ids are zero-padded, so their string order is the order-key order, and
+        ``(date, key)`` packs into one ``bigint`` (days << 40 | key): a plain ``min`` that Spark
+        hash-aggregates with map-side combining, instead of a sort-based ``min`` over a struct.
+        """
+        days = F.datediff(F.col("order_date"), F.lit(EPOCH).cast("date")).cast("bigint")
+        packed = F.shiftleft(days, _KEY_BITS) + guarded_order_key(F.col("o_orderkey"))
         first = self.window_orders.groupBy("o_custkey").agg(
-            F.min(F.struct("order_date", "order_id")).alias("first"), F.count(F.lit(1)).alias("window_orders"))
-        return first.select("o_custkey", F.col("first.order_date").alias("acquisition_date"),
-                            F.col("first.order_id").alias("first_order_id"), "window_orders")
+            F.min(packed).alias("_first"), F.count(F.lit(1)).alias("window_orders"))
+        first_day = F.shiftright(F.col("_first"), _KEY_BITS).cast("int")
+        first_key = F.col("_first").bitwiseAND((1 << _KEY_BITS) - 1)
+        return first.select("o_custkey", F.date_add(F.lit(EPOCH).cast("date"), first_day).alias("acquisition_date"),
+                            order_key_id(first_key).alias("first_order_id"), "window_orders")
 
     # ---- the six commerce tables ----
     @cached_property

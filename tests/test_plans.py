@@ -70,3 +70,17 @@ def test_scale_settings():
     s = scale_settings(100 * 2**40, 8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(10 * 2**20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_order_ids_padded_and_guarded(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from marginflow.sources.adapter import order_key_id
+
+    ok = spark.createDataFrame([(9,), (10,), (999_999_999_999,)], "k long")
+    ids = [r[0] for r in ok.select(order_key_id(F.col("k"))).collect()]
+    assert ids == ["O000000000009", "O000000000010", "O999999999999"] and ids == sorted(ids)
+    bad = spark.createDataFrame([(10 ** 12,)], "k long")
+    with pytest.raises(Exception, match="order key outside"):
+        bad.select(order_key_id(F.col("k"))).collect()
