@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.labels import surrogate_key
 from ..functions.numeric import MONEY
 from ..operators import economics
 from ..operators.skew import hot_keys, salted_join
@@ -99,7 +100,7 @@ def guarded_order_key(key: Column) -> Column:
 
 
 def order_key_id(key: Column) -> Column:
-    return F.format_string(f"O%0{ORDER_ID_DIGITS}d", guarded_order_key(key))
+    return surrogate_key("O", guarded_order_key(key), ORDER_ID_DIGITS)
 
 
 def _ts_literal(df: DataFrame, column: str, text: str) -> Column:
