@@ -100,3 +100,9 @@ def test_pipeline_cohort_and_carrier_reports_sorted(spark):
         with open(os.path.join(d, part), encoding="utf-8") as fh:
             rows = [line.split(",") for line in fh.read().splitlines()[1:]]
         assert rows and rows == sorted(rows, key=key)
+
+
+def test_short_row_aborts(spark):
+    short = _write("month,market,channel,spend\n2025-01-01,LV,CRM\n")
+    with pytest.raises(Exception):
+        csv.load_typed_csv(spark, short, "fct_marketing_spend").collect()
