@@ -8,8 +8,8 @@ Scale: per-customer results are grouped aggregates (map-side partial aggregation
 customer with a huge share of the orders is pre-combined before the shuffle).  The only
 true ordering, ``purchase_number``, uses the range-partitioned ``sequence_within``; the
 repeat flag is derived from counts and the first order id, so the summary and cohort
-queries need no ordering at all.  The cohort median is exact and distributed
-(``exact_median``).
+queries need no ordering at all.  The cohort median is exact and distributed: the summary
+rows are numbered once and both the cohort means and the median read the numbered rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, round_money
-from .ranking import exact_median, sequence_within
+from .ranking import median_of_ranked, sequence_within
 from .skew import hot_keys, salted_join
 
 WINDOW_DAYS = 90
@@ -112,6 +112,11 @@ def cohort_profitability_90d(orders: DataFrame, median: str = "exact", accuracy:
     s = _customer_summary_exact(orders).select(
         F.trunc(F.col("acquisition_date"), "month").alias("acquisition_month"), "market", "acquisition_channel",
         "customer_id", "revenue_90d", "contribution_margin_90d", "repeated_90d")
+    if median == "exact":
+        # Number the summary rows once (written to the scratch folder): the cohort means and
+        # the exact median are both computed from the written rows, so the per-customer
+        # summary is evaluated once.
+        s = sequence_within(s, COHORT_KEYS, ["contribution_margin_90d", "customer_id"], "_rn")
     g = s.groupBy(*COHORT_KEYS).agg(
         F.count(F.lit(1)).alias("acquired_customers"),
         F.sum("revenue_90d").alias("_rev"), F.count("revenue_90d").alias("_n_rev"),
@@ -122,8 +127,7 @@ def cohort_profitability_90d(orders: DataFrame, median: str = "exact", accuracy:
         med = s.groupBy(*COHORT_KEYS).agg(F.percentile_approx(
             F.col("contribution_margin_90d").cast("double"), 0.5, accuracy).alias("median_contribution_margin_90d"))
     elif median == "exact":
-        med = exact_median(s, COHORT_KEYS, "contribution_margin_90d", "customer_id",
-                           "median_contribution_margin_90d")
+        med = median_of_ranked(s, COHORT_KEYS, "contribution_margin_90d", "_rn", "median_contribution_margin_90d")
     else:
         raise ValueError("median must be 'exact' or 'approx'")
     out = g.join(med, COHORT_KEYS, "left")

@@ -76,15 +76,25 @@ def exact_median(df: DataFrame, by: list[str], value: str, tiebreak: str, out: s
     ``value`` should be an exact type (decimal) so the midpoint of an even group is exact.
     Rows with a NULL value are ignored, as SQL does.  Returns ``by + [out]`` (double).
     """
-    present = df.where(F.col(value).isNotNull()).select(*by, value, tiebreak)
-    ranked = sequence_within(present, by, [value, tiebreak], "_rn", slices)
-    counts = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt"))
-    lo = ((F.col("_cnt") + 1) / 2).cast("bigint")       # floor((n+1)/2), 1-based
-    hi = (F.col("_cnt") / 2).cast("bigint") + 1          # floor(n/2)+1
-    wanted = counts.select(*by, F.explode(F.array_distinct(F.array(lo, hi))).alias("_rn"))
-    wanted = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in by], F.col("_rn").cast("int").alias("_w_rn"))
+    ranked = sequence_within(df.select(*by, value, tiebreak), by, [value, tiebreak], "_rn", slices)
+    return median_of_ranked(ranked, by, value, "_rn", out)
+
+
+def median_of_ranked(ranked: DataFrame, by: list[str], value: str, rn: str, out: str = "median") -> DataFrame:
+    """Median per group from rows numbered by ``value`` ascending with NULLs first
+    (``sequence_within(..., order=[value, tiebreak])``).
+
+    NULL values are skipped: the middle positions are offset by the group's NULL count.
+    """
+    counts = ranked.groupBy(*by).agg(F.count(value).alias("_cnt"),
+                                     (F.count(F.lit(1)) - F.count(value)).alias("_nulls"))
+    counts = counts.where(F.col("_cnt") > 0)
+    lo = F.col("_nulls") + ((F.col("_cnt") + 1) / 2).cast("bigint")   # floor((n+1)/2), 1-based
+    hi = F.col("_nulls") + (F.col("_cnt") / 2).cast("bigint") + 1      # floor(n/2)+1
+    wanted = counts.select(*by, F.explode(F.array_distinct(F.array(lo, hi))).alias("_pick"))
+    wanted = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in by], F.col("_pick").cast("int").alias("_w_rn"))
     cond = reduce(lambda a, b: a & b,
-                  [ranked[c].eqNullSafe(wanted[f"_w_{c}"]) for c in by] + [ranked["_rn"] == wanted["_w_rn"]])
+                  [ranked[c].eqNullSafe(wanted[f"_w_{c}"]) for c in by] + [ranked[rn] == wanted["_w_rn"]])
     # Join on (group, position): at most two matching rows per group, no hot key.
     picked = ranked.join(wanted, cond, "inner").select(*[ranked[c] for c in by], ranked[value])
     mid = (F.min(value) + F.max(value)) / F.lit(2)

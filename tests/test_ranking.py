@@ -77,3 +77,11 @@ def test_sequence_within_after_nondeterministic_shuffle(spark):
     got = dict(ours.select("id", "rn").collect())
     assert len(got) == 40000
     assert got == dict(ref.select("id", "rn").collect())
+
+
+def test_exact_median_skips_nulls(spark):
+    df = spark.createDataFrame([("a", None, "1"), ("a", "1.00", "2"), ("a", "3.00", "3"), ("b", None, "4"),
+                                ("c", "5.00", "5"), ("c", None, "6"), ("c", "2.00", "7"), ("c", "4.00", "8")],
+                               "g string, v string, id string").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    got = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "id", "m", slices=4).collect()}
+    assert got == {"a": 2.0, "c": 4.0}
