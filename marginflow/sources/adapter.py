@@ -15,11 +15,12 @@ All amounts are exact ``decimal(18,2)``.  Plans only: nothing here triggers a jo
 Scale notes.  ``lineitem`` is the only large input; it is aggregated per order with
 map-side partial aggregation before it is shuffled, so the shuffle carries one row per
 order and map partition.  The window filter on ``o_orderdate`` is pushed into the orders
-scan.  ``nation`` has a fixed size (25 rows) and is the only side broadcast explicitly;
-customer-sized joins are left to AQE (sort-merge, skew split, or broadcast when the
-runtime size is under the threshold).  The first order of a customer is found by a
-grouped ``min`` instead of a window, so a customer holding a third of all orders is still
-pre-aggregated map-side instead of being sorted in one task.
+scan.  Explicit broadcasts: ``nation`` (fixed 25 rows) and the hot-key table of the salted
+orders-to-customer join (fewer than P/2 rows by construction); other customer-sized joins are
+left to AQE (sort-merge, or broadcast when the runtime size is under the threshold).  The
+first order of a customer is a hash-aggregated ``min`` of a packed (day, order key), not a
+window, so a customer holding a third of all orders is combined map-side, and that customer's
+orders are spread over several join tasks by salting.
 """
 
 from __future__ import annotations
