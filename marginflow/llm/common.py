@@ -6,8 +6,10 @@ lineage, so a lost executor re-runs only the step at hand.
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,33 @@ def crc_mod(column: Column, modulus: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % modulus
 
 
+def per_process(key: tuple, build: Callable):
+    """What ``build`` gives, made once in a worker process and kept for its later tasks."""
+    store = sys.modules.setdefault("marginflow_llm_kept", types.ModuleType("marginflow_llm_kept")).__dict__
+    if key not in store:
+        store[key] = build()
+    return store[key]
+
+
+class Recent:
+    """Bounded dictionary: entries not asked for while ``size`` others came are forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+    def again(self, key):
+        """Value of a key that is not among the new ones, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
 class Scratch:
     """Tables of one run of one operator, below the session's shared checkpoint folder."""
 

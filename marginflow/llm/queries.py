@@ -11,14 +11,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substring
-from .common import read
+from . import bpe, simhash, substring, tokens
+from .common import Scratch, read
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on driver and executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _hex(column: str) -> F.Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op1_tokens(spark: SparkSession, data_dir: str) -> DataFrame:
+    path = Scratch(spark, "tokens").path("files")
+    tokens.write_tokens(read(spark, data_dir, "documents"), path,
+                        tokenizer_file("word_bpe_49k.json"), end_id=1)
+    rows = tokens.checksums(tokens.read_tokens(spark, path))
+    return rows.join(tokens.starts(spark, path), "part").select(
+        "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op3_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, data_dir, "documents"), width=3, max_distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -29,9 +45,17 @@ def op4_substring(spark: SparkSession, data_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", _hex("kept").alias("kept_sha256"))
 
 
+def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
+    coded = bpe.encode(read(spark, data_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        _hex("decoded").alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tokens": op1_tokens,
     "op3_simhash": op3_simhash,
     "op4_substring": op4_substring,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLE: dict[str, str] = {
