@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, substring, tokens
+from . import bpe, decontaminate, simhash, substring, tokens
 from .common import Scratch, read
 
 
@@ -35,6 +35,10 @@ def op1_tokens(spark: SparkSession, data_dir: str) -> DataFrame:
         "doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op2_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, data_dir, "documents"), read(spark, data_dir, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, data_dir, "documents"), width=3, max_distance=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,6 +57,7 @@ def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokens": op1_tokens,
+    "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op4_substring": op4_substring,
     "op9_bpe": op9_bpe,
