@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, simhash, substring, tokens
-from .common import Scratch, read
+from . import bpe, decontaminate, language, simhash, substring, tokens
+from .common import Scratch, crc_mod, read
 
 
 def tokenizer_file(name: str) -> str:
@@ -49,6 +49,14 @@ def op4_substring(spark: SparkSession, data_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", _hex("kept").alias("kept_sha256"))
 
 
+def op8_language(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = read(spark, data_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    counts = language.learn(docs.where(~held_out))
+    return language.predict(docs, counts, keep={"held_out": held_out}).select(
+        "doc_id", "held_out", "lang_pred", "score", "languages")
+
+
 def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
     coded = bpe.encode(read(spark, data_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -60,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op4_substring": op4_substring,
+    "op8_language": op8_language,
     "op9_bpe": op9_bpe,
 }
 
