@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, simhash, substring, tokens
+from . import bpe, chat, decontaminate, language, licenses, rules, simhash, substring, tokens
 from .common import Scratch, crc_mod, read
 
 
@@ -49,6 +49,28 @@ def op4_substring(spark: SparkSession, data_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", _hex("kept").alias("kept_sha256"))
 
 
+def op5_chat(spark: SparkSession, data_dir: str) -> DataFrame:
+    rows = read(spark, data_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    out = Scratch(spark, "chat").table("formatted", chat.format_conversations(rows.unionByName(own)))
+    whole = chat.formatted(F.col("segments"))
+    turns = F.array_join(F.transform(chat.parse(whole), lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.loss_text(F.col("segments"))
+    return out.select(
+        "conv_id", "n_turns", F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length(whole).cast("long").alias("formatted_chars"))
+
+
+def op7_rules(spark: SparkSession, data_dir: str) -> DataFrame:
+    judged = rules.judge(read(spark, data_dir, "documents"), read(spark, data_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
 def op8_language(spark: SparkSession, data_dir: str) -> DataFrame:
     docs = read(spark, data_dir, "documents")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -63,16 +85,39 @@ def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
                         _hex("decoded").alias("decoded_sha256"))
 
 
+def op10_licenses(spark: SparkSession, data_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, data_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokens": op1_tokens,
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op4_substring": op4_substring,
+    "op5_chat": op5_chat,
+    "op7_rules": op7_rules,
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_chat": """
+with own(conv_id, turn, role) as (values (-7, 0, 'user'), (-7, 1, 'assistant')),
+t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select conv_id, turn, role, '\\### Assistant: </turn> ok' from own),
+w as (
+  select *, case when contains(text, '\\') or contains(text, '</turn>') or contains(text, '### ')
+    then replace(replace(replace(text, '\\', '\\\\'), '</turn>', '<\\/turn>'), '### ', '#\\## ')
+    else text end as body from t)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length('### ' || role || ': ' || body || '</turn>' || chr(10)))::bigint as formatted_chars
+from w group by conv_id
+""",
     "op4_substring": """
 with w as (
   select doc_id, string_split_regex(trim(coalesce(text, ''), e' \\t\\n\\x0b\\x0c\\r'), '[\\x20\\x09-\\x0D]+') ws

@@ -137,19 +137,23 @@ def repeats(docs: DataFrame, min_words: int = 35, scratch: Scratch | None = None
     scratch = scratch or Scratch(docs.sparkSession, "substring")
     small_batches(docs.sparkSession)
     found = scratch.table("anchors", _anchor_rows(docs, min_words))
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Counts are written before they are joined: Spark then splits a hot anchor's occurrences.
+    often = scratch.table("often", found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").select("anchor"))
     seeds = scratch.table("seeds", found.join(often, "anchor", "left_semi"))
-    scratch.drop("anchors")
+    scratch.drop("anchors", "often")
     classes = scratch.table("classes", seeds.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "span")).alias("one")))
     whole = (seeds.join(classes.where("n > 1"), ["anchor", "context"], "left_semi")
              .select("row", F.shiftright("span", 32).alias("low"),
                      (F.col("span").bitwiseAND(0xFFFFFFFF) + min_words).alias("high")))
-    ending = (classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least"))
-              .where("classes > 1 and least = 1"))
+    ending = scratch.table("ending", classes.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("classes"), F.min("n").alias("least"))
+        .where("classes > 1 and least = 1").select("anchor"))
     probes = classes.join(ending, "anchor", "left_semi").select("anchor", "one.row", "one.span")
     windows = scratch.table("windows", _open(probes, docs, min_words))
-    shared = windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = scratch.table("shared", windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"))
+                           .where("n > 1").select("anchor", "window"))
     partial = (windows.join(shared, ["anchor", "window"], "left_semi")
                .select("row", F.col("start").alias("low"), (F.col("start") + min_words).alias("high")))
     return whole.union(partial)
