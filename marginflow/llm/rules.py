@@ -36,6 +36,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATIOS = ("symbol_share", "mean_word", "dup_line_share", "repeat_share", "distinct_share", "upper_share",
           "digit_share", "mark_share", "line_words", "same_next_share")
+LEARNED = ("n_words", *RATIOS)  # what conditions may be on: a longer text of one kind stays of its kind
 
 
 def _repeated(lists: list[list[bytes]], symbols: np.ndarray, sizes: np.ndarray, rolling: Rolling) -> np.ndarray:
@@ -197,7 +198,7 @@ def learn(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, label_col
     """Decision list that drops rows labelled 0; ``stats`` as given by ``statistics``."""
     wanted = labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), (F.col(label_col) == 0).alias("drop"))
-    names = [*COUNTS, *RATIOS]
+    names = list(LEARNED)
     rows = (stats.join(wanted, "doc_id").orderBy(F.xxhash64("doc_id"), *names, "drop").limit(max_rows)
             .select(*names, "drop").toPandas())
     if not len(rows):
