@@ -18,21 +18,20 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-# Rows of one Arrow batch: bounds a Python worker's memory where texts are very long.
-ROWS_PER_BATCH = 1024
-
-ASCII_SPACE = b" \t\n\x0b\x0c\r"
+# Rows and bytes of one Arrow batch: they bound a Python worker's memory where texts are very long.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1024, 16 << 20
 
 
 def read(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{table}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Let Spark hand at most ``rows`` rows to a Python worker at once."""
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand a Python worker a bounded number of rows and bytes at once."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+    if not 0 < int(spark.conf.get(key)) <= ROWS_PER_BATCH:
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -123,10 +123,11 @@ def mixture(cells: np.ndarray, table: np.ndarray, penalty: float = 2.0) -> tuple
 
 
 def predict(docs: DataFrame, counts: dict[str, np.ndarray], id_col: str = "doc_id",
-            text_col: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
+            text_col: str = "text", keep: dict[str, Column] | None = None, keep_text: bool = False) -> DataFrame:
     """``doc_id, lang_pred, score, languages`` for each row; ``languages`` is its set.
 
-    ``keep`` names further columns computed from ``docs`` that are carried through.
+    ``keep`` names further columns computed from ``docs`` that are carried through, as the text
+    is with ``keep_text``.
     """
     names, table = probabilities(counts)
 
@@ -136,7 +137,7 @@ def predict(docs: DataFrame, counts: dict[str, np.ndarray], id_col: str = "doc_i
         found, share = mixture(cells_of(text), table)
         return names[found[0]], min(1.0, float(share[0])), [names[i] for i in found]
 
-    carried = list(keep or {})
+    carried = ["text"] * keep_text + list(keep or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,5 +151,5 @@ def predict(docs: DataFrame, counts: dict[str, np.ndarray], id_col: str = "doc_i
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        *[c.alias(n) for n, c in (keep or {}).items()])
-    extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    extra = "".join(f", `{n}` {rows.schema[n].dataType.simpleString()}" for n in carried)
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, languages array<string>" + extra)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, language, licenses, rules, simhash, substring, tokens
+from . import bpe, chat, decontaminate, hpylm, language, licenses, rules, simhash, substring, tokens
 from .common import Scratch, crc_mod, read
 
 
@@ -66,6 +66,11 @@ def op5_chat(spark: SparkSession, data_dir: str) -> DataFrame:
         F.length(whole).cast("long").alias("formatted_chars"))
 
 
+def op6_hpylm(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = read(spark, data_dir, "documents")
+    return hpylm.score(docs, held_out=crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op7_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     judged = rules.judge(read(spark, data_dir, "documents"), read(spark, data_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -79,12 +84,15 @@ def op8_language(spark: SparkSession, data_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "languages")
 
 
-def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
-    coded = bpe.encode(read(spark, data_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+def encoded_digests(coded: DataFrame) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         _hex("decoded").alias("decoded_sha256"))
 
 
+def op9_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
+    return encoded_digests(bpe.encode(read(spark, data_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
+
+
 def op10_licenses(spark: SparkSession, data_dir: str) -> DataFrame:
     return licenses.scan(read(spark, data_dir, "documents"))
 
@@ -95,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_substring": op4_substring,
     "op5_chat": op5_chat,
+    "op6_hpylm": op6_hpylm,
     "op7_rules": op7_rules,
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Scratch, mix, rows_of, small_batches, texts
+from .common import Rolling, Scratch, mix, rows_of, small_batches
 
 ANCHOR_WORDS = 8
 # Odd bases of the two independent rolling hashes.
@@ -94,16 +94,20 @@ def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, context long, row long, span long")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def _packed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Texts compressed before they are shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch, raws in rows_of(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(map(pack, raws), pa.binary())],
-                ["row", "doc_id", "packed"])
+                [batch.column("row"), batch.column("doc_id"), pa.array(map(pack, raws), pa.binary()),
+                 *map(batch.column, carried)], ["row", "doc_id", "packed", *carried])
 
-    return docs.mapInArrow(run, "row long, doc_id long, packed binary")
+    return docs.mapInArrow(run, "row long, doc_id long, packed binary" + _types(docs, carried))
+
+
+def _types(docs: DataFrame, carried: tuple[str, ...]) -> str:
+    return "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
 
 
 def _open(probes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -159,8 +163,8 @@ def repeats(docs: DataFrame, min_words: int = 35, scratch: Scratch | None = None
     return whole.union(partial)
 
 
-def _cut(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    names = ["doc_id", "n_words", "n_removed", "kept"]
+def _cut(docs: DataFrame, ranges: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+    names = ["doc_id", "n_words", "n_removed", "kept", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -180,19 +184,23 @@ def _cut(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], names)
+                 pa.array(kept, pa.binary()).cast(pa.string()), *map(batch.column, carried)], names)
 
     lists = ranges.groupBy("row").agg(
         F.collect_list(F.shiftleft("low", 32).bitwiseOR(F.col("high"))).alias("spans"))
-    return (_packed(docs).join(lists.hint("shuffle_hash"), "row", "left").select("doc_id", "packed", "spans")
-            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string"))
+    return (_packed(docs, carried).join(lists.hint("shuffle_hash"), "row", "left")
+            .select("doc_id", "packed", "spans", *carried)
+            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string" + _types(docs, carried)))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 35, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_removed, kept``: the words outside all repeats, joined by one space."""
-    rows = texts(docs, id_col, text_col).select(
-        F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    return _cut(rows, repeats(rows, min_words))
+                   text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept``: the words outside all repeats, joined by one space.
+
+    ``keep`` names further columns of ``docs`` that are carried through.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    rows = rows.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *keep)
+    return _cut(rows, repeats(rows.select("row", "doc_id", "text"), min_words), keep)
 
 
