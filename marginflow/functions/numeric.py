@@ -15,11 +15,6 @@ MONEY = "decimal(18,2)"
 ROUNDING_DECIMAL = "decimal(30,12)"
 
 
-def money(col: Column | str) -> Column:
-    """Exact money value (two decimals).  Sums of this type do not depend on partition order."""
-    return F.col(col).cast(MONEY) if isinstance(col, str) else col.cast(MONEY)
-
-
 def round_half_up(col: Column, digits: int) -> Column:
     """Round a double (or decimal) half away from zero and return a double.
 
@@ -34,10 +29,6 @@ def round_money(col: Column, digits: int = 2) -> Column:
     return F.round(col, digits).cast("double")
 
 
-def as_double(col: Column) -> Column:
-    return col.cast("double")
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / NULLIF(denominator, 0)`` in double arithmetic (NULL on a zero or NULL base)."""
     den = denominator.cast("double")
@@ -58,10 +49,6 @@ def single_row(df) -> Column:
     return df.select(F.struct(*df.columns).alias("_row")).scalar()
 
 
-def clamp(col: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(col, F.lit(high)))
-
-
 # Abramowitz & Stegun formula 7.1.26 for erf(x), x >= 0 (|error| < 1.5e-7).
 ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -85,18 +72,3 @@ def normal_cdf(col: Column) -> Column:
 def two_sided_p(z: Column) -> Column:
     """Two-sided normal p-value 2 * (1 - Phi(|z|))."""
     return F.lit(2.0) * (F.lit(1.0) - normal_cdf(F.abs(z)))
-
-
-def erf_sql(x: str) -> str:
-    """The same polynomial as SQL text (used by the SQL oracle)."""
-    a1, a2, a3, a4, a5 = ERF_A
-    ax = f"abs({x})"
-    t = f"(1.0 / (1.0 + {ERF_P} * {ax}))"
-    poly = f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5})))))"
-    y = f"(1.0 - {poly} * exp(-({ax} * {ax})))"
-    return f"(CASE WHEN ({x}) < 0 THEN -{y} ELSE {y} END)"
-
-
-def two_sided_p_sql(z: str) -> str:
-    phi = f"(0.5 * (1.0 + {erf_sql(f'abs({z}) / sqrt(2.0)')}))"
-    return f"(2.0 * (1.0 - {phi}))"

@@ -27,6 +27,16 @@ def channel_rank(channel_mart: DataFrame) -> DataFrame:
         F.rank().over(w).cast("int").alias("profitability_rank"))
 
 
+def channel_rank_report(channel_mart: DataFrame) -> DataFrame:
+    """The ranking, best channel first."""
+    return channel_rank(channel_mart).orderBy("profitability_rank", "acquisition_channel")
+
+
+def carrier_tradeoff_report(logistics_mart: DataFrame) -> DataFrame:
+    """The trade-off, least punctual first."""
+    return carrier_tradeoff(logistics_mart).orderBy("on_time_rate", "market", "carrier")
+
+
 def carrier_tradeoff(logistics_mart: DataFrame) -> DataFrame:
     """Cost and reliability of each carrier x market relative to the unweighted mart mean.
 

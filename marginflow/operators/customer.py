@@ -6,52 +6,39 @@ The window is half-open: an order on day 90 after acquisition is outside.
 
 Scale: per-customer results are grouped aggregates (map-side partial aggregation, so a
 customer with a huge share of the orders is pre-combined before the shuffle).  The only
-true ordering, ``purchase_number``, uses the range-partitioned ``sequence_within``; the
-repeat flag is derived from counts and the first order id, so the summary and cohort
-queries need no ordering at all.  The cohort median is exact and distributed: the summary
-rows are numbered once and both the cohort means and the median read the numbered rows.
+true ordering, ``purchase_number``, uses the range-partitioned ``sequence_within``.  The
+summary works on rows combined per customer and day, the exact cohort median on counts per
+distinct margin, so neither orders nor customers of a group meet in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, round_money
-from .ranking import median_of_ranked, sequence_within
+from .ranking import sequence_within, slices_for
 from .skew import hot_keys, salted_join
 
 WINDOW_DAYS = 90
 COMPLETED = "completed"
 
 
-def _first_completed(orders: DataFrame, with_first_order_id: bool) -> DataFrame:
-    """Per customer: first completed order date, order count, and (optionally) the first order id.
-
-    The date alone is a fixed-width ``min`` (hash aggregation); the first order id needs the
-    ``(date, order id)`` pair, a struct ``min`` that Spark aggregates by sorting, so it is only
-    computed where it is used.
-    """
-    completed = orders.where(F.col("order_status") == COMPLETED)
-    if with_first_order_id:
-        g = completed.groupBy("customer_id").agg(
-            F.min(F.struct("order_date", "order_id")).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        return g.select("customer_id", F.col("_first.order_date").alias("acquisition_date"),
-                        F.col("_first.order_id").alias("first_order_id"), "_n")
-    return completed.groupBy("customer_id").agg(
+def _first_completed(orders: DataFrame) -> DataFrame:
+    """Per customer: first completed order date and order count (hash aggregation)."""
+    return orders.where(F.col("order_status") == COMPLETED).groupBy("customer_id").agg(
         F.min("order_date").alias("acquisition_date"), F.count(F.lit(1)).alias("_n"))
 
 
-def first_orders(orders: DataFrame, with_first_order_id: bool = False) -> DataFrame:
+def first_orders(orders: DataFrame) -> DataFrame:
     """First completed order date per customer (``acquisition_date``)."""
-    f = _first_completed(orders, with_first_order_id)
-    return f.select("customer_id", "acquisition_date", *(["first_order_id"] if with_first_order_id else []))
+    return _first_completed(orders).select("customer_id", "acquisition_date")
 
 
-def _orders_in_window(orders: DataFrame, with_first_order_id: bool = False) -> DataFrame:
+def _orders_in_window(orders: DataFrame) -> DataFrame:
     completed = orders.where(F.col("order_status") == COMPLETED)
-    g = _first_completed(orders, with_first_order_id)
-    f = g.select("customer_id", "acquisition_date", *(["first_order_id"] if with_first_order_id else []))
+    g = _first_completed(orders)
+    f = g.select("customer_id", "acquisition_date")
     o = completed.select("customer_id", "order_id", "order_date", "market", "acquisition_channel",
                          "net_revenue", "contribution_margin")
     # One row per customer on the right; a customer with a large share of the orders is
@@ -63,7 +50,9 @@ def _orders_in_window(orders: DataFrame, with_first_order_id: bool = False) -> D
 def customer_orders_90d(orders: DataFrame) -> DataFrame:
     """Completed orders within 90 days of acquisition, numbered per customer by date, order id."""
     w = _orders_in_window(orders)
-    numbered = sequence_within(w, ["customer_id"], ["order_date", "order_id"], "purchase_number")
+    # The row count of the written fact comes from its footers; it bounds the rows to number.
+    numbered = sequence_within(w, ["customer_id"], ["order_date", "order_id"], "purchase_number",
+                               slices=slices_for(orders.count()))
     return numbered.select(
         "customer_id", "acquisition_date", "order_id", "order_date", "market", "acquisition_channel",
         F.col("net_revenue").cast("double").alias("net_revenue"),
@@ -72,19 +61,27 @@ def customer_orders_90d(orders: DataFrame) -> DataFrame:
 
 
 def _customer_summary_exact(orders: DataFrame) -> DataFrame:
-    """Customer summary with exact decimal sums (shared by the summary and the cohorts)."""
-    w = _orders_in_window(orders, with_first_order_id=True)
-    g = w.groupBy("customer_id", "acquisition_date", "market", "acquisition_channel").agg(
-        F.sum("net_revenue").alias("revenue_90d"),
-        F.sum("contribution_margin").alias("contribution_margin_90d"),
-        F.count_distinct("order_id").alias("orders_90d"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.max("order_id").alias("_some_order"),
-        F.first("first_order_id").alias("_first_order"),
-    )
-    # purchase_number >= 2 exists in a group exactly when the group has two or more rows or
-    # its single row is not the customer's first order in the window.
-    repeated = F.when((F.col("_rows") >= 2) | (F.col("_some_order") != F.col("_first_order")), 1).otherwise(0)
+    """Customer summary with exact decimal sums (shared by the summary and the cohorts).
+
+    Completed orders are combined (map-side first) to one row per customer, day, market and
+    channel; a customer has no more of these than the calendar allows, however many orders.
+    Acquisition date, first order and the 90-day filter follow on those rows.
+    """
+    days = (orders.where(F.col("order_status") == COMPLETED)
+            .groupBy("customer_id", "order_date", "market", "acquisition_channel")
+            .agg(F.sum("net_revenue").alias("_rev"), F.sum("contribution_margin").alias("_cm"),
+                 F.count(F.lit(1)).alias("_n"), F.min("order_id").alias("_least_id")))
+    own = Window.partitionBy("customer_id")
+    first = F.min(F.struct("order_date", "_least_id")).over(own)
+    inside = days.withColumn("_first", first).where(
+        F.col("order_date") < F.date_add(F.col("_first.order_date"), WINDOW_DAYS))
+    g = inside.groupBy("customer_id", F.col("_first.order_date").alias("acquisition_date"), "market",
+                       "acquisition_channel").agg(
+        F.sum("_rev").alias("revenue_90d"), F.sum("_cm").alias("contribution_margin_90d"),
+        F.sum("_n").alias("orders_90d"), F.min("_least_id").alias("_some_order"),
+        F.min("_first._least_id").alias("_first_order"))
+    # A later purchase is in the group if it has two orders, or one that is not the first.
+    repeated = F.when((F.col("orders_90d") >= 2) | (F.col("_some_order") != F.col("_first_order")), 1).otherwise(0)
     return g.select("customer_id", "acquisition_date", "market", "acquisition_channel", "revenue_90d",
                     "contribution_margin_90d", F.col("orders_90d").cast("bigint").alias("orders_90d"),
                     repeated.cast("int").alias("repeated_90d"))
@@ -102,42 +99,50 @@ def customer_90d(orders: DataFrame) -> DataFrame:
 COHORT_KEYS = ["acquisition_month", "market", "acquisition_channel"]
 
 
-def cohort_profitability_90d(orders: DataFrame, median: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """Acquisition cohorts (month x market x channel): size, 90-day means, repeat rate, median margin.
+def _cohort_rows(orders: DataFrame) -> DataFrame:
+    return _customer_summary_exact(orders).select(
+        F.trunc(F.col("acquisition_date"), "month").alias("acquisition_month"), "market", "acquisition_channel",
+        "revenue_90d", "contribution_margin_90d", "repeated_90d")
 
-    ``median="exact"`` (default, the parity definition) is the distributed exact median;
-    ``median="approx"`` uses ``percentile_approx`` (one aggregation pass, bounded sketch per
-    cohort, relative rank error about ``1 / accuracy``) for very large cohorts.
+
+def cohort_profitability_90d(orders: DataFrame) -> DataFrame:
+    """Acquisition cohorts (month x market x channel): size, 90-day means, repeat rate, exact median margin.
+
+    Margins are cents and repeat, so customers are counted per (cohort, margin) first; the median
+    is picked from accumulated counts over a cohort's distinct margins.
     """
-    s = _customer_summary_exact(orders).select(
-        F.trunc(F.col("acquisition_date"), "month").alias("acquisition_month"), "market", "acquisition_channel",
-        "customer_id", "revenue_90d", "contribution_margin_90d", "repeated_90d")
-    if median == "exact":
-        # Number the summary rows once (written to the scratch folder): the cohort means and
-        # the exact median are both computed from the written rows, so the per-customer
-        # summary is evaluated once.
-        s = sequence_within(s, COHORT_KEYS, ["contribution_margin_90d", "customer_id"], "_rn")
-    g = s.groupBy(*COHORT_KEYS).agg(
-        F.count(F.lit(1)).alias("acquired_customers"),
+    margin = F.col("contribution_margin_90d")
+    values = _cohort_rows(orders).groupBy(*COHORT_KEYS, "contribution_margin_90d").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("contribution_margin_90d").alias("_n_cm"),
+        F.sum("contribution_margin_90d").alias("_cm"),
         F.sum("revenue_90d").alias("_rev"), F.count("revenue_90d").alias("_n_rev"),
-        F.sum("contribution_margin_90d").alias("_cm"), F.count("contribution_margin_90d").alias("_n_cm"),
-        F.sum("repeated_90d").alias("_rep"), F.count("repeated_90d").alias("_n_rep"),
-    )
-    if median == "approx":
-        med = s.groupBy(*COHORT_KEYS).agg(F.percentile_approx(
-            F.col("contribution_margin_90d").cast("double"), 0.5, accuracy).alias("median_contribution_margin_90d"))
-    elif median == "exact":
-        med = median_of_ranked(s, COHORT_KEYS, "contribution_margin_90d", "_rn", "median_contribution_margin_90d")
-    else:
-        raise ValueError("median must be 'exact' or 'approx'")
-    out = g.join(med, COHORT_KEYS, "left")
-    return out.select(
+        F.sum("repeated_90d").alias("_rep"), F.count("repeated_90d").alias("_n_rep"))
+    cohort = Window.partitionBy(*COHORT_KEYS)
+    ranked = values.withColumn("_upto", F.sum("_n_cm").over(cohort.orderBy(margin.asc_nulls_first()))).withColumn(
+        "_all", F.sum("_n_cm").over(cohort))
+
+    def holds(position):  # the value at a 1-based position among the non-null margins
+        return F.max(F.when((F.col("_upto") - F.col("_n_cm") < position) & (position <= F.col("_upto")), margin))
+
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    g = ranked.groupBy(*COHORT_KEYS).agg(
+        F.sum("_n").alias("acquired_customers"), F.sum("_rev").alias("_rev"), F.sum("_n_rev").alias("_n_rev"),
+        F.sum("_cm").alias("_cm"), F.sum("_n_cm").alias("_n_cm"), F.sum("_rep").alias("_rep"),
+        F.sum("_n_rep").alias("_n_rep"), holds(low).alias("_low"), holds(high).alias("_high"))
+    return g.select(
         *COHORT_KEYS, F.col("acquired_customers").cast("bigint").alias("acquired_customers"),
         mean_of(F.col("_rev"), F.col("_n_rev")).alias("avg_revenue_90d"),
         mean_of(F.col("_cm"), F.col("_n_cm")).alias("avg_contribution_margin_90d"),
         mean_of(F.col("_rep"), F.col("_n_rep")).alias("repeat_purchase_rate_90d"),
         # Midpoints of cent values have at most three decimals: four keep them exact.
-        round_half_up(F.col("median_contribution_margin_90d"), 4).alias("median_contribution_margin_90d"))
+        round_half_up(((F.col("_low") + F.col("_high")) / F.lit(2)).cast("double"), 4)
+        .alias("median_contribution_margin_90d"))
+
+
+def cohort_median_90d_approx(orders: DataFrame, accuracy: int = 10000) -> DataFrame:
+    """Cohort medians by ``percentile_approx``: a bounded sketch per cohort, rank error about 1 / accuracy."""
+    return _cohort_rows(orders).groupBy(*COHORT_KEYS).agg(F.percentile_approx(
+        F.col("contribution_margin_90d").cast("double"), 0.5, accuracy).alias("median_contribution_margin_90d"))
 
 
 def customer_lifetime(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ def customer_lifetime(customers: DataFrame, orders: DataFrame) -> DataFrame:
     per = orders.groupBy("customer_id").agg(
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("latest_order_date"),
-        F.count_distinct("order_id").alias("lifetime_orders"),
+        F.count(F.lit(1)).alias("lifetime_orders"),  # order_id is the key, checked after every build
         F.sum("net_revenue").alias("_rev"),
         F.sum("contribution_margin").alias("_cm"),
     )

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY
-from .skew import hot_keys, salted_join
 
 # Order-economics constants.
 PAYMENT_RATE, PAYMENT_FIXED = "0.018", "0.20"
@@ -41,7 +40,8 @@ def contribution_margin(net: Column, product: Column, delivery: Column, payment:
 
 
 def payment_cost(gross: Column) -> Column:
-    return cents(gross * _dec(PAYMENT_RATE) + _dec(PAYMENT_FIXED))
+    """A rate and a fixed fee on what is charged; nothing charged, nothing paid."""
+    return F.when(gross > 0, cents(gross * _dec(PAYMENT_RATE) + _dec(PAYMENT_FIXED))).otherwise(_dec("0.00").cast(MONEY))
 
 
 def attributed_marketing(acquisition_cost: Column, is_first_purchase: Column) -> Column:
@@ -88,6 +88,8 @@ def order_economics(orders: DataFrame) -> DataFrame:
         (net == F.col("net_revenue")).cast("int").alias("net_revenue_ok"),
         (margin == F.col("contribution_margin")).cast("int").alias("contribution_margin_ok"),
         (payment_cost(F.col("gross_revenue")) == F.col("payment_cost")).cast("int").alias("payment_cost_ok"),
+        (order_status(F.col("refund_amount"), F.col("gross_revenue")) == F.col("order_status"))
+        .cast("int").alias("order_status_ok"),
     )
 
 
@@ -95,9 +97,9 @@ def treatment_discount(orders: DataFrame, assignments: DataFrame) -> DataFrame:
     """Discount after the treatment floor: ``greatest(discount, floor)`` per order."""
     o = orders.select("order_id", "prospect_id", "gross_revenue", "discount_amount")
     a = assignments.select("prospect_id", "treatment")
-    per_prospect = o.groupBy("prospect_id").agg(F.count(F.lit(1)).alias("_n"))
-    # A prospect with a large share of the orders is spread over several tasks.
-    j = salted_join(o, a, "prospect_id", hot_keys(per_prospect, "prospect_id", "_n"), "left", spread_by="order_id")
+    # Both sides are plain scans, so AQE splits the shuffle partition of a prospect (or of NULL)
+    # that holds a large share of the orders.
+    j = o.join(a, "prospect_id", "left")
     floor = treatment_discount_floor(F.col("treatment"), F.col("gross_revenue"))
     return j.select(
         "order_id", "treatment",

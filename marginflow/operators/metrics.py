@@ -1,60 +1,96 @@
-"""Reusable metric layer: eight named measures evaluated under any grouping.
+"""Reusable metric layer: named measures evaluated under any grouping of the star's attributes.
 
-Each measure belongs to one fact (prospects, orders, deliveries).  Facts are aggregated
-separately on the requested keys and the per-fact aggregates are joined on those keys, so
-no fact is multiplied by another (no fan-out).  Deliveries reach the keys through their
-order.  Division is null-safe (a zero or missing base gives NULL).
+Each measure is defined once, in ``MEASURES``, over sums and counts of one or two facts.  A fact
+is aggregated on those of the requested attributes that filter it: its own columns, or columns of
+a dimension above it (an order has its prospect's attributes, a delivery its order's).  As in a
+star model, an attribute that does not reach a fact does not filter it: prospects by carrier are
+all prospects, under each carrier.  Rows are the attribute values of the facts that every
+requested attribute reaches.  Without attributes the result is the grand total.
+
+Facts are aggregated separately, so none is multiplied by another (no fan-out); aggregates are
+united and grouped, which keeps a NULL attribute value one row.  Division is null-safe.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_of, ratio, round_money
+from ..functions.numeric import mean_of, ratio, round_money, single_row
 
 DEFAULT_KEYS = ("market", "acquisition_channel")
 
-# Measure catalogue: name -> (fact, description).
+# Sums and counts that a fact contributes: name -> (fact, aggregate).
+PARTS = {
+    "eligible": ("prospects", lambda: F.count(F.lit(1))),
+    "converted": ("prospects", lambda: F.sum("_converted")),
+    "revenue": ("orders", lambda: F.sum("net_revenue")),
+    "margin": ("orders", lambda: F.sum("contribution_margin")),
+    "on_time": ("deliveries", lambda: F.sum("on_time")),
+    "judged": ("deliveries", lambda: F.count("on_time")),
+}
+
+
+def _number(part: str) -> Column:
+    return F.coalesce(F.col(part), F.lit(0))
+
+
+# The measures over these parts.
 MEASURES = {
-    "eligible_prospects": ("prospects", "distinct prospects"),
-    "converted_prospects": ("prospects", "distinct prospects with converted = 1"),
-    "conversion_rate": ("prospects", "converted / eligible"),
-    "net_revenue": ("orders", "sum of order net revenue"),
-    "contribution_margin": ("orders", "sum of order contribution margin"),
-    "contribution_margin_pct": ("orders", "margin / net revenue"),
-    "margin_per_eligible_prospect": ("prospects, orders", "margin / eligible prospects"),
-    "on_time_delivery_rate": ("deliveries", "mean of on_time"),
+    "eligible_prospects": lambda: _number("eligible").cast("bigint"),
+    "converted_prospects": lambda: _number("converted").cast("bigint"),
+    "conversion_rate": lambda: ratio(F.col("converted"), _number("eligible")),
+    "net_revenue": lambda: round_money(F.col("revenue")),
+    "contribution_margin": lambda: round_money(F.col("margin")),
+    "contribution_margin_pct": lambda: ratio(F.col("margin"), F.col("revenue")),
+    "margin_per_eligible_prospect": lambda: ratio(F.col("margin"), _number("eligible")),
+    "on_time_delivery_rate": lambda: mean_of(F.col("on_time"), F.col("judged")),
 }
 
 
+def _with_above(fact: DataFrame, above: DataFrame, key: str, keys: list[str]) -> DataFrame:
+    """``fact`` with those requested attributes that only the table above it has."""
+    wanted = [k for k in keys if k not in fact.columns and k in above.columns]
+    return fact.join(above.select(key, *wanted), key, "left") if wanted else fact
+
+
 def metric_layer(prospects: DataFrame, orders: DataFrame, deliveries: DataFrame,
-                 keys: tuple[str, ...] = DEFAULT_KEYS) -> DataFrame:
+                 keys: tuple[str, ...] = DEFAULT_KEYS, assignments: DataFrame | None = None) -> DataFrame:
     keys = list(keys)
-    # Distinct counts as two plain aggregations (per prospect, then per key): no Expand of
-    # the input for two DISTINCT aggregates, and each step combines map-side.
-    per_prospect = (prospects.where(F.col("prospect_id").isNotNull())
-                    .groupBy(*keys, "prospect_id")
-                    .agg(F.max((F.col("converted") == 1).cast("int")).alias("_conv")))
-    p = per_prospect.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("eligible_prospects"),
-        F.sum(F.coalesce(F.col("_conv"), F.lit(0))).alias("converted_prospects"))
-    o = orders.groupBy(*keys).agg(F.sum("net_revenue").alias("_rev"), F.sum("contribution_margin").alias("_cm"))
-    d = (deliveries.select("order_id", "on_time")
-         .join(orders.select("order_id", *keys), "order_id")
-         .groupBy(*keys).agg(F.sum("on_time").alias("_on_time"), F.count("on_time").alias("_n_on_time")))
-    # Per-fact aggregates have one row per key combination: the joins are 1:1 on the keys.
-    j = reduce(lambda a, b: a.join(b, keys, "full_outer"), [p, o, d])
-    eligible = F.coalesce(F.col("eligible_prospects"), F.lit(0))
-    return j.select(
-        *keys,
-        eligible.cast("bigint").alias("eligible_prospects"),
-        F.coalesce(F.col("converted_prospects"), F.lit(0)).cast("bigint").alias("converted_prospects"),
-        ratio(F.col("converted_prospects"), eligible).alias("conversion_rate"),
-        round_money(F.col("_rev")).alias("net_revenue"),
-        round_money(F.col("_cm")).alias("contribution_margin"),
-        ratio(F.col("_cm"), F.col("_rev")).alias("contribution_margin_pct"),
-        ratio(F.col("_cm"), eligible).alias("margin_per_eligible_prospect"),
-        mean_of(F.col("_on_time"), F.col("_n_on_time")).alias("on_time_delivery_rate"))
+    if assignments is not None and "treatment" in keys:
+        prospects = prospects.join(assignments.select("prospect_id", "treatment"), "prospect_id", "left")
+    # Distinct prospects: one row each (map-side combined) before they are counted.
+    own = [k for k in keys if k in prospects.columns]
+    people = (prospects.where(F.col("prospect_id").isNotNull()).groupBy(*own, "prospect_id")
+              .agg(F.max((F.col("converted") == 1).cast("int")).alias("_converted")))
+    bought = _with_above(orders, prospects, "prospect_id", keys)
+    shipped = _with_above(deliveries, bought, "order_id", keys)
+    facts = {"prospects": people, "orders": bought, "deliveries": shipped}
+    reach = {name: [k for k in keys if k in df.columns] for name, df in facts.items()}
+    if not any(reach[name] == keys for name in facts):
+        raise ValueError(f"no fact has all of {keys}")
+
+    def aggregated(name: str) -> DataFrame:
+        parts = [make().alias(p) for p, (fact, make) in PARTS.items() if fact == name]
+        return facts[name].groupBy(*reach[name]).agg(*parts)
+
+    rows = None
+    for name in facts:  # facts that every attribute reaches
+        if reach[name] == keys:
+            mine = aggregated(name)
+            wide = mine.select(*keys, *[F.col(p) if p in mine.columns else F.lit(None).cast("decimal(38,2)").alias(p)
+                                        for p in PARTS])
+            rows = wide if rows is None else rows.union(wide)
+    out = rows.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in PARTS])
+    for name in facts:  # facts that only some attributes reach: their value repeats
+        if reach[name] == keys:
+            continue
+        mine, parts = aggregated(name), [p for p, (fact, _) in PARTS.items() if fact == name]
+        if reach[name]:
+            side = mine.select(*[F.col(k).alias(f"_{k}") for k in reach[name]], *parts)
+            met = [out[k].eqNullSafe(side[f"_{k}"]) for k in reach[name]]
+            out = out.drop(*parts).join(side, met, "left")
+        else:
+            total = single_row(mine)
+            out = out.select(*[c for c in out.columns if c not in parts], *[total[p].alias(p) for p in parts])
+    return out.select(*keys, *[make().alias(m) for m, make in MEASURES.items()])

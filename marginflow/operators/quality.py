@@ -144,20 +144,26 @@ def experiment_health(prospects: DataFrame, experiment_mart: DataFrame) -> DataF
     return variety.unionByName(arms)
 
 
+def table_checks(tables: Tables) -> DataFrame:
+    """Every check that looks at tables alone, one row each."""
+    return _union([unique_keys(tables), _single_pass(tables, ("not_null", "accepted_values", "range")),
+                   orphans(tables)])
+
+
 def report(tables: Tables, channel_mart: DataFrame, experiment_mart: DataFrame) -> DataFrame:
     """Every check, one row each."""
     return _union([
-        unique_keys(tables), _single_pass(tables, ("not_null", "accepted_values", "range")), orphans(tables),
-        reconciliation(tables["fct_orders"], channel_mart),
+        table_checks(tables), reconciliation(tables["fct_orders"], channel_mart),
         experiment_health(tables["dim_prospect"], experiment_mart),
     ])
 
 
-def schema_violations(tables: Tables) -> list[tuple[str, str, str]]:
+def schema_violations(tables: Tables, check_nullable: bool = False) -> list[tuple[str, str, str]]:
     """Declared-schema check (driver-side, metadata only): (table, column, problem) per mismatch.
 
-    A missing column, an unexpected type or a nullable column declared NOT NULL is reported;
-    extra columns are allowed (the typed load ignores them too).
+    A missing column or an unexpected type is reported, and with ``check_nullable`` a nullable
+    column declared NOT NULL (tables read from Parquet are always nullable: for them ``not_null``
+    looks at the rows).  Extra columns are allowed (the typed load ignores them too).
     """
     problems = []
     for table, df in tables.items():
@@ -166,6 +172,8 @@ def schema_violations(tables: Tables) -> list[tuple[str, str, str]]:
             got = actual.get(f.name)
             if got is None:
                 problems.append((table, f.name, "missing"))
+            elif got.nullable and not f.nullable and check_nullable:
+                problems.append((table, f.name, "nullable"))
             elif got.dataType != f.dataType:
                 problems.append((table, f.name, f"type {got.dataType.simpleString()} != {f.dataType.simpleString()}"))
     return problems
@@ -182,7 +190,7 @@ class QualityError(AssertionError):
 
 def assert_quality(report_df: DataFrame) -> None:
     """Raise when any check has violations (runs one small job over the report)."""
-    failing = report_df.where(F.col("violations") > 0).limit(50).collect()
+    failing = report_df.where(F.col("violations") > 0).collect()  # a row a declared check at most
     if failing:
         detail = ", ".join(f"{r['check']} {r['table']}.{r['column']}={r['violations']}" for r in failing)
         raise QualityError(f"data quality violations: {detail}")

@@ -26,6 +26,14 @@ from ..session import scratch_dir
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
 
 
+ROWS_PER_SLICE = 500_000
+
+
+def slices_for(rows: int) -> int:
+    """Slices by the number of rows: few enough that each has a fair sample of the bounds."""
+    return max(8, -(-rows // ROWS_PER_SLICE))
+
+
 def _slices(df: DataFrame, slices: int | None) -> int:
     if slices:
         return slices

@@ -54,8 +54,10 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how
     # ``hot`` is bounded by P / 2 rows (see hot_keys), so broadcasting it is safe.
     hk = F.broadcast(hot)
     lj = left.join(hk, left[key] == hk["_hot_key"], "left")
-    salt_l = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.col(spread)), F.col("_salts")).cast("int"))
+    # A NULL key meets nothing: its rows are spread over all partitions.
+    spread_hash = F.xxhash64(F.col(spread))
+    salt_l = F.when(left[key].isNull(), F.pmod(spread_hash, F.lit(_partitions(left, None))).cast("int")).when(
+        F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(spread_hash, F.col("_salts")).cast("int"))
     lsalted = lj.select(*[lj[c] for c in left.columns], salt_l.alias("_salt"))
     rj = right.join(hk, right[key] == hk["_hot_key"], "left")
     copies = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, round_money
+from ..sources.csv import load_text_csv
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -17,6 +18,13 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def load_extract(model, table: str) -> DataFrame:
+    """A table's text extract: the written CSV of a built warehouse, else the table as text."""
+    if hasattr(model, "extract"):
+        return load_text_csv(model.spark, model.extract(table), one_header=True)
+    return as_text(model.table(table))
+
+
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
     return raw_customers.select("customer_id", "prospect_id", "market", "acquisition_channel", "acquisition_date")
 

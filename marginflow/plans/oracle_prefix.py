@@ -51,13 +51,14 @@ c_lines AS (
         CAST(MAX(l_shipdate) AS DATE) AS last_ship_date
     FROM lineitem GROUP BY l_orderkey
 ),
-c_window AS (
+c_every AS (
     SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, 'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS order_id,
-        CAST(o.o_orderdate AS DATE) AS order_date, l.*,
+        CAST(o.o_orderdate AS DATE) AS order_date, l.l_orderkey IS NOT NULL AS has_lines, l.min_suppkey,
+        l.last_ship_date, COALESCE(l.price_sum, 0) AS price_sum, COALESCE(l.discount_sum, 0) AS discount_sum,
+        COALESCE(l.refund_lines, 0) AS refund_lines, COALESCE(l.all_returned, FALSE) AS all_returned,
         ROW_NUMBER() OVER (PARTITION BY o.o_custkey ORDER BY CAST(o.o_orderdate AS DATE),
-                           'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0')) AS window_rank
-    FROM orders o JOIN c_lines l ON l.l_orderkey = o.o_orderkey
-    WHERE o.o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
+                           'O' || lpad(CAST(o.o_orderkey AS VARCHAR), 12, '0')) AS nth_order
+    FROM orders o LEFT JOIN c_lines l ON l.l_orderkey = o.o_orderkey
 ),
 c_amounts AS (
     SELECT w.*, a.market, a.acquisition_channel,
@@ -66,25 +67,26 @@ c_amounts AS (
         CASE w.min_suppkey % 3 WHEN 0 THEN 'BalticPost' WHEN 1 THEN 'FastShip' WHEN 2 THEN 'EconomyBox' END AS carrier,
         CAST(CASE a.acquisition_channel WHEN 'Paid Search' THEN 18 WHEN 'Paid Social' THEN 23
              WHEN 'Organic Search' THEN 5 WHEN 'CRM' THEN 4 WHEN 'Affiliate' THEN 15 END AS DECIMAL(18,2)) AS acq_cost
-    FROM c_window w JOIN c_customer_attrs a ON a.c_custkey = w.o_custkey
+    FROM c_every w LEFT JOIN c_customer_attrs a ON a.c_custkey = w.o_custkey
 ),
 c_amounts2 AS (
     SELECT x.*,
-        CASE WHEN x.all_returned THEN 'refunded' ELSE 'completed' END AS order_status,
-        CAST(CASE WHEN x.all_returned THEN x.gross_revenue - x.discount_amount
+        CAST(CASE WHEN x.all_returned THEN x.gross_revenue
              ELSE ROUND(CAST(x.refund_lines AS DECIMAL(28,4)) * 0.001, 2) END AS DECIMAL(18,2)) AS refund_amount,
         CAST(ROUND(x.gross_revenue * 0.70, 2) AS DECIMAL(18,2)) AS product_cost,
-        CAST(ROUND(CAST(CASE x.market WHEN 'LV' THEN 4.1 WHEN 'LT' THEN 4.8 WHEN 'EE' THEN 5.4 END AS DECIMAL(2,1))
+        CAST(CASE WHEN NOT x.has_lines THEN 0 ELSE ROUND(CAST(CASE x.market WHEN 'LV' THEN 4.1 WHEN 'LT' THEN 4.8 WHEN 'EE' THEN 5.4 END AS DECIMAL(2,1))
              * CAST(CASE x.carrier WHEN 'BalticPost' THEN 0.95 WHEN 'FastShip' THEN 1.15
-                    WHEN 'EconomyBox' THEN 0.82 END AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS delivery_cost,
-        CAST(ROUND(x.gross_revenue * 0.018 + 0.20, 2) AS DECIMAL(18,2)) AS payment_cost,
-        CAST(2.10 AS DECIMAL(18,2)) AS fulfillment_cost,
-        CAST(CASE WHEN x.window_rank = 1 THEN x.acq_cost ELSE ROUND(x.acq_cost * 0.03, 2) END
+                    WHEN 'EconomyBox' THEN 0.82 END AS DECIMAL(3,2)), 2) END AS DECIMAL(18,2)) AS delivery_cost,
+        CAST(CASE WHEN x.gross_revenue > 0 THEN ROUND(x.gross_revenue * 0.018 + 0.20, 2) ELSE 0 END
+             AS DECIMAL(18,2)) AS payment_cost,
+        CAST(CASE WHEN x.has_lines THEN 2.10 ELSE 0 END AS DECIMAL(18,2)) AS fulfillment_cost,
+        CAST(CASE WHEN x.nth_order = 1 THEN x.acq_cost ELSE ROUND(x.acq_cost * 0.03, 2) END
              AS DECIMAL(18,2)) AS attributed_marketing_cost
     FROM c_amounts x
 ),
 c_amounts3 AS (
-    SELECT y.*, CAST(y.gross_revenue - y.discount_amount - y.refund_amount AS DECIMAL(18,2)) AS net_revenue
+    SELECT y.*, CAST(y.gross_revenue - y.discount_amount - y.refund_amount AS DECIMAL(18,2)) AS net_revenue,
+        CASE WHEN y.refund_amount >= y.gross_revenue THEN 'refunded' ELSE 'completed' END AS order_status
     FROM c_amounts2 y
 ),
 c_orders AS (
@@ -105,18 +107,19 @@ c_deliveries AS (
         CAST(CASE WHEN z.last_ship_date <= CAST(z.order_date + INTERVAL 3 DAY AS DATE) THEN 1 ELSE 0 END
              AS INTEGER) AS on_time,
         z.delivery_cost
-    FROM c_amounts3 z
+    FROM c_amounts3 z WHERE z.has_lines
 ),
 c_customers AS (
     SELECT 'C' || CAST(w.o_custkey AS VARCHAR) AS customer_id, 'P' || CAST(w.o_custkey AS VARCHAR) AS prospect_id,
         a.market, a.acquisition_channel, w.order_date AS acquisition_date
-    FROM c_window w JOIN c_customer_attrs a ON a.c_custkey = w.o_custkey
-    WHERE w.window_rank = 1
+    FROM c_every w LEFT JOIN c_customer_attrs a ON a.c_custkey = w.o_custkey
+    WHERE w.nth_order = 1 AND w.o_custkey IS NOT NULL
 ),
 c_prospects AS (
     SELECT 'P' || CAST(a.c_custkey AS VARCHAR) AS prospect_id, a.market, a.acquisition_channel,
         a.category_interest, a.device_type, a.engagement_score, DATE '2001-01-01' AS assignment_date,
-        CAST(CASE WHEN EXISTS (SELECT 1 FROM c_window w WHERE w.o_custkey = a.c_custkey) THEN 1 ELSE 0 END
+        CAST(CASE WHEN EXISTS (SELECT 1 FROM c_every w WHERE w.o_custkey = a.c_custkey
+                                      AND w.order_date >= DATE '2001-01-01') THEN 1 ELSE 0 END
              AS INTEGER) AS converted
     FROM c_customer_attrs a
 ),

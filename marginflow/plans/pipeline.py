@@ -4,11 +4,13 @@
 
 1. build the warehouse (``warehouse.build_warehouse``: one pass over the line table, the
    six commerce tables written with a full refresh);
-2. compute the quality report and, with ``strict=True``, stop on any violation;
-3. write every mart as Parquet (``<out>/marts/<name>``) - marts read by several reports
-   (channel, logistics, experiment) are materialised first and reused;
-4. write the four decision marts, the carrier summary and the cohort table as single ordered
-   CSV files with a header (``<out>/reports/<name>``), ordered as the published reports are.
+2. compute the quality report and stop on any violation, before any other mart is written
+   (``strict=False`` goes on; duplicate keys stop the build in any case);
+3. register the staging models as views and write every mart, the funnel included, as Parquet
+   with comments (``<out>/marts/<name>``) - marts read by several reports (channel, logistics,
+   experiment) are materialised first and reused;
+4. write the report marts (decision marts, carrier summary, cohorts, funnel, rank and carrier
+   trade-off) as single ordered CSV files with a header (``<out>/reports/<name>``), ordered as the published reports are.
 
 Returns the output paths.  All work is Spark jobs; the driver only sequences them.
 """
@@ -19,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import analysis, customer, marts, metrics, quality, stats
+from ..operators import analysis, customer, marts, metrics, quality, staging, stats
 from ..sources import sinks
+from .views import staging_models
 from .warehouse import build_warehouse
 
 # Published report order of the report marts: (column, descending).
@@ -30,6 +33,9 @@ REPORT_ORDER = {
     "logistics": [("carrier", False), ("market", False)],
     "experiment": [("treatment", False)],
     "carrier_summary": [("on_time_rate", True)],
+    "channel_funnel": [("acquisition_channel", False)],
+    "channel_rank_report": [("profitability_rank", False), ("acquisition_channel", False)],
+    "carrier_tradeoff_report": [("on_time_rate", False), ("market", False), ("carrier", False)],
     "cohort_profitability_90d": [("acquisition_month", False), ("market", False), ("acquisition_channel", False)],
 }
 
@@ -38,7 +44,7 @@ def _sort_columns(name: str) -> list:
     return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in REPORT_ORDER[name]]
 
 
-def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False) -> dict[str, str]:
+def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = True) -> dict[str, str]:
     out = out_dir.rstrip("/")
     wh = build_warehouse(spark, data_dir, f"{out}/warehouse")
     tables = {name: wh.table(name) for name in schemas.TABLES}
@@ -50,14 +56,17 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False)
     def keep(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/marts/{name}"
         paths[name] = path
-        return sinks.materialize(df, path)
+        return sinks.materialize(df, path, name)
 
     channel = keep("channel_profitability", marts.channel_profitability(p, o))
-    logistics = keep("logistics", marts.logistics(d, o))
     experiment = keep("experiment", marts.experiment(a, p, o))
     report = keep("quality_report", quality.report(tables, channel, experiment))
     if strict:
         quality.assert_quality(report)
+    logistics = keep("logistics", marts.logistics(d, o))
+    stages = staging_models(wh)
+    for name, df in stages.items():  # views: staging is read, not stored
+        schemas.with_comments(df, name).createOrReplaceTempView(name)
     market = keep("market_profitability", marts.market_profitability(o))
     experiment_stats = keep("experiment_stats", stats.experiment_statistics(experiment))
     derived = {
@@ -68,6 +77,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False)
         "channel_decision": marts.channel_decision(channel),
         "experiment_decision": stats.experiment_decision(experiment_stats),
         "experiment_comparison": stats.experiment_comparison(experiment),
+        "channel_funnel": staging.channel_funnel(stages["stg_prospects"], stages["stg_orders"]),
         "channel_rank": analysis.channel_rank(channel),
         "carrier_tradeoff": analysis.carrier_tradeoff(logistics),
         "experiment_itt": analysis.experiment_itt(experiment),
@@ -81,16 +91,18 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = False)
     # per month x market x channel for the cohorts.
     reports = {"channel_profitability": channel, "market_profitability": market, "logistics": logistics,
                "experiment": experiment_stats, "carrier_summary": kept["carrier_summary"],
-               "cohort_profitability_90d": kept["cohort_profitability_90d"]}
+               "cohort_profitability_90d": kept["cohort_profitability_90d"],
+               "channel_funnel": kept["channel_funnel"], "channel_rank_report": kept["channel_rank"],
+               "carrier_tradeoff_report": kept["carrier_tradeoff"]}
     for name, df in reports.items():
         path = f"{out}/reports/{name}"
-        sinks.write_report_csv(df, path, _sort_columns(name))
+        sinks.write_report_csv(df, path, name, _sort_columns(name))
         paths[f"report:{name}"] = path
     return paths
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m marginflow.plans.pipeline DATA_DIR OUT_DIR [--strict] [--master local[8]]``."""
+    """``python -m marginflow.plans.pipeline DATA_DIR OUT_DIR [--lenient] [--master local[8]]``."""
     import argparse
     import json
 
@@ -99,12 +111,12 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Full batch rebuild: warehouse, quality, marts, reports.")
     parser.add_argument("data_dir")
     parser.add_argument("out_dir")
-    parser.add_argument("--strict", action="store_true", help="stop when a quality check has violations")
+    parser.add_argument("--lenient", action="store_true", help="go on when a quality check has violations")
     parser.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
     try:
-        print(json.dumps(run(spark, args.data_dir, args.out_dir, strict=args.strict), indent=1))
+        print(json.dumps(run(spark, args.data_dir, args.out_dir, strict=not args.lenient), indent=1))
     finally:
         spark.stop()
 

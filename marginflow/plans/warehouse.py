@@ -2,20 +2,21 @@
 
 The build runs once per session and data directory:
 
-1. window orders joined with their aggregated lines are written to the shared scratch
-   folder - ``lineitem``, the largest input, is scanned and shuffled exactly once, and the
+1. orders joined with their aggregated lines are written to the shared scratch folder -
+   ``lineitem``, the largest input, is scanned and shuffled exactly once, and the
    written table cuts the lineage, so a lost executor never sends a mart back to
    ``lineitem``; from it the order-level frame (customer attributes, first-order flag,
    all amounts) is joined once and written too;
 2. the six commerce tables are projections of that frame (customers are its first-order
-   rows; prospects join it to the customer attributes) and are written as Parquet (full
-   refresh, dimensions first).
+   rows; prospects join it to the customer attributes) and are written as Parquet with
+   their column comments (full refresh, dimensions first);
+3. keys are checked before any mart may read them: a duplicate stops the build, so marts
+   count rows where they mean keys.
 
 Marts then read the written tables (narrow, column-pruned scans of order-level data).
-The build is memoised per (session, data directory); inputs are treated as an immutable
-snapshot for the life of the session (``refresh=True`` rebuilds).  Storage is the folder
-named by ``spark.checkpoint.dir`` (shared on a cluster); only when that is unset, as in
-local tests, a folder of our own is registered.
+The build is memoised per session, data directory and state of the input files, so changed
+inputs are built anew (``refresh=True`` always rebuilds).  Storage is the folder named by
+``spark.checkpoint.dir`` (shared on a cluster); only a local master may do without.
 """
 
 from __future__ import annotations
@@ -23,13 +24,20 @@ from __future__ import annotations
 import re
 import threading
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators import quality
 from ..session import scratch_dir
+from ..sources import csv
 from ..sources.adapter import CommerceModel
+from ..sources.tables import input_state
+
+INPUTS = ("customer", "nation", "orders", "lineitem", "events")
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple, "WarehouseModel"] = {}
@@ -41,9 +49,29 @@ class WarehouseModel:
 
     spark: SparkSession
     paths: dict[str, str]
+    root: str = ""
 
     def __post_init__(self):
         self._relations: dict[str, DataFrame] = {}
+        self._written: dict[str, str] = {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result written once for this build and read back on later calls."""
+        if name not in self._written:
+            path = f"{self.root}/derived/{name}"
+            build().write.mode("overwrite").parquet(path)
+            self._written[name] = path
+        return self.spark.read.parquet(self._written[name])
+
+    def extract(self, name: str) -> str:
+        """Folder of a table's CSV extract, written once for this build: columns in reverse
+        order and one more, so that only a load by name reads it right."""
+        path = f"{self.root}/extracts/{name}"
+        if path not in self._written:
+            df = self.table(name)
+            csv.write_csv_extract(df.select(F.lit("x").alias("unused_extra"), *reversed(df.columns)), path)
+            self._written[path] = path
+        return path
 
     def table(self, name: str) -> DataFrame:
         """The written table (relation resolved once; each query reads the files itself)."""
@@ -81,14 +109,15 @@ def _slug(data_dir: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", "_", data_dir.strip("/"))[-60:]
 
 
-def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = None) -> WarehouseModel:
+def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = None,
+                    check_keys: bool = True) -> WarehouseModel:
     """Run the ETL for ``data_dir`` and return the model over the written tables."""
     root = out_dir or f"{scratch_dir(spark)}/warehouse/{_slug(data_dir)}-{uuid.uuid4().hex[:12]}"
     lazy = CommerceModel(spark, data_dir)
-    # Stage 1: the single pass over lineitem (aggregated per order, joined to window orders).
-    window_path = f"{root}/_stage/window_orders"
-    lazy.window_orders.write.mode("overwrite").parquet(window_path)
-    windowed = CommerceModel(spark, data_dir, staged_window_orders=spark.read.parquet(window_path))
+    # Stage 1: the single pass over lineitem (aggregated per order, joined to orders).
+    totals_path = f"{root}/_stage/order_totals"
+    lazy.order_totals.write.mode("overwrite").parquet(totals_path)
+    windowed = CommerceModel(spark, data_dir, staged_order_totals=spark.read.parquet(totals_path))
     # Stage 2: customer attributes, first-order flag and amounts, joined once.
     frame_path = f"{root}/_stage/order_frame"
     windowed._order_frame.write.mode("overwrite").parquet(frame_path)
@@ -96,14 +125,18 @@ def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = No
     paths = {}
     for name in schemas.LOAD_ORDER:  # dimensions before facts
         path = f"{root}/{name}"
-        staged.table(name).write.mode("overwrite").parquet(path)
+        schemas.with_comments(staged.table(name), name).write.mode("overwrite").parquet(path)
         paths[name] = path
-    return WarehouseModel(spark, paths)
+    built = WarehouseModel(spark, paths, root)
+    if check_keys:
+        quality.assert_quality(quality.unique_keys({name: built.table(name) for name in schemas.TABLES}))
+    return built
 
 
 def warehouse(spark: SparkSession, data_dir: str, refresh: bool = False) -> WarehouseModel:
     """The warehouse of ``data_dir`` for this session, built on first use."""
-    key = (id(spark), spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    state = tuple(input_state(spark, f"{data_dir.rstrip('/')}/{t}.parquet") for t in INPUTS)
+    key = (id(spark), spark.sparkContext.applicationId, data_dir.rstrip("/"), hash(state))
     with _LOCK:
         if refresh or key not in _BUILT:
             _BUILT[key] = build_warehouse(spark, data_dir)

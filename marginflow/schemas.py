@@ -7,6 +7,8 @@ average them.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, D, I, DT = T.StringType(), T.DoubleType(), T.IntegerType(), T.DateType()
@@ -91,24 +93,69 @@ def not_null_columns(table: str) -> list[str]:
     return [f.name for f in TABLES[table].fields if not f.nullable]
 
 
-# Column documentation carried as StructField metadata (``comment``).
+# Marts that have a row for each value of fixed domains (channel, market, carrier, arm, month).
+REPORT_MARTS = frozenset({
+    "channel_profitability", "market_profitability", "logistics", "experiment", "carrier_summary",
+    "cohort_profitability_90d", "channel_funnel", "channel_rank_report", "carrier_tradeoff_report"})
+
+# Documentation, written as table and column comments.
+MODEL_DOCS = {
+    "dim_prospect": "One row for each person the campaign addressed, converted or not.",
+    "dim_customer": "One row for each person with an order.",
+    "fct_orders": "One row for each order, with every cost that enters its margin.",
+    "fct_deliveries": "One row for each order that was shipped.",
+    "fct_experiment_assignments": "The arm that each prospect was drawn into.",
+    "fct_marketing_spend": "Spend by month, market and channel.",
+    "stg_customers": "Customers as the text extract has them.",
+    "stg_orders": "Orders of the text extract, money as numbers.",
+    "stg_prospects": "Prospects of the text extract, score and flag as numbers.",
+    "channel_funnel": "From addressed to converted to margin, by channel.",
+    "channel_profitability": "What a channel's prospects ordered and earned.",
+    "channel_profitability_distinct": "The same with each prospect counted once.",
+    "market_profitability": "Completed orders by market.",
+    "logistics": "Punctuality and cost by carrier and market.",
+    "experiment": "Outcome of each arm over all who were assigned.",
+    "customer_90d": "What a customer did in the first 90 days.",
+    "cohort_profitability_90d": "First 90 days by month of acquisition, market and channel.",
+    "customer_lifetime": "All orders of a customer so far.",
+}
 COLUMN_DOCS = {
-    ("dim_prospect", "prospect_id"): "Unique identifier for each prospect contacted during the campaign.",
-    ("dim_prospect", "market"): "Market the prospect belongs to (LV, LT or EE).",
-    ("dim_prospect", "acquisition_channel"): "Marketing channel through which the prospect was first reached.",
-    ("dim_prospect", "engagement_score"): "Pre-purchase marketing engagement, 0 to 1.",
-    ("dim_prospect", "converted"): "1 when the prospect went on to purchase.",
-    ("fct_orders", "order_id"): "Unique identifier for each order.",
-    ("fct_orders", "net_revenue"): "Revenue after discounts and refunds.",
-    ("fct_orders", "contribution_margin"): "Net revenue minus variable costs and attributed marketing.",
-    ("dim_customer", "acquisition_date"): "Date the prospect became a paying customer.",
+    "prospect_id": "Key of a prospect.", "customer_id": "Key of a customer.", "order_id": "Key of an order.",
+    "market": "Country code: LV, LT or EE.", "acquisition_channel": "Channel that brought the prospect in.",
+    "channel": "Channel the money was spent on.", "category_interest": "Product group the prospect looked at most.",
+    "device_type": "Phone or computer.", "engagement_score": "Interest before any purchase, from 0 to 1.",
+    "assignment_date": "Day the campaign began for this prospect.", "converted": "1 if an order followed the campaign.",
+    "acquisition_date": "Day of the first order.", "order_date": "Day of the order.", "category": "Product group.",
+    "order_status": "refunded once the refund reaches the gross amount, else completed.",
+    "gross_revenue": "Charged before any deduction.", "discount_amount": "Granted off the gross amount.",
+    "refund_amount": "Paid back.", "product_cost": "Cost of the goods.", "delivery_cost": "Paid to the carrier.",
+    "payment_cost": "Paid to the payment provider.", "fulfillment_cost": "Picking and packing.",
+    "attributed_marketing_cost": "Share of acquisition spend borne by this order.",
+    "net_revenue": "Gross less discount and refund.", "contribution_margin": "Net revenue less all costs listed here.",
+    "carrier": "Who delivered.", "promised_date": "Latest day promised.", "delivered_date": "Day of arrival.",
+    "on_time": "1 if it came by the promised day.", "experiment_id": "Name of the experiment.",
+    "treatment": "Arm: control or treatment.", "month": "First day of the month.", "spend": "Money spent.",
+    "prospects": "Prospects (rows joined with orders, in the funnel).", "customers": "Converted, weighted by order rows.",
+    "converted_prospects": "How many converted.", "assigned_prospects": "How many were drawn into the arm.",
+    "conversion_rate": "Converted per prospect.", "orders": "Number of orders.",
+    "contribution_margin_pct": "Margin per unit of net revenue.", "margin_per_prospect": "Margin per prospect.",
+    "contribution_margin_per_order": "Mean margin of an order.", "deliveries": "Number of deliveries.",
+    "on_time_rate": "Share of deliveries on time.", "avg_delivery_cost": "Mean cost of a delivery.",
+    "margin_per_assigned_prospect": "Margin over all assigned.", "revenue_per_assigned_prospect": "Revenue over all assigned.",
+    "acquisition_month": "Month of the first completed order.", "acquired_customers": "Customers of the cohort.",
 }
 
 
 def documented(table: str) -> T.StructType:
     """The declared schema with column comments attached as metadata."""
-    fields = []
-    for f in TABLES[table].fields:
-        doc = COLUMN_DOCS.get((table, f.name))
-        fields.append(T.StructField(f.name, f.dataType, f.nullable, {"comment": doc} if doc else {}))
-    return T.StructType(fields)
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {"comment": COLUMN_DOCS[f.name]})
+                         for f in TABLES[table].fields])
+
+
+def with_comments(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with its columns' comments, the first one led by the model's own."""
+    out = []
+    for i, c in enumerate(df.columns):
+        told = ([MODEL_DOCS[name]] if i == 0 and name in MODEL_DOCS else []) + ([COLUMN_DOCS[c]] if c in COLUMN_DOCS else [])
+        out.append(F.col(c).alias(c, metadata={"comment": " ".join(told)}) if told else F.col(c))
+    return df.select(*out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -70,14 +71,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set.  Only when it is unset (local runs,
-    tests) a fresh folder is created and registered as the checkpoint directory.
+    Uses the cluster's ``spark.checkpoint.dir`` when set.  Where it is unset, a local master
+    (tests) gets a fresh folder of its own, registered as the checkpoint directory; any other
+    master is refused, as its executors would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by all executors (master {master})")
     base = tempfile.mkdtemp(prefix="marginflow-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir() or base

@@ -2,22 +2,24 @@
 
 Mapping (one prospect per customer, one order per order in the analysis window):
 
-* window orders ``w``: orders with ``o_orderdate >= 2001-01-01`` that have at least one line;
 * prospect: market from the customer's region, channel from the market segment,
-  ``converted`` = the customer has an order in ``w``;
-* customer: one per converter, acquired on the date of the first order in ``w``;
-* order: amounts in thousandths of the line prices, each rounded to cents;
-* delivery: carrier from the lowest supplier key, delivered on the last ship date;
+  ``converted`` = the customer has an order on or after the campaign start;
+* customer: one per customer key that orders name, acquired on the date of its first order;
+* order: every order; amounts in thousandths of the line prices, each rounded to cents.  An order
+  without lines has zero amounts and no delivery; one whose customer is unknown keeps its row
+  with NULL attributes, so that the quality checks report it;
+* delivery: one per order with lines; carrier from the lowest supplier key, delivered on the last
+  ship date;
 * marketing spend: event values by month, user bucket and event type.
 
-All amounts are exact ``decimal(18,2)``.  Plans only: nothing here triggers a job.
+All amounts are exact ``decimal(18,2)``; source values finer than the units stop the job rather
+than be rounded.  Plans only: nothing here triggers a job.
 
 Scale notes.  ``lineitem`` is the only large input; it is aggregated per order with
 map-side partial aggregation before it is shuffled, so the shuffle carries one row per
-order and map partition.  The window filter on ``o_orderdate`` is pushed into the orders
-scan.  Explicit broadcasts: ``nation`` (fixed 25 rows) and the hot-key table of the salted
-orders-to-customer join (fewer than P/2 rows by construction); other customer-sized joins are
-left to AQE (sort-merge, or broadcast when the runtime size is under the threshold).  The
+order and map partition.  The only explicit broadcast is the hot-key table of the salted
+orders-to-customer join (fewer than P/2 rows by construction); all other joins are left to AQE
+(sort-merge, or broadcast when the runtime size is under the threshold).  The
 first order of a customer is a hash-aggregated ``min`` of a packed (day, order key), not a
 window, so a customer holding a third of all orders is combined map-side, and that customer's
 orders are spread over several join tasks by salting.
@@ -39,7 +41,7 @@ from ..operators.skew import hot_keys, salted_join
 from .tables import read_table
 
 # Mapping of the driver tables onto the commerce model.
-WINDOW_START = "2001-01-01"
+CAMPAIGN_START = "2001-01-01"  # assignment date; orders from then on make a conversion
 EXPERIMENT_ID = "free_shipping_threshold"
 MARKET_BY_REGION = {0: "LV", 1: "LV", 2: "LT", 3: "LT", 4: "EE"}
 CHANNEL_BY_SEGMENT = {
@@ -104,18 +106,13 @@ def order_key_id(key: Column) -> Column:
     return surrogate_key("O", guarded_order_key(key), ORDER_ID_DIGITS)
 
 
-def _ts_literal(df: DataFrame, column: str, text: str) -> Column:
-    """A constant of the column's own timestamp type, so the comparison is pushed to the scan.
-
-    The source timestamps are wall-clock values (not adjusted to UTC).  Read as
-    ``timestamp_ntz`` they compare with a plain literal; read as session-zone ``timestamp``
-    (``inferTimestampNTZ`` off) their instants are the wall clock taken as UTC, so the literal
-    is pinned to UTC as well, whatever the session time zone.
-    """
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(text).cast(dtype)
-    return F.lit(f"{text}Z").cast(dtype)
+def exact_units(value: Column, units: int) -> Column:
+    """``value * units`` as a whole number, failing the job where the source is finer than that."""
+    scaled = value * F.lit(float(units))
+    whole = F.round(scaled)
+    exact = F.abs(scaled - whole) < 1e-4
+    return F.when(exact, whole).when(value.isNotNull(), F.raise_error(
+        F.lit(f"source value finer than 1/{units}")).cast("double")).cast("bigint")
 
 
 def wall_date(df: DataFrame, column: str) -> Column:
@@ -133,13 +130,13 @@ class CommerceModel:
 
     spark: SparkSession
     data_dir: str
-    # When set, the order-level frame (window orders with line totals, customer attributes,
+    # When set, the order-level frame (orders with line totals, customer attributes,
     # first-order flag and amounts) is read from this already-written table; all six tables
     # are then projections of it and ``lineitem`` is not read again.
     staged_order_frame: DataFrame | None = None
-    # When set, window orders (orders joined with their aggregated lines) come from this
-    # already-written table: the only pass over ``lineitem``.
-    staged_window_orders: DataFrame | None = None
+    # When set, orders joined with their aggregated lines come from this already-written
+    # table: the only pass over ``lineitem``.
+    staged_order_totals: DataFrame | None = None
 
     def _read(self, name: str, columns: list[str]) -> DataFrame:
         return read_table(self.spark, self.data_dir, name, columns)
@@ -149,8 +146,7 @@ class CommerceModel:
     def customer_attributes(self) -> DataFrame:
         c = self._read("customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
         nation = self._read("nation", ["n_nationkey", "n_regionkey"])
-        # nation is a fixed 25-row dimension: broadcasting it is size-bounded.
-        joined = c.join(F.broadcast(nation), c.c_nationkey == nation.n_nationkey, "left")
+        joined = c.join(nation, c.c_nationkey == nation.n_nationkey, "left")
         return joined.select(
             F.col("c_custkey"),
             lookup(MARKET_BY_REGION, F.col("n_regionkey")).alias("market"),
@@ -166,17 +162,19 @@ class CommerceModel:
     def order_lines(self) -> DataFrame:
         """Per order: line totals in exact integer units, return flags, supplier and ship date.
 
-        Prices carry at most two decimals and discounts are whole percents, so cents and
-        cent-percents are exact ``bigint`` values; summing them per line is plain long
-        arithmetic inside generated code (no per-row decimal objects).  Conversion to
+        Prices carry at most two decimals and discounts are whole percents (checked row by row),
+        so cents and cent-percents are exact ``bigint`` values; summing them per line is plain
+        long arithmetic inside generated code (no per-row decimal objects).  Conversion to
         ``decimal(18,2)`` happens once per order.
         """
         li = self._read("lineitem", ["l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice",
                                      "l_discount", "l_returnflag", "l_shipdate"])
-        cents = F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")
-        pct = F.round(F.col("l_discount") * F.lit(100.0)).cast("bigint")
         returned = F.col("l_returnflag") == F.lit("R")
         late_return = returned & (F.col("l_linenumber") >= 5)
+        li = li.select("l_orderkey", "l_suppkey", "l_shipdate", returned.alias("returned"),
+                       late_return.alias("late_return"), exact_units(F.col("l_extendedprice"), 100).alias("cents"),
+                       exact_units(F.col("l_discount"), 100).alias("pct"))
+        cents, pct, returned, late_return = (F.col(c) for c in ("cents", "pct", "returned", "late_return"))
         return li.groupBy("l_orderkey").agg(
             F.sum(cents).alias("price_cents"),                                   # 1e-2
             F.sum(cents * pct).alias("discount_units"),                          # 1e-4
@@ -186,26 +184,29 @@ class CommerceModel:
             F.max("l_shipdate").alias("last_ship"),
         )
 
-    # ---- window orders with their line totals ----
+    # ---- orders with their line totals ----
     @cached_property
-    def window_orders(self) -> DataFrame:
-        if self.staged_window_orders is not None:
-            return self.staged_window_orders
+    def order_totals(self) -> DataFrame:
+        """Every order; one without lines has zero totals, no supplier and no ship date."""
+        if self.staged_order_totals is not None:
+            return self.staged_order_totals
         o = self._read("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
-        o = o.where(F.col("o_orderdate") >= _ts_literal(o, "o_orderdate", f"{WINDOW_START} 00:00:00"))
         lines = self.order_lines
-        w = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
+        w = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+        zero = F.lit(0).cast("bigint")
         return w.select(
-            "o_orderkey", "o_custkey", "o_orderpriority", "price_cents", "discount_units", "all_returned",
-            "refund_units", "min_suppkey",
+            "o_orderkey", "o_custkey", "o_orderpriority", "min_suppkey",
+            F.col("l_orderkey").isNotNull().alias("has_lines"),
+            F.coalesce("all_returned", F.lit(False)).alias("all_returned"),
+            *[F.coalesce(c, zero).alias(c) for c in ("price_cents", "discount_units", "refund_units")],
             order_key_id(F.col("o_orderkey")).alias("order_id"),
             wall_date(w, "o_orderdate").alias("order_date"),
             wall_date(w, "last_ship").alias("last_ship_date"),
         )
 
     @cached_property
-    def first_orders_in_window(self) -> DataFrame:
-        """Per customer: first window order (by date, then order id) and its date.
+    def customer_orders(self) -> DataFrame:
+        """Per customer: first order (by date, then order id), its date, the last date, the count.
 
         Order ids are zero-padded, so their string order is the order-key order, and
         ``(date, key)`` packs into one ``bigint`` (days << 40 | key): a plain ``min`` that Spark
@@ -213,40 +214,42 @@ class CommerceModel:
         """
         days = F.datediff(F.col("order_date"), F.lit(EPOCH).cast("date")).cast("bigint")
         packed = F.shiftleft(days, _KEY_BITS) + guarded_order_key(F.col("o_orderkey"))
-        first = self.window_orders.groupBy("o_custkey").agg(
-            F.min(packed).alias("_first"), F.count(F.lit(1)).alias("window_orders"))
+        first = self.order_totals.groupBy("o_custkey").agg(
+            F.min(packed).alias("_first"), F.max("order_date").alias("last_order_date"),
+            F.count(F.lit(1)).alias("n_orders"))
         first_day = F.shiftright(F.col("_first"), _KEY_BITS).cast("int")
         first_key = F.col("_first").bitwiseAND((1 << _KEY_BITS) - 1)
         return first.select("o_custkey", F.date_add(F.lit(EPOCH).cast("date"), first_day).alias("acquisition_date"),
-                            order_key_id(first_key).alias("first_order_id"), "window_orders")
+                            order_key_id(first_key).alias("first_order_id"), "n_orders",
+                            (F.col("last_order_date") >= F.lit(CAMPAIGN_START).cast("date")).cast("int").alias("converted"))
 
     # ---- the six commerce tables ----
     @cached_property
     def prospects(self) -> DataFrame:
         a = self.customer_attributes
         if self.staged_order_frame is not None:
-            f = self._first_rows.select("o_custkey", F.lit(1).alias("_has_order"))
+            f = self._first_rows.select("o_custkey", "converted")
         else:
-            f = self.first_orders_in_window.select("o_custkey", F.lit(1).alias("_has_order"))
+            f = self.customer_orders.select("o_custkey", "converted")
         j = a.join(f, a.c_custkey == f.o_custkey, "left")
         return j.select(
             keyed("P", F.col("c_custkey")).alias("prospect_id"), "market", "acquisition_channel",
             "category_interest", "device_type", "engagement_score",
-            F.lit(WINDOW_START).cast("date").alias("assignment_date"),
-            F.coalesce(F.col("_has_order"), F.lit(0)).cast("int").alias("converted"),
+            F.lit(CAMPAIGN_START).cast("date").alias("assignment_date"),
+            F.coalesce(F.col("converted"), F.lit(0)).cast("int").alias("converted"),
         )
 
     @cached_property
     def customers(self) -> DataFrame:
         if self.staged_order_frame is not None:
-            # One row per converter: its first window order carries the acquisition date.
+            # One row per customer: its first order carries the acquisition date.
             return self._first_rows.select(
                 keyed("C", F.col("o_custkey")).alias("customer_id"),
                 keyed("P", F.col("o_custkey")).alias("prospect_id"),
                 "market", "acquisition_channel", F.col("order_date").alias("acquisition_date"))
         a = self.customer_attributes
-        f = self.first_orders_in_window
-        j = f.join(a, a.c_custkey == f.o_custkey, "inner")
+        f = self.customer_orders.where("o_custkey is not null")
+        j = f.join(a, a.c_custkey == f.o_custkey, "left")
         return j.select(
             keyed("C", F.col("o_custkey")).alias("customer_id"),
             keyed("P", F.col("o_custkey")).alias("prospect_id"),
@@ -261,29 +264,30 @@ class CommerceModel:
             keyed("P", F.col("c_custkey")).alias("prospect_id"),
             F.lit(EXPERIMENT_ID).alias("experiment_id"),
             F.when(bucket < CONTROL_BELOW, "control").otherwise("treatment").alias("treatment"),
-            F.lit(WINDOW_START).cast("date").alias("assignment_date"),
+            F.lit(CAMPAIGN_START).cast("date").alias("assignment_date"),
         )
 
     @cached_property
     def _first_rows(self) -> DataFrame:
-        return self._order_frame.where(F.col("first_in_window") == 1)
+        return self._order_frame.where((F.col("first_order") == 1) & F.col("o_custkey").isNotNull())
 
     @cached_property
     def _order_frame(self) -> DataFrame:
-        """Window orders with customer attributes, first-order flag, carrier and all amounts."""
+        """Orders with customer attributes, first-order flag, carrier and all amounts."""
         if self.staged_order_frame is not None:
             return self.staged_order_frame
-        w = self.window_orders
+        w = self.order_totals
         a = self.customer_attributes.select("c_custkey", "market", "acquisition_channel")
-        first = self.first_orders_in_window
-        f = first.select(F.col("o_custkey").alias("f_custkey"), "first_order_id")
+        first = self.customer_orders
+        f = first.select(F.col("o_custkey").alias("f_custkey"), "first_order_id", "converted")
         # Both per-customer tables have one row per key: join them first, then make a single
         # join against the orders.  A customer with a large share of the orders is spread over
         # several tasks by a salted join (hot keys found from the per-customer order counts).
-        per_customer = a.join(f, a.c_custkey == f.f_custkey, "inner").select(
-            F.col("c_custkey").alias("o_custkey"), "market", "acquisition_channel", "first_order_id")
-        hot = hot_keys(first, "o_custkey", "window_orders")
-        j = salted_join(w, per_customer, "o_custkey", hot, "inner", spread_by="o_orderkey")
+        # Left joins: an order whose customer is missing keeps its row for the quality checks.
+        per_customer = f.join(a, a.c_custkey == f.f_custkey, "left").select(
+            F.col("f_custkey").alias("o_custkey"), "market", "acquisition_channel", "first_order_id", "converted")
+        hot = hot_keys(first, "o_custkey", "n_orders")
+        j = salted_join(w, per_customer, "o_custkey", hot, "left", spread_by="o_orderkey")
 
         def cents(x: Column) -> Column:
             return F.round(x, 2).cast(MONEY)
@@ -296,30 +300,32 @@ class CommerceModel:
         # the projection and shares common subexpressions.
         gross = scaled("price_cents", "0.00001")
         discount = scaled("discount_units", "0.0000001")
-        refunded = F.col("all_returned")
-        refund = F.when(refunded, gross - discount).otherwise(scaled("refund_units", "0.0000001")).cast(MONEY)
+        # An order returned in full is refunded in full; else the late returns are paid back.
+        refund = F.when(F.col("all_returned"), gross).otherwise(scaled("refund_units", "0.0000001")).cast(MONEY)
         carrier = F.element_at(F.array(*[F.lit(v) for v in CARRIER_BY_SUPPKEY_MOD3]),
                                (F.pmod(F.col("min_suppkey"), F.lit(3)) + 1).cast("int"))
         acq_cost = lookup(ACQUISITION_COST_BY_CHANNEL, F.col("acquisition_channel")).cast(MONEY)
-        delivery_cost = cents(lookup(DELIVERY_BASE_BY_MARKET, F.col("market")).cast("decimal(2,1)")
-                              * lookup(COST_FACTOR_BY_CARRIER, carrier).cast("decimal(3,2)"))
+        has_lines, nothing = F.col("has_lines"), F.lit(0).cast(MONEY)
+        delivery_cost = F.when(has_lines, cents(
+            lookup(DELIVERY_BASE_BY_MARKET, F.col("market")).cast("decimal(2,1)")
+            * lookup(COST_FACTOR_BY_CARRIER, carrier).cast("decimal(3,2)"))).otherwise(nothing)
         product_cost = cents(gross * dec(PRODUCT_COST_SHARE))
         payment = economics.payment_cost(gross)
-        fulfillment = dec(FULFILLMENT_COST).cast(MONEY)
+        fulfillment = F.when(has_lines, dec(FULFILLMENT_COST).cast(MONEY)).otherwise(nothing)
         is_first = F.col("order_id") == F.col("first_order_id")
         marketing = economics.attributed_marketing(acq_cost, is_first)
         net = economics.net_revenue(gross, discount, refund)
         margin = economics.contribution_margin(net, product_cost, delivery_cost, payment, fulfillment, marketing)
         return j.select(
             "order_id", "o_custkey", "order_date", "market", "acquisition_channel", "last_ship_date",
-            "o_orderpriority",
-            F.when(refunded, "refunded").otherwise("completed").alias("order_status"),
+            "o_orderpriority", "has_lines", "converted",
+            economics.order_status(refund, gross).alias("order_status"),
             gross.alias("gross_revenue"), discount.alias("discount_amount"), refund.alias("refund_amount"),
             product_cost.alias("product_cost"), delivery_cost.alias("delivery_cost"),
             payment.alias("payment_cost"), fulfillment.alias("fulfillment_cost"),
             marketing.alias("attributed_marketing_cost"), net.alias("net_revenue"),
             margin.alias("contribution_margin"), carrier.alias("carrier"),
-            is_first.cast("int").alias("first_in_window"),
+            F.coalesce(is_first, F.lit(False)).cast("int").alias("first_order"),
         )
 
     @cached_property
@@ -338,7 +344,7 @@ class CommerceModel:
 
     @cached_property
     def deliveries(self) -> DataFrame:
-        o = self._order_frame
+        o = self._order_frame.where("has_lines")
         promised = economics.promised_date(F.col("order_date"))
         return o.select(
             "order_id", "carrier", promised.alias("promised_date"),
@@ -355,10 +361,10 @@ class CommerceModel:
             F.element_at(F.array(*[F.lit(v) for v in MARKET_BY_USER_MOD3]),
                          (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int")).alias("market"),
             lookup(CHANNEL_BY_EVENT_TYPE, F.col("event_type")).alias("channel"),
-            F.col("value").cast(MONEY).alias("value"),
+            exact_units(F.col("value"), 100).alias("cents"),
         )
-        return (keyed_events.groupBy("month", "market", "channel")
-                .agg(F.sum("value").cast(MONEY).alias("spend")))
+        spend = (F.sum("cents").cast("decimal(20,0)") * dec("0.01")).cast(MONEY)
+        return keyed_events.groupBy("month", "market", "channel").agg(spend.alias("spend"))
 
     def table(self, name: str) -> DataFrame:
         return {

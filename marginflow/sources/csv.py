@@ -1,45 +1,69 @@
 """CSV extracts: typed load by column name, and untyped (all-text) load.
 
-Spark binds a user schema to CSV columns by *position*; a file with reordered columns would
-silently load wrong values.  ``load_typed_csv`` therefore reads every column as text,
-selects the declared columns *by name* (extra columns are ignored, a missing one raises)
-and casts each to its declared type with ANSI casts, so a bad value aborts the load.
-Empty fields stay empty strings (``nullValue`` is disabled) and then fail the cast of a
-numeric or date column, as an unparsable value should.
+Files follow RFC 4180: quotes are doubled inside quoted fields, which may hold line breaks.  Each
+file has a header row; a folder's files may order their columns differently, since every file is
+read with its own header and the files are united by name.  Spark binds a user schema to CSV
+columns by *position*, so ``load_typed_csv`` reads text, selects the declared columns *by name*
+(extra columns are ignored, a missing one raises) and casts each to its declared type with ANSI
+casts: a bad value aborts the load.  Empty fields, quoted or not, are empty strings
+and then fail the cast of a numeric or date column, as an unparsable value should.  Blanks around
+values are data and are kept, on load and on write.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .tables import input_state
 
 # A value that never appears in the data: with it as nullValue, empty fields stay "".
 _NO_NULL_TOKEN = "\u0000<no-null>\u0000"
+_DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 class MissingColumnError(ValueError):
     pass
 
 
-def _read_text(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("nullValue", _NO_NULL_TOKEN).option("emptyValue", "")
-            .option("mode", "FAILFAST").option("encoding", "UTF-8").csv(path))
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files of a path grouped by their header line (one header line a file reaches the driver)."""
+    files = [f for f, size, _ in input_state(spark, path) if size and not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        header = spark.read.options(**_DIALECT).option("multiLine", True).csv(f).columns
+        groups.setdefault(tuple(header), []).append(f)
+    return list(groups.values())
+
+
+def _read_text(spark: SparkSession, path: str, one_header: bool = False) -> DataFrame:
+    reader = (spark.read.options(**_DIALECT).option("inferSchema", False).option("multiLine", True)
+              .option("enforceSchema", False).option("nullValue", _NO_NULL_TOKEN).option("emptyValue", "")
+              .option("mode", "FAILFAST"))
+    parts = [] if one_header else [reader.csv(files) for files in _files_by_header(spark, path)]
+    df = reduce(lambda a, b: a.unionByName(b), parts) if parts else reader.csv(path)
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+
 
+def load_text_csv(spark: SparkSession, path: str, one_header: bool = False) -> DataFrame:
+    """Untyped load: every column a string, names from the header.
 
-def load_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Untyped load: every column a string, names from the header."""
-    return _read_text(spark, path)
+    ``one_header`` tells that all files of the path were written with one column order, so their
+    headers need not be listed one by one.
+    """
+    return _read_text(spark, path, one_header)
 
 
 def load_typed_csv(spark: SparkSession, path: str, table: str,
-                   schema: T.StructType | None = None) -> DataFrame:
+                   schema: T.StructType | None = None, one_header: bool = False) -> DataFrame:
     """Typed load of ``path`` against the declared schema of ``table`` (columns by name)."""
     schema = schema or schemas.TABLES[table]
-    raw = _read_text(spark, path)
+    raw = _read_text(spark, path, one_header)
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise MissingColumnError(f"{path}: missing columns {missing}")
@@ -55,4 +79,4 @@ def load_typed_csv(spark: SparkSession, path: str, table: str,
 
 def write_csv_extract(df: DataFrame, path: str) -> None:
     """Write an extract with a header row (directory of part files, overwrite)."""
-    df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").options(**_DIALECT).option("emptyValue", '""').csv(path)

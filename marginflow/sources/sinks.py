@@ -1,60 +1,27 @@
-"""Sinks: warehouse tables (Parquet, full refresh), mart tables and small ordered CSV reports.
-
-* ``full_refresh`` writes the six commerce tables in dependency order with
-  ``mode("overwrite")`` (drop and recreate, no append, no upsert).  Facts are partitioned
-  by order month so date-filtered marts prune files.
-* ``materialize`` writes one mart as Parquet and returns a DataFrame reading it back; this
-  cuts lineage for marts read by several reports.
-* ``write_report_csv`` writes a small mart as a single ordered CSV with header.  It
-  funnels the rows into one task, so it is meant for marts (a handful of rows per
-  channel / market / carrier), never for facts.
+"""Sinks: mart tables and small ordered CSV reports.
+
+* ``materialize`` writes one mart as Parquet, with its documentation as column comments, and
+  returns a DataFrame reading it back; this cuts lineage for marts read by several reports.
+* ``write_report_csv`` writes a registered report mart as a single ordered CSV with header.  One
+  task writes it, so it accepts only marts whose row count is bounded by fixed domains.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import schemas
-from .adapter import CommerceModel
-
-PARTITION_BY = {"fct_orders": "order_month", "fct_deliveries": "promised_month"}
-
-
-def full_refresh(model: CommerceModel, out_dir: str) -> dict[str, str]:
-    """Write the commerce tables (dimensions first).  Returns table -> path."""
-    paths = {}
-    for table in schemas.LOAD_ORDER:
-        df = model.table(table)
-        path = f"{out_dir.rstrip('/')}/{table}"
-        writer_df = df
-        part = PARTITION_BY.get(table)
-        if part == "order_month":
-            writer_df = df.withColumn(part, F.date_format("order_date", "yyyy-MM"))
-        elif part == "promised_month":
-            writer_df = df.withColumn(part, F.date_format("promised_date", "yyyy-MM"))
-        w = writer_df.write.mode("overwrite")
-        if part:
-            w = w.partitionBy(part)
-        w.parquet(path)
-        paths[table] = path
-    return paths
-
-
-def read_warehouse(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Read written tables back with their declared column order (partition column dropped)."""
-    out = {}
-    for table, path in paths.items():
-        cols = [f.name for f in schemas.TABLES[table].fields]
-        out[table] = spark.read.parquet(path).select(*cols)
-    return out
-
-
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+from .csv import _DIALECT
+
+
+def materialize(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
+    out = schemas.with_comments(df, name) if name else df
+    out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def write_report_csv(df: DataFrame, path: str, order_by: list) -> None:
-    """Single ordered CSV with header for a small mart (row order preserved)."""
-    df.orderBy(*order_by).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report_csv(df: DataFrame, path: str, name: str, order_by: list) -> None:
+    """Single ordered CSV with header for a report mart (row order preserved)."""
+    if name not in schemas.REPORT_MARTS:
+        raise ValueError(f"{name} is not a mart of bounded size: write it as a table")
+    df.orderBy(*order_by).coalesce(1).write.mode("overwrite").options(**_DIALECT).csv(path)

@@ -155,5 +155,5 @@ def test_cohort_approx_median_option(spark):
             for i in range(60)]
     o = orders(spark, rows)
     exact = customer.cohort_profitability_90d(o).first()["median_contribution_margin_90d"]
-    approx = customer.cohort_profitability_90d(o, median="approx").first()["median_contribution_margin_90d"]
+    approx = customer.cohort_median_90d_approx(o).first()["median_contribution_margin_90d"]
     assert exact == 3.0 and abs(approx - exact) <= 1.0

@@ -11,8 +11,8 @@ import __spark_entry__ as entry  # noqa: E402
 from conftest import SMOKE  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from marginflow.plans.catalog import QUERIES  # noqa: E402
+from marginflow.plans.oracle import ORACLE  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,22 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+def test_every_check_fires_on_seeded_faults(spark):
+    rows = QUERIES["dq_seeded_faults"](spark, "/root/testdata/sf0.01").collect()
+    fired = {(r["check"], r["table"]) for r in rows if r["violations"]}
+    assert {("unique", "fct_orders"), ("not_null", "fct_orders"), ("accepted_values", "dim_prospect"),
+            ("range", "dim_prospect"), ("relationships", "fct_orders"), ("relationships", "fct_deliveries")} <= fired
+
+
+def test_all_orders_are_loaded(spark):
+    data = "/root/testdata/sf0.01"
+    assert QUERIES["load_orders"](spark, data).count() == spark.read.parquet(f"{data}/orders.parquet").count()
+    assert {r[0] for r in QUERIES["delivery_service"](spark, data).select("peak_season").distinct().collect()} == {0, 1}
+    years = {r[0].year for r in QUERIES["cohort_profitability_90d"](spark, data).select("acquisition_month").collect()}
+    assert len(years) > 3
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,4 +1,4 @@
-"""Properties: the scale rewrite equals the literal fan-out SQL; totals reconcile across marts."""
+"""Properties: the scale rewrites equal the definitions over plain rows; totals reconcile across marts."""
 
 import datetime as dt
 
@@ -14,16 +14,20 @@ from marginflow.plans.warehouse import warehouse
 CHANNELS = ["CRM", "Affiliate", "Organic Search"]
 
 
-def _direct(p, o):
-    """The mart exactly as the original view states it: left join, then group."""
-    p.createOrReplaceTempView("p_direct")
-    o.createOrReplaceTempView("o_direct")
-    return p.sparkSession.sql("""
-        SELECT p.acquisition_channel, COUNT(DISTINCT p.prospect_id) AS prospects, SUM(p.converted) AS customers,
-               AVG(p.converted) AS conversion_rate, COUNT(DISTINCT o.order_id) AS orders,
-               COALESCE(SUM(o.net_revenue), 0) AS net_revenue,
-               COALESCE(SUM(o.contribution_margin), 0) AS contribution_margin
-        FROM p_direct p LEFT JOIN o_direct o USING (prospect_id) GROUP BY p.acquisition_channel""")
+def _joined_rows(ps, os_):
+    """The definition over plain rows: each prospect beside each of its orders, or beside none."""
+    out = {}
+    for pid, _, channel, converted in ps:
+        mine = [o for o in os_ if o[2] == pid] or [None]
+        g = out.setdefault(channel, {"ids": set(), "flags": [], "orders": set(), "rev": 0, "cm": 0})
+        g["ids"].add(pid)
+        for o in mine:
+            g["flags"].append(converted)
+            if o:
+                g["orders"].add(o[0])
+                g["rev"] += round(o[7] * 100)
+                g["cm"] += round(o[8] * 100)
+    return out
 
 
 @st.composite
@@ -46,14 +50,13 @@ def test_rewrite_equals_direct_fan_out(spark, data):
     ps, os_ = data
     p, o = prospects(spark, ps), orders(spark, os_)
     ours = {r["acquisition_channel"]: r for r in marts.channel_profitability(p, o).collect()}
-    ref = {r["acquisition_channel"]: r for r in _direct(p, o).collect()}
-    assert ours.keys() == ref.keys()
-    for ch, r in ref.items():
+    want = _joined_rows(ps, os_)
+    assert ours.keys() == want.keys()
+    for ch, g in want.items():
         got = ours[ch]
-        assert (got["prospects"], got["customers"], got["orders"]) == (r["prospects"], r["customers"], r["orders"])
-        assert abs(got["conversion_rate"] - float(r["conversion_rate"])) <= 0.00005
-        assert got["net_revenue"] == float(r["net_revenue"])
-        assert got["contribution_margin"] == float(r["contribution_margin"])
+        assert (got["prospects"], got["customers"], got["orders"]) == (len(g["ids"]), sum(g["flags"]), len(g["orders"]))
+        assert abs(got["conversion_rate"] - sum(g["flags"]) / len(g["flags"])) <= 0.00005
+        assert round(got["net_revenue"] * 100) == g["rev"] and round(got["contribution_margin"] * 100) == g["cm"]
 
 
 def test_margin_totals_reconcile(spark):
@@ -67,19 +70,16 @@ def test_margin_totals_reconcile(spark):
     assert raw == channel == funnel
 
 
-def _direct_customer_90d(o):
-    o.createOrReplaceTempView("o90_direct")
-    return o.sparkSession.sql("""
-        WITH f AS (SELECT customer_id, MIN(order_date) AS acquisition_date FROM o90_direct
-                   WHERE order_status = 'completed' GROUP BY customer_id),
-        w AS (SELECT o.*, f.acquisition_date,
-                     ROW_NUMBER() OVER (PARTITION BY o.customer_id ORDER BY o.order_date, o.order_id) AS pn
-              FROM o90_direct o JOIN f USING (customer_id)
-              WHERE o.order_status = 'completed' AND o.order_date < date_add(f.acquisition_date, 90))
-        SELECT customer_id, acquisition_date, market, acquisition_channel,
-               CAST(SUM(net_revenue) AS DOUBLE) AS revenue_90d, COUNT(DISTINCT order_id) AS orders_90d,
-               MAX(CASE WHEN pn >= 2 THEN 1 ELSE 0 END) AS repeated_90d
-        FROM w GROUP BY customer_id, acquisition_date, market, acquisition_channel""")
+def _early(rows):
+    """Completed orders of the first 90 days by customer, in order, with the first day."""
+    by = {}
+    for r in rows:
+        if r[6] == "completed":
+            by.setdefault(r[1], []).append(r)
+    for c, mine in by.items():
+        mine.sort(key=lambda r: (r[3], r[0]))
+        first = mine[0][3]
+        yield c, first, [r for r in mine if (r[3] - first).days < 90]
 
 
 @st.composite
@@ -99,12 +99,17 @@ def mixed_orders(draw):
 def test_customer_90d_equals_window_form(spark, rows):
     from marginflow.operators import customer
 
-    o = orders(spark, rows)
-    cols = ["customer_id", "acquisition_date", "market", "acquisition_channel", "revenue_90d", "orders_90d",
-            "repeated_90d"]
-    ours = sorted(map(tuple, customer.customer_90d(o).select(*cols).collect()))
-    ref = sorted(map(tuple, _direct_customer_90d(o).select(*cols).collect()))
-    assert ours == ref
+    want = {}
+    for c, first, mine in _early(rows):
+        for nth, r in enumerate(mine, 1):
+            g = want.setdefault((c, first, r[4], r[5]), [0, 0, 0])
+            g[0] += round(r[7] * 100)
+            g[1] += 1
+            g[2] |= nth > 1
+    got = {(r.customer_id, r.acquisition_date, r.market, r.acquisition_channel):
+           [round(r.revenue_90d * 100), r.orders_90d, r.repeated_90d]
+           for r in customer.customer_90d(orders(spark, rows)).collect()}
+    assert got == want
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -112,16 +117,29 @@ def test_customer_90d_equals_window_form(spark, rows):
 def test_purchase_numbers_equal_window_form(spark, rows):
     from marginflow.operators import customer
 
-    o = orders(spark, rows)
-    o.createOrReplaceTempView("o90_numbers")
-    ref = spark.sql("""
-        WITH f AS (SELECT customer_id, MIN(order_date) AS a FROM o90_numbers
-                   WHERE order_status = 'completed' GROUP BY customer_id)
-        SELECT o.order_id, ROW_NUMBER() OVER (PARTITION BY o.customer_id ORDER BY o.order_date, o.order_id) AS pn
-        FROM o90_numbers o JOIN f USING (customer_id)
-        WHERE o.order_status = 'completed' AND o.order_date < date_add(f.a, 90)""")
-    ours = customer.customer_orders_90d(o).select("order_id", "purchase_number")
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    got = customer.customer_orders_90d(orders(spark, rows)).select("order_id", "purchase_number").collect()
+    want = {r[0]: nth for _, _, mine in _early(rows) for nth, r in enumerate(mine, 1)}
+    assert {r.order_id: r.purchase_number for r in got} == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mixed_orders())
+def test_cohort_median_equals_sorted_middle(spark, rows):
+    import statistics
+
+    from marginflow.operators import customer
+
+    rows = [(*r[:8], round(r[7] * 7 % 5, 2)) for r in rows]
+    margins = {}
+    for c, first, mine in _early(rows):
+        per = {}
+        for r in mine:
+            per[r[4], r[5]] = per.get((r[4], r[5]), 0) + round(r[8] * 100)
+        for k, cents in per.items():
+            margins.setdefault((first.replace(day=1), *k), []).append(cents)
+    got = {(r.acquisition_month, r.market, r.acquisition_channel): round(r.median_contribution_margin_90d * 200)
+           for r in customer.cohort_profitability_90d(orders(spark, rows)).collect()}
+    assert got == {k: round(statistics.median(v) * 2) for k, v in margins.items()}
 
 
 def test_metric_layer_regroups_consistently(spark):
@@ -137,3 +155,32 @@ def test_metric_layer_regroups_consistently(spark):
         got = rolled[r["market"]]
         assert (r["eligible_prospects"], r["converted_prospects"]) == (got["e"], got["c"])
         assert abs(r["contribution_margin"] - float(got["m"])) < 1e-9
+
+
+def test_metric_layer_under_any_grouping(spark):
+    from marginflow.operators import metrics
+
+    wh = warehouse(spark, SMOKE)
+    total = metrics.metric_layer(wh.prospects, wh.orders, wh.deliveries, keys=()).first()
+    assert total.eligible_prospects == wh.prospects.count()
+    for keys in (("carrier",), ("category",), ("device_type",), ("order_status",), ("market", "carrier"), ("treatment",)):
+        rows = metrics.metric_layer(wh.prospects, wh.orders, wh.deliveries, keys, wh.experiment_assignments).collect()
+        assert len({tuple(r[k] for k in keys) for r in rows}) == len(rows) > 1
+        if "carrier" in keys and len(keys) == 1:  # a carrier does not filter prospects or orders
+            assert all(r.eligible_prospects == total.eligible_prospects and r.net_revenue == total.net_revenue for r in rows)
+        else:
+            assert sum(r.eligible_prospects for r in rows) >= total.eligible_prospects - 1
+
+
+def test_metric_layer_keeps_null_as_one_row(spark):
+    from frames import deliveries
+    from marginflow.operators import metrics
+
+    p = prospects(spark, [("P1", "LV", "CRM", 1), ("P2", "LV", "CRM", 0)]).withColumn(
+        "market", F.when(F.col("prospect_id") == "P1", F.col("market")))
+    o = orders(spark, [("O1", "C1", "P1", dt.date(2025, 1, 1), "LV", "CRM", "completed", 10, 2),
+                       ("O2", "C2", "P9", dt.date(2025, 1, 1), "EE", "CRM", "completed", 5, 1)]).withColumn(
+        "market", F.when(F.col("order_id") == "O1", F.col("market")))
+    rows = metrics.metric_layer(p, o, deliveries(spark, [("O2", "FastShip", 1, 3)]), ("market",)).collect()
+    got = {r.market: (r.eligible_prospects, r.net_revenue, r.on_time_delivery_rate) for r in rows}
+    assert len(rows) == 2 and got == {"LV": (1, 10.0, None), None: (1, 5.0, 1.0)}

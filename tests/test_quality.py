@@ -79,7 +79,42 @@ def test_schema_and_required_columns(spark):
     problems = quality.schema_violations(bad)
     assert ("fct_orders", "order_id", "missing") in problems
     assert any(c == "gross_revenue" and p.startswith("type double") for _, c, p in problems)
+    from marginflow import schemas
+    nullable = spark.createDataFrame([], schemas.T.StructType(
+        [schemas.T.StructField(f.name, f.dataType, True) for f in schemas.TABLES["dim_customer"].fields]))
+    assert ("dim_customer", "market", "nullable") in quality.schema_violations({"dim_customer": nullable}, True)
     from marginflow.operators import stats
     exp = stats.experiment_statistics(marts.experiment(wh.experiment_assignments, wh.prospects, wh.orders))
     assert quality.missing_columns(exp, ["conversion_p_value", "srm_p_value"]) == []
     assert quality.missing_columns(exp, ["nope"]) == ["nope"]
+
+
+def test_duplicate_keys_stop_the_build(spark, tmp_path):
+    import shutil
+
+    import pytest
+
+    from conftest import SMOKE
+    from marginflow.plans.warehouse import build_warehouse
+
+    for t in ("customer", "nation", "lineitem", "events"):
+        shutil.copy(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")
+    o = spark.read.parquet(f"{SMOKE}/orders.parquet")
+    o.union(o.limit(3)).write.parquet(str(tmp_path / "orders.parquet"))
+    with pytest.raises(quality.QualityError, match="fct_orders.order_id=3"):
+        build_warehouse(spark, str(tmp_path), str(tmp_path / "out"))
+
+
+def test_orders_of_unknown_customers_are_reported(spark, tmp_path):
+    import shutil
+
+    from conftest import SMOKE
+    from marginflow.plans.catalog import QUERIES
+
+    for t in ("orders", "nation", "lineitem", "events"):
+        shutil.copy(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")
+    c = spark.read.parquet(f"{SMOKE}/customer.parquet")
+    c.where("c_custkey % 10 <> 1").write.parquet(str(tmp_path / "customer.parquet"))
+    found = _violations(QUERIES["dq_orphans"](spark, str(tmp_path)))
+    assert found["relationships", "fct_orders", "prospect_id->dim_prospect.prospect_id"] > 0
+    assert QUERIES["load_orders"](spark, str(tmp_path)) is not None

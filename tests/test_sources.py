@@ -49,34 +49,57 @@ def test_text_load_all_strings(spark):
 def test_report_csv_sink_keeps_order(spark):
     df = spark.createDataFrame([("b", 1), ("a", 3), ("c", 2)], "k string, v int")
     out = os.path.join(tempfile.mkdtemp(prefix="mf-out-"), "r")
-    sinks.write_report_csv(df, out, [df.v.desc()])
+    sinks.write_report_csv(df, out, "logistics", [df.v.desc()])
+    with pytest.raises(ValueError, match="bounded"):
+        sinks.write_report_csv(df, out, "fct_orders", [df.v])
     parts = [p for p in os.listdir(out) if p.endswith(".csv")]
     assert len(parts) == 1
     with open(os.path.join(out, parts[0]), encoding="utf-8") as fh:
         assert fh.read().splitlines() == ["k,v", "a,3", "c,2", "b,1"]
 
 
-def test_full_refresh_round_trip(spark):
+def test_tables_declare_their_columns(spark):
     from conftest import SMOKE
-    from marginflow.sources.adapter import CommerceModel
-
-    m = CommerceModel(spark, SMOKE)
-    out = tempfile.mkdtemp(prefix="mf-wh-")
-    paths = sinks.full_refresh(m, out)
-    back = sinks.read_warehouse(spark, paths)
-    for name, df in back.items():
-        assert [f.name for f in df.schema.fields] == [f.name for f in schemas.TABLES[name].fields]
-        assert df.count() == m.table(name).count()
+    from marginflow.plans.warehouse import warehouse
+
+    wh = warehouse(spark, SMOKE)
+    for name, schema in schemas.TABLES.items():
+        assert wh.table(name).columns == schema.names
     assert schemas.documented("fct_orders")["net_revenue"].metadata["comment"]
 
 
+def test_standard_quoting(spark):
+    path = _write('a,b\n"x, ""y"", q",1\n"two\nlines",2\n')
+    assert sorted(map(tuple, csv.load_text_csv(spark, path).collect())) == [("two\nlines", "2"), ('x, "y", q', "1")]
+
+
+def test_files_with_other_column_orders(spark):
+    import pathlib
+
+    d = pathlib.Path(tempfile.mkdtemp(prefix="mf-csv-"))
+    (d / "1.csv").write_text("a,b\nA1,B1\n")
+    (d / "2.csv").write_text("b,a\nB2,A2\n")
+    got = csv.load_text_csv(spark, str(d)).select("a", "b").collect()
+    assert sorted(map(tuple, got)) == [("A1", "B1"), ("A2", "B2")]
+
+
+def test_extract_round_trip_keeps_values(spark):
+    rows = [(" pad ", 'q"uo"te', "a,b"), ("", "two\nlines", "\\ back"), ("'", "é", "x")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    out = os.path.join(tempfile.mkdtemp(prefix="mf-out-"), "x")
+    csv.write_csv_extract(df, out)
+    assert sorted(map(tuple, csv.load_text_csv(spark, out).collect())) == sorted(rows)
+
+
 def test_pipeline_writes_marts_and_ordered_reports(spark):
     from conftest import SMOKE
     from marginflow.plans import pipeline
 
     out = tempfile.mkdtemp(prefix="mf-run-")
     paths = pipeline.run(spark, SMOKE, out)
-    assert "cohort_profitability_90d" in paths and "report:experiment" in paths
+    assert {"cohort_profitability_90d", "channel_funnel", "report:experiment", "report:channel_rank_report",
+            "report:carrier_tradeoff_report"} <= set(paths)
+    assert "stg_orders" in [t.name for t in spark.catalog.listTables()]
     report = paths["report:channel_profitability"]
     part = [p for p in os.listdir(report) if p.endswith(".csv")][0]
     with open(os.path.join(report, part), encoding="utf-8") as fh:
