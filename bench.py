@@ -1,12 +1,14 @@
 """Benchmark: wall seconds of the warehouse build and of every catalog query.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 1), BENCH_QUERIES (comma list, default all).
+BENCH_REPEAT (default 3; the median is reported), BENCH_QUERIES (comma list, default all).
 
 ``warehouse_build`` is the ETL (driver tables -> six commerce tables, written once); each
 query is then built afresh and its full result is materialised (xor of per-row hashes over
 all columns), so no shuffle files or cached plans are reused between runs.  A warm-up pass
-over a separate warehouse build is not reported.  ``value`` is the build plus all queries;
+over a separate warehouse build is not reported.  Results that are written once per build
+(numbered orders, CSV extracts, the two marts of the quality report) are timed as ``once:*``
+against a fresh build; the queries then read them.  ``value`` is the build, these and all queries;
 ``flagship_from_raw_sec`` (not in ``value``) is the flagship as one plan from the raw tables.
 Prints one JSON line.
 """
@@ -24,7 +26,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from marginflow.plans.catalog import QUERIES  # noqa: E402
 from marginflow.plans.warehouse import warehouse  # noqa: E402
-from marginflow.session import build_session  # noqa: E402
+from marginflow.session import build_session, scale_settings  # noqa: E402
+
+
+ONCE = ("customer_orders_90d", "dq_report", "stg_customers", "stg_orders", "stg_prospects")
 
 
 def _sf_of(path: str):
@@ -48,19 +53,27 @@ def _run(spark, fn, data_dir: str) -> float:
 def main() -> None:
     data_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
-                          extra={"spark.driver.memory": "8g"})
+    size = sum(f.stat().st_size for f in Path(data_dir).rglob("*.parquet"))
+    spark = build_session(f"local[{cpus}]", extra={"spark.driver.memory": "8g", **scale_settings(size, cpus)})
     names = wanted or list(QUERIES)
     # Warm-up (JIT, file listing caches): one throw-away build and three queries.
     warehouse(spark, data_dir, refresh=True)
     for name in names[:3]:
         _run(spark, QUERIES[name], data_dir)
     results = {}
-    start = time.perf_counter()
-    warehouse(spark, data_dir, refresh=True)
-    results["warehouse_build"] = round(time.perf_counter() - start, 4)
+    builds = []
+    for _ in range(repeat):
+        start = time.perf_counter()
+        wh = warehouse(spark, data_dir, refresh=True)
+        builds.append(time.perf_counter() - start)
+    results["warehouse_build"] = round(statistics.median(builds), 4)
+    rows = {name: wh.table(name).count() for name in wh.paths}
+    for name in [n for n in ONCE if n in names]:
+        start = time.perf_counter()
+        QUERIES[name](spark, data_dir)
+        results[f"once:{name}"] = round(time.perf_counter() - start, 4)
     for name in names:
         times = [_run(spark, QUERIES[name], data_dir) for _ in range(repeat)]
         results[name] = round(statistics.median(times), 4)
@@ -71,7 +84,7 @@ def main() -> None:
     spark.conf.unset("marginflow.model")
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
                       "queries": results, "sf": _sf_of(data_dir), "cpus": cpus,
-                      "n_queries": len(results), "flagship_from_raw_sec": flagship_from_raw}))
+                      "n_queries": len(results), "repeat": repeat, "rows": rows, "flagship_from_raw_sec": flagship_from_raw}))
     spark.stop()
 
 

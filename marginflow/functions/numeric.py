@@ -49,6 +49,11 @@ def single_row(df) -> Column:
     return df.select(F.struct(*df.columns).alias("_row")).scalar()
 
 
+def clamp(col: Column, low: float, high: float) -> Column:
+    """``col`` held between two bounds; NULL stays NULL."""
+    return F.when(col.isNotNull(), F.greatest(F.lit(low), F.least(col, F.lit(high))))
+
+
 # Abramowitz & Stegun formula 7.1.26 for erf(x), x >= 0 (|error| < 1.5e-7).
 ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)

@@ -36,7 +36,8 @@ c_customer_attrs AS (
         CASE c.c_custkey % 5 WHEN 0 THEN 'Electronics' WHEN 1 THEN 'Home' WHEN 2 THEN 'Beauty'
              WHEN 3 THEN 'Sports' WHEN 4 THEN 'Pet Care' END AS category_interest,
         CASE WHEN c.c_custkey % 3 < 2 THEN 'mobile' ELSE 'desktop' END AS device_type,
-        (c.c_acctbal + 1000.0) / 11000.0 AS engagement_score
+        CASE WHEN c.c_acctbal < -1000 THEN 0.0 WHEN c.c_acctbal > 10000 THEN 1.0
+             ELSE (c.c_acctbal + 1000.0) / 11000.0 END AS engagement_score
     FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 c_lines AS (

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import analysis, customer, marts, metrics, quality, staging, stats
 from ..sources import sinks
+from ..sources.tables import input_state
 from .views import staging_models
-from .warehouse import build_warehouse
+from .warehouse import INPUTS, build_warehouse
 
 # Published report order of the report marts: (column, descending).
 REPORT_ORDER = {
@@ -106,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
     import json
 
-    from ..session import build_session
+    from ..session import build_session, scale_settings
 
     parser = argparse.ArgumentParser(description="Full batch rebuild: warehouse, quality, marts, reports.")
     parser.add_argument("data_dir")
@@ -115,6 +116,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     args = parser.parse_args(argv)
     spark = build_session(args.master)
+    size = sum(f[1] for t in INPUTS for f in input_state(spark, f"{args.data_dir.rstrip('/')}/{t}.parquet"))
+    for key, value in scale_settings(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
     try:
         print(json.dumps(run(spark, args.data_dir, args.out_dir, strict=not args.lenient), indent=1))
     finally:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import surrogate_key
-from ..functions.numeric import MONEY
+from ..functions.numeric import MONEY, clamp
 from ..operators import economics
 from ..operators.skew import hot_keys, salted_join
 from .tables import read_table
@@ -154,7 +154,7 @@ class CommerceModel:
             F.element_at(F.array(*[F.lit(v) for v in CATEGORY_BY_KEY_MOD5]),
                          (F.pmod(F.col("c_custkey"), F.lit(5)) + 1).cast("int")).alias("category_interest"),
             F.when(F.pmod(F.col("c_custkey"), F.lit(3)) < 2, "mobile").otherwise("desktop").alias("device_type"),
-            ((F.col("c_acctbal") + F.lit(1000.0)) / F.lit(11000.0)).alias("engagement_score"),
+            clamp((F.col("c_acctbal") + F.lit(1000.0)) / F.lit(11000.0), 0.0, 1.0).alias("engagement_score"),
         )
 
     # ---- order lines aggregated per order ----

@@ -157,3 +157,10 @@ def test_cohort_approx_median_option(spark):
     exact = customer.cohort_profitability_90d(o).first()["median_contribution_margin_90d"]
     approx = customer.cohort_median_90d_approx(o).first()["median_contribution_margin_90d"]
     assert exact == 3.0 and abs(approx - exact) <= 1.0
+
+
+def test_clamp(spark):
+    from marginflow.functions.numeric import clamp
+
+    df = spark.createDataFrame([(-2.0,), (0.25,), (7.0,), (None,)], "v double")
+    assert [r[0] for r in df.select(clamp(F.col("v"), 0.0, 1.0)).collect()] == [0.0, 0.25, 1.0, None]

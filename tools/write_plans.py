@@ -42,8 +42,8 @@ def main():
     out = ["# Physical plans (automatic broadcast off: the shape the plans take on large inputs)", "",
            "Generated by `tools/write_plans.py`. AQE is off here so the static plan is shown; at run",
            "time AQE coalesces small partitions and may broadcast sides measured under its threshold.", "",
-           "## ETL stage 1: window orders with their line totals (the only lineitem pass)", "", "```",
-           tree_and_scans(lazy.window_orders), "```", "",
+           "## ETL stage 1: orders with their line totals (the only lineitem pass)", "", "```",
+           tree_and_scans(lazy.order_totals), "```", "",
            "## Flagship: channel profitability over the warehouse", "", "```",
            tree_and_scans(marts.channel_profitability(wh.prospects, wh.orders)), "```", "",
            "## All queries over the warehouse", "",
