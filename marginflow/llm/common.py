@@ -57,6 +57,25 @@ def per_process(key: tuple, build: Callable):
     return store[key]
 
 
+class Known(dict):
+    """Values of a function, kept in bounded memory: keys not asked for while ``size`` others came
+    are forgotten and would be computed again."""
+
+    def __init__(self, size: int, compute: Callable):
+        super().__init__()
+        self.size, self.compute, self.old = size, compute, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Recent:
     """Bounded dictionary: entries not asked for while ``size`` others came are forgotten."""
 

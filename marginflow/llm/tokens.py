@@ -11,7 +11,7 @@ one row a part.
 
 Texts are encoded by the tokenizers library.  White space divides a text into stretches that are
 encoded alone with the same result; the ids of stretches seen before are kept in a dictionary of
-bounded size, and all new stretches of a batch go to the library in one call.
+bounded size.
 
 Defined results: a null text is empty and has the end id alone; a null ``doc_id`` comes first;
 rows of one ``doc_id`` are ordered by text.
@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Recent, per_process, rows_of, small_batches, texts
+from .common import Known, per_process, rows_of, small_batches, texts
 
 KEPT_ENTRIES = 400_000
+STOPS = b".,;:!?"  # each is cut off a word before it by every tokenizer supported here
 SCHEMA = "doc_id long, part int, at long, n_tokens long, ids array<int>"
 
 
@@ -45,30 +46,26 @@ class Stretches:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        if self.tokenizer.normalizer is not None and "\\s+" not in str(self.tokenizer.normalizer):
-            raise ValueError("only tokenizers that drop white space are supported")
-        self.known = Recent(KEPT_ENTRIES)
-
-    def encode(self, raws: list[bytes], end: bytes) -> list[bytes]:
-        """Ids of each text, then ``end``, as little-endian unsigned 32-bit integers."""
-        words = [x.split() for x in raws]
-        known = self.known
-        found = dict(known.new)  # nothing of this batch is forgotten before it is used
-        unseen = [w for w in set().union(*words) if w not in found]
-        lost = []
-        for w in unseen:
-            ids = known.again(w)
-            if ids is None:
-                lost.append(w)
-            else:
-                found[w] = ids
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in lost],
-                                                   add_special_tokens=False)
-        for w, e in zip(lost, encoded, strict=True):
-            found[w] = array("I", e.ids).tobytes()
-            known.put(w, found[w])
-        get = found.__getitem__
-        return [b"".join(map(get, x)) + end for x in words]
+        if not all(x in str(self.tokenizer.normalizer) for x in ("\\s+", "Lowercase")):
+            raise ValueError("only tokenizers that lower-case and drop white space are supported")
+        self.known = Known(KEPT_ENTRIES, self._ids_of)
+        self.tails = {x: self._library(chr(x)) for x in STOPS}
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _ids_of(self, stretch: bytes) -> bytes:
+        """Ids of a new stretch: a stop after an ASCII letter or digit is a token by itself, and
+        ASCII letters may be lower-cased, so many stretches come down to a known one."""
+        if stretch[-1] in self.tails and stretch[-2:-1].isalnum():
+            return self.known[stretch[:-1]] + self.tails[stretch[-1]]
+        if stretch.isalpha() and not stretch.islower():
+            return self.known[stretch.lower()]
+        return self._library(stretch.decode("utf-8", "replace"))
+
+    def encode(self, raw: bytes) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.known.__getitem__, raw.split()))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, row_group: int = 32 << 20,
@@ -84,7 +81,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, row_gr
         stretches = per_process(("tokens", tokenizer), lambda: Stretches(tokenizer))
         part, at = TaskContext.get().partitionId(), 0
         for batch, raws in rows_of(batches):
-            ids = stretches.encode(raws, end)
+            ids = [stretches.encode(x) + end for x in raws]
             n = np.array([len(x) // 4 for x in ids], np.int64)
             stops = n.cumsum()
             lists = pa.ListArray.from_arrays(
