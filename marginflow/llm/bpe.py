@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Recent, per_process, rows_of, small_batches, texts
+from .common import Known, per_process, rows_of, small_batches, texts
 
 # The pre-token pattern of byte-level BPE and Unicode's White_Space characters.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -40,7 +40,7 @@ LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 CHUNK = (rf" ?[{LETTER}]+(?=[{SPACE}!-@\[-`{{-~]|$)| ?[^{SPACE}]+"
          rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
-KEPT_ENTRIES = 400_000
+KEPT_ENTRIES, KEPT_PAIRS = 200_000, 400_000
 NEVER = 1 << 62
 
 
@@ -132,7 +132,7 @@ class Vocabulary:
                     pair = before << 20 | token
                     fit = get(pair)
                     if fit is None:
-                        if len(known) >= KEPT_ENTRIES:
+                        if len(known) >= KEPT_PAIRS:
                             known.clear()
                         fit = known[pair] = self.fits(before, token)
                     if not fit:
@@ -153,27 +153,17 @@ class Encoder:
         self.chunks = re.compile(CHUNK).findall
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.known = Recent(KEPT_ENTRIES)
+        self.known = Known(KEPT_ENTRIES, self._ids_of_chunk)
 
     def ids_of(self, text: str) -> bytes:
         """Ids of a stretch without special tokens, as little-endian unsigned 32-bit integers."""
-        get, parts = self.known.new.get, []
-        for chunk in self.chunks(text):
-            ids = get(chunk)
-            if ids is None:
-                ids = self.known.again(chunk) or self._learn(chunk)
-                get = self.known.new.get
-            parts.append(ids)
-        return b"".join(parts)
-
-    def _learn(self, chunk: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, self.chunks(text)))
+
+    def _ids_of_chunk(self, chunk: str) -> bytes:
         pieces = self.find(chunk)
         if len(pieces) == 1:
-            ids = array("I", self.vocabulary.piece(chunk.encode())).tobytes()
-        else:
-            ids = b"".join(map(self.ids_of, pieces))
-        self.known.put(chunk, ids)
-        return ids
+            return array("I", self.vocabulary.piece(chunk.encode())).tobytes()
+        return b"".join(map(self.ids_of, pieces))
 
     def encode(self, text: str) -> bytes:
         if self.marks is None or not self.marks.search(text):

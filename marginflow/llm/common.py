@@ -76,25 +76,6 @@ class Known(dict):
         return value
 
 
-class Recent:
-    """Bounded dictionary: entries not asked for while ``size`` others came are forgotten."""
-
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
-
-    def put(self, key, value) -> None:
-        if len(self.new) >= self.size:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
-
-    def again(self, key):
-        """Value of a key that is not among the new ones, or None."""
-        value = self.old.get(key)
-        if value is not None:
-            self.put(key, value)
-        return value
-
-
 class Scratch:
     """Tables of one run of one operator, below the session's shared checkpoint folder."""
 
