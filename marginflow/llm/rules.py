@@ -7,7 +7,7 @@ while that helps it on the pruning part, and takes the rows it covers out of the
 Learning ends when a new rule is no longer right about most of what it covers.  The list becomes
 one ordered Spark conditional expression over the statistics.
 
-The list is fitted on at most ``max_rows`` labelled rows, those of least hashed ``doc_id``; the
+The list is fitted on at most ``max_rows`` labelled rows, drawn by hashed ``doc_id``; the
 statistics and the expression cover all rows.
 
 Defined results: a null text has no words; ratios without a denominator are 0; labels that are
@@ -199,7 +199,12 @@ def learn(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, label_col
     wanted = labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), (F.col(label_col) == 0).alias("drop"))
     names = list(LEARNED)
-    rows = (stats.join(wanted, "doc_id").orderBy(F.xxhash64("doc_id"), *names, "drop").limit(max_rows)
+    labelled = stats.join(wanted, "doc_id")
+    # Rows are drawn by hashed doc_id: first those below a bound that twice max_rows should pass, so
+    # that no task or the driver sees many more than max_rows, then the least of these.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    bound = int(min(1.0, 2 * max_rows / max(1, labelled.count())) * (1 << 40))
+    rows = (labelled.where(place < bound).orderBy(place, *names, "drop").limit(max_rows)
             .select(*names, "drop").toPandas())
     if not len(rows):
         return DecisionList()
