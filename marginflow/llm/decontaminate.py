@@ -1,37 +1,41 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: seeds implied by the similarity, then Smith-Waterman alignment.
 
-Seeds.  The n-grams of all test items are hashed into a bitmap of fixed size, which every task
-holds; documents are scanned once, and only stretches around n-grams that hit the bitmap go on.
-A stretch reaches as far as the longest item could extend on either side of its hits, and meets
-items by a join on n-grams.  Each shared n-gram is evidence of log(N / n) / log(N), for n
-occurrences among N documents: 1 if it is unique, near 0 if most documents have it.  A stretch and
-an item are aligned from ``min_evidence`` on, so one rare n-gram is seed enough, and frequent ones
-must add up: a passage that a third of all documents copy still does, by its many n-grams.
+Similarity.  A document and an item are compared by local alignment on words (match 2, mismatch -1,
+gap -1).  The similarity is the best score over that of the item aligned with itself; a document
+leaks an item from ``min_similarity`` on.
 
-Alignment.  Each stretch is aligned with each item it shares a seed with (local alignment on
-words: match 2, mismatch -1, gap -1).  The similarity is the best score over that of the item
-aligned with itself; a document leaks an item from ``min_similarity`` on.
+Seeds.  Which pairs are aligned follows from ``min_similarity`` alone, never from how frequent a
+passage is.  An alignment of m matches and e other columns scores 2m - e and has at most e + 1 runs
+of matches.  So a score of s, with an item of L >= m words, asks for at least s - L - 1 pairs of
+neighbouring words that the document shares, within 3L - s words of the document.  Where that asks
+for no pair (items of five words, or a low ``min_similarity``), single words are the seeds, and at
+least s / 2 of them match.  Every document and item with as many seeds so near to each other are
+aligned; all others are below ``min_similarity``, however they are aligned.
+
+Where the work is.  Every task holds the items' words and seeds, and aligns a document where it
+scans it, many pairs side by side: no shuffle depends on how many documents share a passage.  Items
+beyond ``ITEM_CHARS`` characters take another scan, so that a task's memory has a bound.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters.  Defined results: items
-shorter than one n-gram have no seeds and never match; null or empty texts match nothing;
-repeated rows give one result row for each document and item; no items give an empty result.
+shorter than ``n`` words never match; null or empty texts match nothing; repeated rows give one
+result row for each document and item; no items give an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Scratch, small_batches, texts
+from .common import Scratch, small_batches, texts
 
-GRAM_BASE = 0x9E3779B97F4A7C15  # fixed value: odd base of the rolling hash
-BITMAP_BITS = 22  # the bitmap has 2**22 bits, half a megabyte, however many items there are
+ITEM_CHARS = 3_000_000  # characters of items, about, that one scan of the documents holds
+SEEDS_AT_ONCE, CELLS_AT_ONCE = 2_000_000, 1_000_000  # they bound a worker's memory
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -39,68 +43,78 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
 
 
-def _grams(rolling: Rolling, lists: list[list[bytes]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Over all lists: n-gram hashes, the list each is in, and its place there."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    flat = [w for x in lists for w in x]
-    symbols = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
-    which = np.repeat(np.arange(len(lists)), sizes)
-    place = np.arange(len(flat)) - np.repeat(sizes.cumsum() - sizes, sizes)
-    start = np.flatnonzero(place + n <= np.repeat(sizes, sizes))
-    return rolling.runs(rolling.prefix(symbols), start, start + n), which[start], place[start]
-
-
-def _bit(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-
-
-def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """``item_id, gram, bit, size``: the n-grams of each item, where they stand in the bitmap, and
-    the item's number of words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling(GRAM_BASE)
-        for batch in batches:
-            lists = [words_of(t) for t in batch.column("text").to_pylist()]
-            grams, which, _ = _grams(rolling, lists, n)
-            sizes = np.array([len(x) for x in lists], np.int64)[which]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id").take(pa.array(which)), pa.array(grams.view(np.int64)),
-                 pa.array(_bit(grams).astype(np.int32)), pa.array(sizes)], ["item_id", "gram", "bit", "size"])
-
-    return items.mapInArrow(run, "item_id long, gram long, bit int, size long").distinct()
-
-
-def stretches(docs: DataFrame, bits: np.ndarray, reach: int, n: int) -> DataFrame:
-    """``doc_id, row, low, passage, grams`` of the parts of documents around bitmap hits."""
-    bitmap = np.zeros(1 << BITMAP_BITS, np.uint8)
-    bitmap[bits] = 1
-    packed = np.packbits(bitmap)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, hit = Rolling(GRAM_BASE), np.unpackbits(packed)
-        for batch in batches:
-            lists = [words_of(t) for t in batch.column("text").to_pylist()]
-            grams, which, place = _grams(rolling, lists, n)
-            found = np.flatnonzero(hit[_bit(grams)])
-            if not len(found):
-                continue
-            grams, which, place = grams[found].view(np.int64), which[found], place[found]
-            new = np.flatnonzero((np.diff(which) != 0) | (np.diff(place) > 2 * reach)) + 1
-            owner, low, passages, held = [], [], [], []
-            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(found)], strict=True):
-                words, at = lists[which[a]], max(0, int(place[a]) - reach)
-                owner.append(which[a])
-                low.append(at)
-                passages.append(b" ".join(words[at:int(place[b - 1]) + n + reach]).decode())
-                held.append(np.unique(grams[a:b]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(owner)), batch.column("row").take(pa.array(owner)),
-                 pa.array(low, pa.int64()), pa.array(passages, pa.string()), pa.array(held, pa.list_(pa.int64()))],
-                ["doc_id", "row", "low", "passage", "grams"])
-
-    small_batches(docs.sparkSession)
-    return (docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-            .mapInArrow(run, "doc_id long, row long, low long, passage string, grams array<long>"))
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers start[i], ..., start[i] + n[i] - 1 of every i."""
+    return np.repeat(start - (n.cumsum() - n), n) + np.arange(n.sum())
+
+
+class Items:
+    """Distinct items: their words as numbers, the least score of a leak, and their seeds.
+
+    ``need[i]`` seeds of item i within ``reach[i]`` words are what a leak can't do without.
+    """
+
+    def __init__(self, found: dict[tuple[bytes, ...], list[int]], min_similarity: float):
+        self.words, self.ids = list(found), list(found.values())
+        self.code: dict[bytes, int] = {}
+        self.symbols = [np.array([self.code.setdefault(w, len(self.code)) for w in x], np.int64) for x in self.words]
+        size = np.array([len(x) for x in self.words], np.int64)
+        score = np.maximum(1, np.ceil(2 * size * min_similarity - 1e-6)).astype(np.int64)
+        self.reach = 3 * size - score
+        pairs = score - size - 1
+        self.need = np.where(pairs > 0, pairs, (score + 1) // 2)
+        self.seeds = {}
+        for width, chosen in ((1, np.flatnonzero(pairs <= 0)), (2, np.flatnonzero(pairs > 0))):
+            if len(chosen):
+                keys = [np.unique(self._keys(self.symbols[i], width)) for i in chosen]
+                item = np.repeat(chosen, [len(k) for k in keys])
+                key = np.concatenate(keys)
+                order = np.argsort(key, kind="stable")
+                unique, start, count = np.unique(key[order], return_index=True, return_counts=True)
+                self.seeds[width] = unique, start, count, item[order]
+
+    def _keys(self, symbols: np.ndarray, width: int) -> np.ndarray:
+        return symbols if width == 1 else symbols[:-1] * len(self.code) + symbols[1:]
+
+    def regions(self, symbols: np.ndarray, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Over documents laid end to end (``which`` is the document of each word): item, low and
+        high of the regions that every alignment from the least score on lies in."""
+        for width, (keys, start, count, items) in self.seeds.items():
+            known = symbols >= 0
+            if width == 2:
+                known = known[:-1] & known[1:] & (which[:-1] == which[1:])
+            at = np.flatnonzero(known)
+            key = symbols[at] if width == 1 else symbols[at] * len(self.code) + symbols[at + 1]
+            spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            at, spot = at[keys[spot] == key], spot[keys[spot] == key]
+            # Documents are taken so many at once that their seeds have a bound.
+            before = np.append(0, count[spot].cumsum())
+            cuts, last = [0], np.flatnonzero(np.diff(which[at], append=-1)) + 1
+            for stop, following in zip(last.tolist(), [*last[1:].tolist(), None][:len(last)], strict=True):
+                if following is None or before[following] - before[cuts[-1]] > SEEDS_AT_ONCE:
+                    cuts.append(stop)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                n = count[spot[a:b]]
+                placed = items[_ranges(start[spot[a:b]], n)] * len(symbols) + np.repeat(at[a:b], n)
+                placed.sort()
+                yield self._near(placed // len(symbols), placed % len(symbols), which, width)
+
+    def _near(self, item: np.ndarray, at: np.ndarray, which: np.ndarray,
+              width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Regions around enough seeds of one item near each other; ``at`` ascends within an item."""
+        first = np.arange(len(item))
+        last = first + self.need[item] - 1
+        first = first[last < len(item)]
+        last = last[first]
+        near = ((item[first] == item[last]) & (which[at[first]] == which[at[last]])
+                & (at[last] + width - at[first] <= self.reach[item[first]]))
+        first, last = first[near], last[near]
+        item, doc = item[first], which[at[first]]
+        low = np.maximum(at[last] + width - self.reach[item], np.searchsorted(which, doc))
+        high = np.minimum(at[first] + self.reach[item], np.searchsorted(which, doc, "right"))
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (low[1:] > high[:-1])
+        return item[new], low[new], high[np.append(new[1:], True)[:len(new)]]
 
 
 def smith_waterman(a: np.ndarray, b: np.ndarray, match: int = 2, mismatch: int = -1,
@@ -120,9 +134,9 @@ def smith_waterman(a: np.ndarray, b: np.ndarray, match: int = 2, mismatch: int =
     return best, *ends
 
 
-def align(item: list[str], passage: list[str]) -> tuple[float, int, int]:
+def align(item: list, passage: list) -> tuple[float, int, int]:
     """Similarity of an item and a passage, and the words [low, high) of the passage aligned."""
-    code: dict[str, int] = {}
+    code: dict = {}
     a = np.array([code.setdefault(w, len(code)) for w in item], np.int64)
     b = np.array([code.setdefault(w, len(code)) for w in passage], np.int64)
     score, i, j = smith_waterman(a, b)
@@ -132,45 +146,89 @@ def align(item: list[str], passage: list[str]) -> tuple[float, int, int]:
     return score / (2 * len(a)), j - back, j
 
 
+def best_scores(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
+    """Best local score of each item and passage (numbered words, negative where no item has the
+    word), for many pairs side by side."""
+    out = np.zeros(len(items), np.int64)
+    order = sorted(range(len(items)), key=lambda k: len(passages[k]))
+    while order:
+        longest = len(passages[order[-1]]) + 1
+        n = max(1, CELLS_AT_ONCE // longest)
+        group, order = order[-n:], order[:-n]
+        kind = np.int16 if longest < 1 << 14 else np.int32
+        a = np.full((max(len(items[k]) for k in group), len(group)), -2, np.int32)
+        b = np.full((longest - 1, len(group)), -1, np.int32)
+        for column, k in enumerate(group):
+            a[:len(items[k]), column] = items[k]
+            b[:len(passages[k]), column] = passages[k]
+        slope = np.arange(longest, dtype=kind)[:, None]
+        row, best = np.zeros((longest, len(group)), kind), np.zeros(len(group), kind)
+        for symbols in a:
+            step = np.zeros_like(row)
+            np.multiply(b == symbols, 3, out=step[1:], dtype=kind, casting="unsafe")
+            step[1:] += row[:-1] - kind(1)
+            np.maximum(step[1:], row[1:] - kind(1), out=step[1:])
+            np.maximum(step, 0, out=step)
+            step += slope
+            np.maximum.accumulate(step, axis=0, out=step)  # gaps along the passage
+            step -= slope
+            row = step
+            np.maximum(best, row.max(axis=0), out=best)
+        out[group] = best
+    return out
+
+
+def _scan(docs: DataFrame, items: Items, min_similarity: float) -> DataFrame:
+    """The alignments of documents with items, region by region, that reach ``min_similarity``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [words_of(t) for t in batch.column("text").to_pylist()]
+            sizes = np.array([len(x) for x in lists], np.int64)
+            symbols = np.fromiter((items.code.get(w, -1) for x in lists for w in x), np.int64, int(sizes.sum()))
+            which, begin = np.repeat(np.arange(len(lists)), sizes), sizes.cumsum() - sizes
+            rows = []
+            for item, low, high in items.regions(symbols, which):
+                found = list(zip(item.tolist(), low.tolist(), high.tolist(), strict=True))
+                for at in range(0, len(found), 10_000):
+                    some = found[at:at + 10_000]
+                    scores = best_scores([items.symbols[i] for i, _, _ in some], [symbols[a:b] for _, a, b in some])
+                    for (i, a, b), score in zip(some, scores.tolist(), strict=True):
+                        if score / (2 * len(items.words[i])) >= min_similarity:
+                            doc = int(which[a])
+                            a, b = a - int(begin[doc]), b - int(begin[doc])
+                            similarity, first, stop = align(list(items.words[i]), lists[doc][a:b])
+                            rows += [(doc, k, similarity, a + first, a + stop - 1) for k in items.ids[i]]
+            if rows:
+                doc, item, similarity, first, last = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(doc)), pa.array(item, pa.int64()),
+                     pa.array(similarity, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
+                    ["doc_id", "item_id", "similarity", "first_word", "last_word"])
+
+    return docs.mapInArrow(run, "doc_id long, item_id long, similarity double, first_word long, last_word long")
+
+
 def leaks(docs: DataFrame, items: DataFrame, n: int = 5, min_similarity: float = 0.6,
-          min_evidence: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
+          id_col: str = "doc_id", text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity, first_word, last_word``: the best alignment of each item in
     each document that leaks it."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
-    wanted = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-    grams = scratch.table("items", item_grams(wanted, n))
-    longest = grams.agg(F.max("size")).first()[0] or 0
-    # At most 2**22 distinct bits, whatever the number of items.
-    bits = np.array([r[0] for r in grams.select("bit").distinct().collect()], np.int64)
-    reach = longest + longest // 2
-    found = scratch.table("stretches", stretches(texts(docs, id_col, text_col), bits, reach, n))
-    held = found.select("row", "low", F.explode("grams").alias("gram"))
-    counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    total = max(2, docs.count())
-    weight = F.greatest(F.lit(0.0), 1 - F.log("n") / math.log(total))
-    seeds = scratch.table("seeds", grams.join(counts, "gram").select("item_id", "gram", weight.alias("w")))
-    met = (held.join(seeds, "gram").groupBy("row", "low", "item_id").agg(F.sum("w").alias("w"))
-           .where(F.col("w") >= min_evidence).select("row", "low", "item_id"))
-    pairs = (met.join(found.select("doc_id", "row", "low", "passage").distinct(), ["row", "low"])
-             .join(wanted.distinct(), "item_id"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [align([w.decode() for w in words_of(t)], p.split(" "))
-                   for t, p in zip(batch.column("text").to_pylist(), batch.column("passage").to_pylist(), strict=True)]
-            score, low, high = zip(*out, strict=True) if out else ((), (), ())
-            base = batch.column("low").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("item_id"), pa.array(score, pa.float64()),
-                 pa.array(base + np.array(low, np.int64)), pa.array(base + np.array(high, np.int64) - 1)],
-                ["doc_id", "item_id", "similarity", "first_word", "last_word"])
-
-    best = pairs.mapInArrow(run, "doc_id long, item_id long, similarity double, first_word long, last_word long")
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    wanted = (items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
+              .where("item_id is not null and text is not null").distinct())
+    scans = math.ceil((wanted.agg(F.sum(F.length("text"))).first()[0] or 0) / ITEM_CHARS) or 1
+    small_batches(docs.sparkSession)
+    parts = []
+    for nth in range(scans):
+        found: dict[tuple[bytes, ...], list[int]] = {}
+        for r in wanted.where(F.pmod(F.xxhash64("text"), F.lit(scans)) == nth).collect():
+            if len(words := tuple(words_of(r["text"]))) >= max(1, n):
+                found.setdefault(words, []).append(r["item_id"])
+        scan = _scan(texts(docs, id_col, text_col), Items(found, min_similarity), min_similarity)
+        parts.append(scratch.table(f"scan{nth}", scan))
+    best = reduce(DataFrame.union, parts)
     top = F.max_by(F.struct("first_word", "last_word"), F.struct("similarity", -F.col("first_word"))).alias("at")
-    return (best.where(F.col("similarity") >= min_similarity).groupBy("doc_id", "item_id")
-            .agg(F.max("similarity").alias("similarity"), top)
+    return (best.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), top)
             .select("doc_id", "item_id", "similarity", "at.first_word", "at.last_word"))
 
 

@@ -96,3 +96,39 @@ def test_query(spark):
         held |= {(r.doc_id, k) for k, w in items.items() if b" " + b" ".join(w) + b" " in text}
     got = {(r.doc_id, r.item_id): r.similarity for r in op2_decontaminate(spark, dir_).collect()}
     assert held and {k for k, s in got.items() if s == 1.0} == held
+
+
+def edited(words, every, how):
+    """Every so many words replaced, left out, or followed by another word."""
+    out = []
+    for k, w in enumerate(words):
+        hit = k % every == every - 1
+        out += {"replace": [f"other{k}"], "omit": [], "insert": [w, f"other{k}"]}[how] if hit else [w]
+    return out
+
+
+def test_passages_that_most_or_all_documents_hold(spark):
+    """How many documents share a passage, or a seed, changes nothing."""
+    words = [f"w{i}" for i in range(40)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words))], "item_id long, text string")
+    copies = spark.createDataFrame([(i, " ".join(words)) for i in range(2)], "doc_id long, text string")
+    assert by_row(d.leaks(copies, items), "doc_id", "item_id", "similarity") == [(i, k, 1.0) for i in (0, 1) for k in (1, 2)]
+    copy = edited(words, 6, "replace")
+    many = spark.createDataFrame([(i, " ".join(copy) if i % 3 == 0 else f"text {i}") for i in range(900)],
+                                 "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.leaks(many, items).collect()} == {(i, k) for i in range(0, 900, 3) for k in (1, 2)}
+
+
+def test_scores_side_by_side_and_several_scans(spark, planted, monkeypatch):
+    rng = random.Random(4)
+    pairs = [([rng.randrange(5) for _ in range(rng.randint(1, 14))], [rng.randrange(-1, 5) for _ in range(rng.randint(1, 30))])
+             for _ in range(300)]
+    monkeypatch.setattr(d, "CELLS_AT_ONCE", 500)
+    got = d.best_scores([d.np.array(a) for a, _ in pairs], [d.np.array(b) for _, b in pairs])
+    assert got.tolist() == [plain_score(a, b) for a, b in pairs]
+    docs, items, _ = planted
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one = by_row(d.leaks(*frames), "doc_id", "item_id", "similarity")
+    monkeypatch.setattr(d, "ITEM_CHARS", 1500)
+    monkeypatch.setattr(d, "SEEDS_AT_ONCE", 50)
+    assert by_row(d.leaks(*frames), "doc_id", "item_id", "similarity") == one
