@@ -107,6 +107,25 @@ def edited(words, every, how):
     return out
 
 
+def test_copies_edited_evenly_up_to_the_similarity(spark):
+    """No run of five words survives; for insertions after every second word no run of three."""
+    rng = random.Random(5)
+    items = [(k, rng.sample(WORDS, size)) for k, size in enumerate([5, 6, 8, 11, 15, 15, 20, 37, 59, 120])]
+    docs, want = [], {}
+    for how, least in (("replace", 4), ("omit", 4), ("insert", 2), ("insert", 3), ("replace", 3)):
+        for k, words in items:
+            doc = [f"before{i}" for i in range(rng.randrange(90))] + edited(words, least, how) + ["after"] * 40
+            share, _, _ = d.align(words, doc)
+            if share >= 0.6:
+                want[len(docs), k] = share
+            docs.append((len(docs), " ".join(doc)))
+    assert len(want) >= 35
+    got = d.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                  spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in got if (r.doc_id, r.item_id) in want} == want
+    assert all(r.similarity >= 0.6 for r in got)
+
+
 def test_passages_that_most_or_all_documents_hold(spark):
     """How many documents share a passage, or a seed, changes nothing."""
     words = [f"w{i}" for i in range(40)]
