@@ -36,7 +36,8 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges, state, step = scratch.table("links-0", edges), None, 0
     while True:
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum("v")).first()
+        total = F.sum(F.col("v").cast("decimal(20,0)"))  # names of 64 bits add up beyond a long
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), total).first()
         if now == state or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         state, step = now, step + 1
