@@ -120,7 +120,7 @@ def test_changed_input_is_built_anew(spark, tmp_path):
     from marginflow.plans.catalog import QUERIES
 
     for t in ("customer", "nation", "orders", "lineitem", "events"):
-        shutil.copy(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")  # without its read-only mode
     before = QUERIES["kpi_summary"](spark, str(tmp_path)).first()
     again = QUERIES["kpi_summary"](spark, str(tmp_path)).first()
     customers = spark.read.parquet(f"{SMOKE}/customer.parquet").toPandas()
