@@ -155,8 +155,10 @@ def best_scores(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarr
         longest = len(passages[order[-1]]) + 1
         n = max(1, CELLS_AT_ONCE // longest)
         group, order = order[-n:], order[:-n]
-        kind = np.int16 if longest < 1 << 14 else np.int32
-        a = np.full((max(len(items[k]) for k in group), len(group)), -2, np.int32)
+        tallest = max(len(items[k]) for k in group)
+        # A cell holds a score, at most 2 for each word of the shorter side, plus the slope of its column.
+        kind = np.int16 if 2 * min(tallest, longest) + longest < 1 << 15 else np.int32
+        a = np.full((tallest, len(group)), -2, np.int32)
         b = np.full((longest - 1, len(group)), -1, np.int32)
         for column, k in enumerate(group):
             a[:len(items[k]), column] = items[k]

@@ -151,3 +151,17 @@ def test_scores_side_by_side_and_several_scans(spark, planted, monkeypatch):
     monkeypatch.setattr(d, "ITEM_CHARS", 1500)
     monkeypatch.setattr(d, "SEEDS_AT_ONCE", 50)
     assert by_row(d.leaks(*frames), "doc_id", "item_id", "similarity") == one
+
+
+def test_long_copies_score_without_overflow():
+    """Scores and slopes beyond 16 bits: a long edited copy inside a passage of under 2**14 words."""
+    rng = random.Random(4)
+    item = d.np.array([rng.randrange(3000) for _ in range(9000)])
+    edited = item.copy()
+    for at in rng.sample(range(len(item)), len(item) * 23 // 100):
+        edited[at] = -1
+    passage = d.np.concatenate([d.np.full(380, -1), edited, d.np.full(2000, -1)])
+    exact = d.np.concatenate([item, d.np.full(100, -1)])
+    got = d.best_scores([item, item], [passage, exact])
+    assert got.tolist() == [d.smith_waterman(item, passage)[0], 2 * len(item)]
+    assert got[0] >= 0.6 * 2 * len(item)
