@@ -4,6 +4,7 @@ from array import array
 from glob import glob
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from llm_rows import ODD, by_row
@@ -29,8 +30,14 @@ def test_stretches_equal_whole_texts(monkeypatch):
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     texts += ["a <|endoftext|> b", "x<|startoftext|>y", "<|STARTOFTEXT|>"]
     mine = tokens.Stretches(PATH)
-    for text in texts:
-        assert list(array("I", mine.encode(text.encode()))) == theirs.encode(text, add_special_tokens=False).ids, repr(text)
+    texts += ["\u212bngstr\u00d6m### \u00c9\u00e9$$$ \u0130x%% a\u0301*** \u1e9e!! \u00d7## x'### \u01c4!", "ABC&&&abc 9%%%\u00e9'S!!"]
+    end = array("I", [1]).tobytes()
+    for at in range(0, len(texts), 500):
+        some = texts[at:at + 500]
+        ids, edges = mine.encode(pa.array([None, *some, ""]), end)
+        assert ids[:1].tolist() == [1] and ids[edges[-2]:].tolist() == [1]
+        for text, a, b in zip(some, edges[1:].tolist(), edges[2:].tolist(), strict=False):
+            assert ids[a:b].tolist() == [*theirs.encode(text, add_special_tokens=False).ids, 1], repr(text)
 
 
 def written(spark, docs, **options):
