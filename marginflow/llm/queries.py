@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, hpylm, language, licenses, rules, simhash, substring, tokens
+from . import (
+    aliases,
+    bpe,
+    centroids,
+    chat,
+    decontaminate,
+    hpylm,
+    language,
+    licenses,
+    negatives,
+    rules,
+    simhash,
+    substring,
+    tokens,
+)
 from .common import Scratch, crc_mod, read
 
 
@@ -97,6 +111,26 @@ def op10_licenses(spark: SparkSession, data_dir: str) -> DataFrame:
     return licenses.scan(read(spark, data_dir, "documents"))
 
 
+# Host, path, verdict of the URL rules.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op11_aliases(spark: SparkSession, data_dir: str) -> DataFrame:
+    told = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return aliases.decide(read(spark, data_dir, "pages"), told)
+
+
+def op12_negatives(spark: SparkSession, data_dir: str) -> DataFrame:
+    rows = read(spark, data_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows, anchors=F.col("vec_id") % 100 == 0)
+
+
+def op13_centroids(spark: SparkSession, data_dir: str) -> DataFrame:
+    return centroids.with_totals(*centroids.cluster(read(spark, data_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokens": op1_tokens,
     "op2_decontaminate": op2_decontaminate,
@@ -108,9 +142,114 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "op11_aliases": op11_aliases,
+    "op12_negatives": op12_negatives,
+    "op13_centroids": op13_centroids,
 }
 
+def _centroid_rounds(rounds: int, k: int = 16) -> str:
+    """The rounds of the clustering as one CTE after another, over ``q(rid, vec_id, v)`` and ``c0(c, v)``."""
+    near = """
+a{r} as (select rid, c, d from (select q.rid, c.c, d, row_number() over (partition by q.rid order by d, c.c) as nth
+  from q, c{r} c, lateral (select list_sum(list_transform(list_zip(q.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))::bigint as d) x)
+  where nth = 1)"""
+    move = """,
+s{r} as (select c, i, sum(x)::hugeint as s, count(*)::hugeint as n
+  from (select a.c, generate_subscripts(q.v, 1) as i, unnest(q.v) as x from a{r} a join q on q.rid = a.rid) group by c, i),
+c{n} as (select c{r}.c, coalesce(m.v, c{r}.v) as v from c{r} left join (
+  select c, list((((s - ((s % n) + n) % n)) // n)::bigint order by i) as v from s{r} group by c) m on m.c = c{r}.c),"""
+    return "".join(near.format(r=r) + (move.format(r=r, n=r + 1) if r < rounds else "") for r in range(rounds + 1))
+
+
 ORACLE: dict[str, str] = {
+    "op13_centroids": """
+with q as (
+  select row_number() over () as rid, vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64),
+c0 as (select row_number() over (order by h, v) - 1 as c, v
+       from (select sha256('1:' || vec_id) as h, v from q where vec_id is not null order by h, v limit 16)),"""
+    + _centroid_rounds(3) + """,
+t as (select c, sum(d)::bigint as cluster_inertia from a3 group by c)
+select q.vec_id, a3.c::int as cluster, a3.d as distance, t.cluster_inertia,
+  (select sum(d)::bigint from a3) as inertia, sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from a3 join q using (rid) join t on t.c = a3.c join c3 on c3.c = a3.c
+""",
+    "op12_negatives": """
+with r as (
+  select row_number() over () as rid, vec_id,
+    case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is not null and isfinite(x))) = len(embedding)),
+s as (
+  select a.rid, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+p as (
+  select rid, anchor_id, vec_id, score, row_number() over (partition by rid order by score desc, vec_id) as place
+  from s where same),
+n as (
+  select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score,
+    s.score as negative_score, row_number() over (partition by p.rid, p.place order by s.score desc, s.vec_id) as rank
+  from p join s on s.rid = p.rid and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score
+  where p.place <= 5)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 10
+""",
+    "op11_aliases": r"""
+with recursive u as (
+  select row_number() over () as rid, page_id, url, html, instr(url, '://') as at from pages),
+x as (
+  select rid, page_id, html, coalesce(case when at > 0 then substr(url, at + 3) end, '') as rest from u),
+y as (
+  select rid, page_id, html, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as tail from x),
+pg as (select *, case when host <> '' then host || tail end as address from y),
+tag as (
+  select rid, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?(?:-->|$)', '', 'g'), '(?i)<(?:link|meta)\s[^<>]*')) as t
+  from pg where address is not null),
+att as (
+  select rid, lower(t[2:5]) as kind, list_transform(['rel', 'href', 'http-equiv', 'content'], k -> replace(
+    regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1)
+    || regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2)
+    || regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3), '&amp;', '&')) as a
+  from tag),
+named as (
+  select rid, trim(case when kind = 'link' and list_contains(string_split_regex(lower(a[1]), '\s+'), 'canonical') then a[2]
+    when kind = 'meta' and lower(a[3]) = 'refresh'
+      then regexp_extract(a[4], '(?is)^[^;,]*[;,]\s*url\s*=\s*["'']?([^"'']*)', 1) end) as n from att),
+full_url as (
+  select pg.address as a, case when regexp_matches(n, '^[A-Za-z][A-Za-z0-9+.-]*://') then substr(n, instr(n, '://') + 3)
+    when starts_with(n, '//') then substr(n, 3)
+    when regexp_matches(n, '^[A-Za-z][A-Za-z0-9+.-]*:') or starts_with(n, '#') then null
+    when starts_with(n, '/') then host || n
+    when starts_with(n, '?') then host || path || n
+    else host || case when path = '' then '/' else regexp_extract(path, '(?s)^(.*/)', 1) end || n end as r
+  from named join pg using (rid) where n <> ''),
+edge as (
+  select distinct a, b from (
+    select a, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      || regexp_extract(r, '^[^/?#]*([^#]*)', 1) as b
+    from full_url where regexp_extract(r, '^[^/?#]*') <> '') where a <> b),
+rules(rhost, rpath, verdict) as (values """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES) + """),
+step as (select a, b from edge union select b, a from edge),
+walk as (select a as address, a as other from step union select walk.address, step.b from walk join step on step.a = walk.other),
+place as (
+  select address, host, path from pg where address is not null
+  union select b, regexp_extract(b, '^[^/?#]*'), regexp_extract(b, '^[^/?#]*([^?#]*)', 1) from edge),
+fit as (
+  select host, path, arg_min(rhost || rpath, o) as rule, arg_min(verdict, o) as own
+  from (select p.host, p.path, rhost, rpath, verdict, (-length(rhost || rpath), verdict, rhost || rpath) as o
+        from (select distinct host, path from place) p join rules
+          on (p.host = rhost or ends_with(p.host, '.' || rhost)) and starts_with(p.path, rpath))
+  group by host, path),
+told as (
+  select walk.address, min(fit.own) as alias from walk join place on place.address = walk.other
+    join fit on fit.host = place.host and fit.path = place.path group by walk.address)
+select page_id, pg.host, pg.path, fit.rule, coalesce(fit.own, told.alias, 'allow') as verdict,
+  case when fit.own is not null then 'rule' when told.alias is not null then 'alias' else 'default' end as reason
+from pg left join fit on fit.host = pg.host and fit.path = pg.path left join told on told.address = pg.address
+""",
     "op5_chat": """
 with own(conv_id, turn, role) as (values (-7, 0, 'user'), (-7, 1, 'assistant')),
 t as (
