@@ -151,7 +151,7 @@ def _centroid_rounds(rounds: int, k: int = 16) -> str:
     """The rounds of the clustering as one CTE after another, over ``q(rid, vec_id, v)`` and ``c0(c, v)``."""
     near = """
 a{r} as (select rid, c, d from (select q.rid, c.c, d, row_number() over (partition by q.rid order by d, c.c) as nth
-  from q, c{r} c, lateral (select list_sum(list_transform(list_zip(q.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))::bigint as d) x)
+  from q, c{r} c, lateral (select list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d) x)
   where nth = 1)"""
     move = """,
 s{r} as (select c, i, sum(x)::hugeint as s, count(*)::hugeint as n
@@ -164,9 +164,9 @@ c{n} as (select c{r}.c, coalesce(m.v, c{r}.v) as v from c{r} left join (
 ORACLE: dict[str, str] = {
     "op13_centroids": """
 with q as (
-  select row_number() over () as rid, vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
   from embeddings
-  where len(embedding) = 64 and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64),
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
 c0 as (select row_number() over (order by h, v) - 1 as c, v
        from (select sha256('1:' || vec_id) as h, v from q where vec_id is not null order by h, v limit 16)),"""
     + _centroid_rounds(3) + """,
@@ -179,10 +179,10 @@ from a3 join q using (rid) join t on t.c = a3.c join c3 on c3.c = a3.c
 with r as (
   select row_number() over () as rid, vec_id,
     case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-    list_transform(embedding, x -> floor(256 * x::double)) as v
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
   from embeddings
   where vec_id is not null and label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is not null and isfinite(x))) = len(embedding)),
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
 s as (
   select a.rid, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
   from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
@@ -198,9 +198,9 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 """,
     "op11_aliases": r"""
 with recursive u as (
-  select row_number() over () as rid, page_id, url, html, instr(url, '://') as at from pages),
+  select row_number() over () as rid, page_id, url, html, instr(url, '://') as cut from pages),
 x as (
-  select rid, page_id, html, coalesce(case when at > 0 then substr(url, at + 3) end, '') as rest from u),
+  select rid, page_id, html, coalesce(case when cut > 0 then substr(url, cut + 3) end, '') as rest from u),
 y as (
   select rid, page_id, html, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as tail from x),
@@ -209,7 +209,7 @@ tag as (
   select rid, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?(?:-->|$)', '', 'g'), '(?i)<(?:link|meta)\s[^<>]*')) as t
   from pg where address is not null),
 att as (
-  select rid, lower(t[2:5]) as kind, list_transform(['rel', 'href', 'http-equiv', 'content'], k -> replace(
+  select rid, lower(t[2:5]) as kind, list_transform(['rel', 'href', 'http-equiv', 'content'], lambda k: replace(
     regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1)
     || regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2)
     || regexp_extract(t, '(?is)\s' || k || '\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3), '&amp;', '&')) as a
