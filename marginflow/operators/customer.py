@@ -6,19 +6,21 @@ The window is half-open: an order on day 90 after acquisition is outside.
 
 Scale: per-customer results are grouped aggregates (map-side partial aggregation, so a
 customer with a huge share of the orders is pre-combined before the shuffle).  The only
-true ordering, ``purchase_number``, uses the range-partitioned ``sequence_within``.  The
-summary works on rows combined per customer and day, the exact cohort median on counts per
-distinct margin, so neither orders nor customers of a group meet in one task.
+true ordering, ``purchase_number``, is numbered on two levels (``number_by_day``).  The
+summary works on rows combined per customer and day, the exact cohort median selects by
+digits among counted margins, so neither orders nor customers of a group meet in one task.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, round_money
-from .ranking import sequence_within, slices_for
-from .skew import hot_keys, salted_join
+from ..session import scratch_dir
+from .ranking import median_by_digits, number_by_day
 
 WINDOW_DAYS = 90
 COMPLETED = "completed"
@@ -35,24 +37,12 @@ def first_orders(orders: DataFrame) -> DataFrame:
     return _first_completed(orders).select("customer_id", "acquisition_date")
 
 
-def _orders_in_window(orders: DataFrame) -> DataFrame:
-    completed = orders.where(F.col("order_status") == COMPLETED)
-    g = _first_completed(orders)
-    f = g.select("customer_id", "acquisition_date")
-    o = completed.select("customer_id", "order_id", "order_date", "market", "acquisition_channel",
-                         "net_revenue", "contribution_margin")
-    # One row per customer on the right; a customer with a large share of the orders is
-    # spread over several tasks (hot keys from the same per-customer aggregate).
-    j = salted_join(o, f, "customer_id", hot_keys(g, "customer_id", "_n"), "inner", spread_by="order_id")
-    return j.where(F.col("order_date") < F.date_add(F.col("acquisition_date"), WINDOW_DAYS))
-
-
 def customer_orders_90d(orders: DataFrame) -> DataFrame:
     """Completed orders within 90 days of acquisition, numbered per customer by date, order id."""
-    w = _orders_in_window(orders)
-    # The row count of the written fact comes from its footers; it bounds the rows to number.
-    numbered = sequence_within(w, ["customer_id"], ["order_date", "order_id"], "purchase_number",
-                               slices=slices_for(orders.count()))
+    completed = orders.where(F.col("order_status") == COMPLETED).select(
+        "customer_id", "order_id", "order_date", "market", "acquisition_channel", "net_revenue", "contribution_margin")
+    numbered = number_by_day(completed, "customer_id", "order_date", "order_id", out="purchase_number",
+                             first="acquisition_date", within=WINDOW_DAYS)
     return numbered.select(
         "customer_id", "acquisition_date", "order_id", "order_date", "market", "acquisition_channel",
         F.col("net_revenue").cast("double").alias("net_revenue"),
@@ -108,34 +98,33 @@ def _cohort_rows(orders: DataFrame) -> DataFrame:
 def cohort_profitability_90d(orders: DataFrame) -> DataFrame:
     """Acquisition cohorts (month x market x channel): size, 90-day means, repeat rate, exact median margin.
 
-    Margins are cents and repeat, so customers are counted per (cohort, margin) first; the median
-    is picked from accumulated counts over a cohort's distinct margins.
+    Margins are cents and repeat, so customers are counted per (cohort, margin) first; means add up
+    these rows, and the median is selected among them by digits, so no task holds a cohort.  Three
+    steps read these rows, so they are written to the scratch folder when the function is called.
     """
-    margin = F.col("contribution_margin_90d")
     values = _cohort_rows(orders).groupBy(*COHORT_KEYS, "contribution_margin_90d").agg(
         F.count(F.lit(1)).alias("_n"), F.count("contribution_margin_90d").alias("_n_cm"),
         F.sum("contribution_margin_90d").alias("_cm"),
         F.sum("revenue_90d").alias("_rev"), F.count("revenue_90d").alias("_n_rev"),
         F.sum("repeated_90d").alias("_rep"), F.count("repeated_90d").alias("_n_rep"))
-    cohort = Window.partitionBy(*COHORT_KEYS)
-    ranked = values.withColumn("_upto", F.sum("_n_cm").over(cohort.orderBy(margin.asc_nulls_first()))).withColumn(
-        "_all", F.sum("_n_cm").over(cohort))
-
-    def holds(position):  # the value at a 1-based position among the non-null margins
-        return F.max(F.when((F.col("_upto") - F.col("_n_cm") < position) & (position <= F.col("_upto")), margin))
-
-    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
-    g = ranked.groupBy(*COHORT_KEYS).agg(
+    path = f"{scratch_dir(orders.sparkSession)}/cohorts/{uuid.uuid4().hex}"
+    values.write.parquet(path)
+    values = orders.sparkSession.read.schema(values.schema).parquet(path)
+    g = values.groupBy(*COHORT_KEYS).agg(
         F.sum("_n").alias("acquired_customers"), F.sum("_rev").alias("_rev"), F.sum("_n_rev").alias("_n_rev"),
         F.sum("_cm").alias("_cm"), F.sum("_n_cm").alias("_n_cm"), F.sum("_rep").alias("_rep"),
-        F.sum("_n_rep").alias("_n_rep"), holds(low).alias("_low"), holds(high).alias("_high"))
-    return g.select(
+        F.sum("_n_rep").alias("_n_rep"))
+    cents = values.withColumn("_cents", (F.col("contribution_margin_90d") * 100).cast("bigint"))
+    middle = median_by_digits(cents, COHORT_KEYS, "_cents", "_n_cm").select(
+        *[F.col(c).alias(f"_{c}") for c in COHORT_KEYS], "low", "high")
+    same = [g[c].eqNullSafe(middle[f"_{c}"]) for c in COHORT_KEYS]
+    return g.join(middle, same, "left").select(
         *COHORT_KEYS, F.col("acquired_customers").cast("bigint").alias("acquired_customers"),
         mean_of(F.col("_rev"), F.col("_n_rev")).alias("avg_revenue_90d"),
         mean_of(F.col("_cm"), F.col("_n_cm")).alias("avg_contribution_margin_90d"),
         mean_of(F.col("_rep"), F.col("_n_rep")).alias("repeat_purchase_rate_90d"),
         # Midpoints of cent values have at most three decimals: four keep them exact.
-        round_half_up(((F.col("_low") + F.col("_high")) / F.lit(2)).cast("double"), 4)
+        round_half_up(((F.col("low") + F.col("high")) / F.lit(200)).cast("double"), 4)
         .alias("median_contribution_margin_90d"))
 
 

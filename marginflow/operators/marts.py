@@ -3,6 +3,9 @@
 Every function takes DataFrames and returns a lazy DataFrame.  Money is summed exactly as
 ``decimal(18,2)``; outputs are doubles rounded half away from zero.
 
+Roll-ups.  ``prospect_outcomes`` adds up what each prospect did; channel and experiment marts are
+grouped sums over it (``*_of``), and a built warehouse stores it, so they read no order.
+
 Channel marts and fan-out.  The parity mart (``channel_profitability``) reproduces a left
 join of prospects to orders followed by ``SUM``/``AVG`` of the prospect's 0/1 ``converted``
 flag, so a prospect with ``k`` orders counts ``max(k, 1)`` times.  Instead of building the
@@ -31,26 +34,31 @@ def orders_per_prospect(orders: DataFrame) -> DataFrame:
     )
 
 
-def _prospect_orders(prospects: DataFrame, orders: DataFrame) -> DataFrame:
-    per = orders_per_prospect(orders)
-    p = prospects.select("prospect_id", "acquisition_channel", "converted")
-    j = p.join(per, "prospect_id", "left")
-    return j.select(
-        "acquisition_channel", "prospect_id", "converted",
-        F.coalesce(F.col("order_count"), F.lit(0)).alias("k"),
-        F.greatest(F.coalesce(F.col("order_count"), F.lit(0)), F.lit(1)).alias("joined_rows"),
-        "prospect_revenue", "prospect_margin",
-    )
+def prospect_outcomes(prospects: DataFrame, orders: DataFrame, assignments: DataFrame | None = None) -> DataFrame:
+    """One row per prospect: its attributes, its arm, and sums and counts over its orders.
 
+    Sums and counts merge, so every mart by attributes of a prospect rolls this table up.  A
+    prospect without orders has zero orders and null sums; without an assignment, a null arm.
+    """
+    p = prospects.select("prospect_id", "market", "acquisition_channel", "category_interest", "device_type", "converted")
+    if assignments is None:
+        p = p.withColumn("treatment", F.lit(None).cast("string"))
+    else:
+        p = p.join(assignments.select("prospect_id", "treatment"), "prospect_id", "left")
+    j = p.join(orders_per_prospect(orders), "prospect_id", "left")
+    return j.select(*p.columns, F.coalesce("order_count", F.lit(0)).cast("bigint").alias("order_count"),
+                    F.col("prospect_revenue").cast("decimal(28,2)").alias("prospect_revenue"),
+                    F.col("prospect_margin").cast("decimal(28,2)").alias("prospect_margin"))
 
-def channel_profitability(prospects: DataFrame, orders: DataFrame) -> DataFrame:
-    """Channel mart, parity definition (conversion weighted by joined order rows)."""
-    j = _prospect_orders(prospects, orders)
-    g = j.groupBy("acquisition_channel").agg(
+
+def _channel_mart(outcomes: DataFrame, once: bool) -> DataFrame:
+    """Channel mart; each prospect counts once, or as often as a join with its orders repeats it."""
+    weight = F.lit(1) if once else F.greatest("order_count", F.lit(1))
+    g = outcomes.groupBy("acquisition_channel").agg(
         F.count(F.lit(1)).alias("prospects"),
-        F.sum(F.col("converted") * F.col("joined_rows")).alias("customers"),
-        F.sum("joined_rows").alias("_rows"),
-        F.sum("k").alias("orders"),
+        F.sum(F.col("converted") * weight).alias("customers"),
+        F.sum(weight).alias("_rows"),
+        F.sum("order_count").alias("orders"),
         F.sum("prospect_revenue").alias("_rev"),
         F.sum("prospect_margin").alias("_cm"),
     )
@@ -68,28 +76,22 @@ def channel_profitability(prospects: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def channel_profitability_distinct(prospects: DataFrame, orders: DataFrame) -> DataFrame:
+def channel_profitability_of(outcomes: DataFrame) -> DataFrame:
+    """Channel mart, parity definition (conversion weighted by joined order rows)."""
+    return _channel_mart(outcomes, once=False)
+
+
+def channel_profitability_distinct_of(outcomes: DataFrame) -> DataFrame:
     """Channel mart with conversion counted once per prospect (the measure-layer definition)."""
-    j = _prospect_orders(prospects, orders)
-    g = j.groupBy("acquisition_channel").agg(
-        F.count(F.lit(1)).alias("prospects"),
-        F.sum("converted").alias("customers"),
-        F.sum("k").alias("orders"),
-        F.sum("prospect_revenue").alias("_rev"),
-        F.sum("prospect_margin").alias("_cm"),
-    )
-    cm = F.coalesce(F.col("_cm"), F.lit(0))
-    return g.select(
-        "acquisition_channel",
-        F.col("prospects").cast("bigint").alias("prospects"),
-        F.col("customers").cast("bigint").alias("customers"),
-        round_half_up(mean_of(F.col("customers"), F.col("prospects")), 4).alias("conversion_rate"),
-        F.col("orders").cast("bigint").alias("orders"),
-        round_money(F.coalesce(F.col("_rev"), F.lit(0))).alias("net_revenue"),
-        round_money(cm).alias("contribution_margin"),
-        round_half_up(ratio(cm, F.col("_rev")), 4).alias("contribution_margin_pct"),
-        round_half_up(ratio(cm, F.col("prospects")), 2).alias("margin_per_prospect"),
-    )
+    return _channel_mart(outcomes, once=True)
+
+
+def channel_profitability(prospects: DataFrame, orders: DataFrame) -> DataFrame:
+    return channel_profitability_of(prospect_outcomes(prospects, orders))
+
+
+def channel_profitability_distinct(prospects: DataFrame, orders: DataFrame) -> DataFrame:
+    return channel_profitability_distinct_of(prospect_outcomes(prospects, orders))
 
 
 def market_profitability(orders: DataFrame) -> DataFrame:
@@ -126,20 +128,20 @@ def logistics(deliveries: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def experiment(assignments: DataFrame, prospects: DataFrame, orders: DataFrame) -> DataFrame:
-    """Experiment mart by arm (intention to treat: every assigned prospect counts, zero-filled)."""
-    per = orders_per_prospect(orders).select("prospect_id", "prospect_revenue", "prospect_margin")
-    e = assignments.select("prospect_id", "treatment")
-    p = prospects.select("prospect_id", "converted")
-    j = e.join(p, "prospect_id").join(per, "prospect_id", "left")
-    g = j.groupBy("treatment").agg(
+def arm_totals(outcomes: DataFrame) -> DataFrame:
+    """Exact counts and sums of each arm (every assigned prospect counts, zero-filled)."""
+    return outcomes.where(F.col("treatment").isNotNull()).groupBy("treatment").agg(
         F.count(F.lit(1)).alias("assigned_prospects"),
         F.sum("converted").alias("converted_prospects"),
         F.count("converted").alias("_n_conv"),
         F.sum(F.coalesce(F.col("prospect_margin"), F.lit(0))).alias("_cm"),
         F.sum(F.coalesce(F.col("prospect_revenue"), F.lit(0))).alias("_rev"),
     )
-    return g.select(
+
+
+def experiment_of(outcomes: DataFrame) -> DataFrame:
+    """Experiment mart by arm (intention to treat)."""
+    return arm_totals(outcomes).select(
         "treatment",
         F.col("assigned_prospects").cast("bigint").alias("assigned_prospects"),
         F.col("converted_prospects").cast("bigint").alias("converted_prospects"),
@@ -149,6 +151,10 @@ def experiment(assignments: DataFrame, prospects: DataFrame, orders: DataFrame)
     )
 
 
+def experiment(assignments: DataFrame, prospects: DataFrame, orders: DataFrame) -> DataFrame:
+    return experiment_of(prospect_outcomes(prospects, orders, assignments))
+
+
 def kpi_summary(prospects: DataFrame, orders: DataFrame) -> DataFrame:
     """Headline KPIs: prospects, per-prospect conversion (unrounded), revenue, margin (all orders)."""
     p = prospects.agg(F.count(F.lit(1)).alias("prospects"), F.sum("converted").alias("_conv"),

@@ -3,11 +3,15 @@
 Output schema of every check: ``check`` string, ``table`` string, ``column`` string,
 ``violations`` bigint.  Checks read the constraint registry in ``marginflow.schemas``.
 
-Plans are scan-efficient: not-null, accepted-value and range checks of one table are one
-aggregation pass over that table; key uniqueness is ``groupBy(key).count()`` (partial
-aggregation, so a duplicated hot key is combined map-side); orphan detection
-pre-aggregates the child keys before the anti join, so a parent key referenced by a third
-of the child rows is a single row in the join.
+Keys.  Columns that refer to each other, directly or through others, share a key domain (prospects,
+customers, orders).  ``key_audit`` unites the key columns of all tables as tagged rows (domain, key,
+column), counts them by domain and key in one grouping, combined before its one shuffle, and reads
+duplicates and orphans of every relation off these counts: a key referenced by a third of all rows is
+one row there, and no table is joined to another.
+
+Rows.  Not-null, accepted-value and range checks look at single rows.  ``observations`` states them as
+aggregates that Spark observes while a table is written, so that a report on a built warehouse makes no
+pass over the tables for them; over other tables they are one aggregation pass each.
 """
 
 from __future__ import annotations
@@ -33,24 +37,65 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _key_counts(tables: Tables, table: str, column: str) -> DataFrame:
-    """Rows per non-null key value.  Uniqueness and orphan checks (child and parent sides) all
-    use this same plan, so within one report each table/column is aggregated by one shuffle
-    that the other checks reuse."""
-    return (tables[table].select(column).where(F.col(column).isNotNull())
-            .groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
+KeyColumn = tuple[str, str]  # (table, column)
+
+
+def key_domains() -> list[list[KeyColumn]]:
+    """Key columns that declared references connect; a key that nothing refers to is alone."""
+    unique = [(t, c) for t, c in schemas.PRIMARY_KEYS.items()]
+    unique += [(t, c) for t, cols in schemas.UNIQUE_KEYS.items() for c in cols]
+    links = [((child, column), (parent, key)) for child, column, parent, key in schemas.FOREIGN_KEYS]
+    domains = [{column} for column in dict.fromkeys([*unique, *[end for link in links for end in link]])]
+    for a, b in links:
+        joined = [d for d in domains if a in d or b in d]
+        domains = [d for d in domains if d not in joined] + [set().union(*joined)]
+    return [sorted(d) for d in domains]
+
+
+def key_audit(tables: Tables, kinds: tuple[str, ...] = ("unique", "relationships")) -> DataFrame:
+    """Rows beyond the first per key value, for primary keys and declared unique columns, and child
+    rows whose non-null key has no parent row."""
+    checks: list[tuple[str, str, str, int, Column]] = []  # check, table, column, domain, violations of a key
+    tagged = []
+    for number, domain in enumerate(key_domains()):
+        domain = [k for k in domain if k[0] in tables]
+        rows = {k: F.col(f"_n{i}") for i, k in enumerate(domain)}
+        wanted = []
+        if "unique" in kinds:
+            pairs = [*schemas.PRIMARY_KEYS.items(), *[(t, c) for t, cols in schemas.UNIQUE_KEYS.items() for c in cols]]
+            wanted += [("unique", t, c, [(t, c)], F.greatest(rows[t, c] - 1, F.lit(0))) for t, c in pairs if (t, c) in rows]
+        if "relationships" in kinds:
+            wanted += [("relationships", t, f"{c}->{parent}.{key}", [(t, c), (parent, key)],
+                        F.when(rows[parent, key] == 0, rows[t, c]).otherwise(0))
+                       for t, c, parent, key in schemas.FOREIGN_KEYS if (t, c) in rows and (parent, key) in rows]
+        checks += [(check, t, c, number, count) for check, t, c, _, count in wanted]
+        for i, (t, c) in enumerate(domain):
+            if any((t, c) in needed for _, _, _, needed, _ in wanted):
+                tagged.append(tables[t].where(F.col(c).isNotNull()).select(
+                    F.lit(number).alias("_domain"), F.col(c).cast("string").alias("_key"), F.lit(i).alias("_tag")))
+    width = max(len(d) for d in key_domains())
+    per_key = reduce(DataFrame.union, tagged).groupBy("_domain", "_key").agg(
+        *[F.count(F.when(F.col("_tag") == i, 1)).alias(f"_n{i}") for i in range(width)])
+    totals = per_key.agg(*[F.sum(F.when(F.col("_domain") == number, count)).alias(f"_v{i}")
+                           for i, (_, _, _, number, count) in enumerate(checks)])
+    return _unpivoted(totals, [check[:3] for check in checks])
+
+
+def _unpivoted(totals: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:
+    """One row per check from one row of totals ``_v0, _v1, ...``."""
+    rows = ", ".join(f"{_quote(check)}, {_quote(table)}, {_quote(column)}, CAST(COALESCE(_v{i}, 0) AS BIGINT)"
+                     for i, (check, table, column) in enumerate(checks))
+    return totals.selectExpr(f"stack({len(checks)}, {rows}) AS (`check`, `table`, `column`, violations)")
 
 
 def unique_keys(tables: Tables) -> DataFrame:
     """Rows beyond the first per key value, for primary keys and declared unique columns."""
-    frames = []
-    pairs = [(t, c) for t, c in schemas.PRIMARY_KEYS.items()]
-    pairs += [(t, c) for t, cols in schemas.UNIQUE_KEYS.items() for c in cols]
-    for table, column in pairs:
-        counts = _key_counts(tables, table, column)
-        dup = counts.where(F.col("_n") > 1)
-        frames.append(_row(dup, "unique", table, column, F.sum(F.col("_n") - 1)))
-    return _union(frames)
+    return key_audit(tables, ("unique",))
+
+
+def orphans(tables: Tables) -> DataFrame:
+    """Child rows whose non-null key has no parent row."""
+    return key_audit(tables, ("relationships",))
 
 
 def _quote(value) -> str:
@@ -90,13 +135,31 @@ def _single_pass(tables: Tables, kinds: tuple[str, ...]) -> DataFrame:
     frames = []
     for table, checks in _table_checks(tables, kinds).items():
         sums = [f"SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS _v{i}" for i, (_, _, cond) in enumerate(checks)]
-        triples = ", ".join(f"{_quote(check)}, {_quote(table)}, {_quote(column)}, CAST(COALESCE(_v{i}, 0) AS BIGINT)"
-                            for i, (check, column, _) in enumerate(checks))
-        unpivot = f"stack({len(checks)}, {triples}) AS (`check`, `table`, `column`, violations)"
-        frames.append(tables[table].selectExpr(*sums).selectExpr(unpivot))
+        frames.append(_unpivoted(tables[table].selectExpr(*sums), [(check, table, column) for check, column, _ in checks]))
     return _union(frames)
 
 
+ROW_CHECKS = ("not_null", "accepted_values", "range")
+
+
+def observations(table: str) -> list[Column]:
+    """What to observe while ``table`` is written: its row checks, and totals that marts are held to."""
+    checks = _table_checks({table: None}, ROW_CHECKS)[table]
+    out = [F.expr(f"COUNT(CASE WHEN {cond} THEN 1 END)").alias(f"{check}:{column}") for check, column, cond in checks]
+    if table == "fct_orders":
+        out.append(F.sum("contribution_margin").alias("contribution_margin"))
+    if table == "dim_prospect":
+        out += [F.min("converted").alias("least_converted"), F.max("converted").alias("most_converted")]
+    return out
+
+
+def observed_checks(spark, observed: dict[str, dict]) -> DataFrame:
+    """The row checks of written tables, as they were observed (a row a declared check)."""
+    rows = [(check, table, column, int(observed[table][f"{check}:{column}"]))
+            for table, checks in _table_checks(dict.fromkeys(observed), ROW_CHECKS).items() for check, column, _ in checks]
+    return spark.createDataFrame(rows, "check string, table string, column string, violations bigint")
+
+
 def not_null(tables: Tables) -> DataFrame:
     return _single_pass(tables, ("not_null",))
 
@@ -109,52 +172,56 @@ def ranges(tables: Tables) -> DataFrame:
     return _single_pass(tables, ("range",))
 
 
-def orphans(tables: Tables) -> DataFrame:
-    """Child rows whose non-null key has no parent row."""
-    frames = []
-    for child, column, parent, parent_column in schemas.FOREIGN_KEYS:
-        keys = _key_counts(tables, child, column)
-        parents = _key_counts(tables, parent, parent_column).select(F.col(parent_column).alias("_parent_key"))
-        missing = keys.join(parents, keys[column] == parents["_parent_key"], "left_anti")
-        frames.append(_row(missing, "relationships", child, f"{column}->{parent}.{parent_column}", F.sum("_n")))
-    return _union(frames)
+def _told(check: str, table: str, column: str, violated: Column) -> list[Column]:
+    return [F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"),
+            F.when(violated, 1).otherwise(0).cast("bigint").alias("violations")]
 
 
-def reconciliation(orders: DataFrame, channel_mart: DataFrame) -> DataFrame:
-    """1 when the channel mart's margin total differs from the orders total at cents precision."""
-    raw = orders.agg(F.round(F.sum("contribution_margin"), 2).alias("_raw"))
-    mart = single_row(channel_mart.agg(
-        F.round(F.sum(F.col("contribution_margin").cast("decimal(18,2)")), 2).alias("_mart")))
-    return raw.select(
-        F.lit("reconciliation").alias("check"), F.lit("mart_channel_profitability").alias("table"),
-        F.lit("contribution_margin").alias("column"),
-        F.when(F.col("_raw").eqNullSafe(mart["_mart"]), 0).otherwise(1).cast("bigint").alias("violations"))
+def reconciliation(orders: DataFrame, channel_mart: DataFrame, observed: dict | None = None) -> DataFrame:
+    """1 when the channel mart's margin total differs from the orders total at cents precision.
+
+    The orders total is what was observed while the orders were written, or else is added up.
+    """
+    mart = channel_mart.agg(
+        F.round(F.sum(F.col("contribution_margin").cast("decimal(18,2)")), 2).alias("_mart"))
+    if observed is not None:
+        raw = F.round(F.lit(observed["fct_orders"]["contribution_margin"]).cast("decimal(28,2)"), 2)
+    else:
+        raw = single_row(orders.agg(F.round(F.sum("contribution_margin"), 2).alias("_raw")))["_raw"]
+    return mart.select(*_told("reconciliation", "mart_channel_profitability", "contribution_margin",
+                              ~raw.eqNullSafe(F.col("_mart"))))
 
 
-def experiment_health(prospects: DataFrame, experiment_mart: DataFrame) -> DataFrame:
+def experiment_health(prospects: DataFrame, experiment_mart: DataFrame, observed: dict | None = None) -> DataFrame:
     """Outcome variety: converted must take both 0 and 1; each arm's rate must lie in (0, 1)."""
-    p = prospects.agg(F.min("converted").alias("_lo"), F.max("converted").alias("_hi"))
-    variety = p.select(
-        F.lit("outcome_variety").alias("check"), F.lit("dim_prospect").alias("table"),
-        F.lit("converted").alias("column"),
-        F.when((F.col("_lo") == 0) & (F.col("_hi") == 1), 0).otherwise(1).cast("bigint").alias("violations"))
+    if observed is not None:
+        seen = observed["dim_prospect"]
+        varied = (seen["least_converted"], seen["most_converted"]) == ("0", "1")
+        variety = prospects.sparkSession.createDataFrame(
+            [("outcome_variety", "dim_prospect", "converted", int(not varied))],
+            "check string, table string, column string, violations bigint")
+    else:
+        p = prospects.agg(F.min("converted").alias("_lo"), F.max("converted").alias("_hi"))
+        both = F.coalesce((F.col("_lo") == 0) & (F.col("_hi") == 1), F.lit(False))
+        variety = p.select(*_told("outcome_variety", "dim_prospect", "converted", ~both))
     rate = F.col("conversion_rate")
     arms = _row(experiment_mart, "arm_rate_interior", "mart_experiment", "conversion_rate",
                 F.sum(((rate <= 0) | (rate >= 1) | rate.isNull()).cast("int")))
     return variety.unionByName(arms)
 
 
-def table_checks(tables: Tables) -> DataFrame:
-    """Every check that looks at tables alone, one row each."""
-    return _union([unique_keys(tables), _single_pass(tables, ("not_null", "accepted_values", "range")),
-                   orphans(tables)])
+def table_checks(tables: Tables, observed: dict | None = None) -> DataFrame:
+    """Every check that looks at tables alone, one row each; row checks as ``observed``, if given."""
+    rows = (_single_pass(tables, ROW_CHECKS) if observed is None
+            else observed_checks(next(iter(tables.values())).sparkSession, observed))
+    return key_audit(tables).unionByName(rows)
 
 
-def report(tables: Tables, channel_mart: DataFrame, experiment_mart: DataFrame) -> DataFrame:
-    """Every check, one row each."""
+def report(tables: Tables, channel_mart: DataFrame, experiment_mart: DataFrame, observed: dict | None = None) -> DataFrame:
+    """Every check, one row each; ``observed`` is what the load of the tables has observed."""
     return _union([
-        table_checks(tables), reconciliation(tables["fct_orders"], channel_mart),
-        experiment_health(tables["dim_prospect"], experiment_mart),
+        table_checks(tables, observed), reconciliation(tables["fct_orders"], channel_mart, observed),
+        experiment_health(tables["dim_prospect"], experiment_mart, observed),
     ])
 
 

@@ -1,109 +1,106 @@
-"""Exact per-group ordering operators that never put a whole group into one task.
-
-``ROW_NUMBER() OVER (PARTITION BY g ORDER BY k)`` is planned by Spark as a hash shuffle on
-``g`` followed by a sort, so every row of a group lands in one task.  When one group holds
-a large share of the data (a customer with a third of all orders, a cohort with millions of
-customers) that task becomes the job.  ``sequence_within`` computes the same numbers from a
-*range* partitioning on ``(g, k)``: a hot group is spread over many consecutive range
-slices, each slice numbers its rows locally, and a small per-(group, slice) table of counts
-supplies each slice's offset.  Every step is bounded by the slice size or by the number of
-slices, whatever the group sizes are.
-
-``exact_median`` uses the numbering to pick the middle value(s) of each group
-(``percentile_cont(0.5)`` semantics) without buffering a group's values in one task.
+"""Exact order statistics of groups that never meet in one task.
+
+``ROW_NUMBER() OVER (PARTITION BY g ORDER BY day, id)`` sends every row of a group to one task, and a
+group may hold a third of all rows.  ``number_by_day`` numbers on two levels instead.  Rows are counted
+by (group, day) first, combined before the shuffle; a window over a group's days, of which the calendar
+has few, gives each day the number of rows before it.  Only rows of one day are then ranked.  A day with
+more rows than two average partitions is cut by ranges of the id: by its first characters, a few beyond
+those that all ids of the day share, and the rows of the ranges before are counted likewise.  Nothing is
+sampled and nothing is written: the numbers follow from the rows alone, however often a task is repeated.
+
+``median_by_digits`` selects the middle values of a group from counts of its distinct values: by their
+high digits first, then, inside the one or two parts that hold the middle, by the digits below.  A task
+holds the counts of a group's high parts, or of one part, never a group.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from .skew import hot_keys, salted_join, shuffle_partitions
 
-_POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
+LOW_BITS = 20  # of a value, left to the second step of a selection: about a million values a part
 
 
-ROWS_PER_SLICE = 500_000
+def _shared_start(a: Column, b: Column) -> Column:
+    """Number of leading characters that two strings have in common."""
+    at = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)))
+    return F.array_max(F.filter(at, lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i)))
 
 
-def slices_for(rows: int) -> int:
-    """Slices by the number of rows: few enough that each has a fair sample of the bounds."""
-    return max(8, -(-rows // ROWS_PER_SLICE))
+def number_by_day(rows: DataFrame, by: str, day: str, key: str, out: str = "row_number", first: str = "first_day",
+                  within: int | None = None) -> DataFrame:
+    """``rows`` with the ``first`` day of each row's group and its number ``out`` by (day, key) in the group.
 
-
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def sequence_within(df: DataFrame, by: list[str], order: list[str], out: str = "row_number",
-                    slices: int | None = None) -> DataFrame:
-    """Exact ``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (ascending, nulls first).
-
-    ``by + order`` must identify a row (add a unique tie-breaker to ``order``) so the
-    numbering is deterministic and survives task retries.  Runs one job when called (the
-    numbered rows are written to the scratch folder); the returned DataFrame is lazy.
+    ``key`` is a unique string.  With ``within`` only rows of a group's first ``within`` days stay.
+    Rows without a group are left out.
     """
-    n = _slices(df, slices)
-    keys = [*by, *order]
-    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys]).sortWithinPartitions(*keys)
-    tagged = ranged.select("*", F.monotonically_increasing_id().alias("_mid"))
-    tagged = tagged.select(*df.columns, F.shiftright("_mid", _POS_BITS).alias("_slice"),
-                           F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1).alias("_pos"))
-    # The slice bounds of a range partitioning come from a sample, and the sample depends on
-    # the arrival order of upstream shuffle data: two evaluations of ``tagged`` may disagree
-    # on which slice a row is in.  Both consumers below (per-slice counts and the join back)
-    # must see one evaluation, so the numbered rows are written once to the shared scratch
-    # folder and read back.  A retried task reads the same shuffle output, so the written
-    # rows are stable; unlike a cache they also survive the loss of an executor.
-    path = f"{scratch_dir(df.sparkSession)}/sequence/{uuid.uuid4().hex}"
-    tagged.write.mode("overwrite").parquet(path)
-    tagged = df.sparkSession.read.parquet(path)
-    spans = tagged.groupBy(*by, "_slice").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # A group spans at most ``n`` slices, so this window's partitions are bounded by n rows.
-    spans = spans.select(*by, "_slice", "_first",
-                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    spans = spans.select(*[F.col(c).alias(f"_s_{c}") for c in by], F.col("_slice").alias("_s_slice"),
-                         "_first", "_before")
-    cond = reduce(lambda a, b: a & b,
-                  [tagged[c].eqNullSafe(spans[f"_s_{c}"]) for c in by] + [tagged["_slice"] == spans["_s_slice"]])
-    j = tagged.join(spans, cond, "inner")
-    number = (F.col("_pos") - F.col("_first") + F.col("_before") + F.lit(1)).cast("int")
-    return j.select(*[tagged[c] for c in df.columns], number.alias(out))
-
-
-def exact_median(df: DataFrame, by: list[str], value: str, tiebreak: str, out: str = "median",
-                 slices: int | None = None) -> DataFrame:
-    """Exact ``percentile_cont(0.5) WITHIN GROUP (ORDER BY value)`` per group.
-
-    ``value`` should be an exact type (decimal) so the midpoint of an even group is exact.
-    Rows with a NULL value are ignored, as SQL does.  Returns ``by + [out]`` (double).
-    """
-    ranked = sequence_within(df.select(*by, value, tiebreak), by, [value, tiebreak], "_rn", slices)
-    return median_of_ranked(ranked, by, value, "_rn", out)
-
-
-def median_of_ranked(ranked: DataFrame, by: list[str], value: str, rn: str, out: str = "median") -> DataFrame:
-    """Median per group from rows numbered by ``value`` ascending with NULLs first
-    (``sequence_within(..., order=[value, tiebreak])``).
-
-    NULL values are skipped: the middle positions are offset by the group's NULL count.
+    p = shuffle_partitions(rows)
+    counted = rows.where(F.col(by).isNotNull()).groupBy(by, day).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(key).alias("_least"), F.max(key).alias("_most"))
+    group = Window.partitionBy(by)
+    days = counted.select(
+        by, day, "_n", "_least", "_most", F.min(day).over(group).alias(first), F.sum("_n").over(group).alias("_of_group"),
+        F.coalesce(F.sum("_n").over(group.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    if within is not None:
+        days = days.where(F.col(day) < F.date_add(F.col(first), within))
+    # Fewer than P / 2 days have more than two average partitions; the others are one range each.
+    share = F.col("_n") * F.lit(p) / days.agg(F.sum("_n")).scalar()
+    deep = F.when(share > 2, _shared_start(F.col("_least"), F.col("_most")) + F.ceil(F.log10(share)).cast("int") + 1)
+    days = days.select(by, day, first, "_of_group", "_before", "_n", F.coalesce(deep, F.lit(0)).alias("_deep"))
+    starts = lambda: F.substring(F.col(key), F.lit(1), F.col("_deep"))
+
+    hot_days = F.broadcast(days.where("_deep > 0").select(by, day, "_deep"))
+    ranges = rows.select(by, day, key).join(hot_days, [by, day]).groupBy(by, day, starts().alias("_range")).agg(
+        F.count(F.lit(1)).alias("_in_range"))
+    earlier = Window.partitionBy(by, day).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(by, day, "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_ranges_before"))
+
+    groups = days.where(F.col(day) == F.col(first)).select(by, "_of_group")
+    told = days.select(by, day, first, "_before", "_deep")
+    placed = salted_join(rows, told, by, hot_keys(groups, by, "_of_group"), "inner", spread_by=key, also=(day,))
+    placed = placed.withColumn("_range", starts()).join(ranges, [by, day, "_range"], "left")
+    own = F.row_number().over(Window.partitionBy(by, day, "_range").orderBy(key))
+    number = (F.col("_before") + F.coalesce("_ranges_before", F.lit(0)) + own).cast("int")
+    return placed.withColumn(out, number).select(*rows.columns, first, out)
+
+
+def _met(left: DataFrame, right: DataFrame, by: list[str]) -> Column:
+    """NULL-safe equality of the columns ``by`` with ``right``'s, which bear a leading underscore."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_{c}"]) for c in by])
+
+
+def _holding(parts: Column, position: Column) -> Column:
+    """struct(part, before) of the part with a 1-based position, from sorted structs (part, n)."""
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("part"),
+                     F.lit(0).cast("bigint").alias("before"))
+    step = lambda acc, x: F.when(acc["part"].isNull() & (acc["seen"] + x["n"] >= position), F.struct(
+        (acc["seen"] + x["n"]).alias("seen"), x["part"].alias("part"), acc["seen"].alias("before"))).otherwise(
+        F.struct((acc["seen"] + x["n"]).alias("seen"), acc["part"].alias("part"), acc["before"].alias("before")))
+    return F.aggregate(parts, start, step)
+
+
+def median_by_digits(counted: DataFrame, by: list[str], value: str, n: str) -> DataFrame:
+    """``by`` with ``low`` and ``high``, the middle values of each group (equal where its size is odd).
+
+    ``counted`` has a row for each group and distinct ``value`` (bigint), ``n`` times there; rows with a
+    null value or without ``n`` don't count, and a group of such rows alone has no result.
     """
-    counts = ranked.groupBy(*by).agg(F.count(value).alias("_cnt"),
-                                     (F.count(F.lit(1)) - F.count(value)).alias("_nulls"))
-    counts = counts.where(F.col("_cnt") > 0)
-    lo = F.col("_nulls") + ((F.col("_cnt") + 1) / 2).cast("bigint")   # floor((n+1)/2), 1-based
-    hi = F.col("_nulls") + (F.col("_cnt") / 2).cast("bigint") + 1      # floor(n/2)+1
-    wanted = counts.select(*by, F.explode(F.array_distinct(F.array(lo, hi))).alias("_pick"))
-    wanted = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in by], F.col("_pick").cast("int").alias("_w_rn"))
-    cond = reduce(lambda a, b: a & b,
-                  [ranked[c].eqNullSafe(wanted[f"_w_{c}"]) for c in by] + [ranked[rn] == wanted["_w_rn"]])
-    # Join on (group, position): at most two matching rows per group, no hot key.
-    picked = ranked.join(wanted, cond, "inner").select(*[ranked[c] for c in by], ranked[value])
-    mid = (F.min(value) + F.max(value)) / F.lit(2)
-    return picked.groupBy(*by).agg(mid.cast("double").alias(out))
+    rows = counted.where(F.col(value).isNotNull() & (F.col(n) > 0)).select(
+        *by, F.col(value).alias("_value"), F.shiftright(value, LOW_BITS).alias("_part"), F.col(n).cast("bigint").alias("_n"))
+    parts = rows.groupBy(*by, "_part").agg(F.sum("_n").alias("_n"))
+    tops = parts.groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_part").alias("part"), F.col("_n").alias("n")))).alias("_parts"),
+        F.sum("_n").alias("_all"))
+    places = F.array_distinct(F.array(F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")))
+    wanted = tops.select(*[F.col(c).alias(f"_{c}") for c in by], "_parts", F.explode(places).alias("_place"))
+    wanted = wanted.withColumn("_at", _holding(F.col("_parts"), F.col("_place"))).select(
+        *[f"_{c}" for c in by], F.col("_at.part").alias("_wanted"), (F.col("_place") - F.col("_at.before")).alias("_nth"))
+    inside = rows.join(wanted, _met(rows, wanted, by) & (F.col("_part") == F.col("_wanted")))
+    found = inside.groupBy(*by, "_nth", "_wanted").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("_value").alias("part"), F.col("_n").alias("n")))).alias("_values"))
+    middle = found.select(*by, _holding(F.col("_values"), F.col("_nth"))["part"].alias("_middle"))
+    return middle.groupBy(*by).agg(F.min("_middle").alias("low"), F.max("_middle").alias("high"))

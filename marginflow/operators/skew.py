@@ -13,7 +13,7 @@ per-key side is usually an aggregate, so the split has to be planned explicitly:
   column and replicates the matching right rows once per salt; all other keys keep salt 0.
   The join then shuffles on ``(key, salt)``, which spreads a hot key over its salts.
 
-The result is exactly the unsalted join: each left row still meets every right row of its
+``also`` names further columns both sides must agree in (a day, say).  The result is exactly the unsalted join: each left row still meets every right row of its
 key, once.
 """
 
@@ -23,8 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return partitions or shuffle_partitions(df)
 
 
 def hot_keys(counts: DataFrame, key: str, count_col: str, partitions: int | None = None) -> DataFrame:
@@ -42,8 +46,8 @@ def hot_keys(counts: DataFrame, key: str, count_col: str, partitions: int | None
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how: str = "inner",
-                spread_by: str | None = None) -> DataFrame:
-    """``left.join(right, key, how)`` with the hot keys of ``left`` spread over salts.
+                spread_by: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """``left.join(right, [key, *also], how)`` with the hot keys of ``left`` spread over salts.
 
     ``how`` is ``inner`` or ``left``; ``spread_by`` is a left column that is unique per row
     (it fixes each row's salt deterministically, so task retries reproduce it).
@@ -63,4 +67,4 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how
     copies = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col("_salts") - 1))
     rsalted = rj.select(*[rj[c] for c in right.columns], F.explode(copies).alias("_salt"))
-    return lsalted.join(rsalted, [key, "_salt"], how).drop("_salt")
+    return lsalted.join(rsalted, [key, *also, "_salt"], how).drop("_salt")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_of, round_half_up, two_sided_p
+from .marts import arm_totals
 
 # 95% two-sided normal quantile and the planned allocation share.
 Z_95 = 1.96
@@ -75,19 +76,9 @@ def experiment_statistics(mart: DataFrame) -> DataFrame:
         *mart.columns, *STAT_COLUMNS)
 
 
-def experiment_statistics_exact(assignments: DataFrame, prospects: DataFrame, orders: DataFrame) -> DataFrame:
+def experiment_statistics_exact(outcomes: DataFrame) -> DataFrame:
     """The same statistics from unrounded per-arm rates and means (one row per arm)."""
-    from .marts import orders_per_prospect
-
-    per = orders_per_prospect(orders).select("prospect_id", "prospect_margin")
-    j = (assignments.select("prospect_id", "treatment")
-         .join(prospects.select("prospect_id", "converted"), "prospect_id")
-         .join(per, "prospect_id", "left"))
-    arms = j.groupBy("treatment").agg(
-        F.count(F.lit(1)).alias("assigned_prospects"),
-        F.sum("converted").alias("converted_prospects"),
-        F.sum(F.coalesce(F.col("prospect_margin"), F.lit(0))).alias("_cm"),
-    ).select(
+    arms = arm_totals(outcomes).select(
         "treatment", F.col("assigned_prospects").cast("bigint").alias("assigned_prospects"),
         F.col("converted_prospects").cast("bigint").alias("converted_prospects"),
         mean_of(F.col("converted_prospects"), F.col("assigned_prospects")).alias("conversion_rate"),

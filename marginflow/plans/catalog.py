@@ -3,9 +3,8 @@
 A query reads the commerce tables derived from the driver tables of ``data_dir`` and composes
 operators; nothing is collected to the driver.  Jobs that run when a query is *called*
 (before its DataFrame is returned): the warehouse build on the first call per session and state
-of the inputs, and, once per build, the numbered orders of ``customer_orders_90d``, the two marts
-that ``dq_report`` reconciles, and the CSV extracts that ``stg_*`` and ``load_*`` read - all
-written to the shared scratch folder.
+of the inputs, and, once per build, the CSV extracts that ``stg_*`` and ``load_*`` read - all written
+to the shared scratch folder - and what a load asks of these extracts (headers, quotes).
 ``QUERIES`` is what ``__spark_entry__.queries()`` exposes and what ``bench.py`` times.
 """
 
@@ -48,14 +47,12 @@ def model(spark: SparkSession, data_dir: str):
 # ---- marts ----
 @query("channel_profitability")
 def q_channel_profitability(spark, d):
-    m = model(spark, d)
-    return marts.channel_profitability(m.prospects, m.orders)
+    return marts.channel_profitability_of(model(spark, d).prospect_outcomes)
 
 
 @query("channel_profitability_distinct")
 def q_channel_profitability_distinct(spark, d):
-    m = model(spark, d)
-    return marts.channel_profitability_distinct(m.prospects, m.orders)
+    return marts.channel_profitability_distinct_of(model(spark, d).prospect_outcomes)
 
 
 @query("market_profitability")
@@ -71,8 +68,7 @@ def q_logistics(spark, d):
 
 @query("experiment")
 def q_experiment(spark, d):
-    m = model(spark, d)
-    return marts.experiment(m.experiment_assignments, m.prospects, m.orders)
+    return marts.experiment_of(model(spark, d).prospect_outcomes)
 
 
 @query("kpi_summary")
@@ -104,8 +100,7 @@ def q_experiment_stats(spark, d):
 
 @query("experiment_stats_exact")
 def q_experiment_stats_exact(spark, d):
-    m = model(spark, d)
-    return stats.experiment_statistics_exact(m.experiment_assignments, m.prospects, m.orders)
+    return stats.experiment_statistics_exact(model(spark, d).prospect_outcomes)
 
 
 @query("experiment_decision")
@@ -142,8 +137,7 @@ def q_first_orders(spark, d):
 
 @query("customer_orders_90d")
 def q_customer_orders_90d(spark, d):
-    m = model(spark, d)
-    return _once(m, "customer_orders_90d", lambda: customer.customer_orders_90d(m.orders))
+    return customer.customer_orders_90d(model(spark, d).orders)
 
 
 @query("customer_90d")
@@ -207,6 +201,15 @@ def q_metric_layer_by_category_device(spark, d):
     return metrics.metric_layer(m.prospects, m.orders, m.deliveries, keys=("category", "device_type"))
 
 
+SUBTOTAL_KEYS = ("market", "device_type", "carrier")
+
+
+@query("metric_layer_subtotals")
+def q_metric_layer_subtotals(spark, d):
+    m = model(spark, d)
+    return metrics.metric_layer_subtotals(m.prospects, m.orders, m.deliveries, keys=SUBTOTAL_KEYS)
+
+
 # ---- order economics ----
 @query("order_economics")
 def q_order_economics(spark, d):
@@ -232,6 +235,11 @@ def q_marketing_spend(spark, d):
 
 
 # ---- data quality ----
+def _observed(m) -> dict | None:
+    """What the warehouse build has observed while it wrote the tables; None for a lazy model."""
+    return getattr(m, "observed", None)
+
+
 def _tables(spark, d):
     m = model(spark, d)
     return {name: m.table(name) for name in schemas.TABLES}
@@ -265,22 +273,21 @@ def q_dq_orphans(spark, d):
 @query("dq_reconciliation")
 def q_dq_reconciliation(spark, d):
     m = model(spark, d)
-    return quality.reconciliation(m.orders, marts.channel_profitability(m.prospects, m.orders))
+    return quality.reconciliation(m.orders, marts.channel_profitability_of(m.prospect_outcomes), _observed(m))
 
 
 @query("dq_experiment_health")
 def q_dq_experiment_health(spark, d):
     m = model(spark, d)
-    return quality.experiment_health(m.prospects, marts.experiment(m.experiment_assignments, m.prospects, m.orders))
+    return quality.experiment_health(m.prospects, marts.experiment_of(m.prospect_outcomes), _observed(m))
 
 
 @query("dq_report")
 def q_dq_report(spark, d):
     m = model(spark, d)
     tables = {name: m.table(name) for name in schemas.TABLES}
-    channel = _once(m, "channel_profitability", lambda: marts.channel_profitability(m.prospects, m.orders))
-    experiment = _once(m, "experiment", lambda: marts.experiment(m.experiment_assignments, m.prospects, m.orders))
-    return quality.report(tables, channel, experiment)
+    outcomes = m.prospect_outcomes
+    return quality.report(tables, marts.channel_profitability_of(outcomes), marts.experiment_of(outcomes), _observed(m))
 
 
 @query("dq_seeded_faults")
@@ -303,11 +310,6 @@ def q_dq_seeded_faults(spark, d):
 
 
 # ---- CSV: typed load by column name from the build's extracts ----
-def _once(m, name: str, build):
-    """A result written once for a built warehouse; a lazy model computes it each time."""
-    return m.once(name, build) if hasattr(m, "once") else build()
-
-
 def _loaded(spark, d, table: str):
     m = warehouse(spark, d)
     return csv.load_typed_csv(spark, m.extract(table), table, one_header=True)

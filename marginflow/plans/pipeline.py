@@ -1,16 +1,18 @@
-"""Full batch rebuild: warehouse -> quality gate -> marts -> reports.
+"""Full batch rebuild: warehouse -> quality gate -> marts -> reports -> publish.
 
-``run(spark, data_dir, out_dir)`` is the whole refresh in one call:
+``run(spark, data_dir, out_dir)`` is the whole refresh in one call, into a fresh version folder:
 
 1. build the warehouse (``warehouse.build_warehouse``: one pass over the line table, the
-   six commerce tables written with a full refresh);
+   six commerce tables and the per-prospect outcomes);
 2. compute the quality report and stop on any violation, before any other mart is written
    (``strict=False`` goes on; duplicate keys stop the build in any case);
 3. register the staging models as views and write every mart, the funnel included, as Parquet
-   with comments (``<out>/marts/<name>``) - marts read by several reports (channel, logistics,
+   with comments (``marts/<name>``) - marts read by several reports (channel, logistics,
    experiment) are materialised first and reused;
 4. write the report marts (decision marts, carrier summary, cohorts, funnel, rank and carrier
-   trade-off) as single ordered CSV files with a header (``<out>/reports/<name>``), ordered as the published reports are.
+   trade-off) as single ordered CSV files with a header (``reports/<name>``), ordered as the published reports are;
+5. publish the version: readers (``versions.read_mart``, ``warehouse.open_warehouse``) move from the
+   whole old version to the whole new one; a run that stops earlier changes nothing for them.
 
 Returns the output paths.  All work is Spark jobs; the driver only sequences them.
 """
@@ -24,6 +26,7 @@ from .. import schemas
 from ..operators import analysis, customer, marts, metrics, quality, staging, stats
 from ..sources import sinks
 from ..sources.tables import input_state
+from . import versions
 from .views import staging_models
 from .warehouse import INPUTS, build_warehouse
 
@@ -46,11 +49,12 @@ def _sort_columns(name: str) -> list:
 
 
 def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = True) -> dict[str, str]:
-    out = out_dir.rstrip("/")
+    base, folder = out_dir.rstrip("/"), versions.fresh_folder(out_dir)
+    out = f"{base}/{folder}"
     wh = build_warehouse(spark, data_dir, f"{out}/warehouse")
     tables = {name: wh.table(name) for name in schemas.TABLES}
     p, o, d = wh.prospects, wh.orders, wh.deliveries
-    a, c = wh.experiment_assignments, wh.customers
+    c, outcomes = wh.customers, wh.prospect_outcomes
 
     paths: dict[str, str] = {}
 
@@ -59,9 +63,9 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = True) -
         paths[name] = path
         return sinks.materialize(df, path, name)
 
-    channel = keep("channel_profitability", marts.channel_profitability(p, o))
-    experiment = keep("experiment", marts.experiment(a, p, o))
-    report = keep("quality_report", quality.report(tables, channel, experiment))
+    channel = keep("channel_profitability", marts.channel_profitability_of(outcomes))
+    experiment = keep("experiment", marts.experiment_of(outcomes))
+    report = keep("quality_report", quality.report(tables, channel, experiment, wh.observed))
     if strict:
         quality.assert_quality(report)
     logistics = keep("logistics", marts.logistics(d, o))
@@ -71,7 +75,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = True) -
     market = keep("market_profitability", marts.market_profitability(o))
     experiment_stats = keep("experiment_stats", stats.experiment_statistics(experiment))
     derived = {
-        "channel_profitability_distinct": marts.channel_profitability_distinct(p, o),
+        "channel_profitability_distinct": marts.channel_profitability_distinct_of(outcomes),
         "kpi_summary": marts.kpi_summary(p, o),
         "carrier_summary": marts.carrier_summary(logistics),
         "cover_totals": marts.cover_totals(channel),
@@ -99,6 +103,12 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, strict: bool = True) -
         path = f"{out}/reports/{name}"
         sinks.write_report_csv(df, path, name, _sort_columns(name))
         paths[f"report:{name}"] = path
+    inside = lambda path: path.removeprefix(f"{base}/")
+    versions.publish(spark, base, {
+        "folder": folder, "buckets": wh.buckets, "observed": wh.observed,
+        "tables": {name: inside(path) for name, path in wh.paths.items()},
+        "marts": {name: inside(path) for name, path in paths.items() if not name.startswith("report:")},
+        "reports": {name[7:]: inside(path) for name, path in paths.items() if name.startswith("report:")}})
     return paths
 
 

@@ -26,10 +26,10 @@ def staging_models(model) -> dict:
 
 def register_views(spark: SparkSession, model, prefix: str = "") -> list[str]:
     """Register table, staging, mart and report views for ``model`` (a warehouse or lazy model)."""
-    p, o = model.prospects, model.orders
-    channel = marts.channel_profitability(p, o)
+    o = model.orders
+    channel = marts.channel_profitability_of(model.prospect_outcomes)
     logistics = marts.logistics(model.deliveries, o)
-    experiment = marts.experiment(model.experiment_assignments, p, o)
+    experiment = marts.experiment_of(model.prospect_outcomes)
     views = {table: model.table(table) for table in schemas.TABLES} | staging_models(model) | {
         "mart_channel_profitability": channel,
         "mart_market_profitability": marts.market_profitability(o),

@@ -6,12 +6,16 @@ The build runs once per session and data directory:
    ``lineitem``, the largest input, is scanned and shuffled exactly once, and the
    written table cuts the lineage, so a lost executor never sends a mart back to
    ``lineitem``; from it the order-level frame (customer attributes, first-order flag,
-   all amounts) is joined once and written too;
+   all amounts) is joined once and written too, bucketed and sorted by ``order_id``;
 2. the six commerce tables are projections of that frame (customers are its first-order
    rows; prospects join it to the customer attributes) and are written as Parquet with
-   their column comments (full refresh, dimensions first);
+   their column comments (dimensions first).  The two facts keyed by ``order_id`` keep the
+   frame's buckets: their joins need no shuffle.  The checks of single rows (nulls, domains,
+   ranges) and the totals that marts must reconcile with are observed while a table is written;
 3. keys are checked before any mart may read them: a duplicate stops the build, so marts
-   count rows where they mean keys.
+   count rows where they mean keys;
+4. what each prospect did (orders, revenue, margin, arm) is added up once and written; channel
+   and experiment marts roll it up.
 
 Marts then read the written tables (narrow, column-pruned scans of order-level data).
 The build is memoised per session, data directory and state of the input files, so changed
@@ -21,28 +25,62 @@ inputs are built anew (``refresh=True`` always rebuilds).  Storage is the folder
 
 from __future__ import annotations
 
+import hashlib
 import re
 import threading
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import quality
+from ..operators import marts, quality
 from ..session import scratch_dir
 from ..sources import csv
 from ..sources.adapter import CommerceModel
 from ..sources.tables import input_state
+from . import versions
 
+OUTCOMES = "agg_prospect_outcomes"
 INPUTS = ("customer", "nation", "orders", "lineitem", "events")
 
+# Facts stored in buckets of their key, all with one number of buckets.
+BUCKETED = {"fct_orders": "order_id", "fct_deliveries": "order_id"}
+ROWS_PER_BUCKET, LEAST_ROWS, MOST_BUCKETS = 2_000_000, 20_000, 100_000  # about 200 MB a bucket; Spark's own limit
+
 _LOCK = threading.Lock()
 _BUILT: dict[tuple, "WarehouseModel"] = {}
 
 
+def buckets_for(rows: int, partitions: int) -> int:
+    """Buckets of a fact: as many as its size asks for, and enough to keep small clusters busy."""
+    wanted = max(-(-rows // ROWS_PER_BUCKET), min(partitions, -(-rows // LEAST_ROWS)), 1)
+    return min(wanted, MOST_BUCKETS)
+
+
+def _registered(path: str) -> str:
+    return "marginflow_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Write ``df`` in buckets of ``key``, sorted by it."""
+    (df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .mode("overwrite").saveAsTable(_registered(path)))
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A bucketed table by its path; told to the session's catalog where it isn't yet."""
+    name = _registered(path)
+    if not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                  f"INTO {buckets} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
 @dataclass
 class WarehouseModel:
     """Commerce tables read from a built warehouse; same attributes as ``CommerceModel``."""
@@ -50,19 +88,14 @@ class WarehouseModel:
     spark: SparkSession
     paths: dict[str, str]
     root: str = ""
+    buckets: int = 1
+    # Per table, what was observed while it was written: check or total -> value.
+    observed: dict[str, dict] = field(default_factory=dict)
 
     def __post_init__(self):
         self._relations: dict[str, DataFrame] = {}
         self._written: dict[str, str] = {}
 
-    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A result written once for this build and read back on later calls."""
-        if name not in self._written:
-            path = f"{self.root}/derived/{name}"
-            build().write.mode("overwrite").parquet(path)
-            self._written[name] = path
-        return self.spark.read.parquet(self._written[name])
-
     def extract(self, name: str) -> str:
         """Folder of a table's CSV extract, written once for this build: columns in reverse
         order and one more, so that only a load by name reads it right."""
@@ -77,7 +110,9 @@ class WarehouseModel:
         """The written table (relation resolved once; each query reads the files itself)."""
         if name not in self._relations:
             cols = [f.name for f in schemas.TABLES[name].fields]
-            self._relations[name] = self.spark.read.parquet(self.paths[name]).select(*cols)
+            df = (read_bucketed(self.spark, self.paths[name], BUCKETED[name], self.buckets) if name in BUCKETED
+                  else self.spark.read.parquet(self.paths[name]))
+            self._relations[name] = df.select(*cols)
         return self._relations[name]
 
     @property
@@ -104,6 +139,11 @@ class WarehouseModel:
     def marketing_spend(self) -> DataFrame:
         return self.table("fct_marketing_spend")
 
+    @property
+    def prospect_outcomes(self) -> DataFrame:
+        """What each prospect did, added up once in the build."""
+        return self.spark.read.parquet(self.paths[OUTCOMES])
+
 
 def _slug(data_dir: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", "_", data_dir.strip("/"))[-60:]
@@ -117,22 +157,42 @@ def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = No
     # Stage 1: the single pass over lineitem (aggregated per order, joined to orders).
     totals_path = f"{root}/_stage/order_totals"
     lazy.order_totals.write.mode("overwrite").parquet(totals_path)
-    windowed = CommerceModel(spark, data_dir, staged_order_totals=spark.read.parquet(totals_path))
-    # Stage 2: customer attributes, first-order flag and amounts, joined once.
+    totals = spark.read.parquet(totals_path)
+    windowed = CommerceModel(spark, data_dir, staged_order_totals=totals)
+    # Stage 2: customer attributes, first-order flag and amounts, joined once and dealt to buckets.
+    buckets = buckets_for(totals.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     frame_path = f"{root}/_stage/order_frame"
-    windowed._order_frame.write.mode("overwrite").parquet(frame_path)
-    staged = CommerceModel(spark, data_dir, staged_order_frame=spark.read.parquet(frame_path))
-    paths = {}
+    write_bucketed(windowed._order_frame.repartition(buckets, "order_id"), frame_path, "order_id", buckets)
+    frame = read_bucketed(spark, frame_path, "order_id", buckets)
+    staged = CommerceModel(spark, data_dir, staged_order_frame=frame)
+    paths, observed = {}, {}
     for name in schemas.LOAD_ORDER:  # dimensions before facts
-        path = f"{root}/{name}"
-        schemas.with_comments(staged.table(name), name).write.mode("overwrite").parquet(path)
-        paths[name] = path
-    built = WarehouseModel(spark, paths, root)
+        paths[name] = f"{root}/{name}"
+        seen = Observation()
+        df = schemas.with_comments(staged.table(name), name).observe(seen, *quality.observations(name))
+        if name in BUCKETED:
+            write_bucketed(df, paths[name], BUCKETED[name], buckets)
+        else:
+            df.write.mode("overwrite").parquet(paths[name])
+        observed[name] = {k: str(v) if v is not None else None for k, v in seen.get.items()}
+    built = WarehouseModel(spark, paths, root, buckets, observed)
     if check_keys:
         quality.assert_quality(quality.unique_keys({name: built.table(name) for name in schemas.TABLES}))
+    paths[OUTCOMES] = f"{root}/{OUTCOMES}"
+    outcomes = marts.prospect_outcomes(built.prospects, built.orders, built.experiment_assignments)
+    schemas.with_comments(outcomes, OUTCOMES).write.mode("overwrite").parquet(paths[OUTCOMES])
     return built
 
 
+def open_warehouse(spark: SparkSession, out_dir: str) -> WarehouseModel:
+    """The warehouse of the current version below ``out_dir`` (see ``versions``)."""
+    manifest = versions.current(spark, out_dir)
+    if manifest is None:
+        raise FileNotFoundError(f"{out_dir} has no current version")
+    paths = {name: f"{out_dir}/{path}" for name, path in manifest["tables"].items()}
+    return WarehouseModel(spark, paths, f"{out_dir}/{manifest['folder']}", manifest["buckets"], manifest["observed"])
+
+
 def warehouse(spark: SparkSession, data_dir: str, refresh: bool = False) -> WarehouseModel:
     """The warehouse of ``data_dir`` for this session, built on first use."""
     state = tuple(input_state(spark, f"{data_dir.rstrip('/')}/{t}.parquet") for t in INPUTS)

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import surrogate_key
 from ..functions.numeric import MONEY, clamp
-from ..operators import economics
+from ..operators import economics, marts
 from ..operators.skew import hot_keys, salted_join
 from .tables import read_table
 
@@ -366,6 +366,10 @@ class CommerceModel:
         spend = (F.sum("cents").cast("decimal(20,0)") * dec("0.01")).cast(MONEY)
         return keyed_events.groupBy("month", "market", "channel").agg(spend.alias("spend"))
 
+    @cached_property
+    def prospect_outcomes(self) -> DataFrame:
+        return marts.prospect_outcomes(self.prospects, self.orders, self.experiment_assignments)
+
     def table(self, name: str) -> DataFrame:
         return {
             "dim_prospect": self.prospects,
