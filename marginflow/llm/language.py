@@ -5,14 +5,16 @@ words and their borders, lower-cased, hashed into a fixed number of cells), coun
 training documents: one count vector for each task and language is added up by Spark.
 
 Inference.  A document's n-grams come from a mixture of languages.  Expectation-maximisation
-estimates the mixture's proportions from the n-gram likelihoods; languages are then taken into
-the document's set one by one while the log-likelihood gained exceeds a penalty that grows with
-the document's size, as in the Bayesian information criterion.  The prediction is the language of
+estimates the mixture's proportions from the n-gram likelihoods; languages are taken into the
+document's set one by one, that of the greatest gain first, while the log-likelihood gained exceeds a
+penalty that grows with the document's size, as in the Bayesian information criterion.  The prediction is the language of
 the largest proportion in that set, and the score its proportion.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and an empty set;
 equal proportions go to the language first in the alphabet; with no training text every document
-with a letter is ``und`` too.  Predictions read the text alone.
+with a letter is ``und`` too; very long texts are counted whole; repeated rows each have their row;
+no rows give no rows; columns beside those named are not read, whatever their names.  Predictions
+read the text alone.
 """
 
 from __future__ import annotations
@@ -103,21 +105,35 @@ def proportions(weights: np.ndarray, likelihood: np.ndarray, rounds: int = 25) -
 
 
 def mixture(cells: np.ndarray, table: np.ndarray, penalty: float = 2.0) -> tuple[list[int], np.ndarray]:
-    """Languages of a document, by falling proportion, and their proportions."""
+    """Languages of a document, by falling proportion, and their proportions.
+
+    At each step the language of the greatest gain is taken, while its gain exceeds the penalty.  The
+    likelihood is concave in the proportions, so a language gains at most what its derivative, or that
+    of one taken, exceeds its mean by: one whose bound can't pay, or can't beat the best so far, is not
+    tried.
+    """
     weights = np.bincount(cells, minlength=CELLS)
     cell = np.flatnonzero(weights)
     weights, likelihood = weights[cell].astype(float), table[cell]
+    total = weights.sum()
     single = weights @ np.log(likelihood)
     chosen, best = [int(single.argmax())], float(single.max())
     share = np.ones(1)
-    cost = penalty * 0.5 * math.log(weights.sum() + 1)
-    full, _ = proportions(weights, likelihood, rounds=4)
-    for extra in np.argsort(-full, kind="stable").tolist():
-        if extra not in chosen:
-            wider, level = proportions(weights, likelihood[:, [*chosen, extra]])
-            if level - best <= cost:
+    cost = penalty * 0.5 * math.log(total + 1)
+    while len(chosen) < likelihood.shape[1]:
+        slope = (weights / (likelihood[:, chosen] @ share)) @ likelihood - total
+        bound = np.maximum(slope, slope[chosen].max())
+        bound[chosen] = -np.inf
+        gained, taken = cost, None
+        for extra in np.argsort(-bound, kind="stable").tolist():
+            if bound[extra] <= gained:
                 break
-            chosen, best, share = [*chosen, extra], level, wider
+            wider, level = proportions(weights, likelihood[:, [*chosen, extra]])
+            if level - best > gained:
+                gained, taken = level - best, (extra, wider, level)
+        if taken is None:
+            break
+        chosen, share, best = [*chosen, taken[0]], taken[1], taken[2]
     order = sorted(range(len(chosen)), key=lambda i: (-share[i], chosen[i]))
     return [chosen[i] for i in order], share[order]
 

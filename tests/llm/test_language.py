@@ -52,6 +52,32 @@ def test_em_against_plain_loops():
     assert np.isclose(level, (weights * np.log(likelihood @ np.array(share))).sum())
 
 
+def test_sets_against_all_subsets(spark):
+    """The set is the best penalised one of all, also where a poor candidate looks good at first."""
+    import itertools
+    import math
+
+    docs = read(spark, DIR, "documents")
+    names, table = language.probabilities(language.learn(docs))
+    rows = docs.where("doc_id % 4 = 0 or doc_id in (191, 460, 661, 812, 972)").collect()
+    assert len(names) == 4 and len(rows) > 250
+    for r in rows:
+        if not language.has_letter(r.text):
+            continue
+        cells = language.cells_of(r.text)
+        weights = np.bincount(cells, minlength=language.CELLS)
+        used = np.flatnonzero(weights)
+        weights, cost = weights[used].astype(float), math.log(weights.sum() + 1)
+        worth = {}
+        for n in range(1, 5):
+            for some in itertools.combinations(range(4), n):
+                share, level = language.proportions(weights, table[used][:, list(some)])
+                worth[some] = level - cost * (n - 1), share.max()
+        best = max(worth, key=lambda s: worth[s][0])
+        found, share = language.mixture(cells, table)
+        assert tuple(sorted(found)) == best and abs(share[0] - worth[best][1]) < 0.01, r.doc_id
+
+
 def test_odd_rows(spark, odd, nothing):
     counts = language.learn(read(spark, DIR, "documents"))
     got = {r.row: (r.lang_pred, r.score, r.languages) for r in language.predict(odd, counts, keep={"row": F.col("row")}).collect()}
