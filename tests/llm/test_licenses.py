@@ -29,20 +29,31 @@ def plain_base(text):
             ",".join(sorted({x for _, x in found})))
 
 
-def plain_method(text, idf, rare=0.5, least=0.8, slack=2):
+def plain_chain(steps):
+    """Heaviest chain by trying every end."""
+    steps, best = sorted(steps), []
+    for n, (at, i, w) in enumerate(steps):
+        best.append(w + max((best[m] for m in range(n) if steps[m][0] < at and steps[m][1] < i), default=0.0))
+    return max(best, default=0.0)
+
+
+def plain_method(text, idf, rare=0.5, least=0.8, slack=0.15):
     """Every start of every template tried, word by word, without an index."""
     words, found = plain_words(text), {}
     for t in lic.TEMPLATES:
-        want = t.text.split()
+        want = plain_words(t.text)
+        if len(words) > 1000 and not set(want) & set(words):
+            continue
+        near = max(2, round(slack * len(want)))
         top = max(idf[w] for w in want)
         chosen = [(i, w) for i, w in enumerate(want) if idf[w] >= rare * top]
         total = sum(idf[w] for _, w in chosen)
+        steps = [(at, i, idf[w]) for i, w in chosen for at in range(len(words)) if words[at] == w]
         for start in range(-len(want), len(words)):
-            got = sum(idf[w] for i, w in chosen
-                      if any(0 <= start + s + i < len(words) and words[start + s + i] == w for s in range(-slack, slack + 1)))
+            got = plain_chain([s for s in steps if abs(s[0] - s[1] - start) <= near])
             if got / total < least:
                 continue
-            low, high = max(0, start - slack), min(len(words), start + len(want) + slack)
+            low, high = max(0, start - near), min(len(words), start + len(want) + near)
             region = words[low:high]
             keys = [k.split() for k in t.keys]
             if all(any(region[i:i + len(k)] == k for i in range(len(region) - len(k) + 1)) for k in keys):
@@ -53,7 +64,7 @@ def plain_method(text, idf, rare=0.5, least=0.8, slack=2):
 def expected(rows):
     sets = [set(plain_words(t)) for _, t in rows]
     idf = {w: math.log((max(1, len(rows)) + 1) / (sum(w in s for s in sets) + 0.5))
-           for t in lic.TEMPLATES for w in t.text.split()}
+           for t in lic.TEMPLATES for w in plain_words(t.text)}
     out = []
     for i, text in rows:
         base, more = plain_base(text), plain_method(text, idf)
@@ -89,6 +100,40 @@ def test_cases_against_brute_force(spark):
     assert (labels[5], labels[7], labels[8], labels[9], labels[12]) == ("mit", "cc-by-nc", "", "all-rights-reserved", "bsd")
 
 
+def test_full_notices_with_inserted_words(spark):
+    """Every notice is found by its label, as it is and with three words put into its middle."""
+    rows, label = [], {}
+    for n, t in enumerate(lic.TEMPLATES):
+        words = t.text.split()
+        keys = [key.split() for key in t.keys]
+
+        def cuts_a_key(k, words=words, keys=keys):
+            before, after = (plain_words(" ".join(x)) for x in (words[:k], words[k:]))
+            return any(before[-n:] + after[:len(key) - n] == key for key in keys for n in range(1, len(key)))
+
+        middle = next((k for k in range(len(words) // 2, len(words)) if not cuts_a_key(k)), len(words))
+        more = [*words[:middle], "quite", "other", "things", *words[middle:]]
+        rows += [(n, "Before it. " + t.text + " After it."), (1000 + n, "Before it. " + " ".join(more) + " After it.")]
+        label[n] = t.label
+        if len(plain_words(t.text)) >= 20:
+            label[1000 + n] = t.label
+    rows += [(5000 + i, f"plain words number {i} of the and in to by this software copy") for i in range(60)]
+    found = {r.doc_id: r.labels.split(",") for r in lic.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(want in found[n] for n, want in label.items()), [(n, w, found[n]) for n, w in label.items() if w not in found[n]]
+    assert len(set(label.values())) >= 16 and sum(n >= 1000 for n in label) >= 12
+    assert all(found[5000 + i] == [""] for i in range(60))
+
+
+def test_heaviest_chain():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(300):
+        steps = [(rng.randrange(12), rng.randrange(9), rng.choice([0.5, 1.0, 2.0])) for _ in range(rng.randint(1, 14))]
+        steps = list({s[:2]: s for s in steps}.values())
+        assert lic.heaviest_chain(steps) == plain_chain(steps)
+
+
 def test_odd_rows(odd, nothing):
     assert got(odd) == expected([(i, t) for i, t in ODD if i != 8] + [x for x in ODD if x[0] == 8])
     assert lic.scan(nothing).count() == 0
