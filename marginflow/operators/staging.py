@@ -21,7 +21,7 @@ def as_text(df: DataFrame) -> DataFrame:
 def load_extract(model, table: str) -> DataFrame:
     """A table's text extract: the written CSV of a built warehouse, else the table as text."""
     if hasattr(model, "extract"):
-        return load_text_csv(model.spark, model.extract(table), one_header=True)
+        return load_text_csv(model.spark, model.extract(table))
     return as_text(model.table(table))
 
 

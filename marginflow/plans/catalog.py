@@ -312,7 +312,7 @@ def q_dq_seeded_faults(spark, d):
 # ---- CSV: typed load by column name from the build's extracts ----
 def _loaded(spark, d, table: str):
     m = warehouse(spark, d)
-    return csv.load_typed_csv(spark, m.extract(table), table, one_header=True)
+    return csv.load_typed_csv(spark, m.extract(table), table)
 
 
 @query("load_prospects")

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas
 from ..sources import files
 
 
@@ -53,6 +54,28 @@ def read_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/{manifest['marts'][name]}")
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register_tables(spark: SparkSession, out_dir: str, prefix: str = "") -> list[str]:
+    """Catalog tables over the current version's tables and marts, with the registry's comments on
+    tables and columns; tables of an earlier version by these names are replaced."""
+    manifest = current(spark, out_dir)
+    if manifest is None:
+        raise KeyError(f"{out_dir} has no current version")
+    made = []
+    for name, path in {**manifest["tables"], **manifest["marts"]}.items():
+        schema = spark.read.parquet(f"{out_dir}/{path}").schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(schemas.COLUMN_DOCS.get(f.name, ''))}"
+                            for f in schema)
+        spark.sql(f"DROP TABLE IF EXISTS `{prefix}{name}`")
+        spark.sql(f"CREATE TABLE `{prefix}{name}` ({columns}) USING parquet "
+                  f"COMMENT {_text(schemas.MODEL_DOCS.get(name, ''))} LOCATION {_text(f'{out_dir}/{path}')}")
+        made.append(prefix + name)
+    return made
+
+
 def expire(spark: SparkSession, out_dir: str, keep: int = 2) -> list[int]:
     """Delete all published versions but the last ``keep`` (one at least); the numbers that went.
 

@@ -118,6 +118,19 @@ MODEL_DOCS = {
     "customer_90d": "What a customer did in the first 90 days.",
     "cohort_profitability_90d": "First 90 days by month of acquisition, market and channel.",
     "customer_lifetime": "All orders of a customer so far.",
+    "agg_prospect_outcomes": "What each prospect did: sums and counts that merge.",
+    "quality_report": "Violations found by each declared check.",
+    "experiment_stats": "The arms with lift, interval, p-values and margin lift.",
+    "experiment_decision": "The statistics of the treatment arm alone.",
+    "experiment_comparison": "Control and treatment side by side, measure by measure.",
+    "experiment_itt": "Outcome of all who were assigned, against control.",
+    "kpi_summary": "Headline figures over all prospects and orders.",
+    "cover_totals": "Totals of the channel mart.",
+    "carrier_summary": "Punctuality of each carrier over all markets.",
+    "carrier_tradeoff": "Punctuality and cost of each carrier against the others of its market.",
+    "channel_decision": "What to do with each channel.",
+    "channel_rank": "Channels by what they earn.",
+    "metric_layer": "The reusable measures by market and channel.",
 }
 COLUMN_DOCS = {
     "prospect_id": "Key of a prospect.", "customer_id": "Key of a customer.", "order_id": "Key of an order.",
@@ -143,9 +156,36 @@ COLUMN_DOCS = {
     "on_time_rate": "Share of deliveries on time.", "avg_delivery_cost": "Mean cost of a delivery.",
     "margin_per_assigned_prospect": "Margin over all assigned.", "revenue_per_assigned_prospect": "Revenue over all assigned.",
     "acquisition_month": "Month of the first completed order.", "acquired_customers": "Customers of the cohort.",
+    "avg_revenue_90d": "Mean net revenue of a customer in 90 days.",
+    "avg_contribution_margin_90d": "Mean margin of a customer in 90 days.",
+    "median_contribution_margin_90d": "Exact median margin of a customer in 90 days.",
+    "repeat_purchase_rate_90d": "Share of customers with a later order in 90 days.",
+    "revenue_90d": "Net revenue of the first 90 days.", "contribution_margin_90d": "Margin of the first 90 days.",
+    "orders_90d": "Orders of the first 90 days.", "repeated_90d": "1 if one of them came after the first.",
+    "first_order_date": "Day of the first order.", "latest_order_date": "Day of the last order so far.",
+    "lifetime_orders": "Orders so far.", "lifetime_net_revenue": "Net revenue so far.",
+    "lifetime_contribution_margin": "Margin so far.", "active_span_days": "Days from the first order to the last.",
+    "order_count": "Orders of the prospect.", "prospect_revenue": "Net revenue of these orders.",
+    "prospect_margin": "Margin of these orders.",
+    "check": "Kind of check.", "table": "Table it looks at.", "column": "Column or reference it looks at.",
+    "violations": "Rows, or keys' extra rows, that break it.",
+    "conversion_lift_pp": "Treatment's conversion less control's, in percentage points.",
+    "conversion_ci_low_pp": "Low end of its 95 % interval.", "conversion_ci_high_pp": "High end of its 95 % interval.",
+    "conversion_p_value": "Two-sided p-value of the lift.",
+    "margin_lift_per_prospect": "Treatment's margin per assigned prospect less control's.",
+    "srm_p_value": "p-value of the arms' sizes under an even split.",
+    "metric": "Measure compared.", "control": "Its value in control.", "difference": "Treatment less control.",
+    "decision": "Scale, Protect or Fix / Pause, by margin per prospect.",
+    "profitability_rank": "1 earns most.", "eligible_prospects": "Prospects in the group.",
+    "margin_per_eligible_prospect": "Margin over these prospects.", "on_time_delivery_rate": "Share of deliveries on time.",
 }
 
 
+def missing_docs(name: str, columns: list[str]) -> list[str]:
+    """What a written table lacks a text for: its own name, or columns."""
+    return [name] * (name not in MODEL_DOCS) + [f"{name}.{c}" for c in columns if c not in COLUMN_DOCS]
+
+
 def documented(table: str) -> T.StructType:
     """The declared schema with column comments attached as metadata."""
     return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {"comment": COLUMN_DOCS[f.name]})

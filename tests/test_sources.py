@@ -129,3 +129,84 @@ def test_short_row_aborts(spark):
     short = _write("month,market,channel,spend\n2025-01-01,LV,CRM\n")
     with pytest.raises(Exception):
         csv.load_typed_csv(spark, short, "fct_marketing_spend").collect()
+
+
+def _reference(path):
+    """Records of a file or folder by Python's own reader, as dicts."""
+    import csv as reader
+    import pathlib
+
+    rows = []
+    files = sorted(pathlib.Path(path).glob("*.csv")) if os.path.isdir(path) else [pathlib.Path(path)]
+    for f in files:
+        with open(f, encoding="utf-8", newline="") as fh:
+            rows += [tuple(sorted(r.items())) for r in reader.DictReader(fh, strict=True)]
+    return sorted(rows)
+
+
+def _loaded(df):
+    return sorted(tuple(sorted(r.asDict().items())) for r in df.collect())
+
+
+@pytest.mark.parametrize("size", ["150", "2000"])
+def test_one_large_file_is_split_inside_quoted_fields(spark, size):
+    """Quoted line breaks, quotes and commas across splits; fields longer than several splits."""
+    import random
+
+    rnd = random.Random(int(size))
+    bits = ["a", "\n", '""', ",", " ", "\r\n", "é", "line\nbreak", "x" * 30]
+    lines = ["id,first,second"]
+    for i in range(90):
+        fields = ['"' + "".join(rnd.choice(bits) for _ in range(rnd.choice([0, 1, 3, 12, 40]))) + '"'
+                  if rnd.random() < 0.5 else rnd.choice(["plain", "", "7"]) for _ in range(2)]
+        lines.append(",".join([str(i), *fields]))
+    lines.insert(50, "")  # a blank line is no record
+    path = _write("\n".join(lines) + "\n")
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0"}
+    was = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = csv.load_text_csv(spark, path)
+        assert csv._lines(spark, path).rdd.getNumPartitions() >= min(8, os.path.getsize(path) // int(size))
+        assert _loaded(df) == _reference(path)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_many_splits_are_sorted_in_place_of_a_broadcast(spark, monkeypatch):
+    path = _write("a,b\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(60)))
+    monkeypatch.setattr(csv, "MOST_BROADCAST", 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        assert _loaded(csv.load_text_csv(spark, path)) == _reference(path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_thousand_small_files_in_a_job_a_pass(spark):
+    import pathlib
+
+    d = pathlib.Path(tempfile.mkdtemp(prefix="mf-csv-"))
+    for i in range(1000):
+        names, values = ["a", "b", "c"], [str(i), f'"q""{i}\nx"', "z"]
+        turn = i % 3
+        (d / f"{i:04d}.csv").write_text(",".join(names[turn:] + names[:turn]) + "\n" + ",".join(values[turn:] + values[:turn]) + "\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("thousand", "csv")
+    try:
+        got = _loaded(csv.load_text_csv(spark, str(d)).select("a", "b", "c"))
+        jobs = len(tracker.getJobIdsForGroup("thousand"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == _reference(str(d)) and jobs < 30
+
+
+def test_windows_line_ends_and_byte_order_mark(spark):
+    d = tempfile.mkdtemp(prefix="mf-csv-")
+    with open(os.path.join(d, "x.csv"), "w", encoding="utf-8-sig", newline="") as fh:
+        fh.write('"a",b\r\n1,"x\r\ny"\r\n\r\n2,\r\n3,"z"')
+    got = csv.load_text_csv(spark, os.path.join(d, "x.csv"))
+    assert got.columns == ["a", "b"]
+    assert sorted(map(tuple, got.collect())) == [("1", "x\r\ny"), ("2", ""), ("3", "z")]

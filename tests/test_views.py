@@ -39,3 +39,23 @@ def test_surrogate_key_and_labels(spark):
                      threshold_label(F.col("v"), [(2, "Scale"), (0, "Protect")], "Fix / Pause").alias("l")).collect()
     assert [r["k"] for r in rows] == ["C00007", "C123456", "C00042"]
     assert [r["l"] for r in rows] == ["Scale", "Fix / Pause", "Fix / Pause"]
+
+
+def test_every_written_mart_and_column_has_a_text(spark, tmp_path):
+    """Catalog tables over a published version carry the registry's comments."""
+    from marginflow.plans import pipeline, versions
+
+    out = str(tmp_path / "out")
+    pipeline.run(spark, SMOKE, out)
+    made = versions.register_tables(spark, out, prefix="pub_")
+    assert len(made) >= 28 and "pub_customer_lifetime" in made and "pub_fct_orders" in made
+    for name in made:
+        told = {r.col_name: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").collect()}
+        assert told["Comment"].data_type == schemas.MODEL_DOCS[name.removeprefix("pub_")]
+        for c in spark.table(name).columns:
+            assert told[c].comment == schemas.COLUMN_DOCS[c] and told[c].comment
+        spark.sql(f"DROP TABLE `{name}`")
+    import pytest
+    from marginflow.sources import sinks
+    with pytest.raises(ValueError, match="no text for new_mart, new_mart.oddity"):
+        sinks.materialize(spark.createDataFrame([(1,)], "oddity int"), str(tmp_path / "m"), "new_mart")
