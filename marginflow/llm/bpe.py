@@ -14,7 +14,9 @@ Texts are cut into pre-tokens by the tokenizer's pattern first, and the ids of p
 before are kept in a dictionary of bounded size.
 
 Defined results: a null text is empty and has no ids; added special tokens that stand in a text
-get their own ids, as the tokenizers library does by default.
+get their own ids, as the tokenizers library does by default; repeated rows each have their row; very
+long texts are encoded whole; no rows give no rows; columns beside the two named are not read, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ conversation, each with ``loss`` true for what an assistant says.  Turns are wri
 checked before they are gathered by conversation.
 
 Defined results: a null text or role is empty; turns stand by number, and turns of one number by
-role and text (null numbers first); rows with a null ``conv_id`` form one conversation.
+role and text (null numbers first); rows with a null ``conv_id`` form one conversation; repeated turns
+all stay; very long texts are written whole; no turns give no rows; columns beside the four named are
+not read, whatever their names.
 """
 
 from __future__ import annotations

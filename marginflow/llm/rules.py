@@ -12,7 +12,8 @@ statistics and the expression cover all rows.
 
 Defined results: a null text has no words; ratios without a denominator are 0; labels that are
 null, or name no document, are left out; without labels of both kinds the list is empty and keeps
-every row.
+every row; repeated rows each have their row; very long texts are counted whole; no rows give no rows;
+columns beside those named are not read, whatever their names.
 """
 
 from __future__ import annotations

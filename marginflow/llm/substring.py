@@ -17,7 +17,8 @@ so a passage shared by a third of all documents costs one row for each occurrenc
 contexts and windows are compared by 64-bit hashes, always together with the anchor's own.
 
 Defined results: a null text has no words; a row is known by its ``doc_id`` and text, so repeated
-rows are occurrences of each other; texts under ``min_words`` words repeat nothing.
+rows are occurrences of each other; texts under ``min_words`` words repeat nothing; very long texts
+are cut whole; no rows give no rows; columns beside those named are not read, whatever their names.
 """
 
 from __future__ import annotations

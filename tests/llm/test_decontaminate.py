@@ -148,7 +148,7 @@ def test_scores_side_by_side_and_several_scans(spark, planted, monkeypatch):
     docs, items, _ = planted
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     one = by_row(d.leaks(*frames), "doc_id", "item_id", "similarity")
-    monkeypatch.setattr(d, "ITEM_CHARS", 1500)
+    monkeypatch.setattr(d, "BITS", 1 << 12)  # crowded: false hits join nothing
     monkeypatch.setattr(d, "SEEDS_AT_ONCE", 50)
     assert by_row(d.leaks(*frames), "doc_id", "item_id", "similarity") == one
 
@@ -165,3 +165,44 @@ def test_long_copies_score_without_overflow():
     got = d.best_scores([item, item], [passage, exact])
     assert got.tolist() == [d.smith_waterman(item, passage)[0], 2 * len(item)]
     assert got[0] >= 0.6 * 2 * len(item)
+
+
+def test_rare_seeds_miss_no_leak(spark):
+    """The prefix filter against all seeds: common words abound, and some items are made of them alone."""
+    rng = random.Random(8)
+    common, rest = WORDS[:6], WORDS[6:60]
+    draw = lambda n: [rng.choice(common if rng.random() < 0.7 else rest) for _ in range(n)]
+    items = [(i, " ".join(draw(rng.choice([5, 6, 8, 15, 30])))) for i in range(40)] + [(99, " ".join(common * 3)), (98, "a b c d e")]
+    docs = []
+    for k in range(120):
+        words = draw(rng.randint(0, 60))
+        if k % 2:
+            copy = rng.choice(items)[1].split()
+            for at in rng.sample(range(len(copy)), len(copy) * rng.choice([0, 1, 2]) // 8):
+                copy[at] = rng.choice(WORDS)
+            words = words[:20] + copy + words[20:]
+        docs.append((k, " ".join(words)))
+    got = by_row(d.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(items, "item_id long, text string")), "doc_id", "item_id", "similarity")
+    want = []
+    for k, text in docs:
+        for i, item in items:
+            a, b = d.words_of(item), d.words_of(text)
+            similarity = d.align(a, b)[0] if b else 0
+            if similarity >= 0.6:
+                want.append((k, i, similarity))
+    assert got == sorted(want, key=repr) and len(want) > 100
+
+
+def test_rare_seeds_are_the_rarest(spark):
+    items = spark.createDataFrame([(0, bytearray(b"the of cat the of dog sat on"))], "item long, words binary")
+    docs = spark.createDataFrame([(r, t) for r, t in enumerate(["the of " * 9, "of the of", "cat the", "dog sat on"])], "row long, text string")
+    seeds = d._seeds(items, 0.6)
+    hits = d._hits(docs, d._bitmap(seeds), [2])
+    key = {p: int(d._seed_keys([p.encode().split()], 2)[0][0]) for p in ("the of", "of cat", "cat the", "of dog", "dog sat", "sat on")}
+    counted = {r.key: r.times for r in hits.groupBy("key").agg({"times": "sum"}).withColumnRenamed("sum(times)", "times").collect()}
+    assert counted == {key["the of"]: 10, key["cat the"]: 1, key["dog sat"]: 1, key["sat on"]: 1}
+    rare = {r.key for r in d._rare(seeds, hits).collect()}  # 7 pairs, of which a leak matches 1: all may be needed
+    assert rare == set(key.values())
+    fewer = {r.key for r in d._rare(d._seeds(items, 0.9), hits).collect()}  # 15 - 8 - 1 = 6 match: 2 rarest do
+    assert fewer == {key["of cat"], key["of dog"]}
