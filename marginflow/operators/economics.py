@@ -40,7 +40,11 @@ def contribution_margin(net: Column, product: Column, delivery: Column, payment:
 
 
 def payment_cost(gross: Column) -> Column:
-    """A rate and a fixed fee on what is charged; nothing charged, nothing paid."""
+    """A rate and a fixed fee on what is charged.
+
+    A departure from a plain "rate plus fee": where nothing is charged (an order without lines), no fee
+    is due, since no payment takes place.
+    """
     return F.when(gross > 0, cents(gross * _dec(PAYMENT_RATE) + _dec(PAYMENT_FIXED))).otherwise(_dec("0.00").cast(MONEY))
 
 

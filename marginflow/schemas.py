@@ -172,7 +172,9 @@ COLUMN_DOCS = {
     "conversion_lift_pp": "Treatment's conversion less control's, in percentage points.",
     "conversion_ci_low_pp": "Low end of its 95 % interval.", "conversion_ci_high_pp": "High end of its 95 % interval.",
     "conversion_p_value": "Two-sided p-value of the lift.",
-    "margin_lift_per_prospect": "Treatment's margin per assigned prospect less control's.",
+    "margin_lift_vs_control": "Margin per assigned prospect less control's.",
+    "cost_vs_average": "Mean delivery cost less the mean over all carriers and markets.",
+    "reliability_vs_average": "On-time share less the mean over all carriers and markets.",
     "srm_p_value": "p-value of the arms' sizes under an even split.",
     "metric": "Measure compared.", "control": "Its value in control.", "difference": "Treatment less control.",
     "decision": "Scale, Protect or Fix / Pause, by margin per prospect.",

@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..session import scratch_dir
+from .tables import input_state
 
 # A value that never appears in the data: with it as nullValue, empty fields stay "".
 _NO_NULL_TOKEN = "\u0000<no-null>\u0000"
@@ -187,21 +188,38 @@ def _columns(header: str) -> list[str]:
 
 
 def _with_cases(lines: DataFrame, cases: DataFrame, few: bool) -> DataFrame:
-    """Lines, in their order, with what is known of their split; lines of other splits are left out."""
+    """Lines, in their order, with what is known of their split."""
     same = (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start"))
     if few:
-        joined = lines.join(F.broadcast(cases), same)  # keeps lines where and as they are
+        joined = lines.join(F.broadcast(cases), same, "left")  # keeps lines where and as they are
     else:
-        joined = (lines.withColumn("place", F.monotonically_increasing_id()).join(cases, same)
+        joined = (lines.withColumn("place", F.monotonically_increasing_id()).join(cases, same, "left")
                   .repartition("file", "start").sortWithinPartitions("file", "start", "place"))
-    return joined.select("file", "start", "line", "inside", "header_no")
+    # Splits depend on settings: lines of a split that was not surveyed are never dropped in silence.
+    known = F.when(F.col("_file").isNull(), F.raise_error(F.lit("files are split otherwise than when they were surveyed"))
+                   .cast("int")).otherwise(F.col("inside"))
+    return joined.select("file", "start", "line", known.alias("inside"), "header_no", "_open")
+
+
+_SURVEYS: dict[tuple, str] = {}
+_SPLITTING = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum",
+              "spark.sql.leafNodeDefaultParallelism")
+
+
+def _surveyed(spark: SparkSession, path: str) -> DataFrame:
+    """A row a split; the survey is made once for a session, its way to split files, and their state."""
+    settings = tuple(spark.conf.get(k, None) for k in _SPLITTING)
+    key = spark.sparkContext.applicationId, scratch_dir(spark), path, settings, hash(input_state(spark, path))
+    if key not in _SURVEYS:
+        scratch = f"{scratch_dir(spark)}/csv/{uuid.uuid4().hex}"
+        _lines(spark, path).mapInArrow(_survey, SPLITS).write.parquet(scratch)
+        _SURVEYS[key] = scratch
+    return spark.read.schema(SPLITS).parquet(_SURVEYS[key])
 
 
 def _read_text(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
     """All records of a path as text columns: ``wanted``, or those of the first header."""
-    scratch = f"{scratch_dir(spark)}/csv/{uuid.uuid4().hex}"
-    _lines(spark, path).mapInArrow(_survey, SPLITS).write.parquet(scratch)
-    splits = spark.read.schema(SPLITS).parquet(scratch)
+    splits = _surveyed(spark, path)
     before = F.coalesce(F.sum("quotes").over(W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     told = splits.withColumn("inside", (before % 2).cast("int"))
     found = [r.header for r in told.where("start = 0").groupBy("header").agg(F.min("file").alias("f")).orderBy("f")
@@ -222,9 +240,9 @@ def _read_text(spark: SparkSession, path: str, wanted: list[str] | None = None)
         ((F.col("inside") + F.col("quotes")) % 2).alias("_open"))
     few = splits.count() <= MOST_BROADCAST  # from the files' footers
     records = _with_cases(_lines(spark, path), cases, few).mapInArrow(_whole_records, "header_no int, record string")
-    cut = cases.where("inside = 1 or _open = 1")
-    if not cut.isEmpty():
-        ends = _with_cases(_lines(spark, path), cut, few).mapInArrow(
+    crossed = "inside = 1 or _open = 1"
+    if not cases.where(crossed).isEmpty():
+        ends = _with_cases(_lines(spark, path), cases, few).where(crossed).mapInArrow(
             _ends, "header_no int, file string, start long, kind int, piece string")
         records = records.union(_crossing(ends))
 

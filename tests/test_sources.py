@@ -210,3 +210,16 @@ def test_windows_line_ends_and_byte_order_mark(spark):
     got = csv.load_text_csv(spark, os.path.join(d, "x.csv"))
     assert got.columns == ["a", "b"]
     assert sorted(map(tuple, got.collect())) == [("1", "x\r\ny"), ("2", ""), ("3", "z")]
+
+
+def test_files_split_otherwise_than_surveyed_stop_the_load(spark):
+    path = _write("a,b\n" + "".join(f"{i},x\n" for i in range(500)))
+    df = csv.load_text_csv(spark, path)
+    assert df.count() == 500
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        assert csv.load_text_csv(spark, path).count() == 500
+        with pytest.raises(Exception, match="split otherwise"):
+            df.select("a").where("a <> ''").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
