@@ -30,6 +30,7 @@ whole; columns beside those named are not read, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Known, Scratch, mix, per_process, small_batches, texts
+from .common import Scratch, mix, small_batches, texts
 
 BITS = 1 << 26  # of the bitmap of the items' seeds: 8 MB for a task, whatever the benchmark's size
 BUCKET = 1 << 15  # of these are one row of Spark's bitmap aggregate
-KEPT_WORDS = 300_000
 SEEDS_AT_ONCE, CELLS_AT_ONCE = 2_000_000, 1_000_000  # they bound a worker's memory
 _KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -196,9 +196,8 @@ def best_scores(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarr
 
 def _seed_keys(lists: list[list[bytes]], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (64-bit hashes) of the seeds of texts laid end to end, and the text of each."""
-    known = per_process(("decontaminate",), lambda: Known(KEPT_WORDS, xxhash.xxh64_intdigest))
     sizes = np.array([len(x) for x in lists], np.int64)
-    code = np.fromiter((known[w] for x in lists for w in x), np.uint64, int(sizes.sum()))
+    code = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(lists)), np.uint64, int(sizes.sum()))
     which = np.repeat(np.arange(len(lists)), sizes)
     if width == 1:
         return mix(code).view(np.int64), which
