@@ -21,3 +21,12 @@ def spark():
 
 
 SMOKE = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def published(spark):
+    """One rebuild that several tests look at: (folder, paths)."""
+    from marginflow.plans import pipeline
+
+    out = tempfile.mkdtemp(prefix="mf-run-")
+    return out, pipeline.run(spark, SMOKE, out)

@@ -91,12 +91,8 @@ def test_extract_round_trip_keeps_values(spark):
     assert sorted(map(tuple, csv.load_text_csv(spark, out).collect())) == sorted(rows)
 
 
-def test_pipeline_writes_marts_and_ordered_reports(spark):
-    from conftest import SMOKE
-    from marginflow.plans import pipeline
-
-    out = tempfile.mkdtemp(prefix="mf-run-")
-    paths = pipeline.run(spark, SMOKE, out)
+def test_pipeline_writes_marts_and_ordered_reports(spark, published):
+    paths = published[1]
     assert {"cohort_profitability_90d", "channel_funnel", "report:experiment", "report:channel_rank_report",
             "report:carrier_tradeoff_report"} <= set(paths)
     assert "stg_orders" in [t.name for t in spark.catalog.listTables()]
@@ -111,11 +107,8 @@ def test_pipeline_writes_marts_and_ordered_reports(spark):
     assert {"conversion_p_value", "srm_p_value"} <= set(exp.columns)
 
 
-def test_pipeline_cohort_and_carrier_reports_sorted(spark):
-    from conftest import SMOKE
-    from marginflow.plans import pipeline
-
-    paths = pipeline.run(spark, SMOKE, tempfile.mkdtemp(prefix="mf-run2-"))
+def test_pipeline_cohort_and_carrier_reports_sorted(published):
+    paths = published[1]
     for name, key in (("cohort_profitability_90d", lambda f: (f[0], f[1], f[2])),
                       ("carrier_summary", lambda f: -float(f[1]))):
         d = paths[f"report:{name}"]

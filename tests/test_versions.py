@@ -50,34 +50,37 @@ def test_bucketed_table_is_found_by_its_path(spark, tmp_path):
     assert "Bucketed: true" in _exchanges(again.join(again.withColumnRenamed("it's", "b"), "order_id"))
 
 
-def test_a_run_that_stops_leaves_the_old_version(spark, tmp_path, monkeypatch):
-    out = str(tmp_path / "out")
-    assert versions.current(spark, out) is None
-    with pytest.raises(KeyError):
-        versions.read_mart(spark, out, "kpi_summary")
-    pipeline.run(spark, SMOKE, out)
+def test_a_run_that_stops_leaves_the_old_version(spark, published, tmp_path, monkeypatch):
+    out, small = published[0], str(tmp_path / "small")
     first = versions.current(spark, out)
+    folders = len(files.names(spark, f"{out}/versions"))
     before = [tuple(r) for r in versions.read_mart(spark, out, "channel_profitability").collect()]
     orders = open_warehouse(spark, out).orders.count()
 
-    small = str(tmp_path / "small")
     for t in ("customer", "nation", "lineitem", "events"):
         spark.read.parquet(f"{SMOKE}/{t}.parquet").write.parquet(f"{small}/{t}.parquet")
     spark.read.parquet(f"{SMOKE}/orders.parquet").where("o_orderkey % 2 = 0").write.parquet(f"{small}/orders.parquet")
-    real = marts.kpi_summary
-    monkeypatch.setattr(marts, "kpi_summary", lambda *a: real(*a).select(F.raise_error(F.lit("stopped")).alias("x")))
+    monkeypatch.setattr(marts, "market_profitability", lambda o: o.select(F.raise_error(F.lit("stopped")).alias("market")))
     with pytest.raises(Exception, match="stopped"):
         pipeline.run(spark, small, out)  # tables and some marts of the new version are written by now
-    assert len(files.names(spark, f"{out}/versions")) == 2
+    assert len(files.names(spark, f"{out}/versions")) == folders + 1
     assert versions.current(spark, out) == first and open_warehouse(spark, out).orders.count() == orders
     assert [tuple(r) for r in versions.read_mart(spark, out, "channel_profitability").collect()] == before
 
-    monkeypatch.undo()
-    pipeline.run(spark, small, out)
-    assert versions.current(spark, out) != first and open_warehouse(spark, out).orders.count() < orders
-    assert versions.expire(spark, out, keep=1) == [1]
-    assert first["folder"].split("/")[1] not in files.names(spark, f"{out}/versions")
-    assert open_warehouse(spark, out).orders.count() < orders
+
+def test_readers_move_to_the_new_version_and_old_ones_expire(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert versions.current(spark, out) is None
+    with pytest.raises(KeyError):
+        versions.read_mart(spark, out, "m")
+    for n in (1, 2, 3):
+        folder = versions.fresh_folder(out)
+        spark.range(n).write.parquet(f"{out}/{folder}/marts/m")
+        assert versions.publish(spark, out, {"folder": folder, "marts": {"m": f"{folder}/marts/m"}}) == n
+        assert versions.read_mart(spark, out, "m").count() == n
+    assert versions.expire(spark, out, keep=2) == [1] and versions.expire(spark, out, keep=0) == [2]
+    assert versions.read_mart(spark, out, "m").count() == 3
+    assert files.names(spark, f"{out}/versions") == [folder.split("/")[1]]
 
 
 def test_two_publishers_get_two_numbers(spark, tmp_path, monkeypatch):
