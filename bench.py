@@ -6,9 +6,8 @@ BENCH_REPEAT (default 3; the median is reported), BENCH_QUERIES (comma list, def
 ``warehouse_build`` is the ETL (driver tables -> six commerce tables, written once); each
 query is then built afresh and its full result is materialised (xor of per-row hashes over
 all columns), so no shuffle files or cached plans are reused between runs.  A warm-up pass
-over a separate warehouse build is not reported.  Results that are written once per build
-(CSV extracts) are timed as ``once:*``
-against a fresh build; the queries then read them.  ``value`` is the build, these and all queries;
+over a separate warehouse build is not reported.  What is written once per build (CSV extracts and
+their survey) is timed as ``once:*`` against a fresh build; the queries then read it.  ``value`` is the build, these and all queries;
 ``flagship_from_raw_sec`` (not in ``value``) is the flagship as one plan from the raw tables.
 Prints one JSON line.
 """

@@ -27,12 +27,14 @@ from __future__ import annotations
 
 import csv as reader
 import io
+import sys
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ from .. import schemas
 from ..session import scratch_dir
 from .tables import input_state
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
+
 # A value that never appears in the data: with it as nullValue, empty fields stay "".
 _NO_NULL_TOKEN = "\u0000<no-null>\u0000"
 _DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",

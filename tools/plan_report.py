@@ -38,7 +38,8 @@ def main():
     lazy = "--lazy" in sys.argv
     spark = build_session("local[8]", 8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
                                                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                                               "spark.sql.adaptive.enabled": "false"})
+                                               "spark.sql.adaptive.enabled": "false",
+                                               "spark.sql.maxMetadataStringLength": "2000"})
     if lazy:
         spark.conf.set("marginflow.model", "lazy")
     else:

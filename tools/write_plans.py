@@ -36,7 +36,8 @@ def main():
     data_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
                                                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                                               "spark.sql.adaptive.enabled": "false"})
+                                               "spark.sql.adaptive.enabled": "false",
+                                               "spark.sql.maxMetadataStringLength": "2000"})
     lazy = CommerceModel(spark, data_dir)
     wh = build_warehouse(spark, data_dir)
     out = ["# Physical plans (automatic broadcast off: the shape the plans take on large inputs)", "",
@@ -45,7 +46,7 @@ def main():
            "## ETL stage 1: orders with their line totals (the only lineitem pass)", "", "```",
            tree_and_scans(lazy.order_totals), "```", "",
            "## Flagship: channel profitability over the warehouse", "", "```",
-           tree_and_scans(marts.channel_profitability(wh.prospects, wh.orders)), "```", "",
+           tree_and_scans(marts.channel_profitability_of(wh.prospect_outcomes)), "```", "",
            "## All queries over the warehouse", "",
            "| query | shuffles | sort-merge joins | broadcast joins | windows | Expand | tables |",
            "|---|---|---|---|---|---|---|"]
