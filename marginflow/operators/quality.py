@@ -93,6 +93,16 @@ def unique_keys(tables: Tables) -> DataFrame:
     return key_audit(tables, ("unique",))
 
 
+def unique_keys_apart(tables: Tables) -> DataFrame:
+    """The rows of ``unique_keys``, each key column grouped by itself: a table stored in buckets of its
+    key is counted where it lies, without a shuffle."""
+    pairs = [*schemas.PRIMARY_KEYS.items(), *[(t, c) for t, cols in schemas.UNIQUE_KEYS.items() for c in cols]]
+    return _union([
+        _row(tables[t].where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n")),
+             "unique", t, c, F.sum(F.col("_n") - 1))
+        for t, c in pairs if t in tables])
+
+
 def orphans(tables: Tables) -> DataFrame:
     """Child rows whose non-null key has no parent row."""
     return key_audit(tables, ("relationships",))

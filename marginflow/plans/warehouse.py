@@ -5,12 +5,13 @@ The build runs once per session and data directory:
 1. orders joined with their aggregated lines are written to the shared scratch folder -
    ``lineitem``, the largest input, is scanned and shuffled exactly once, and the
    written table cuts the lineage, so a lost executor never sends a mart back to
-   ``lineitem``; from it the order-level frame (customer attributes, first-order flag,
-   all amounts) is joined once and written too, bucketed and sorted by ``order_id``;
-2. the six commerce tables are projections of that frame (customers are its first-order
-   rows; prospects join it to the customer attributes) and are written as Parquet with
-   their column comments (dimensions first).  The two facts keyed by ``order_id`` keep the
-   frame's buckets: their joins need no shuffle.  The checks of single rows (nulls, domains,
+   ``lineitem``; each customer's first order, last date and count are added up from it once;
+   the order rows (customer attributes, first-order flag, line totals) are joined once, dealt
+   to the buckets of ``order_id`` and written too.  Amounts follow from a row and are not shuffled;
+2. the six commerce tables are projections of these rows (customers are the first-order
+   rows; prospects join them to the customer attributes) and are written as Parquet with
+   their column comments (dimensions first).  The two facts keyed by ``order_id`` are written in
+   its buckets, each sorted once: their joins, and the check of their keys, need no shuffle.  The checks of single rows (nulls, domains,
    ranges) and the totals that marts must reconcile with are observed while a table is written;
 3. keys are checked before any mart may read them: a duplicate stops the build, so marts
    count rows where they mean keys;
@@ -38,7 +39,7 @@ from .. import schemas
 from ..operators import marts, quality
 from ..session import scratch_dir
 from ..sources import csv
-from ..sources.adapter import CommerceModel
+from ..sources.adapter import CommerceModel, order_key_id
 from ..sources.tables import input_state
 from . import versions
 
@@ -65,7 +66,7 @@ def _registered(path: str) -> str:
 
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     """Write ``df`` in buckets of ``key``, sorted by it."""
-    (df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path)
+    (df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, key).sortBy(key).option("path", path)
      .mode("overwrite").saveAsTable(_registered(path)))
 
 
@@ -145,6 +146,11 @@ class WarehouseModel:
         return self.spark.read.parquet(self.paths[OUTCOMES])
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _slug(data_dir: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", "_", data_dir.strip("/"))[-60:]
 
@@ -156,15 +162,17 @@ def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = No
     lazy = CommerceModel(spark, data_dir)
     # Stage 1: the single pass over lineitem (aggregated per order, joined to orders).
     totals_path = f"{root}/_stage/order_totals"
-    lazy.order_totals.write.mode("overwrite").parquet(totals_path)
-    totals = spark.read.parquet(totals_path)
-    windowed = CommerceModel(spark, data_dir, staged_order_totals=totals)
-    # Stage 2: customer attributes, first-order flag and amounts, joined once and dealt to buckets.
+    totals = _staged(lazy.order_totals, totals_path)
+    summed = CommerceModel(spark, data_dir, staged_order_totals=totals)
+    # Stage 2: the summary of each customer's orders, read for hot customers as for the join.
+    customers = _staged(summed.customer_orders, f"{root}/_stage/customer_orders")
+    windowed = CommerceModel(spark, data_dir, staged_order_totals=totals, staged_customer_orders=customers)
+    # Stage 3: customer attributes and first-order flag, joined once; each task has the rows of one bucket.
     buckets = buckets_for(totals.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    frame_path = f"{root}/_stage/order_frame"
-    write_bucketed(windowed._order_frame.repartition(buckets, "order_id"), frame_path, "order_id", buckets)
-    frame = read_bucketed(spark, frame_path, "order_id", buckets)
-    staged = CommerceModel(spark, data_dir, staged_order_frame=frame)
+    # Sorted by the key as a number, which is fast, they are already in the order of the written facts.
+    dealt = windowed._order_rows.repartition(buckets, order_key_id(F.col("o_orderkey"))).sortWithinPartitions("o_orderkey")
+    rows = _staged(dealt, f"{root}/_stage/order_rows")
+    staged = CommerceModel(spark, data_dir, staged_order_rows=rows)
     paths, observed = {}, {}
     for name in schemas.LOAD_ORDER:  # dimensions before facts
         paths[name] = f"{root}/{name}"
@@ -177,7 +185,7 @@ def build_warehouse(spark: SparkSession, data_dir: str, out_dir: str | None = No
         observed[name] = {k: str(v) if v is not None else None for k, v in seen.get.items()}
     built = WarehouseModel(spark, paths, root, buckets, observed)
     if check_keys:
-        quality.assert_quality(quality.unique_keys({name: built.table(name) for name in schemas.TABLES}))
+        quality.assert_quality(quality.unique_keys_apart({name: built.table(name) for name in schemas.TABLES}))
     paths[OUTCOMES] = f"{root}/{OUTCOMES}"
     outcomes = marts.prospect_outcomes(built.prospects, built.orders, built.experiment_assignments)
     schemas.with_comments(outcomes, OUTCOMES).write.mode("overwrite").parquet(paths[OUTCOMES])

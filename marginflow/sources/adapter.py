@@ -109,7 +109,7 @@ def order_key_id(key: Column) -> Column:
 def exact_units(value: Column, units: int) -> Column:
     """``value * units`` as a whole number, failing the job where the source is finer than that."""
     scaled = value * F.lit(float(units))
-    whole = F.round(scaled)
+    whole = F.rint(scaled)  # ``round`` goes through big decimals; halves are refused in either case
     exact = F.abs(scaled - whole) < 1e-4
     return F.when(exact, whole).when(value.isNotNull(), F.raise_error(
         F.lit(f"source value finer than 1/{units}")).cast("double")).cast("bigint")
@@ -130,10 +130,12 @@ class CommerceModel:
 
     spark: SparkSession
     data_dir: str
-    # When set, the order-level frame (orders with line totals, customer attributes,
-    # first-order flag and amounts) is read from this already-written table; all six tables
-    # are then projections of it and ``lineitem`` is not read again.
-    staged_order_frame: DataFrame | None = None
+    # When set, the order rows (orders with line totals, customer attributes and first-order
+    # flag) are read from this already-written table; all six tables are then projections of it
+    # and ``lineitem`` is not read again.
+    staged_order_rows: DataFrame | None = None
+    # When set, the first order, last date and count of each customer come from this table.
+    staged_customer_orders: DataFrame | None = None
     # When set, orders joined with their aggregated lines come from this already-written
     # table: the only pass over ``lineitem``.
     staged_order_totals: DataFrame | None = None
@@ -199,19 +201,20 @@ class CommerceModel:
             F.col("l_orderkey").isNotNull().alias("has_lines"),
             F.coalesce("all_returned", F.lit(False)).alias("all_returned"),
             *[F.coalesce(c, zero).alias(c) for c in ("price_cents", "discount_units", "refund_units")],
-            order_key_id(F.col("o_orderkey")).alias("order_id"),
             wall_date(w, "o_orderdate").alias("order_date"),
             wall_date(w, "last_ship").alias("last_ship_date"),
         )
 
     @cached_property
     def customer_orders(self) -> DataFrame:
-        """Per customer: first order (by date, then order id), its date, the last date, the count.
+        """Per customer: first order (by date, then order key), its date, the last date, the count.
 
         Order ids are zero-padded, so their string order is the order-key order, and
         ``(date, key)`` packs into one ``bigint`` (days << 40 | key): a plain ``min`` that Spark
         hash-aggregates with map-side combining, instead of a sort-based ``min`` over a struct.
         """
+        if self.staged_customer_orders is not None:
+            return self.staged_customer_orders
         days = F.datediff(F.col("order_date"), F.lit(EPOCH).cast("date")).cast("bigint")
         packed = F.shiftleft(days, _KEY_BITS) + guarded_order_key(F.col("o_orderkey"))
         first = self.order_totals.groupBy("o_custkey").agg(
@@ -220,14 +223,14 @@ class CommerceModel:
         first_day = F.shiftright(F.col("_first"), _KEY_BITS).cast("int")
         first_key = F.col("_first").bitwiseAND((1 << _KEY_BITS) - 1)
         return first.select("o_custkey", F.date_add(F.lit(EPOCH).cast("date"), first_day).alias("acquisition_date"),
-                            order_key_id(first_key).alias("first_order_id"), "n_orders",
+                            first_key.alias("first_order_key"), "n_orders",
                             (F.col("last_order_date") >= F.lit(CAMPAIGN_START).cast("date")).cast("int").alias("converted"))
 
     # ---- the six commerce tables ----
     @cached_property
     def prospects(self) -> DataFrame:
         a = self.customer_attributes
-        if self.staged_order_frame is not None:
+        if self.staged_order_rows is not None:
             f = self._first_rows.select("o_custkey", "converted")
         else:
             f = self.customer_orders.select("o_custkey", "converted")
@@ -241,7 +244,7 @@ class CommerceModel:
 
     @cached_property
     def customers(self) -> DataFrame:
-        if self.staged_order_frame is not None:
+        if self.staged_order_rows is not None:
             # One row per customer: its first order carries the acquisition date.
             return self._first_rows.select(
                 keyed("C", F.col("o_custkey")).alias("customer_id"),
@@ -269,25 +272,33 @@ class CommerceModel:
 
     @cached_property
     def _first_rows(self) -> DataFrame:
-        return self._order_frame.where((F.col("first_order") == 1) & F.col("o_custkey").isNotNull())
+        return self._order_rows.where((F.col("first_order") == 1) & F.col("o_custkey").isNotNull())
 
     @cached_property
-    def _order_frame(self) -> DataFrame:
-        """Orders with customer attributes, first-order flag, carrier and all amounts."""
-        if self.staged_order_frame is not None:
-            return self.staged_order_frame
+    def _order_rows(self) -> DataFrame:
+        """Orders with line totals in whole units, customer attributes and first-order flag: all that
+        amounts follow from row by row, so that shuffles carry no amounts."""
+        if self.staged_order_rows is not None:
+            return self.staged_order_rows
         w = self.order_totals
         a = self.customer_attributes.select("c_custkey", "market", "acquisition_channel")
         first = self.customer_orders
-        f = first.select(F.col("o_custkey").alias("f_custkey"), "first_order_id", "converted")
+        f = first.select(F.col("o_custkey").alias("f_custkey"), "first_order_key", "converted")
         # Both per-customer tables have one row per key: join them first, then make a single
         # join against the orders.  A customer with a large share of the orders is spread over
         # several tasks by a salted join (hot keys found from the per-customer order counts).
         # Left joins: an order whose customer is missing keeps its row for the quality checks.
         per_customer = f.join(a, a.c_custkey == f.f_custkey, "left").select(
-            F.col("f_custkey").alias("o_custkey"), "market", "acquisition_channel", "first_order_id", "converted")
+            F.col("f_custkey").alias("o_custkey"), "market", "acquisition_channel", "first_order_key", "converted")
         hot = hot_keys(first, "o_custkey", "n_orders")
         j = salted_join(w, per_customer, "o_custkey", hot, "left", spread_by="o_orderkey")
+        is_first = F.coalesce(F.col("o_orderkey") == F.col("first_order_key"), F.lit(False))
+        return j.select(*w.columns, "market", "acquisition_channel", "converted", is_first.cast("int").alias("first_order"))
+
+    @cached_property
+    def _order_frame(self) -> DataFrame:
+        """The order rows with carrier and all amounts."""
+        j = self._order_rows
 
         def cents(x: Column) -> Column:
             return F.round(x, 2).cast(MONEY)
@@ -312,20 +323,18 @@ class CommerceModel:
         product_cost = cents(gross * dec(PRODUCT_COST_SHARE))
         payment = economics.payment_cost(gross)
         fulfillment = F.when(has_lines, dec(FULFILLMENT_COST).cast(MONEY)).otherwise(nothing)
-        is_first = F.col("order_id") == F.col("first_order_id")
-        marketing = economics.attributed_marketing(acq_cost, is_first)
+        marketing = economics.attributed_marketing(acq_cost, F.col("first_order") == 1)
         net = economics.net_revenue(gross, discount, refund)
         margin = economics.contribution_margin(net, product_cost, delivery_cost, payment, fulfillment, marketing)
         return j.select(
-            "order_id", "o_custkey", "order_date", "market", "acquisition_channel", "last_ship_date",
-            "o_orderpriority", "has_lines", "converted",
+            order_key_id(F.col("o_orderkey")).alias("order_id"), "o_custkey", "order_date", "market",
+            "acquisition_channel", "last_ship_date", "o_orderpriority", "has_lines", "converted",
             economics.order_status(refund, gross).alias("order_status"),
             gross.alias("gross_revenue"), discount.alias("discount_amount"), refund.alias("refund_amount"),
             product_cost.alias("product_cost"), delivery_cost.alias("delivery_cost"),
             payment.alias("payment_cost"), fulfillment.alias("fulfillment_cost"),
             marketing.alias("attributed_marketing_cost"), net.alias("net_revenue"),
-            margin.alias("contribution_margin"), carrier.alias("carrier"),
-            F.coalesce(is_first, F.lit(False)).cast("int").alias("first_order"),
+            margin.alias("contribution_margin"), carrier.alias("carrier"), "first_order",
         )
 
     @cached_property

@@ -168,3 +168,35 @@ def test_subtotals_tell_totals_from_null_values(spark):
     o = orders(spark, [("O1", "C1", "P1", D(2025, 1, 1), "LV", "CRM", "completed", 10, 2)])
     rows = metrics.metric_layer_subtotals(p, o, deliveries(spark, [("O1", "FastShip", 1, 3)]), ("market",)).collect()
     assert {(r.market, r.grouping_id): r.eligible_prospects for r in rows} == {("LV", 0): 1, (None, 0): 1, (None, 1): 2}
+
+
+def test_keys_of_bucketed_facts_are_checked_where_they_lie(spark):
+    w = warehouse(spark, SMOKE)
+    tables = {name: w.table(name) for name in schemas.TABLES}
+    facts = {name: tables[name] for name in ("fct_orders", "fct_deliveries")}
+    assert "hashpartitioning(order_id" not in _exchanges(quality.unique_keys_apart(facts))
+    tables["fct_orders"] = tables["fct_orders"].union(tables["fct_orders"].limit(3))
+    nulled = tables["dim_prospect"].limit(2).withColumn("prospect_id", F.lit(None).cast("string"))
+    tables["dim_prospect"] = tables["dim_prospect"].union(nulled)
+    found = [sorted(map(tuple, check(tables).collect())) for check in (quality.unique_keys_apart, quality.unique_keys)]
+    assert found[0] == found[1] and ("unique", "fct_orders", "order_id", 3) in found[0]
+
+
+def test_amounts_are_not_shuffled(spark):
+    """What is dealt to buckets holds whole units; each customer's summary is read, not added up again."""
+    w = warehouse(spark, SMOKE)
+    rows = spark.read.parquet(f"{w.root}/_stage/order_rows")
+    assert not any(t.startswith("decimal") for _, t in rows.dtypes) and rows.count() == w.orders.count()
+    keys = spark.read.parquet(f"{w.root}/_stage/customer_orders")
+    assert keys.count() == keys.select("o_custkey").distinct().count()
+
+
+@pytest.mark.parametrize("value", [1.005, 0.125, float("nan"), float("inf")])
+def test_values_finer_than_the_units_stop_the_job(spark, value):
+    from marginflow.sources.adapter import exact_units
+
+    whole = spark.sql("select explode(array(0.07D, -1.15D, 1.1D, -0.0D, null)) as x").select(exact_units(F.col("x"), 100).alias("n"))
+    assert [r.n for r in whole.collect()] == [7, -115, 110, 0, None]
+    assert "rint" in whole._jdf.queryExecution().optimizedPlan().toString().lower()
+    with pytest.raises(Exception, match="finer than"):
+        spark.createDataFrame([(value,)], "x double").select(exact_units(F.col("x"), 100)).collect()
