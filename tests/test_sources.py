@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from marginflow import schemas
 from marginflow.sources import csv, sinks
@@ -216,3 +217,18 @@ def test_files_split_otherwise_than_surveyed_stop_the_load(spark):
             df.select("a").where("a <> ''").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_record_is_parsed_once_however_many_columns_are_read(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b,c\nA1,B1,C1\n")
+    plan = csv.load_text_csv(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+
+
+def test_extract_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv, "ROWS_PER_FILE", 100)
+    out = str(tmp_path / "x")
+    csv.write_csv_extract(spark.range(1000).coalesce(1).select(F.format_string("%09d", "id").alias("a")), out)
+    parts = [p for p in os.listdir(out) if p.startswith("part-")]
+    assert len(parts) == 10 and all(p.endswith(".csv.gz") for p in parts)
+    assert sorted(r.a for r in csv.load_text_csv(spark, out).collect()) == [f"{i:09d}" for i in range(1000)]
