@@ -1,15 +1,19 @@
 """Language-model scores from a hierarchical Pitman-Yor model sampled by Gibbs.
 
-Model.  A token follows a context, a fixed hash class of the word before it.  Each context is a
-restaurant with the distribution of the next word; contexts whose words end alike share a parent
+Model.  A token follows a context, the real word before it (or the start of the text).  Each context
+is a restaurant with the distribution of the next word; contexts whose words end alike share a parent
 restaurant, all parents share the root, and the root's base is uniform over the training
 vocabulary and one unknown word.  A table in a restaurant is a customer in its parent.
 
 Where the work is.  What ties words together is, for each restaurant, only its numbers of
-customers and tables: at most ``2**CONTEXT_BITS`` small rows.  Given these, the seating of one
-word in all its restaurants depends on that word alone.  So training counts of (word, context)
-are combined by Spark and dealt to buckets of words; every bucket runs Gibbs sweeps over its own
-seating, and after each sweep Spark adds up the restaurants' totals for the next one.  A sweep
+customers and tables.  Given these, the seating of one word in all its restaurants depends on that
+word alone.  So training counts of (word, context) are combined by Spark and dealt to buckets of
+words; every bucket runs Gibbs sweeps over its own seating, and after each sweep Spark adds up the
+restaurants' totals for the next one.  Those of the root and the parents are 65 rows.  Those of the
+contexts are as many as the corpus has words: buckets send their shares to the parts of a Spark
+table of contexts, and each part sends every bucket the sums of the contexts that it asked for.  A
+pair that occurs once has one table in every state, so a sweep asks only for contexts with a pair of
+its bucket that occurs more often, and pairs of one customer travel without their context.  A sweep
 reseats all customers.  In rows of at most ``FEW`` customers each leaves its table in turn and is
 seated anew, each step in all rows at once.  A row of more customers is held as its numbers of
 customers and tables, and its tables are drawn as a whole, given the customers (``draw_tables``):
@@ -32,7 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +46,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, per_process, raw, small_batches, texts
+from .common import Scratch, mix, per_process, raw, small_batches
 
-# A context has 10 bits; its upper 6, from the last two bytes of the word, name its parent.
-CONTEXT_BITS, PARENT_SHIFT = 10, 4
+# A context has 64 bits; the upper 6, from the last two bytes of the word, name its parent, the others
+# are of the word's hash.  Within a bucket contexts are numbered, and a number has 32 bits: the parent's
+# 6 above the place among the bucket's contexts.
+PARENT_BITS, CONTEXT_BITS, PARENT_SHIFT = 6, 32, 26
 _U = np.uint64
 _LOW = _U((1 << CONTEXT_BITS) - 1)
+_PLACE = _U((1 << PARENT_SHIFT) - 1)
+_ASKED = _U(1 << PARENT_SHIFT - 1)  # from here on places of contexts whose totals a sweep needs
 END, START = xxhash.xxh64_intdigest(b" "), xxhash.xxh64_intdigest(b"\n")  # no word has these bytes
 BLOCK_TOKENS, BLOCK_DOCS = 5_000_000, 20_000
 
@@ -95,18 +103,18 @@ def tokens_of(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.diff(np.searchsorted(start, np.append(begin, len(data))))
     hashes = word_hashes(data, start, stop)
     last = data[stop - 1].astype(np.uint64) << _U(8) | data[stop - 2]
-    tail = mix(last) >> _U(64 - CONTEXT_BITS + PARENT_SHIFT)
-    class_of = tail << _U(PARENT_SHIFT) | hashes >> _U(64 - PARENT_SHIFT)
+    tail = mix(last) >> _U(64 - PARENT_BITS)
+    before = tail << _U(64 - PARENT_BITS) | hashes >> _U(PARENT_BITS)
     counts, first = sizes + 1, sizes.cumsum() - sizes + np.arange(len(raws))
     token = np.empty(int(counts.sum()), np.uint64)
     context = np.empty(len(token), np.uint64)
     is_end = np.zeros(len(token), bool)
     is_end[first + sizes] = True
     token[is_end], token[~is_end] = _U(END), hashes
-    context[first] = _U(START & ((1 << CONTEXT_BITS) - 1))
+    context[first] = _U(START)
     after = np.ones(len(token), bool)
     after[first] = False
-    context[after] = class_of
+    context[after] = before
     return token, context, counts
 
 
@@ -116,8 +124,14 @@ def bucket_of(token: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def key_of(token: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Within a bucket: the word's upper bits above its context's number."""
-    return token & ~_LOW | context
+    """The word's upper bits above its context's: numbers of both, in a bucket."""
+    return token & ~_LOW | context >> _U(64 - CONTEXT_BITS)
+
+
+def numbers(contexts: np.ndarray) -> np.ndarray:
+    """Numbers of a bucket's contexts, which are distinct and ascend."""
+    parent = contexts >> _U(64 - PARENT_BITS) << _U(PARENT_SHIFT)
+    return parent | np.arange(len(contexts), dtype=np.uint64)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -145,6 +159,10 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=_U(0))
 
 
+def _sums(steps: np.ndarray) -> np.ndarray:
+    return steps.cumsum(dtype=np.uint64)
+
+
 def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -> Iterator[tuple]:
     """Blocks of documents: tokens, contexts, sizes, and the extra columns' values."""
     held: list[list] = [[], [], []] + [[] for _ in extra]
@@ -165,7 +183,47 @@ def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(bucket, kind="stable")
     found, start = np.unique(bucket[order], return_index=True)
-    yield from zip(found.tolist(), np.split(order, start[1:]), strict=True)
+    if len(order):
+        yield from zip(found.tolist(), np.split(order, start[1:]), strict=True)
+
+
+def _numbered(values: np.ndarray, buckets: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values by bucket and size, and each value's place among them."""
+    found = pa.array(values).dictionary_encode()
+    distinct = found.dictionary.to_numpy()
+    order = np.lexsort((distinct, bucket_of(distinct, buckets)))
+    place = np.empty(len(order), np.uint64)
+    place[order] = np.arange(len(order), dtype=np.uint64)
+    return distinct[order], place[found.indices.to_numpy()]
+
+
+def _dealt(token: np.ndarray, context: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """For each bucket of a block: its keys by own numbers, how often each occurs, the tokens in the
+    keys' order (one key's in the block's order), and the words and contexts that are numbered."""
+    words, word = _numbered(token, buckets)
+    contexts, before = _numbered(context)
+    keys = word << _U(CONTEXT_BITS) | before
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    keys, first = keys[first], np.append(first, len(keys))
+    found, start = np.unique(bucket_of(words, buckets), return_index=True)
+    start = np.append(start, len(words))
+    cut = np.append(np.searchsorted(keys, start[:-1].astype(np.uint64) << _U(CONTEXT_BITS)), len(keys))
+    for i, bucket in enumerate(found.tolist()):
+        some, span = keys[cut[i]:cut[i + 1]], first[cut[i]:cut[i + 1] + 1]
+        used, at = np.unique(some & _LOW, return_inverse=True)
+        own = contexts[used.astype(np.int64)]
+        number = (some >> _U(CONTEXT_BITS)) - _U(start[i])
+        yield (bucket, number << _U(CONTEXT_BITS) | numbers(own)[at], np.diff(span), order[span[0]:span[-1]],
+               words[start[i]:start[i + 1]], own)
+
+
+def _renumbered(keys: np.ndarray, own: tuple, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Keys by the numbers of words and contexts among more of them."""
+    word = np.searchsorted(words, own[0]).astype(np.uint64)[(keys >> _U(CONTEXT_BITS)).astype(np.int64)]
+    context = numbers(contexts)[np.searchsorted(contexts, own[1])][(keys & _PLACE).astype(np.int64)]
+    return word << _U(CONTEXT_BITS) | context
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,46 +233,86 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(counts, new) if len(keys) else counts
 
 
-def training_counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
-    """``bucket, tokens, words, counts``: the counted (word, context) keys of each bucket."""
+def _merged(pieces: list[tuple]) -> tuple:
+    """Keys, counts, words and contexts of several pieces with numbers of their own."""
+    words, contexts = (np.unique(np.concatenate([p[i] for p in pieces])) for i in (2, 3))
+    keys = np.concatenate([_renumbered(p[0], p[2:], words, contexts) for p in pieces])
+    return (*_summed(keys, np.concatenate([p[1] for p in pieces])), words, contexts)
+
+
+def _asked(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of the contexts in which a pair of the bucket occurs more than once."""
+    return np.unique(keys[counts > 1] & _PLACE).astype(np.int64)
+
+
+def _for_sweeps(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys with the asked contexts numbered anew; a pair that occurs once has any number below
+    them that no other pair of its word and parent has, as its table depends on no total."""
+    out, single = keys & ~_PLACE, counts == 1
+    group = out[single]
+    if len(group):
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        start = np.flatnonzero(new)
+        out[single] |= (np.arange(len(group)) - start[new.cumsum() - 1]).astype(np.uint64)
+    more = np.searchsorted(asked, (keys[~single] & _PLACE).astype(np.int64)).astype(np.uint64)
+    out[~single] |= _ASKED + more
+    order = np.argsort(out, kind="stable")
+    return out[order], counts[order]
+
+
+def _few(keys: np.ndarray, counts: np.ndarray, contexts: np.ndarray, asked: np.ndarray) -> bytes:
+    keys, counts = _for_sweeps(keys, counts, asked)
+    return pack(_steps(keys), counts, _steps(contexts[asked]))
+
+
+def training_counts(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    """``bucket, tokens, words, counts, few``: the counted (word, context) keys of each bucket.
+
+    ``counts`` holds them with the words and contexts that are numbered, which are those of all rows;
+    ``few`` is what sweeps need, with the contexts that they ask for.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, context, _ in _collected(batches):
-            for bucket, at in _split(bucket_of(token, buckets)):
-                keys, n = np.unique(key_of(token[at], context[at]), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int64()), pa.array([pack(_steps(keys), n.astype(np.uint32))], pa.binary())],
-                    ["bucket", "counts"])
+        for token, context, sizes, held in _collected(batches, ("held_out",)):
+            train = np.repeat(~np.array(held, bool), sizes).astype(np.int64)
+            for bucket, keys, n, at, words, contexts in _dealt(token, context, buckets):
+                n = np.add.reduceat(train[at], n.cumsum() - n).astype(np.uint32)
+                blob = pack(_steps(keys), n, _steps(words), _steps(contexts))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())],
+                                                 ["bucket", "counts"])
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts, waiting = None, [], [], 0
+        now, pieces, waiting = None, [], 0
 
         def done() -> pa.RecordBatch:
-            key, n = _summed(np.concatenate(keys), np.concatenate(counts))
-            words = len(np.unique(key & ~_LOW))
+            keys, n, words, contexts = _merged(pieces)
+            keys, n = keys[n > 0], n[n > 0]
+            asked = _asked(keys, n)
+            few = _few(keys, n, contexts, asked)
+            known = len(np.unique(keys >> _U(CONTEXT_BITS)))
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int64()), pa.array([int(n.sum())], pa.int64()), pa.array([words], pa.int64()),
-                 pa.array([pack(_steps(key), n)], pa.binary())], ["bucket", "tokens", "words", "counts"])
+                [pa.array([now], pa.int64()), pa.array([int(n.sum())], pa.int64()), pa.array([known], pa.int64()),
+                 pa.array([pack(_steps(keys), n, _steps(words), _steps(contexts))], pa.binary()),
+                 pa.array([few], pa.binary())], ["bucket", "tokens", "words", "counts", "few"])
 
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 if bucket != now:
-                    if keys:
+                    if pieces:
                         yield done()
-                    now, keys, counts, waiting = bucket, [], [], 0
-                step, n = unpack(blob)
-                keys.append(step.cumsum(dtype=np.uint64))
-                counts.append(n.astype(np.int64))
+                    now, pieces, waiting = bucket, [], 0
+                keys, n, words, contexts = unpack(blob)
+                pieces.append((_sums(keys), n.astype(np.int64), _sums(words), _sums(contexts)))
                 waiting += len(n)
                 if waiting > 4_000_000:  # what came in pieces is added up before more is read
-                    keys, counts = [[x] for x in _summed(np.concatenate(keys), np.concatenate(counts))]
-                    waiting = 0
-        if keys:
+                    pieces, waiting = [_merged(pieces)], 0
+        if pieces:
             yield done()
 
-    small_batches(training.sparkSession)
-    parts = training.mapInArrow(count, "bucket long, counts binary")
+    small_batches(rows.sparkSession)
+    parts = rows.select("text", "held_out").mapInArrow(count, "bucket long, counts binary")
     dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
-    return scratch.table("counts", dealt.mapInArrow(combine, "bucket long, tokens long, words long, counts binary"))
+    return scratch.table("counts", dealt.mapInArrow(
+        combine, "bucket long, tokens long, words long, counts binary, few binary"))
 
 
 # ---- numbers of tables ---------------------------------------------------------------------
@@ -319,6 +417,11 @@ class Settings:
     burn_in: int
     history: list[Totals] = field(default_factory=list)
 
+    @property
+    def kept(self) -> range:
+        """States over which scores are averaged."""
+        return range(min(self.burn_in + 1, self.sweeps), self.sweeps + 1)
+
 
 class Seating:
     """Tables of many (word, restaurant) rows; a step acts on at most one customer of a row.
@@ -428,16 +531,20 @@ class Bucket:
     """The words of one bucket in all restaurants."""
 
     def __init__(self, number: int, blob: bytes, settings: Settings):
-        step, counts = unpack(blob)
+        step, counts, *dictionary = unpack(blob)
         self.number, self.settings = number, settings
-        leaf = step.cumsum(dtype=np.uint64)
+        leaf = _sums(step)
         middle, root = _distinct(leaf & ~_U((1 << PARENT_SHIFT) - 1)), _distinct(leaf & ~_LOW)
         self.keys = [root, middle, leaf]
-        context = (leaf & _LOW).astype(np.int64)
+        if len(dictionary) == 2:  # words and contexts of all rows, those of no training row too
+            self.words, self.own_contexts = map(_sums, dictionary)
+            self.contexts, context = numbers(self.own_contexts), (leaf & _PLACE).astype(np.int64)
+        else:
+            self.contexts, context = np.unique(leaf & _LOW, return_inverse=True)
         self.place = [np.zeros(len(root), np.int64), (middle & _LOW).astype(np.int64) >> PARENT_SHIFT, context]
         self.parent = [None, np.searchsorted(root, middle & ~_LOW),
                        np.searchsorted(middle, leaf & ~_U((1 << PARENT_SHIFT) - 1))]
-        self.counts = counts
+        self.counts = counts = counts.astype(np.int64)
         self.word_count = np.bincount(np.searchsorted(root, leaf & ~_LOW), weights=counts,
                                       minlength=len(root)).astype(np.int64)
         self.levels: list[Seating] = [None, None, None]
@@ -485,91 +592,260 @@ class Bucket:
             yield i
 
 
-def _totals(counts: DataFrame, settings: Settings) -> Totals:
-    """Restaurant totals of the next state: one row for each restaurant reaches the driver."""
-    upto = len(settings.history)
+def _bits(level: int) -> int:
+    """Bits of a restaurant's number where it is the same in all buckets; each bucket numbers its contexts."""
+    return (0, PARENT_BITS, 0)[level]
+
+
+# ---- totals --------------------------------------------------------------------------------
+
+_SHARE = "level int, place int, customers long, tables long, part long, bucket long, asks int, blob binary"
+_NONE, _SWEEPS, _SCORES = -1, 0, 1  # a share of contexts' totals asks for no sums, for sweeps', or for scores'
+_SENT = "bucket long, asks int, state int, part long, blob binary"
+
+
+def _shares(bucket: int, asks: int, contexts: np.ndarray, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """A bucket's shares of its contexts' totals, for each part of the contexts."""
+    schema = [("level", pa.int32()), ("place", pa.int32()), ("customers", pa.int64()), ("tables", pa.int64()),
+              ("part", pa.int64()), ("bucket", pa.int64()), ("asks", pa.int32()), ("blob", pa.binary())]
+    for part, at in _split(bucket_of(contexts, parts)):
+        blob = pack(_steps(contexts[at]), *[c[at].astype(np.int64) for c in columns])
+        yield pa.RecordBatch.from_pylist([{"part": part, "bucket": bucket, "asks": asks, "blob": blob}], pa.schema(schema))
+
+
+def _upper_shares(bucket: Bucket) -> Iterator[pa.RecordBatch]:
+    for level in (0, 1):
+        seats, n = bucket.levels[level], 1 << _bits(level)
+        customers, tables = (np.bincount(bucket.place[level], weights=x, minlength=n).astype(np.int64)
+                             for x in (seats.customers, seats.tables))
+        at = np.flatnonzero(customers)
+        none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), level), pa.int32()), pa.array(at, pa.int32()), pa.array(customers[at]),
+             pa.array(tables[at]), *none],
+            ["level", "place", "customers", "tables", "part", "bucket", "asks", "blob"])
+
+
+def _tables_of(bucket: Bucket, some: np.ndarray) -> np.ndarray:
+    """Tables in each context of the bucket, in these rows."""
+    return np.bincount(bucket.place[2][some], weights=bucket.levels[2].tables[some], minlength=len(bucket.contexts))
+
 
+def _grouped(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, list[dict]]]:
+    now, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row[name] != now:
+                if held:
+                    yield now, held
+                now, held = row[name], []
+            held.append(row)
+    if held:
+        yield now, held
+
+
+def _sent(rows: list[dict], asks: int, contexts: np.ndarray, parts: int) -> dict[int, list[np.ndarray]]:
+    """Sums by state, in the order of the contexts that were asked for."""
+    at, out = dict(_split(bucket_of(contexts, parts))), {}
+    for row in rows:
+        if row["asks"] == asks:
+            columns = unpack(row["blob"])
+            found = out.setdefault(row["state"], [np.zeros(len(contexts)) for _ in columns])
+            for total, column in zip(found, columns, strict=True):
+                total[at[row["part"]]] = column
+    return out
+
+
+def _tables_asked(rows: list[dict], contexts: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Tables of the contexts that sweeps ask for, by state.
+
+    State 0 comes as customers, tables of pairs that occur once, and other tables; later ones as other tables.
+    """
+    sent = _sent(rows, _SWEEPS, contexts, parts)
+    if not len(contexts):
+        return []
+    return [sent[0][1] + sent[state][-1] for state in sorted(sent)]
+
+
+def _started(counts: DataFrame, settings: Settings, parts: int) -> DataFrame:
+    """Shares of state 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column("bucket").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 bucket = Bucket(number, blob, settings)
-                for _ in bucket.states(upto):
-                    pass
-                for level, seats in enumerate(bucket.levels):
-                    n = 1 << _bits(level)
-                    customers = np.bincount(bucket.place[level], weights=seats.customers, minlength=n)
-                    tables = np.bincount(bucket.place[level], weights=seats.tables, minlength=n)
-                    at = np.flatnonzero(customers)
+                yield from _upper_shares(bucket)
+                n = len(bucket.contexts)
+                columns = [np.bincount(bucket.place[2], weights=bucket.counts, minlength=n),
+                           np.bincount(bucket.place[2], weights=bucket.counts == 1, minlength=n),
+                           _tables_of(bucket, bucket.counts > 1)]
+                yield from _shares(number, _SCORES, bucket.own_contexts, columns, parts)
+                asked = bucket.own_contexts[_asked(bucket.keys[2], bucket.counts)]
+                yield from _shares(number, _SWEEPS, asked, [np.zeros(len(asked))] * 3, parts)
+
+    return counts.select("bucket", "counts").mapInArrow(run, _SHARE)
+
+
+def _swept(counts: DataFrame, sent: list[DataFrame], settings: Settings, parts: int) -> DataFrame:
+    """Shares of the state after as many sweeps as there are totals; after the last, of all states that scores need."""
+    upto = len(sent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, (few, *rows) in _grouped(batches, "bucket"):
+            contexts = _sums(unpack(few["blob"])[2])
+            bucket = Bucket(number, few["blob"], settings)
+            asked = np.flatnonzero(bucket.contexts & _PLACE >= _ASKED)
+            history = []
+            for upper, found in zip(settings.history, _tables_asked(rows, contexts, parts) or [np.zeros(0)] * upto, strict=True):
+                tables = np.zeros(len(bucket.contexts))
+                tables[asked] = found
+                history.append(Totals(upper.customers, [*upper.tables, tables]))
+            bucket.settings = replace(settings, history=history)
+            columns = []
+            for state in bucket.states(upto):
+                if state == upto or upto == settings.sweeps and state in settings.kept:
+                    columns.append(_tables_of(bucket, bucket.counts > 1)[asked])
+            yield from _upper_shares(bucket)
+            yield from _shares(number, _SWEEPS if upto < settings.sweeps else _NONE, contexts, columns, parts)
+
+    none = [F.lit(-1).alias("asks"), F.lit(-1).alias("state"), F.lit(-1).cast("long").alias("part")]
+    rows = counts.select("bucket", *none, F.col("few").alias("blob"))
+    for df in sent:
+        rows = rows.union(df.where(F.col("asks") == _SWEEPS))
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "state").mapInArrow(run, _SHARE)
+
+
+def _asking(counts: DataFrame, columns: int, parts: int) -> DataFrame:
+    """Shares of nothing that ask for the sums that scores need."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, blob in zip(batch.column("bucket").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                contexts = _sums(unpack(blob)[3])
+                yield from _shares(number, _SCORES, contexts, [np.zeros(len(contexts))] * columns, parts)
+
+    return counts.select("bucket", "counts").mapInArrow(run, _SHARE)
+
+
+def _context_sums(shares: DataFrame, state: int) -> DataFrame:
+    """Shares of each part of the contexts are added up; every bucket that asks gets the sums of its contexts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in _grouped(batches, "part"):
+            blobs = [unpack(row["blob"]) for row in rows]
+            _, at = np.unique(np.concatenate([_sums(b[0]) for b in blobs]), return_inverse=True)
+            sums = [np.bincount(at, weights=np.concatenate(c)).astype(np.int64)
+                    for c in zip(*(b[1:] for b in blobs), strict=True)]
+            stop = np.cumsum([len(b[0]) for b in blobs])
+            for row, own in zip(rows, np.split(at, stop[:-1]), strict=True):
+                if row["asks"] != _NONE:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), level), pa.int32()), pa.array(at, pa.int32()),
-                         pa.array(customers[at].astype(np.int64)), pa.array(tables[at].astype(np.int64))],
-                        ["level", "place", "customers", "tables"])
-
-    sums = (counts.select("bucket", "counts").mapInArrow(run, "level int, place int, customers long, tables long")
-            .groupBy("level", "place").agg(F.sum("customers"), F.sum("tables")).collect())
-    out = Totals([np.zeros(1 << _bits(x)) for x in range(3)], [np.zeros(1 << _bits(x)) for x in range(3)])
-    for level, place, customers, tables in sums:
+                        [pa.array([row["bucket"]], pa.int64()), pa.array([row["asks"]], pa.int32()),
+                         pa.array([state], pa.int32()), pa.array([part], pa.int64()),
+                         pa.array([pack(*[x[own] for x in sums])], pa.binary())],
+                        ["bucket", "asks", "state", "part", "blob"])
+
+    return (shares.where(F.col("part").isNotNull()).select("part", "bucket", "asks", "blob")
+            .repartition("part").sortWithinPartitions("part").mapInArrow(run, _SENT))
+
+
+def _upper_totals(shares: DataFrame) -> Totals:
+    """Totals of the root and the parents: one row for each reaches the driver; those of contexts stay in Spark."""
+    out = Totals([np.zeros(1 << _bits(x)) for x in (0, 1)], [np.zeros(1 << _bits(x)) for x in (0, 1)])
+    sums = shares.where(F.col("level").isNotNull()).groupBy("level", "place").agg(F.sum("customers"), F.sum("tables"))
+    for level, place, customers, tables in sums.collect():
         out.customers[level][place], out.tables[level][place] = customers, tables
     return out
 
 
-def _bits(level: int) -> int:
-    return (0, CONTEXT_BITS - PARENT_SHIFT, CONTEXT_BITS)[level]
+def learn(counts: DataFrame, settings: Settings, parts: int, scratch: Scratch) -> list[DataFrame]:
+    """Sweeps: the upper totals of every state go to ``settings.history``; what parts of the contexts
+    sent to buckets after each state is returned."""
+    sent = []
+    for state in range(settings.sweeps + 1):
+        shares = scratch.table(f"shares{state}", _swept(counts, sent, settings, parts) if state else
+                               _started(counts, settings, parts))
+        settings.history.append(_upper_totals(shares))
+        if state == settings.sweeps and state:
+            shares = shares.union(_asking(counts, len(settings.kept), parts))
+        sent.append(scratch.table(f"sent{state}", _context_sums(shares, state)))
+        scratch.drop(f"shares{state}")
+    return sent
 
 
 class Scorer:
     """Averaged log10 probabilities of (word, context) keys of one bucket."""
 
-    def __init__(self, bucket: Bucket | None, settings: Settings):
+    def __init__(self, bucket: Bucket, settings: Settings):
         self.settings, self.bucket, self.kept = settings, bucket, []
-        if bucket is not None:
-            for state in bucket.states(settings.sweeps):
-                if state > settings.burn_in:
-                    self.kept.append((state, [s.customers.copy() for s in bucket.levels],
-                                      [s.tables.copy() for s in bucket.levels]))
-            bucket.levels = []
-
-    def _rows(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        own = self.bucket.keys[level]
-        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-        return at, own[at] == keys
+        for state in bucket.states(settings.sweeps):
+            if state in settings.kept:
+                self.kept.append((settings.history[state], [s.customers.copy() for s in bucket.levels],
+                                  [s.tables.copy() for s in bucket.levels]))
+        bucket.levels = []
+
+    @staticmethod
+    def _found(own: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(own, wanted)
+        hit = np.flatnonzero(at < len(own))
+        hit = hit[own[at[hit]] == wanted[hit]]
+        return hit, at[hit]
 
     def log10(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probability, and training count of the word, for each key."""
         s = self.settings
-        states = self.kept or [(min(s.burn_in + 1, s.sweeps), None, None)]
-        by_level = [keys & ~_LOW, keys & ~_U((1 << PARENT_SHIFT) - 1), keys]
-        context = (keys & _LOW).astype(np.int64)
-        place = [np.zeros(len(keys), np.int64), context >> PARENT_SHIFT, context]
-        found = [self._rows(k, level) for level, k in enumerate(by_level)] if self.kept else None
+        by_level = [keys & ~_LOW, keys & ~_PLACE, keys]
+        found = [self._found(own, k) for own, k in zip(self.bucket.keys, by_level, strict=True)]
+        parent = ((keys & _LOW) >> _U(PARENT_SHIFT)).astype(np.int64)
+        every = np.arange(len(keys))
+        place = [(every, np.zeros(len(keys), np.int64)), (every, parent), self._found(self.bucket.contexts, keys & _LOW)]
         mean = np.zeros(len(keys))
-        for state, customers, tables in states:
-            p, totals = np.full(len(keys), s.base), s.history[state]
+        for totals, customers, tables in self.kept:
+            p = np.full(len(keys), s.base)
             for level in range(3):
                 d, theta = s.discount[level], s.strength[level]
-                own = 0.0
-                if found is not None:
-                    at, hit = found[level]
-                    own = np.where(hit, customers[level][at] - d * tables[level][at], 0.0)
-                spare = theta + d * totals.tables[level][place[level]]
-                p = (own + spare * p) / (theta + totals.customers[level][place[level]])
-            mean += p / len(states)
-        count = np.where(found[0][1], self.bucket.word_count[found[0][0]], 0) if found else np.zeros(len(keys), np.int64)
+                own, spare, all_customers = np.zeros(len(keys)), np.full(len(keys), theta), np.full(len(keys), theta)
+                hit, at = found[level]
+                own[hit] = customers[level][at] - d * tables[level][at]
+                hit, at = place[level]
+                spare[hit] += d * totals.tables[level][at]
+                all_customers[hit] += totals.customers[level][at]
+                p = (own + spare * p) / all_customers
+            mean += p / len(self.kept)
+        count = np.zeros(len(keys), np.int64)
+        count[found[0][0]] = self.bucket.word_count[found[0][1]]
         return np.log10(mean), count
 
 
+def _scorer(number: int, rows: list[dict], settings: Settings, parts: int) -> Scorer:
+    """A bucket's model from its counts and all that parts of the contexts sent to it."""
+    blob, *rows = rows[0]["blob"], *rows[1:]
+    bucket = Bucket(number, blob, settings)
+    asked = _asked(bucket.keys[2], bucket.counts)
+    scores = _sent(rows, _SCORES, bucket.own_contexts, parts)
+    customers, once, first = scores[0]
+    tables = [np.zeros(len(customers)) for _ in settings.history]
+    for state, found in enumerate(_tables_asked(rows, bucket.own_contexts[asked], parts)):
+        tables[state][asked] = found
+    for state, found in zip(settings.kept, scores[settings.sweeps] if settings.sweeps else [first], strict=True):
+        tables[state] = once + found
+    history = [Totals([*upper.customers, customers], [*upper.tables, x])
+               for upper, x in zip(settings.history, tables, strict=True)]
+    bucket.settings = replace(settings, history=history)
+    return Scorer(bucket, bucket.settings)
+
+
 # ---- scoring -------------------------------------------------------------------------------
 
-_PART = "block long, kind int, bucket long, copy int, blob binary, doc_ids array<long>, held array<boolean>"
-_NAMES = ["block", "kind", "bucket", "copy", "blob", "doc_ids", "held"]
-_COUNTS, _TOKENS, _DOCS = 0, 1, 2
+_PART = ("block long, kind int, bucket long, copy int, asks int, state int, part long, blob binary, "
+         "doc_ids array<long>, held array<boolean>")
+_NAMES = ["block", "kind", "bucket", "copy", "asks", "state", "part", "blob", "doc_ids", "held"]
+_COUNTS, _TOTALS, _TOKENS, _DOCS = 0, 1, 2, 3
 
 
 def _part(block: int, kind: int, bucket: int, copy: int, blob: bytes, ids=None, held=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64()), pa.array([kind], pa.int32()), pa.array([bucket], pa.int64()),
-         pa.array([copy], pa.int32()), pa.array([blob], pa.binary()), pa.array([ids], pa.list_(pa.int64())),
-         pa.array([held], pa.list_(pa.bool_()))], _NAMES)
+         pa.array([copy], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
+         pa.array([blob], pa.binary()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_()))],
+        _NAMES)
 
 
 def _token_blocks(docs: DataFrame, buckets: int, copies: dict[int, int]) -> DataFrame:
@@ -577,11 +853,9 @@ def _token_blocks(docs: DataFrame, buckets: int, copies: dict[int, int]) -> Data
         nth = TaskContext.get().partitionId() << 32
         for token, context, sizes, ids, held in _collected(batches, ("doc_id", "held_out")):
             doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
-            for bucket, at in _split(bucket_of(token, buckets)):
-                keys = key_of(token[at], context[at])
-                order = np.argsort(keys, kind="stable")  # documents stay in order within a key
-                unique, n = np.unique(keys, return_counts=True)
-                blob = pack(_steps(unique), n.astype(np.uint32), doc[at][order])
+            for bucket, keys, n, at, words, contexts in _dealt(token, context, buckets):
+                # Documents stay in order within a key.
+                blob = pack(_steps(keys), n.astype(np.uint32), doc[at], _steps(words), _steps(contexts))
                 yield _part(nth, _TOKENS, bucket, nth % 7919 % copies.get(bucket, 1), blob)
             # Sizes and ids travel under a number of their own: negative, so it is no bucket.
             yield _part(nth, _DOCS, -1 - nth, 0, pack(sizes), ids, held)
@@ -590,20 +864,24 @@ def _token_blocks(docs: DataFrame, buckets: int, copies: dict[int, int]) -> Data
     return docs.mapInArrow(run, _PART)
 
 
-def _partial_scores(settings: Settings):
+def _partial_scores(settings: Settings, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, scorer = None, None
+        now, model, scorer = None, [], None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["kind"] == _DOCS:
                     yield _part(row["block"], _DOCS, 0, 0, row["blob"], row["doc_ids"], row["held"])
                     continue
                 if (row["bucket"], row["copy"]) != now:
-                    now, counted = (row["bucket"], row["copy"]), row["kind"] == _COUNTS
-                    scorer = Scorer(Bucket(row["bucket"], row["blob"], settings) if counted else None, settings)
-                if row["kind"] == _TOKENS:
-                    step, n, doc = unpack(row["blob"])
-                    log, count = scorer.log10(step.cumsum(dtype=np.uint64))
+                    now, model, scorer = (row["bucket"], row["copy"]), [], None
+                if row["kind"] != _TOKENS:
+                    model.append(row)
+                else:
+                    if scorer is None:
+                        scorer, model = _scorer(row["bucket"], model, settings, parts), []
+                    step, n, doc, *own = unpack(row["blob"])
+                    keys = _renumbered(_sums(step), tuple(map(_sums, own)), scorer.bucket.words, scorer.bucket.own_contexts)
+                    log, count = scorer.log10(keys)
                     docs, inverse = np.unique(doc, return_inverse=True)
                     sums = [np.bincount(inverse, weights=np.repeat(x, n), minlength=len(docs))
                             for x in (log, np.log10(count + 1.0), count > 0)]
@@ -656,24 +934,27 @@ def score(docs: DataFrame, held_out: Column, sweeps: int = 3, burn_in: int = 1,
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(chars / (5 * bucket_tokens)))
-    counts = training_counts(texts(rows.where(~F.col("held_out"))), buckets, scratch)
+    counts = training_counts(rows, buckets, scratch)
     n, words = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     settings = Settings([0.5, 0.6, 0.7], [1.0, 1.0, 1.0], 1 / (words + 1), sweeps, burn_in)
-    while len(settings.history) <= sweeps:
-        settings.history.append(_totals(counts, settings))
+    sent = learn(counts, settings, buckets, scratch)
     # Only buckets far above their share, which a few very frequent words make, have copies.
     copies = {r["bucket"]: math.ceil(r["tokens"] / (2 * bucket_tokens)) for r in
               counts.where(F.col("tokens") > 4 * bucket_tokens).select("bucket", "tokens").collect()}
     number = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in copies.items() for x in kv]), F.col("bucket"))
                         if copies else F.lit(None).cast("int"), F.lit(1))
     none = {"doc_ids": "array<long>", "held": "array<boolean>"}
-    model = counts.select(
-        F.lit(0).cast("long").alias("block"), F.lit(_COUNTS).alias("kind"), "bucket",
-        F.explode(F.sequence(F.lit(0), (number - 1).cast("int"))).alias("copy"), F.col("counts").alias("blob"),
+    model = counts.select("bucket", F.lit(None).cast("int").alias("asks"), F.lit(None).cast("int").alias("state"),
+                          F.lit(None).cast("long").alias("part"), F.col("counts").alias("blob"), F.lit(_COUNTS).alias("kind"))
+    for df in sent:
+        model = model.union(df.select("*", F.lit(_TOTALS)))
+    model = model.select(
+        F.lit(0).cast("long").alias("block"), "kind", "bucket",
+        F.explode(F.sequence(F.lit(0), (number - 1).cast("int"))).alias("copy"), "asks", "state", "part", "blob",
         *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
     met = (model.union(_token_blocks(rows, buckets, copies)).repartition("bucket", "copy")
            .sortWithinPartitions("bucket", "copy", "kind"))
-    partial = met.mapInArrow(_partial_scores(settings), _PART)
+    partial = met.mapInArrow(_partial_scores(settings, buckets), _PART)
     return (partial.repartition("block").sortWithinPartitions("block", F.desc("kind"))
             .mapInArrow(_per_document(settings, int(n)), "doc_id long, held_out boolean, n_tokens long, n_known long, "
                         "train_tokens long, base_score double, score double"))

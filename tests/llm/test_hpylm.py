@@ -172,3 +172,102 @@ def test_a_row_does_not_grow_with_its_customers():
         started = seats.tables[0]
         seats.sweep(np.array([50.0, 1.0]), 0.7, np.random.default_rng(3))
         assert len(seats.at) == 3 and 30 < seats.tables[0] < 130 and seats.tables[0] != started
+
+
+def test_every_word_is_a_context_of_its_own():
+    texts = [f"w{i:x}q z" for i in range(20_000)]
+    _, context, _ = hpylm.tokens_of([t.encode() for t in texts])
+    assert len(np.unique(context)) == 20_002  # with the start and z
+
+
+def rows_of_pairs(spark):
+    """Texts in which each of 300 words, all of one ending, is followed by a few words of its own."""
+    rng = np.random.default_rng(5)
+    rows = [(n, " ".join(f"a{i}ng b{(7 * i + rng.integers(3)) % 101}ed" for i in rng.integers(0, 300, 40)))
+            for n in range(200)]
+    return spark.createDataFrame([*rows, (200, None), (201, "new a1ng new A1NG a1ng")], "doc_id long, text string")
+
+
+def pairs_of(text):
+    found = words(text)
+    return list(zip(["start", *found[:-1]], found, strict=True))
+
+
+def test_scores_of_the_first_state_against_plain_sums_over_real_contexts(spark):
+    docs = rows_of_pairs(spark)
+    held = crc_mod(F.col("doc_id"), 7) == 2
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.score for r in hpylm.score(docs, held, sweeps=0, bucket_tokens=500).collect()}
+
+    def parent(context):
+        if context == "start":
+            return hpylm.START >> 58
+        return int(hpylm.tokens_of([context])[1][1]) >> 58
+
+    learned = Counter(p for i, t in rows.items() if zlib.crc32(str(i).encode()) % 7 != 2 for p in pairs_of(t))
+    levels, customers = [], {(b, parent(b), w): n for (b, w), n in learned.items()}
+    for d, up in ((0.7, 1), (0.6, 2), (0.5, 3)):
+        tables = {k: 1 if n == 1 else min(max(round(n ** d / 2), 1), n) for k, n in customers.items()}
+        totals = Counter(), Counter()
+        for k, n in customers.items():
+            totals[0][k[:-1]] += n
+            totals[1][k[:-1]] += tables[k]
+        levels.append((d, customers, tables, *totals))
+        customers = Counter()
+        for k, t in tables.items():
+            customers[k[1:]] += t
+    vocabulary = len({w for _, w in learned})
+
+    def chance(b, w):
+        p, key = 1 / (vocabulary + 1), (b, parent(b), w)
+        for cut, (d, c, t, all_c, all_t) in zip((2, 1, 0), levels[::-1], strict=True):
+            k = key[cut:]
+            p = (c.get(k, 0) - d * t.get(k, 0) + (1 + d * all_t[k[:-1]]) * p) / (1 + all_c[k[:-1]])
+        return p
+
+    for i, text in rows.items():
+        assert math.isclose(got[i], sum(math.log10(chance(b, w)) for b, w in pairs_of(text)), rel_tol=1e-9)
+
+
+def test_totals_of_real_contexts_over_all_buckets(spark):
+    """After sweeps: customers are the followers, tables those of the buckets' replays, chances sum to one."""
+    hub = " ".join(f"hub a{i}ng hub b{i}ed" for i in range(300))  # before every word, so it meets all buckets
+    more = spark.createDataFrame([(204, hub + " hub z z hub new hub hub")], "doc_id long, text string")
+    docs, buckets = rows_of_pairs(spark).union(more).withColumn("held_out", F.col("doc_id") % 5 == 0), 9
+    scratch = hpylm.Scratch(spark, "hpylm-test")
+    counts = hpylm.training_counts(docs, buckets, scratch)
+    n_words = counts.agg(F.sum("words")).first()[0]
+    settings = hpylm.Settings([0.5, 0.6, 0.7], [1.0, 1.0, 1.0], 1 / (n_words + 1), 3, 1)
+    sent = [r.asDict() for df in hpylm.learn(counts, settings, buckets, scratch) for r in df.collect()]
+    scorers = [hpylm._scorer(r.bucket, [{"blob": r.counts}, *(x for x in sent if x["bucket"] == r.bucket)], settings, buckets)
+               for r in counts.collect()]
+    assert len(scorers) == buckets
+    followers = Counter(p[0] for r in docs.where(~F.col("held_out")).collect() for p in pairs_of(r.text))
+    for word in ("a1ng", "a77ng", "b3ed", "hub", "start"):
+        context = hpylm.START if word == "start" else int(hpylm.tokens_of([word.encode()])[1][1])
+        tables, total, seen = [0, 0], 0.0, 0
+        for s in scorers:
+            at = np.flatnonzero(s.bucket.own_contexts == np.uint64(context))
+            if not len(at):
+                continue
+            assert {t.customers[2][at[0]] for t, _, _ in s.kept} == {followers[word.encode()] if word != "start" else followers[word]}
+            mine = s.bucket.place[2] == at[0]
+            for k, (_, _, t) in enumerate(s.kept):
+                tables[k] += t[2][mine].sum()
+            given = [t.tables[2][at[0]] for t, _, _ in s.kept]
+            known = s.bucket.keys[0] | s.bucket.contexts[at[0]]
+            total += (10 ** s.log10(known)[0]).sum()
+            unknown = 10 ** s.log10(np.array([1 << 62], np.uint64) | s.bucket.contexts[at[0]])[0][0]
+            seen += len(known)
+        assert tables == given
+        assert word != "hub" or seen == n_words and math.isclose(total + unknown, 1, rel_tol=1e-9)
+
+
+def test_real_contexts_tell_words_apart_that_end_alike(spark):
+    """Held-out pairs seen in training are likelier than pairs of a word with another word's followers."""
+    rows = [(n, " ".join(f"a{i}ng b{7 * i}ed" for i in range(n % 2, 3000, 2))) for n in range(6)]
+    rows += [(10, " ".join(f"a{i}ng b{7 * i}ed" for i in range(0, 3000, 100))),
+             (11, " ".join(f"a{i}ng b{7 * (i + 2) % 21000}ed" for i in range(0, 3000, 100)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in hpylm.score(docs, F.col("doc_id") >= 10).collect()}
+    assert got[10] - got[11] > 30 * 1.5
