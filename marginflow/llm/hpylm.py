@@ -18,8 +18,8 @@ reseats all customers.  In rows of at most ``FEW`` customers each leaves its tab
 seated anew, each step in all rows at once.  A row of more customers is held as its numbers of
 customers and tables, and its tables are drawn as a whole, given the customers (``draw_tables``):
 its memory and time don't grow with them.
-A bucket's state is a function of its counts, the totals so far and a fixed seed: it is replayed,
-never stored, so a lost executor loses nothing.
+A bucket's state is a function of its counts, the totals so far and a fixed seed: it is replayed after
+each sweep, and only the numbers of tables that scores need are written, so a lost executor loses nothing.
 
 Scoring.  Tokens of all documents meet the model by bucket, in blocks that hold each distinct
 (word, context) once; probabilities are averaged over the states after the burn-in, and partial
@@ -197,6 +197,15 @@ def _numbered(values: np.ndarray, buckets: int = 1) -> tuple[np.ndarray, np.ndar
     return distinct[order], place[found.indices.to_numpy()]
 
 
+def _used(places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``n`` places occur, and the rank of each."""
+    if len(places) < n // 8:
+        return np.unique(places, return_inverse=True)
+    occurs = np.zeros(n, bool)
+    occurs[places] = True
+    return np.flatnonzero(occurs), (occurs.cumsum() - 1)[places]
+
+
 def _dealt(token: np.ndarray, context: np.ndarray, buckets: int) -> Iterator[tuple]:
     """For each bucket of a block: its keys by own numbers, how often each occurs, the tokens in the
     keys' order (one key's in the block's order), and the words and contexts that are numbered."""
@@ -212,8 +221,8 @@ def _dealt(token: np.ndarray, context: np.ndarray, buckets: int) -> Iterator[tup
     cut = np.append(np.searchsorted(keys, start[:-1].astype(np.uint64) << _U(CONTEXT_BITS)), len(keys))
     for i, bucket in enumerate(found.tolist()):
         some, span = keys[cut[i]:cut[i + 1]], first[cut[i]:cut[i + 1] + 1]
-        used, at = np.unique(some & _LOW, return_inverse=True)
-        own = contexts[used.astype(np.int64)]
+        used, at = _used((some & _LOW).astype(np.int64), len(contexts))
+        own = contexts[used]
         number = (some >> _U(CONTEXT_BITS)) - _U(start[i])
         yield (bucket, number << _U(CONTEXT_BITS) | numbers(own)[at], np.diff(span), order[span[0]:span[-1]],
                words[start[i]:start[i + 1]], own)
@@ -523,30 +532,38 @@ class Seating:
         self.tables[rows] = draw_tables(self.customers[rows], new_weight[rows], discount, rng)
 
 
-def _distinct(ascending: np.ndarray) -> np.ndarray:
-    return ascending[np.concatenate([[True], ascending[1:] != ascending[:-1]])] if len(ascending) else ascending
+def _distinct(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, and each value's place among them."""
+    new = np.ones(len(ascending), bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    return ascending[new], new.cumsum() - 1
 
 
 class Bucket:
     """The words of one bucket in all restaurants."""
 
-    def __init__(self, number: int, blob: bytes, settings: Settings):
+    def __init__(self, number: int, blob: bytes, settings: Settings, seated: bool = True):
         step, counts, *dictionary = unpack(blob)
         self.number, self.settings = number, settings
         leaf = _sums(step)
-        middle, root = _distinct(leaf & ~_U((1 << PARENT_SHIFT) - 1)), _distinct(leaf & ~_LOW)
+        middle, above = _distinct(leaf & ~_PLACE)
+        root, top = _distinct(middle & ~_LOW)
         self.keys = [root, middle, leaf]
         if len(dictionary) == 2:  # words and contexts of all rows, those of no training row too
             self.words, self.own_contexts = map(_sums, dictionary)
             self.contexts, context = numbers(self.own_contexts), (leaf & _PLACE).astype(np.int64)
+        elif dictionary:  # contexts that sweeps ask for; all others, which have numbers below, are one last place
+            self.own_contexts = _sums(dictionary[0])
+            self.contexts = np.append(numbers(self.own_contexts) + _ASKED, _LOW)
+            context = np.minimum((leaf & _PLACE) - _ASKED, _U(len(self.own_contexts))).astype(np.int64)
         else:
             self.contexts, context = np.unique(leaf & _LOW, return_inverse=True)
         self.place = [np.zeros(len(root), np.int64), (middle & _LOW).astype(np.int64) >> PARENT_SHIFT, context]
-        self.parent = [None, np.searchsorted(root, middle & ~_LOW),
-                       np.searchsorted(middle, leaf & ~_U((1 << PARENT_SHIFT) - 1))]
+        self.parent = [None, top, above]
         self.counts = counts = counts.astype(np.int64)
-        self.word_count = np.bincount(np.searchsorted(root, leaf & ~_LOW), weights=counts,
-                                      minlength=len(root)).astype(np.int64)
+        self.word_count = np.bincount(top[above], weights=counts, minlength=len(root)).astype(np.int64)
+        if not seated:
+            return
         self.levels: list[Seating] = [None, None, None]
         room = counts
         for level in (2, 1, 0):
@@ -579,7 +596,11 @@ class Bucket:
         rng = np.random.default_rng([self.number, nth])
         s = self.settings
         for level in (2, 1, 0):
-            weight = (s.strength[level] + s.discount[level] * totals.tables[level][self.place[level]]) * self._above(level, totals)
+            # A leaf of one customer has one table, whatever the weight.
+            some = np.flatnonzero(self.counts > 1) if level == 2 else slice(None)
+            above = self.probability(1, totals)[self.parent[2][some]] if level == 2 else self._above(level, totals)
+            weight = np.zeros(len(self.keys[level]))
+            weight[some] = (s.strength[level] + s.discount[level] * totals.tables[level][self.place[level][some]]) * above
             if level < 2:
                 self.levels[level].follow(self._tables_below(level), weight, s.discount[level], rng)
             self.levels[level].sweep(weight, s.discount[level], rng)
@@ -600,17 +621,21 @@ def _bits(level: int) -> int:
 # ---- totals --------------------------------------------------------------------------------
 
 _SHARE = "level int, place int, customers long, tables long, part long, bucket long, asks int, blob binary"
-_NONE, _SWEEPS, _SCORES = -1, 0, 1  # a share of contexts' totals asks for no sums, for sweeps', or for scores'
+# A share of contexts' totals asks for no sums, for sweeps', or for scores'; beside them, tables of the kept states.
+_NONE, _SWEEPS, _SCORES, _STATES = -1, 0, 1, 2
 _SENT = "bucket long, asks int, state int, part long, blob binary"
 
 
-def _shares(bucket: int, asks: int, contexts: np.ndarray, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
-    """A bucket's shares of its contexts' totals, for each part of the contexts."""
+def _share(part: int | None, bucket: int, asks: int, blob: bytes) -> pa.RecordBatch:
     schema = [("level", pa.int32()), ("place", pa.int32()), ("customers", pa.int64()), ("tables", pa.int64()),
               ("part", pa.int64()), ("bucket", pa.int64()), ("asks", pa.int32()), ("blob", pa.binary())]
+    return pa.RecordBatch.from_pylist([{"part": part, "bucket": bucket, "asks": asks, "blob": blob}], pa.schema(schema))
+
+
+def _shares(bucket: int, asks: int, contexts: np.ndarray, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """A bucket's shares of its contexts' totals, for each part of the contexts."""
     for part, at in _split(bucket_of(contexts, parts)):
-        blob = pack(_steps(contexts[at]), *[c[at].astype(np.int64) for c in columns])
-        yield pa.RecordBatch.from_pylist([{"part": part, "bucket": bucket, "asks": asks, "blob": blob}], pa.schema(schema))
+        yield _share(part, bucket, asks, pack(_steps(contexts[at]), *[c[at].astype(np.int64) for c in columns]))
 
 
 def _upper_shares(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -691,21 +716,20 @@ def _swept(counts: DataFrame, sent: list[DataFrame], settings: Settings, parts:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, (few, *rows) in _grouped(batches, "bucket"):
-            contexts = _sums(unpack(few["blob"])[2])
-            bucket = Bucket(number, few["blob"], settings)
-            asked = np.flatnonzero(bucket.contexts & _PLACE >= _ASKED)
-            history = []
+            bucket, history = Bucket(number, few["blob"], settings), []
+            contexts = bucket.own_contexts
             for upper, found in zip(settings.history, _tables_asked(rows, contexts, parts) or [np.zeros(0)] * upto, strict=True):
-                tables = np.zeros(len(bucket.contexts))
-                tables[asked] = found
-                history.append(Totals(upper.customers, [*upper.tables, tables]))
+                history.append(Totals(upper.customers, [*upper.tables, np.append(found, 0)]))
             bucket.settings = replace(settings, history=history)
-            columns = []
+            columns, tables, more = [], [], bucket.counts > 1
             for state in bucket.states(upto):
                 if state == upto or upto == settings.sweeps and state in settings.kept:
-                    columns.append(_tables_of(bucket, bucket.counts > 1)[asked])
+                    columns.append(_tables_of(bucket, more)[:-1])
+                    tables += [bucket.levels[0].tables.copy(), bucket.levels[1].tables.copy(), bucket.levels[2].tables[more]]
             yield from _upper_shares(bucket)
             yield from _shares(number, _SWEEPS if upto < settings.sweeps else _NONE, contexts, columns, parts)
+            if upto == settings.sweeps:
+                yield _share(None, number, _STATES, pack(*tables))
 
     none = [F.lit(-1).alias("asks"), F.lit(-1).alias("state"), F.lit(-1).cast("long").alias("part")]
     rows = counts.select("bucket", *none, F.col("few").alias("blob"))
@@ -756,30 +780,34 @@ def _upper_totals(shares: DataFrame) -> Totals:
 
 
 def learn(counts: DataFrame, settings: Settings, parts: int, scratch: Scratch) -> list[DataFrame]:
-    """Sweeps: the upper totals of every state go to ``settings.history``; what parts of the contexts
-    sent to buckets after each state is returned."""
-    sent = []
+    """Sweeps: the upper totals of every state go to ``settings.history``; returned is what scores need,
+    the sums that parts of the contexts sent to buckets and the buckets' tables in the kept states."""
+    sent, states = [], []
     for state in range(settings.sweeps + 1):
         shares = scratch.table(f"shares{state}", _swept(counts, sent, settings, parts) if state else
                                _started(counts, settings, parts))
         settings.history.append(_upper_totals(shares))
-        if state == settings.sweeps and state:
+        last = state and state == settings.sweeps
+        if last:
+            states = [shares.where(F.col("asks") == _STATES).select("bucket", "asks", F.lit(state).alias("state"), "part", "blob")]
             shares = shares.union(_asking(counts, len(settings.kept), parts))
         sent.append(scratch.table(f"sent{state}", _context_sums(shares, state)))
-        scratch.drop(f"shares{state}")
-    return sent
+        if not last:
+            scratch.drop(f"shares{state}")
+    return [*(df.where(F.col("asks") == _SCORES) for df in sent), *states]
 
 
 class Scorer:
     """Averaged log10 probabilities of (word, context) keys of one bucket."""
 
-    def __init__(self, bucket: Bucket, settings: Settings):
-        self.settings, self.bucket, self.kept = settings, bucket, []
-        for state in bucket.states(settings.sweeps):
-            if state in settings.kept:
-                self.kept.append((settings.history[state], [s.customers.copy() for s in bucket.levels],
-                                  [s.tables.copy() for s in bucket.levels]))
-        bucket.levels = []
+    def __init__(self, bucket: Bucket, settings: Settings, kept: list[tuple] | None = None):
+        """``kept``: totals, customers and tables of the kept states; without it they are replayed."""
+        self.settings, self.bucket, self.kept = settings, bucket, kept
+        if kept is None:
+            self.kept = [(settings.history[state], [s.customers.copy() for s in bucket.levels],
+                          [s.tables.copy() for s in bucket.levels])
+                         for state in bucket.states(settings.sweeps) if state in settings.kept]
+            bucket.levels = []
 
     @staticmethod
     def _found(own: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -816,20 +844,25 @@ class Scorer:
 
 def _scorer(number: int, rows: list[dict], settings: Settings, parts: int) -> Scorer:
     """A bucket's model from its counts and all that parts of the contexts sent to it."""
-    blob, *rows = rows[0]["blob"], *rows[1:]
-    bucket = Bucket(number, blob, settings)
-    asked = _asked(bucket.keys[2], bucket.counts)
-    scores = _sent(rows, _SCORES, bucket.own_contexts, parts)
+    bucket = Bucket(number, rows[0]["blob"], settings, seated=not settings.sweeps)
+    scores = _sent(rows[1:], _SCORES, bucket.own_contexts, parts)
     customers, once, first = scores[0]
-    tables = [np.zeros(len(customers)) for _ in settings.history]
-    for state, found in enumerate(_tables_asked(rows, bucket.own_contexts[asked], parts)):
-        tables[state][asked] = found
-    for state, found in zip(settings.kept, scores[settings.sweeps] if settings.sweeps else [first], strict=True):
-        tables[state] = once + found
-    history = [Totals([*upper.customers, customers], [*upper.tables, x])
-               for upper, x in zip(settings.history, tables, strict=True)]
-    bucket.settings = replace(settings, history=history)
-    return Scorer(bucket, bucket.settings)
+
+    def totals(state: int, found: np.ndarray) -> Totals:
+        upper = settings.history[state]
+        return Totals([*upper.customers, customers], [*upper.tables, once + found])
+
+    if not settings.sweeps:
+        bucket.settings = replace(settings, history=[totals(0, first)])
+        return Scorer(bucket, bucket.settings)
+    found = iter(unpack(next(row["blob"] for row in rows if row["asks"] == _STATES)))
+    kept = []
+    for state, column in zip(settings.kept, scores[settings.sweeps], strict=True):
+        tables = [next(found), next(found), np.ones(len(bucket.counts), np.int64)]
+        tables[2][bucket.counts > 1] = next(found)
+        below = [np.bincount(bucket.parent[x + 1], weights=tables[x + 1], minlength=len(tables[x])) for x in (0, 1)]
+        kept.append((totals(state, column), [*below, bucket.counts], tables))
+    return Scorer(bucket, settings, kept)
 
 
 # ---- scoring -------------------------------------------------------------------------------

@@ -230,7 +230,7 @@ def test_scores_of_the_first_state_against_plain_sums_over_real_contexts(spark):
 
 
 def test_totals_of_real_contexts_over_all_buckets(spark):
-    """After sweeps: customers are the followers, tables those of the buckets' replays, chances sum to one."""
+    """After sweeps: customers are the followers, tables those of the buckets' states, chances sum to one."""
     hub = " ".join(f"hub a{i}ng hub b{i}ed" for i in range(300))  # before every word, so it meets all buckets
     more = spark.createDataFrame([(204, hub + " hub z z hub new hub hub")], "doc_id long, text string")
     docs, buckets = rows_of_pairs(spark).union(more).withColumn("held_out", F.col("doc_id") % 5 == 0), 9
@@ -239,7 +239,7 @@ def test_totals_of_real_contexts_over_all_buckets(spark):
     n_words = counts.agg(F.sum("words")).first()[0]
     settings = hpylm.Settings([0.5, 0.6, 0.7], [1.0, 1.0, 1.0], 1 / (n_words + 1), 3, 1)
     sent = [r.asDict() for df in hpylm.learn(counts, settings, buckets, scratch) for r in df.collect()]
-    scorers = [hpylm._scorer(r.bucket, [{"blob": r.counts}, *(x for x in sent if x["bucket"] == r.bucket)], settings, buckets)
+    scorers = [hpylm._scorer(r.bucket, [{"blob": r.counts, "asks": None}, *(x for x in sent if x["bucket"] == r.bucket)], settings, buckets)
                for r in counts.collect()]
     assert len(scorers) == buckets
     followers = Counter(p[0] for r in docs.where(~F.col("held_out")).collect() for p in pairs_of(r.text))
