@@ -174,8 +174,10 @@ def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -
             part.append(new)
         n, docs = n + len(held[0][-1]), docs + batch.num_rows
         if n >= BLOCK_TOKENS or docs >= BLOCK_DOCS:
-            yield (*map(np.concatenate, held[:3]), *([v for x in h for v in x] for h in held[3:]))
-            held, n, docs = [[] for _ in held], 0, 0
+            block = (*map(np.concatenate, held[:3]), *([v for x in h for v in x] for h in held[3:]))
+            held, n, docs = [[] for _ in held], 0, 0  # the parts are not kept beside the block
+            yield block
+            del block
     if docs:
         yield (*map(np.concatenate, held[:3]), *([v for x in h for v in x] for h in held[3:]))
 
@@ -192,8 +194,8 @@ def _numbered(values: np.ndarray, buckets: int = 1) -> tuple[np.ndarray, np.ndar
     found = pa.array(values).dictionary_encode()
     distinct = found.dictionary.to_numpy()
     order = np.lexsort((distinct, bucket_of(distinct, buckets)))
-    place = np.empty(len(order), np.uint64)
-    place[order] = np.arange(len(order), dtype=np.uint64)
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
     return distinct[order], place[found.indices.to_numpy()]
 
 
@@ -211,7 +213,10 @@ def _dealt(token: np.ndarray, context: np.ndarray, buckets: int) -> Iterator[tup
     keys' order (one key's in the block's order), and the words and contexts that are numbered."""
     words, word = _numbered(token, buckets)
     contexts, before = _numbered(context)
-    keys = word << _U(CONTEXT_BITS) | before
+    keys = word.astype(np.uint64)
+    keys <<= _U(CONTEXT_BITS)
+    keys |= before
+    del word, before
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -288,6 +293,7 @@ def training_counts(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFram
                 blob = pack(_steps(keys), n, _steps(words), _steps(contexts))
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())],
                                                  ["bucket", "counts"])
+            del token, context, train, at, words, contexts  # before the next block is read
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pieces, waiting = None, [], 0
@@ -893,6 +899,7 @@ def _token_blocks(docs: DataFrame, buckets: int, copies: dict[int, int]) -> Data
             # Sizes and ids travel under a number of their own: negative, so it is no bucket.
             yield _part(nth, _DOCS, -1 - nth, 0, pack(sizes), ids, held)
             nth += 1
+            del token, context, doc, at, words, contexts  # before the next block is read
 
     return docs.mapInArrow(run, _PART)
 
