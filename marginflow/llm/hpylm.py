@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, per_process, raw, small_batches
+from .common import Scratch, give_back, mix, per_process, raw, small_batches
 
 # A context has 64 bits; the upper 6, from the last two bytes of the word, name its parent, the others
 # are of the word's hash.  Within a bucket contexts are numbered, and a number has 32 bits: the parent's
@@ -163,10 +163,21 @@ def _sums(steps: np.ndarray) -> np.ndarray:
     return steps.cumsum(dtype=np.uint64)
 
 
-def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -> Iterator[tuple]:
-    """Blocks of documents: tokens, contexts, sizes, and the extra columns' values."""
+def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -> Iterator[list]:
+    """Blocks of documents: tokens, contexts, sizes, and the extra columns' values.
+
+    A block is the only holder of its arrays: what a caller takes out of it is freed with its last use.
+    """
     held: list[list] = [[], [], []] + [[] for _ in extra]
     n = docs = 0
+
+    def block() -> list:
+        out = []
+        for i, parts in enumerate(held):
+            out.append(np.concatenate(parts) if i < 3 else [v for x in parts for v in x])
+            parts.clear()  # the parts are not kept beside the block
+        return out
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -174,12 +185,14 @@ def _collected(batches: Iterator[pa.RecordBatch], extra: tuple[str, ...] = ()) -
             part.append(new)
         n, docs = n + len(held[0][-1]), docs + batch.num_rows
         if n >= BLOCK_TOKENS or docs >= BLOCK_DOCS:
-            block = (*map(np.concatenate, held[:3]), *([v for x in h for v in x] for h in held[3:]))
-            held, n, docs = [[] for _ in held], 0, 0  # the parts are not kept beside the block
-            yield block
-            del block
+            n = docs = 0
+            del new
+            yield block()
+            give_back()
     if docs:
-        yield (*map(np.concatenate, held[:3]), *([v for x in h for v in x] for h in held[3:]))
+        new = None
+        yield block()
+        give_back()
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -192,6 +205,7 @@ def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _numbered(values: np.ndarray, buckets: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values by bucket and size, and each value's place among them."""
     found = pa.array(values).dictionary_encode()
+    del values
     distinct = found.dictionary.to_numpy()
     order = np.lexsort((distinct, bucket_of(distinct, buckets)))
     place = np.empty(len(order), np.uint32)
@@ -208,16 +222,18 @@ def _used(places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(occurs), (occurs.cumsum() - 1)[places]
 
 
-def _dealt(token: np.ndarray, context: np.ndarray, buckets: int) -> Iterator[tuple]:
+def _dealt(block: list, buckets: int) -> Iterator[tuple]:
     """For each bucket of a block: its keys by own numbers, how often each occurs, the tokens in the
-    keys' order (one key's in the block's order), and the words and contexts that are numbered."""
-    words, word = _numbered(token, buckets)
-    contexts, before = _numbered(context)
+    keys' order (one key's in the block's order), and the words and contexts that are numbered.
+
+    Takes tokens and contexts, the block's first two, out of it."""
+    words, word = _numbered(block.pop(0), buckets)
+    contexts, before = _numbered(block.pop(0))
     keys = word.astype(np.uint64)
     keys <<= _U(CONTEXT_BITS)
     keys |= before
     del word, before
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable").astype(np.uint32 if len(keys) < 1 << 32 else np.int64)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     keys, first = keys[first], np.append(first, len(keys))
@@ -286,20 +302,21 @@ def training_counts(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFram
     ``few`` is what sweeps need, with the contexts that they ask for.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, context, sizes, held in _collected(batches, ("held_out",)):
-            train = np.repeat(~np.array(held, bool), sizes).astype(np.int64)
-            for bucket, keys, n, at, words, contexts in _dealt(token, context, buckets):
-                n = np.add.reduceat(train[at], n.cumsum() - n).astype(np.uint32)
+        for block in _collected(batches, ("held_out",)):
+            train = np.repeat(~np.array(block[3], bool), block[2])
+            for bucket, keys, n, at, words, contexts in _dealt(block, buckets):
+                n = np.add.reduceat(train[at], n.cumsum() - n, dtype=np.uint32)
                 blob = pack(_steps(keys), n, _steps(words), _steps(contexts))
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([blob], pa.binary())],
                                                  ["bucket", "counts"])
-            del token, context, train, at, words, contexts  # before the next block is read
+            del block, train, keys, n, at, words, contexts, blob  # before the next block is read
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pieces, waiting = None, [], 0
 
         def done() -> pa.RecordBatch:
             keys, n, words, contexts = _merged(pieces)
+            pieces.clear()
             keys, n = keys[n > 0], n[n > 0]
             asked = _asked(keys, n)
             few = _few(keys, n, contexts, asked)
@@ -314,6 +331,7 @@ def training_counts(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFram
                 if bucket != now:
                     if pieces:
                         yield done()
+                        give_back()
                     now, pieces, waiting = bucket, [], 0
                 keys, n, words, contexts = unpack(blob)
                 pieces.append((_sums(keys), n.astype(np.int64), _sums(words), _sums(contexts)))
@@ -321,7 +339,9 @@ def training_counts(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFram
                 if waiting > 4_000_000:  # what came in pieces is added up before more is read
                     pieces, waiting = [_merged(pieces)], 0
         if pieces:
+            del keys, n, words, contexts
             yield done()
+            give_back()
 
     small_batches(rows.sparkSession)
     parts = rows.select("text", "held_out").mapInArrow(count, "bucket long, counts binary")
@@ -552,6 +572,7 @@ class Bucket:
         step, counts, *dictionary = unpack(blob)
         self.number, self.settings = number, settings
         leaf = _sums(step)
+        del step
         middle, above = _distinct(leaf & ~_PLACE)
         root, top = _distinct(middle & ~_LOW)
         self.keys = [root, middle, leaf]
@@ -711,7 +732,9 @@ def _started(counts: DataFrame, settings: Settings, parts: int) -> DataFrame:
                            _tables_of(bucket, bucket.counts > 1)]
                 yield from _shares(number, _SCORES, bucket.own_contexts, columns, parts)
                 asked = bucket.own_contexts[_asked(bucket.keys[2], bucket.counts)]
+                del bucket, columns  # before the next bucket is seated
                 yield from _shares(number, _SWEEPS, asked, [np.zeros(len(asked))] * 3, parts)
+                give_back()
 
     return counts.select("bucket", "counts").mapInArrow(run, _SHARE)
 
@@ -721,11 +744,12 @@ def _swept(counts: DataFrame, sent: list[DataFrame], settings: Settings, parts:
     upto = len(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (few, *rows) in _grouped(batches, "bucket"):
-            bucket, history = Bucket(number, few["blob"], settings), []
+        for number, rows in _grouped(batches, "bucket"):
+            bucket, history = Bucket(number, rows.pop(0)["blob"], settings), []
             contexts = bucket.own_contexts
             for upper, found in zip(settings.history, _tables_asked(rows, contexts, parts) or [np.zeros(0)] * upto, strict=True):
                 history.append(Totals(upper.customers, [*upper.tables, np.append(found, 0)]))
+            rows.clear()
             bucket.settings = replace(settings, history=history)
             columns, tables, more = [], [], bucket.counts > 1
             for state in bucket.states(upto):
@@ -733,9 +757,12 @@ def _swept(counts: DataFrame, sent: list[DataFrame], settings: Settings, parts:
                     columns.append(_tables_of(bucket, more)[:-1])
                     tables += [bucket.levels[0].tables.copy(), bucket.levels[1].tables.copy(), bucket.levels[2].tables[more]]
             yield from _upper_shares(bucket)
+            del bucket, history, found, more  # before the next bucket's rows are read
             yield from _shares(number, _SWEEPS if upto < settings.sweeps else _NONE, contexts, columns, parts)
             if upto == settings.sweeps:
                 yield _share(None, number, _STATES, pack(*tables))
+            del contexts, columns, tables
+            give_back()
 
     none = [F.lit(-1).alias("asks"), F.lit(-1).alias("state"), F.lit(-1).cast("long").alias("part")]
     rows = counts.select("bucket", *none, F.col("few").alias("blob"))
@@ -771,6 +798,8 @@ def _context_sums(shares: DataFrame, state: int) -> DataFrame:
                          pa.array([state], pa.int32()), pa.array([part], pa.int64()),
                          pa.array([pack(*[x[own] for x in sums])], pa.binary())],
                         ["bucket", "asks", "state", "part", "blob"])
+            del rows, blobs, at, sums, own
+            give_back()
 
     return (shares.where(F.col("part").isNotNull()).select("part", "bucket", "asks", "blob")
             .repartition("part").sortWithinPartitions("part").mapInArrow(run, _SENT))
@@ -890,16 +919,17 @@ def _part(block: int, kind: int, bucket: int, copy: int, blob: bytes, ids=None,
 def _token_blocks(docs: DataFrame, buckets: int, copies: dict[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nth = TaskContext.get().partitionId() << 32
-        for token, context, sizes, ids, held in _collected(batches, ("doc_id", "held_out")):
+        for block in _collected(batches, ("doc_id", "held_out")):
+            sizes, ids, held = block[2:]
             doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
-            for bucket, keys, n, at, words, contexts in _dealt(token, context, buckets):
+            for bucket, keys, n, at, words, contexts in _dealt(block, buckets):
                 # Documents stay in order within a key.
                 blob = pack(_steps(keys), n.astype(np.uint32), doc[at], _steps(words), _steps(contexts))
                 yield _part(nth, _TOKENS, bucket, nth % 7919 % copies.get(bucket, 1), blob)
             # Sizes and ids travel under a number of their own: negative, so it is no bucket.
             yield _part(nth, _DOCS, -1 - nth, 0, pack(sizes), ids, held)
             nth += 1
-            del token, context, doc, at, words, contexts  # before the next block is read
+            del block, doc, keys, n, at, words, contexts, blob  # before the next block is read
 
     return docs.mapInArrow(run, _PART)
 
@@ -914,6 +944,7 @@ def _partial_scores(settings: Settings, parts: int):
                     continue
                 if (row["bucket"], row["copy"]) != now:
                     now, model, scorer = (row["bucket"], row["copy"]), [], None
+                    give_back()
                 if row["kind"] != _TOKENS:
                     model.append(row)
                 else:
@@ -927,6 +958,9 @@ def _partial_scores(settings: Settings, parts: int):
                             for x in (log, np.log10(count + 1.0), count > 0)]
                     blob = pack(docs, sums[0], sums[1], sums[2].astype(np.uint32))
                     yield _part(row["block"], _TOKENS, 0, 0, blob)
+        model, scorer = [], None
+        step = n = doc = own = keys = log = count = docs = inverse = sums = None
+        give_back()
 
     return run
 

@@ -1,14 +1,19 @@
+import ctypes
 import math
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
 from marginflow.llm import hpylm
-from marginflow.llm.common import crc_mod, read
+from marginflow.llm.common import crc_mod, give_back, read
 
 DIR = "/root/testdata/sf0.001"
 
@@ -271,3 +276,68 @@ def test_real_contexts_tell_words_apart_that_end_alike(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.score for r in hpylm.score(docs, F.col("doc_id") >= 10).collect()}
     assert got[10] - got[11] > 30 * 1.5
+
+
+class Caught:
+    """Stands for a DataFrame: hands out the function that Spark's tasks would run."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_a_block_of_tokens_is_dealt_in_bounded_memory():
+    """The block is freed before its keys are sorted: at most 36 bytes a token at once."""
+    rng, n = np.random.default_rng(6), 1_000_000
+    plain = rng.integers(0, 5000, n).astype(np.uint64), rng.integers(0, 300, n).astype(np.uint64)
+    tracemalloc.start()
+    try:
+        block = [x << np.uint64(40) for x in plain]
+        tracemalloc.reset_peak()
+        dealt = list(hpylm._dealt(block, 3))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert block == [] and sum(int(x[2].sum()) for x in dealt) == n
+    for _, keys, counts, at, words, contexts in dealt:
+        first = counts.cumsum() - counts
+        assert ((words >> np.uint64(40))[(keys >> np.uint64(32)).astype(int)] == plain[0][at[first]]).all()
+        assert ((contexts >> np.uint64(40))[(keys & hpylm._PLACE).astype(int)] == plain[1][at[first]]).all()
+    assert peak < 36 * n + sum(x.nbytes for d in dealt for x in d[1:])
+
+
+def test_a_bucket_is_freed_before_the_next_is_seated(monkeypatch):
+    blob, settings = bucket_of_texts(TEXTS, sweeps=0)
+    step, counts = hpylm.unpack(blob)
+    leaf = hpylm._sums(step)
+    contexts = np.unique(leaf & hpylm._LOW)
+    keys = leaf & ~hpylm._LOW | hpylm.numbers(contexts << np.uint64(32))[np.searchsorted(contexts, leaf & hpylm._LOW)]
+    blob = hpylm.pack(hpylm._steps(keys), counts, hpylm._steps(np.unique(keys >> np.uint64(32))), hpylm._steps(contexts << np.uint64(32)))
+    seen = []
+
+    class Watched(hpylm.Bucket):
+        def __init__(self, *args):
+            assert all(b() is None for b in seen)
+            super().__init__(*args)
+            seen.append(weakref.ref(self))
+
+    monkeypatch.setattr(hpylm, "Bucket", Watched)
+    run = hpylm._started(Caught(), settings, 2)
+    shares = list(run(iter([pa.RecordBatch.from_pydict({"bucket": [0, 1, 2], "counts": [blob] * 3})])))
+    assert len(seen) == 3 and len(shares) % 3 == 0
+
+
+def test_freed_memory_goes_back_to_the_system():
+    def resident():
+        return int(next(x for x in Path("/proc/self/status").read_text().split("\n") if x.startswith("VmRSS")).split()[1]) / 1024
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("not glibc")
+    small = [bytes(50_000) for _ in range(4000)]  # 200 MB in pieces that an allocator keeps
+    keep = small[::100]
+    held = resident()
+    del small
+    give_back()
+    assert held - resident() > 100 and len(keep) == 40
