@@ -289,23 +289,26 @@ class Caught:
 
 
 def test_a_block_of_tokens_is_dealt_in_bounded_memory():
-    """The block is freed before its keys are sorted: at most 36 bytes a token at once."""
+    """The block is freed before its keys are sorted: beside its own 16 bytes a token, less than 20 are taken."""
     rng, n = np.random.default_rng(6), 1_000_000
     plain = rng.integers(0, 5000, n).astype(np.uint64), rng.integers(0, 300, n).astype(np.uint64)
+    list(hpylm._dealt([x[:9] for x in plain], 3))  # what pyarrow imports at its first call is not counted
     tracemalloc.start()
     try:
         block = [x << np.uint64(40) for x in plain]
         tracemalloc.reset_peak()
-        dealt = list(hpylm._dealt(block, 3))
-        peak = tracemalloc.get_traced_memory()[1]
+        held = tracemalloc.get_traced_memory()[0]
+        first = next(dealt := hpylm._dealt(block, 3))
+        more = tracemalloc.get_traced_memory()[1] - held
     finally:
         tracemalloc.stop()
+    dealt = [first, *dealt]
     assert block == [] and sum(int(x[2].sum()) for x in dealt) == n
     for _, keys, counts, at, words, contexts in dealt:
         first = counts.cumsum() - counts
         assert ((words >> np.uint64(40))[(keys >> np.uint64(32)).astype(int)] == plain[0][at[first]]).all()
         assert ((contexts >> np.uint64(40))[(keys & hpylm._PLACE).astype(int)] == plain[1][at[first]]).all()
-    assert peak < 36 * n + sum(x.nbytes for d in dealt for x in d[1:])
+    assert more < 20 * n
 
 
 def test_a_bucket_is_freed_before_the_next_is_seated(monkeypatch):
